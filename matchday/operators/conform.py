@@ -15,19 +15,25 @@ from pyspark.sql import functions as F
 
 from ..functions.features import DEFAULT_FEATURES, build_features, league_name_raw
 from ..functions.predicates import EXCLUDED_LEAGUE_IDS, not_excluded_league
+from ..sources.tables import row_bound
 
 # Largest dimension that is broadcast on request. Mapper rows are ~100 bytes,
 # so this bounds a broadcast to a few MB per executor.
 MAX_BROADCAST_ROWS = 50_000
 
 
-def checked_broadcast(dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+def checked_broadcast(
+    dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, known_rows: int | None = None
+) -> DataFrame:
     """``broadcast(dim)`` if it has at most ``max_rows`` rows, else ``dim`` unchanged.
 
-    The check reads at most ``max_rows + 1`` rows, so it stays cheap even when
-    the table turns out to be large.
+    ``known_rows`` is a proven bound (e.g. a table built from driver-side rows,
+    see :func:`~matchday.sources.tables.local_table`); without one, the check
+    reads at most ``max_rows + 1`` rows, so it stays cheap even when the table
+    turns out to be large.
     """
-    n = dim.limit(max_rows + 1).count()
+    bound = known_rows if known_rows is not None else row_bound(dim)
+    n = bound if bound is not None else dim.limit(max_rows + 1).count()
     return F.broadcast(dim) if n <= max_rows else dim
 
 
@@ -35,7 +41,7 @@ def conform_leagues(records: DataFrame, league_mapper: DataFrame, broadcast: boo
     """Add ``league_name_raw`` (name without the season) and the mapped ``league_name_unique``."""
     lm = league_mapper.select("league_name_raw", "league_name_unique")
     if broadcast:
-        lm = checked_broadcast(lm)
+        lm = checked_broadcast(lm, known_rows=row_bound(league_mapper))
     return records.withColumn("league_name_raw", league_name_raw()).join(lm, "league_name_raw", "left")
 
 
@@ -45,7 +51,7 @@ def conform_teams(
     """Add ``team_id_unique_1`` / ``team_id_unique_2`` for the feed's raw team ids (left joins)."""
     tm = team_mapper.select("team_id_raw", "team_id_unique")
     if broadcast:
-        tm = checked_broadcast(tm)
+        tm = checked_broadcast(tm, known_rows=row_bound(team_mapper))
     out = records
     for side in (1, 2):
         raw = F.col(f"`team{side}{separator}teamId`")

@@ -2,25 +2,34 @@
 
 The semantics are "the row whose match day is exactly one less" (a team that
 skipped a day gets nothing), so this is an equi join on a shifted key, not
-``lag``.
+``lag``. Duplicate keys on the right fan out exactly like the left join they
+stand for.
 
-Rows whose join key contains a null can never match. A plain shuffle join
-would still hash all of them to one reducer (unmapped teams are null), so they
-get a spread-out salt that joins nothing: the load is split and the result is
-unchanged. The right side is deduplicated by nothing and filtered by nothing:
-duplicate keys fan out exactly like the left join they stand for.
+Plan shape, for a base with one row per (match, side) and lookup tables keyed
+by (league, team, match day):
+
+* the lookup projection is the same for both teams of a match (neutral column
+  names, renamed after the join), so its shuffle is computed once and reused
+  for the second team;
+* all lookups of team 1 are joined before those of team 2: consecutive joins
+  on the same base keys keep the base partitioning, so the base is shuffled
+  once per team, not once per lookup;
+* rows whose key contains a null can never match. A shuffle join would still
+  hash all of them to one reducer (unmapped teams are null), so they carry a
+  spread-out salt that joins nothing: the load is split, the result unchanged.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.features import suffix_alias
 
 NULL_KEY_SPREAD = 256
+_LK = "_lk_"
 
 
 def shifted_lookup(
@@ -40,6 +49,28 @@ def shifted_lookup(
     )
 
 
+def null_spread_salt(keys: Sequence[str], spread_by: str, spread: int = NULL_KEY_SPREAD) -> Column:
+    """0 for rows with a complete key; 1..spread (hash of ``spread_by``) for rows with a null in the key."""
+    any_null = None
+    for k in keys:
+        any_null = F.col(k).isNull() if any_null is None else (any_null | F.col(k).isNull())
+    return (
+        F.when(any_null, F.pmod(F.xxhash64(F.col(spread_by)), F.lit(spread)) + F.lit(1))
+        .otherwise(F.lit(0))
+        .cast("int")
+    )
+
+
+def zero_salt(keys: Sequence[str]) -> Column:
+    """0 on every row, computed from the key columns.
+
+    A literal 0 would be folded out of the join keys by the optimizer (an
+    equality with a constant is not a key), and the salt would then no longer
+    take part in the hash partitioning.
+    """
+    return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(1)).cast("int")
+
+
 def left_lookup_join(
     left: DataFrame,
     right: DataFrame,
@@ -54,12 +85,65 @@ def left_lookup_join(
     order = [*left.columns, *[c for c in right.columns if c not in on]]
     if not spread_by or spread_by not in left.columns or spread <= 1:
         return left.join(right, list(on), "left").select(*order)
-    any_null = None
-    for k in on:
-        any_null = F.col(k).isNull() if any_null is None else (any_null | F.col(k).isNull())
-    salt = F.when(any_null, F.pmod(F.xxhash64(F.col(spread_by)), F.lit(spread)) + F.lit(1)).otherwise(
-        F.lit(0)
-    )
-    l2 = left.withColumn("_null_salt", salt.cast("int"))
-    r2 = right.withColumn("_null_salt", F.lit(0))
+    l2 = left.withColumn("_null_salt", null_spread_salt(on, spread_by, spread))
+    r2 = right.withColumn("_null_salt", zero_salt(on))
     return l2.join(r2, [*on, "_null_salt"], "left").select(*order)
+
+
+def previous_day_features(
+    base: DataFrame,
+    tables: Sequence[tuple[DataFrame, Sequence[str]]],
+    sides: Sequence[int] = (1, 2),
+    league_col: str = "league_id",
+    day_col: str = "match_day",
+    team_col: str = "team_id",
+    offset: int = 1,
+    spread_by: str | None = "match_id",
+    spread: int = NULL_KEY_SPREAD,
+) -> DataFrame:
+    """Left-join, for every team ``team_id_<side>`` of ``base``, the listed columns of each
+    lookup table at (league, team, day - offset), named ``<column>_<side>``.
+
+    Output columns: ``base`` columns, then per table (in order) its columns for
+    side 1, then for side 2.
+    """
+    salt_ok = bool(spread_by) and spread_by in base.columns and spread > 1
+    lookups = []
+    for table, cols in tables:
+        lookups.append(
+            (
+                table.select(
+                    F.col(league_col).alias(f"{_LK}league"),
+                    (F.col(day_col) + F.lit(offset)).alias(f"{_LK}day"),
+                    F.col(team_col).alias(f"{_LK}team"),
+                    zero_salt([league_col, team_col, day_col]).alias(f"{_LK}salt"),
+                    *[F.col(c).alias(f"{_LK}{c}") for c in cols],
+                ),
+                list(cols),
+            )
+        )
+    out = base
+    added: dict[tuple[int, int], list[str]] = {}
+    for side in sides:
+        team = f"{team_col}_{side}"
+        salt = f"_salt_{side}"
+        keys = [league_col, team, day_col]
+        out = out.withColumn(salt, null_spread_salt(keys, spread_by, spread) if salt_ok else F.lit(0))
+        for i, (lk, cols) in enumerate(lookups):
+            cond = (
+                (F.col(league_col) == F.col(f"{_LK}league"))
+                & (F.col(team) == F.col(f"{_LK}team"))
+                & (F.col(day_col) == F.col(f"{_LK}day"))
+                & (F.col(salt) == F.col(f"{_LK}salt"))
+            )
+            names = [f"{c}_{side}" for c in cols]
+            keep = [F.col(f"`{c}`") for c in out.columns]
+            out = out.join(lk, cond, "left").select(
+                *keep, *[F.col(f"{_LK}{c}").alias(n) for c, n in zip(cols, names)]
+            )
+            added[(i, side)] = names
+    ordered = [c for c in base.columns]
+    for i in range(len(lookups)):
+        for side in sides:
+            ordered += added[(i, side)]
+    return out.select(*[F.col(f"`{c}`") for c in ordered])

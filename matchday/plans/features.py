@@ -6,8 +6,9 @@ import warnings
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ..operators.lookups import left_lookup_join, shifted_lookup
+from ..operators.lookups import previous_day_features
 from ..operators.views import goals_base_view, load_match_results, result_class_base_view
 from ..schemas import performance_columns
 from ..sources.sinks import write_table
@@ -44,25 +45,44 @@ class FeatureBuilder:
         return result_class_base_view(match_results, seed=self.seed)
 
     # --- feature steps ------------------------------------------------------
-    def _add_previous_day(self, base: DataFrame, table: DataFrame, columns) -> DataFrame:
-        out = base
-        for side in (1, 2):
-            lookup = shifted_lookup(table, columns, f"_{side}")
-            keys = [k.format(side=side) for k in JOIN_KEYS]
-            out = left_lookup_join(out, lookup, keys)
-        return out
+    # Steps that attach previous-match-day rows of a team table: name -> columns taken.
+    PREVIOUS_DAY_STEPS: dict[str, tuple[str, ...]] = {
+        "overall_standings": STANDINGS_FEATURES,
+        "overall_performance": tuple(performance_columns()),
+    }
+
+    def _overridden(self, name: str) -> bool:
+        """Has a subclass replaced the built-in ``add_<name>`` step."""
+        return getattr(type(self), f"add_{name}", None) is not getattr(FeatureBuilder, f"add_{name}", None)
+
+    def _finish_step(self, name: str, df: DataFrame) -> DataFrame:
+        """Columns derived after a step's joins."""
+        if name == "overall_standings":
+            return df.withColumn("rank_diff", F.col("rank_1") - F.col("rank_2"))
+        return df
+
+    def _add_previous_day_steps(self, base: DataFrame, steps: list[tuple[str, DataFrame | str]]) -> DataFrame:
+        """Join a run of previous-day steps together (team 1 for all, then team 2)."""
+        tables = [(self._table(t), self.PREVIOUS_DAY_STEPS[n]) for n, t in steps]
+        out = previous_day_features(base, tables)
+        for name, _ in steps:
+            out = self._finish_step(name, out)
+        # reference order: per step its side-1 and side-2 columns, then derived columns
+        ordered = list(base.columns)
+        for name, _ in steps:
+            cols = self.PREVIOUS_DAY_STEPS[name]
+            ordered += [f"{c}_1" for c in cols] + [f"{c}_2" for c in cols]
+            if name == "overall_standings":
+                ordered.append("rank_diff")
+        return out.select(*ordered)
 
     def add_overall_standings(self, base: DataFrame, standings: DataFrame | str) -> DataFrame:
         """Games and rank of both teams after the previous match day, and the rank difference."""
-        out = self._add_previous_day(base, self._table(standings), STANDINGS_FEATURES)
-        ordered = [c for c in base.columns] + ["games_1", "rank_1", "games_2", "rank_2"]
-        return out.select(*ordered, (out["rank_1"] - out["rank_2"]).alias("rank_diff"))
+        return self._add_previous_day_steps(base, [("overall_standings", standings)])
 
     def add_overall_performance(self, base: DataFrame, performance: DataFrame | str) -> DataFrame:
         """The 21 form statistics of both teams after the previous match day."""
-        cols = performance_columns()
-        out = self._add_previous_day(base, self._table(performance), cols)
-        return out.select(*base.columns, *[f"{c}_1" for c in cols], *[f"{c}_2" for c in cols])
+        return self._add_previous_day_steps(base, [("overall_performance", performance)])
 
     # --- entry point --------------------------------------------------------
     def get_features(
@@ -79,12 +99,24 @@ class FeatureBuilder:
             base = self.result_class_base_view(matches)
         else:
             raise NotImplementedError(f"target must be one of {list(TARGETS)}")
-        for name, table in features.items():
+        steps = list(features.items())
+        i = 0
+        while i < len(steps):
+            name = steps[i][0]
+            if name in self.PREVIOUS_DAY_STEPS and not self._overridden(name):
+                # consecutive previous-day steps share their joins
+                j = i
+                while j < len(steps) and steps[j][0] in self.PREVIOUS_DAY_STEPS:
+                    j += 1
+                base = self._add_previous_day_steps(base, steps[i:j])
+                i = j
+                continue
             step = getattr(self, f"add_{name}", None)
             if step is None:
                 warnings.warn(f"There is no feature step named {name!r}; it is skipped.", stacklevel=2)
-                continue
-            base = step(base, table)
+            else:
+                base = step(base, steps[i][1])
+            i += 1
         if output_path:
             write_table(base, output_path)
         return base

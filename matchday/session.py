@@ -68,6 +68,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def materialize(df, name: str):
+    """Write ``df`` as Parquet below the checkpoint root and return a scan of it.
+
+    Cuts the lineage: later stages (and task retries after a lost executor)
+    read the written table instead of recomputing everything upstream, and
+    every branch that uses the table scans only the columns it needs.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme so Python can look at a local path."""
     return path[5:] if path.startswith("file:") else path

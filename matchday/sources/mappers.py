@@ -12,6 +12,7 @@ import io
 from pyspark.sql import DataFrame, SparkSession
 
 from ..schemas import LEAGUE_MAPPER_SCHEMA, TEAM_MAPPER_SCHEMA
+from .tables import local_table
 
 # --- fixed values: league name spellings -> one league name (CSV, header first) ---
 LEAGUE_MAPPER_CSV = """\
@@ -135,12 +136,12 @@ def _rows(text: str, types: tuple) -> list[tuple]:
 
 def league_mapper(spark: SparkSession) -> DataFrame:
     """The default league mapper (7 spellings of 3 leagues)."""
-    return spark.createDataFrame(_rows(LEAGUE_MAPPER_CSV, (str, str)), LEAGUE_MAPPER_SCHEMA)
+    return local_table(spark, _rows(LEAGUE_MAPPER_CSV, (str, str)), LEAGUE_MAPPER_SCHEMA)
 
 
 def team_mapper(spark: SparkSession) -> DataFrame:
     """The default team mapper (raw feed id -> conformed id)."""
-    return spark.createDataFrame(_rows(TEAM_MAPPER_CSV, (str, int, int)), TEAM_MAPPER_SCHEMA)
+    return local_table(spark, _rows(TEAM_MAPPER_CSV, (str, int, int)), TEAM_MAPPER_SCHEMA)
 
 
 def read_mapper_csv(spark: SparkSession, path: str, kind: str) -> DataFrame:

@@ -17,8 +17,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..schemas import FEED_SCHEMA
+from ..schemas import FEED_SCHEMA, TEAM_MAPPER_SCHEMA
 from .mappers import LEAGUE_MAPPER_CSV
+from .tables import ensure_parallelism, local_table
 
 # --- fixed values: league name spelling per (league block % 8) ---------------------
 # The seven raw spellings of the default league mapper, in its file order, then one
@@ -51,10 +52,10 @@ _DATE = (
 # Each stage: expressions evaluated on top of all columns of the previous stage.
 MATCH_STAGES: tuple[tuple[str, ...], ...] = (
     (
-        f"CAST(FLOOR(o_orderkey / {GAMES_PER_SEASON}.0) AS BIGINT) AS lg",
+        f"CAST((o_orderkey - o_orderkey % {GAMES_PER_SEASON}) / {GAMES_PER_SEASON} AS BIGINT) AS lg",
         f"o_orderkey % {GAMES_PER_SEASON} AS pos",
     ),
-    ("CAST(FLOOR(pos / 9.0) AS BIGINT) AS rd", "pos % 9 AS slot"),
+    ("CAST((pos - pos % 9) / 9 AS BIGINT) AS rd", "pos % 9 AS slot"),
     ("rd % 17 AS r",),
     (
         "CASE WHEN slot = 0 THEN 17 ELSE (r + slot) % 17 END AS a",
@@ -63,7 +64,7 @@ MATCH_STAGES: tuple[tuple[str, ...], ...] = (
     (
         "CASE WHEN rd >= 17 THEN b ELSE a END AS hm",
         "CASE WHEN rd >= 17 THEN a ELSE b END AS aw",
-        "CAST(FLOOR(rd / 4.0) AS BIGINT) AS m0",
+        "CAST((rd - rd % 4) / 4 AS BIGINT) AS m0",
     ),
     (
         f"{_team_id('hm')} AS t1",
@@ -164,12 +165,23 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def scan(spark: SparkSession, sf_dir: str, name: str, columns: tuple[str, ...], key: str) -> DataFrame:
+    """Projected scan of a test table, spread over the task slots when under-partitioned."""
+    return ensure_parallelism(read_table(spark, sf_dir, name).select(*columns), key=key)
+
+
 def flat_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One flat row per match (feed paths with ``_``) plus ``has_result``, ``p1``, ``p2``."""
-    df = read_table(spark, sf_dir, "orders").select(*ORDERS_COLUMNS)
-    for stage in MATCH_STAGES:
-        df = df.selectExpr("*", *stage)
-    return df.selectExpr(*MATCH_COLUMNS)
+    orders = scan(spark, sf_dir, "orders", ORDERS_COLUMNS, "o_orderkey")
+    return spark.sql(matches_sql("{orders}"), orders=orders)
+
+
+def matches_sql(source: str) -> str:
+    """The flat-match derivation as one SQL statement over ``source`` (a table or view name)."""
+    sql = f"SELECT {', '.join(ORDERS_COLUMNS)} FROM {source}"
+    for i, stage in enumerate(MATCH_STAGES):
+        sql = f"SELECT *, {', '.join(stage)} FROM ({sql}) s{i}"
+    return f"SELECT {', '.join(MATCH_COLUMNS)} FROM ({sql}) sm"
 
 
 def _struct(prefix: str, fields: tuple[str, ...]) -> Column:
@@ -178,7 +190,8 @@ def _struct(prefix: str, fields: tuple[str, ...]) -> Column:
 
 def _result(spec: dict, halve: bool, rid_offset: int) -> Column:
     def pts(c: str) -> Column:
-        return F.expr(f"CAST(FLOOR({c} / 2.0) AS BIGINT)") if halve else F.col(c).cast("bigint")
+        # scores are >= 0: exact integer halving
+        return F.expr(f"CAST(({c} - {c} % 2) / 2 AS BIGINT)") if halve else F.col(c).cast("bigint")
 
     return F.struct(
         (F.col("matchID") * 2 + F.lit(rid_offset)).alias("resultID"),
@@ -193,7 +206,7 @@ def _result(spec: dict, halve: bool, rid_offset: int) -> Column:
 
 def goal_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(l_orderkey, goals)``: the goal objects of each match (bounded groups)."""
-    li = read_table(spark, sf_dir, "lineitem").select(*LINEITEM_COLUMNS)
+    li = scan(spark, sf_dir, "lineitem", LINEITEM_COLUMNS, "l_orderkey")
     by_name = {e.rsplit(" AS ", 1)[1]: F.expr(e) for e in GOAL_COLUMNS}
     element = FEED_SCHEMA["goals"].dataType.elementType
     goal = F.struct(*[by_name[f.name].cast(f.dataType).alias(f.name) for f in element.fields])
@@ -216,10 +229,10 @@ def match_feed(spark: SparkSession, sf_dir: str, with_goals: bool = True) -> Dat
     goals_type = FEED_SCHEMA["goals"].dataType
     if with_goals:
         flat = flat.join(goal_lists(spark, sf_dir), F.col("matchID") == F.col("l_orderkey"), "left")
-        goals = F.col("goals").cast(goals_type)
+        goals = F.col("goals")
     else:
         goals = F.lit(None).cast(goals_type)
-    out = flat.select(
+    return flat.select(
         "matchID",
         "matchDateTime",
         "timeZoneID",
@@ -238,28 +251,19 @@ def match_feed(spark: SparkSession, sf_dir: str, with_goals: bool = True) -> Dat
         results.alias("matchResults"),
         goals.alias("goals"),
     )
-    return out.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in FEED_SCHEMA.fields])
 
 
 def team_mapper(spark: SparkSession, sf_dir: str | None = None) -> DataFrame:
     """Mapper for the derived feed: raw 100+i and 200+i map to i+1; 999 stays unmapped."""
-    base = spark.range(18).select(
-        F.concat(F.lit("Team "), (F.col("id") + 100).cast("string")).alias("team_name"),
-        (F.col("id") + 100).alias("team_id_raw"),
-        (F.col("id") + 1).alias("team_id_unique"),
-    )
-    second = spark.range(4).select(
-        F.concat(F.lit("Team "), (F.col("id") + 200).cast("string")).alias("team_name"),
-        (F.col("id") + 200).alias("team_id_raw"),
-        (F.col("id") + 1).alias("team_id_unique"),
-    )
-    return base.unionByName(second)
+    rows = [(f"Team {100 + i}", 100 + i, i + 1) for i in range(18)]
+    rows += [(f"Team {200 + i}", 200 + i, i + 1) for i in range(4)]
+    return local_table(spark, rows, TEAM_MAPPER_SCHEMA)
 
 
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted goals and Poisson means per match."""
-    return read_table(spark, sf_dir, "orders").selectExpr(*PREDICTION_COLUMNS)
+    return scan(spark, sf_dir, "orders", ORDERS_COLUMNS, "o_orderkey").selectExpr(*PREDICTION_COLUMNS)
 
 
 def deviance_input(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_table(spark, sf_dir, "orders").selectExpr(*DEVIANCE_COLUMNS)
+    return scan(spark, sf_dir, "orders", ORDERS_COLUMNS, "o_orderkey").selectExpr(*DEVIANCE_COLUMNS)

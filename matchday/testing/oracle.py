@@ -17,9 +17,7 @@ from ..sources.testdata import (
     FINAL_RESULT,
     GOAL_COLUMNS,
     HALF_TIME_RESULT,
-    MATCH_COLUMNS,
-    MATCH_STAGES,
-    ORDERS_COLUMNS,
+    matches_sql,
     PREDICTION_COLUMNS,
 )
 from .queries import FEATURE_SUBSET, META_SUBSET, METRIC_DIGITS, REQUEST_LEAGUES, REQUEST_SEASONS
@@ -42,10 +40,7 @@ def _meta_select(prefix: str = "") -> str:
 
 
 def _matches_sql() -> str:
-    sql = f"SELECT {', '.join(ORDERS_COLUMNS)} FROM orders"
-    for i, stage in enumerate(MATCH_STAGES):
-        sql = f"SELECT *, {', '.join(stage)} FROM ({sql}) s{i}"
-    return f"SELECT {', '.join(MATCH_COLUMNS)} FROM ({sql}) sm"
+    return matches_sql("orders")
 
 
 def _lm_sql() -> str:

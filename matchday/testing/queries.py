@@ -23,7 +23,7 @@ from ..functions.scoring import tip_score
 from ..plans.features import FeatureBuilder
 from ..plans.tables import performance, standings
 from ..schemas import META_COLUMNS, PERFORMANCE_METRICS, meta_name
-from ..session import scratch_path
+from ..session import materialize, scratch_path
 from ..sources import mappers, testdata
 from ..sources.feed import (
     available_seasons as _available,
@@ -64,6 +64,11 @@ def _final(spark: SparkSession, sf: str) -> DataFrame:
     return load_match_results(_clean(spark, sf))
 
 
+def _clean_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The clean match table written once and scanned by every branch that needs it."""
+    return materialize(_clean(spark, sf), "clean-matches")
+
+
 def _with_sizes(df: DataFrame) -> DataFrame:
     def n(c: str):
         s = F.coalesce(F.size(c), F.lit(0))
@@ -181,11 +186,12 @@ def goals_base_view_q(spark, sf):
 
 
 def result_class_base_view_q(spark, sf):
-    return result_class_base_view(_final(spark, sf))
+    # the sample's cut is found by two light passes over the ids: read them from a written table
+    return result_class_base_view(load_match_results(_clean_table(spark, sf)))
 
 
 def half_sample_q(spark, sf):
-    return half_sample(_final(spark, sf).select("match_id"), "match_id")
+    return half_sample(load_match_results(_clean_table(spark, sf)).select("match_id"), "match_id")
 
 
 # --- windows ------------------------------------------------------------------
@@ -236,7 +242,7 @@ def performance_home_away(spark, sf):
 
 # --- features -----------------------------------------------------------------
 def _features(spark, sf, steps: tuple[str, ...], target: str) -> DataFrame:
-    cm = _clean(spark, sf)
+    cm = _clean_table(spark, sf)
     tables = {"overall_standings": lambda: standings(cm), "overall_performance": lambda: performance(cm)}
     fb = FeatureBuilder(spark)
     return fb.get_features(cm, {s: tables[s]() for s in steps}, target=target)
