@@ -43,7 +43,9 @@ def scan_records(
     """
     validate_records(records)
     schema = normalized_schema(records, separator=separator)
-    return spark.read.schema(schema).parquet(f"{root.rstrip('/')}/{records}")
+    df = spark.read.schema(schema).parquet(f"{root.rstrip('/')}/{records}")
+    # partition columns come last from the reader; restore the declared order
+    return df.select(*[F.col(f"`{f.name}`") for f in schema.fields])
 
 
 def feed_catalogue(feed: DataFrame) -> DataFrame:
