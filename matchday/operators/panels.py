@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..schemas import PANEL_METRICS, PERFORMANCE_METRICS
+from .skew import DEFAULT_HOT_ROWS, cum_value, hot_keys, key_in, lagged, prefix_sums, segment_count
 
 PERFORMANCE_CLASSES: dict[str, tuple[str, ...]] = {
     "overall": ("league_id", "team_id"),
@@ -73,16 +74,40 @@ def running_avg(col: str, w: WindowSpec, games: str = "games") -> Column:
     )
 
 
+def _split(view: DataFrame, keys: Sequence[str], hot_threshold: int | None, hot: Sequence[tuple] | None = None):
+    """(rows of normal keys, rows of hot keys or None). ``hot`` skips the detection pass."""
+    if hot is None:
+        if hot_threshold is None:
+            return view, None
+        hot = hot_keys(view, keys, hot_threshold)
+    if not hot:
+        return view, None
+    is_hot = key_in(keys, hot)
+    return view.filter(~is_hot), view.filter(is_hot)
+
+
 def running_totals(
     view: DataFrame,
     keys: Sequence[str] = ("league_id", "team_id"),
     metrics: Sequence[str] = PANEL_METRICS,
     carry: Sequence[str] = STANDINGS_KEYS,
     order: Sequence[str] = PANEL_ORDER,
+    hot_threshold: int | None = DEFAULT_HOT_ROWS,
+    hot: Sequence[tuple] | None = None,
 ) -> DataFrame:
-    """Running totals of each metric per panel (the league table after each game)."""
+    """Running totals of each metric per panel (the league table after each game).
+
+    Panels with more than ``hot_threshold`` rows are computed by the exact
+    distributed prefix sum of :mod:`~matchday.operators.skew` instead of one
+    window task; ``None`` skips the check.
+    """
     w = panel_window(keys, order)
-    return view.select(*carry, *[running_sum(m, w).alias(m) for m in metrics])
+    cold, hot = _split(view, keys, hot_threshold, hot)
+    out = cold.select(*carry, *[running_sum(m, w).alias(m) for m in metrics])
+    if hot is None:
+        return out
+    ps = prefix_sums(hot, keys, order, metrics, segment_count(view))
+    return out.unionByName(ps.select(*carry, *[cum_value(m).cast("bigint").alias(m) for m in metrics]))
 
 
 def table_rank(
@@ -90,10 +115,34 @@ def table_rank(
     by: Sequence[str] = RANK_BY,
     over: Sequence[str] = RANK_OVER,
     name: str = "rank",
+    hot_threshold: int | None = DEFAULT_HOT_ROWS,
+    hot: Sequence[tuple] | None = None,
 ) -> DataFrame:
-    """Rank (method "min", i.e. SQL RANK) of the descending tuple ``by`` within ``over``."""
+    """Rank (method "min", i.e. SQL RANK) of the descending tuple ``by`` within ``over``.
+
+    For hot groups the rank is 1 + the number of rows with a greater tuple:
+    rows are pre-aggregated to one count per distinct tuple (partial
+    aggregate), ranked over those counts, and joined back.
+    """
     w = Window.partitionBy(*over).orderBy(*[F.col(c).desc() for c in by])
-    return totals.withColumn(name, F.rank().over(w).cast("bigint"))
+    cold, hot = _split(totals, over, hot_threshold, hot)
+    out = cold.withColumn(name, F.rank().over(w).cast("bigint"))
+    if hot is None:
+        return out
+    from .conform import checked_broadcast
+
+    counts = hot.groupBy(*over, *by).agg(F.count(F.lit(1)).alias("_n"))
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
+    ranks = counts.select(
+        *[F.col(c).alias(f"_k_{c}") for c in (*over, *by)],
+        (F.coalesce(F.sum("_n").over(before), F.lit(0)) + F.lit(1)).cast("bigint").alias(name),
+    )
+    cond = None
+    for c in (*over, *by):
+        t = F.col(c).eqNullSafe(F.col(f"_k_{c}"))
+        cond = t if cond is None else cond & t
+    ranked = hot.join(checked_broadcast(ranks), cond, "inner").select(*totals.columns, name)
+    return out.unionByName(ranked)
 
 
 def performance_stats(
@@ -103,11 +152,34 @@ def performance_stats(
     windows: Sequence[int] = (3, 5),
     carry: Sequence[str] = PERFORMANCE_KEYS,
     order: Sequence[str] = PANEL_ORDER,
+    hot_threshold: int | None = DEFAULT_HOT_ROWS,
+    games: str = "games",
+    hot: Sequence[tuple] | None = None,
 ) -> DataFrame:
     """Rolling sums over the last 3 and 5 games and running averages per panel."""
-    w = panel_window(panel_classes(performance_class), order)
+    keys = panel_classes(performance_class)
+    w = panel_window(keys, order)
+    cold, hot = _split(view, keys, hot_threshold, hot)
     cols = []
     for m in metrics:
         cols += [rolling_sum(m, w, n).alias(f"{m}_last_{n}_games") for n in windows]
-        cols.append(running_avg(m, w).alias(f"{m}_avg"))
-    return view.select(*carry, *cols)
+        cols.append(running_avg(m, w, games).alias(f"{m}_avg"))
+    out = cold.select(*carry, *cols)
+    if hot is None:
+        return out
+    needed = list(dict.fromkeys([*metrics, games]))
+    ps = prefix_sums(hot, keys, order, needed, segment_count(view))
+    tracked = [f"_cum_{m}" for m in metrics] + [f"_nn_{m}" for m in metrics]
+    for n in windows:
+        ps = lagged(ps, keys, n, tracked)
+    hot_cols = []
+    for m in metrics:
+        for n in windows:
+            enough = (F.col(f"_nn_{m}") - F.col(f"_nn_{m}_lag{n}")) >= F.lit(n)
+            hot_cols.append(
+                F.when(enough, F.col(f"_cum_{m}") - F.col(f"_cum_{m}_lag{n}")).cast("bigint").alias(f"{m}_last_{n}_games")
+            )
+        hot_cols.append(
+            F.try_divide(cum_value(m).cast("double"), cum_value(games).cast("double")).alias(f"{m}_avg")
+        )
+    return out.unionByName(ps.select(*carry, *hot_cols))
