@@ -1,0 +1,65 @@
+"""The file-based workflow end to end: season JSON files -> normalised -> clean -> tables -> features."""
+
+import os
+
+from matchday.plans import FeatureBuilder, clean_records, create_performance, create_standings, normalize_seasons
+from matchday.plans.tables import performance, standings
+from matchday.sources import mappers, read_mapper_csv
+from matchday.sources.mappers import LEAGUE_MAPPER_CSV, TEAM_MAPPER_CSV
+from test_normalize import FINAL, HALF, _match, _write
+
+
+def _csv(tmp_dir, name, text):
+    p = os.path.join(tmp_dir, name)
+    with open(p, "w", encoding="utf-8") as f:
+        f.write(text)
+    return p
+
+
+def test_csv_mappers_equal_defaults(spark, tmp_dir):
+    lm = read_mapper_csv(spark, _csv(tmp_dir, "league.csv", LEAGUE_MAPPER_CSV), "league")
+    tm = read_mapper_csv(spark, _csv(tmp_dir, "team.csv", TEAM_MAPPER_CSV), "team")
+    assert sorted(map(tuple, lm.collect())) == sorted(map(tuple, mappers.league_mapper(spark).collect()))
+    assert sorted(map(tuple, tm.collect())) == sorted(map(tuple, mappers.team_mapper(spark).collect()))
+
+
+def test_file_workflow(spark, tmp_dir):
+    feed_dir = os.path.join(tmp_dir, "feed")
+    os.makedirs(feed_dir)
+
+    def day(d, t1, t2, g1, g2, season=2023):
+        final = dict(FINAL, pointsTeam1=g1, pointsTeam2=g2)
+        return _match(100 * d + t1, [final, HALF], group={"groupName": f"{d}. Spieltag", "groupOrderID": d},
+                      team1={"teamId": t1, "teamName": f"T{t1}"}, team2={"teamId": t2, "teamName": f"T{t2}"},
+                      leagueSeason=season, leagueName=f"1. Fußball-Bundesliga {season}/{season + 1}")
+
+    _write(feed_dir, "bl1_2023.json", [day(1, 40, 7, 2, 0), day(1, 9, 16, 1, 1), day(2, 7, 9, 0, 3), day(2, 16, 40, 1, 2)])
+    _write(feed_dir, "bl1_2022.json", [day(1, 40, 7, 0, 0, season=2022)])
+    out = os.path.join(tmp_dir, "data")
+
+    skipped = normalize_seasons(spark, feed_dir, out, leagues=["bl1", "bl2"], seasons=[2023, 2024])
+    assert sorted(map(tuple, skipped.collect())) == [("bl1", 2024), ("bl2", 2023), ("bl2", 2024)]
+
+    clean_path = os.path.join(out, "matchResults_clean")
+    lm = read_mapper_csv(spark, _csv(tmp_dir, "league.csv", LEAGUE_MAPPER_CSV), "league")
+    clean_records(spark, out, clean_path, league_mapper=lm)
+    cm = spark.read.parquet(clean_path)
+    assert cm.count() == 8  # 4 games x (final + half time) of the requested season only
+    assert set(r[0] for r in cm.select("league_name").distinct().collect()) == {"1. Fussball-Bundesliga"}
+
+    st_path, pf_path = os.path.join(out, "standings"), os.path.join(out, "performance")
+    create_standings(spark, clean_path, st_path)
+    create_performance(spark, clean_path, pf_path)
+    assert sorted(map(tuple, spark.read.parquet(st_path).collect()), key=repr) == sorted(
+        map(tuple, standings(cm).collect()), key=repr)
+    assert spark.read.parquet(pf_path).count() == performance(cm).count() == 8
+
+    feat_path = os.path.join(out, "features")
+    fb = FeatureBuilder(spark)
+    got = fb.get_features(clean_path, {"overall_standings": st_path, "overall_performance": pf_path},
+                          output_path=feat_path)
+    written = spark.read.parquet(feat_path)
+    assert written.columns == got.columns and written.count() == got.count() == 8
+    r = written.filter("match_day = 2 AND team_id_1 = 9").collect()[0]
+    # team 9 drew on day 1 (rank 2 behind team 40's win), team 7 lost (rank 4)
+    assert (r.games_1, r.rank_1, r.games_2, r.rank_2, r.rank_diff) == (1, 2, 1, 4, -2)
