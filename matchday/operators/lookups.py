@@ -122,28 +122,28 @@ def previous_day_features(
                 list(cols),
             )
         )
-    out = base
-    added: dict[tuple[int, int], list[str]] = {}
+    salts = {}
     for side in sides:
-        team = f"{team_col}_{side}"
-        salt = f"_salt_{side}"
-        keys = [league_col, team, day_col]
-        out = out.withColumn(salt, null_spread_salt(keys, spread_by, spread) if salt_ok else F.lit(0))
+        keys = [league_col, f"{team_col}_{side}", day_col]
+        salts[f"_salt_{side}"] = null_spread_salt(keys, spread_by, spread) if salt_ok else F.lit(0)
+    out = base.withColumns(salts)
+    picked: dict[tuple[int, int], list[Column]] = {}
+    for side in sides:
+        team, salt = f"{team_col}_{side}", f"_salt_{side}"
         for i, (lk, cols) in enumerate(lookups):
+            # an alias per join keeps names unambiguous; it vanishes in the physical plan,
+            # so both teams' joins still share one lookup shuffle
+            a = f"_lk{i}_{side}"
             cond = (
-                (F.col(league_col) == F.col(f"{_LK}league"))
-                & (F.col(team) == F.col(f"{_LK}team"))
-                & (F.col(day_col) == F.col(f"{_LK}day"))
-                & (F.col(salt) == F.col(f"{_LK}salt"))
-            )
-            names = [f"{c}_{side}" for c in cols]
-            keep = [F.col(f"`{c}`") for c in out.columns]
-            out = out.join(lk, cond, "left").select(
-                *keep, *[F.col(f"{_LK}{c}").alias(n) for c, n in zip(cols, names)]
+                (F.col(league_col) == F.col(f"{a}.{_LK}league"))
+                & (F.col(team) == F.col(f"{a}.{_LK}team"))
+                & (F.col(day_col) == F.col(f"{a}.{_LK}day"))
+                & (F.col(salt) == F.col(f"{a}.{_LK}salt"))
             )
-            added[(i, side)] = names
-    ordered = [c for c in base.columns]
+            out = out.join(lk.alias(a), cond, "left")
+            picked[(i, side)] = [F.col(f"{a}.{_LK}{c}").alias(f"{c}_{side}") for c in cols]
+    ordered = [F.col(f"`{c}`") for c in base.columns]
     for i in range(len(lookups)):
         for side in sides:
-            ordered += added[(i, side)]
-    return out.select(*[F.col(f"`{c}`") for c in ordered])
+            ordered += picked[(i, side)]
+    return out.select(*ordered)
