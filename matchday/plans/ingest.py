@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.normalize import normalize, validate_meta, validate_records
+from ..schemas import normalized_schema
 from ..sources.feed import feed_catalogue, read_feed, request_grid, skipped_seasons
 from ..sources.sinks import write_normalized
 
@@ -31,14 +32,21 @@ def normalize_seasons(
     requested-but-missing seasons as a table (the "skipped" report).
     """
     validate_records(records)
-    validate_meta(meta)
+    cols = validate_meta(meta)
     feed = read_feed(spark, feed_path, layout=layout)
     if leagues is not None and seasons is not None:
         feed = feed.filter(
             F.col("leagueShortcut").isin(list(leagues)) & F.col("leagueSeason").isin([int(s) for s in seasons])
         )
     out = normalize(feed, records=records, meta=meta, separator=separator)
-    write_normalized(out, out_root, records)
+    path = write_normalized(out, out_root, records)
     if leagues is None or seasons is None:
         return spark.createDataFrame([], "league string, season bigint")
-    return skipped_seasons(request_grid(spark, leagues, seasons), feed_catalogue(feed))
+    # every match keeps a row (outer explode), so the written table lists every season
+    # found; reading its two season columns avoids parsing the JSON a second time
+    written = spark.read.schema(normalized_schema(records, cols, separator)).parquet(path)
+    if all(c in written.columns for c in ("leagueShortcut", "leagueSeason")):
+        catalogue = feed_catalogue(written.select("leagueShortcut", "leagueSeason"))
+    else:
+        catalogue = feed_catalogue(feed)
+    return skipped_seasons(request_grid(spark, leagues, seasons), catalogue)

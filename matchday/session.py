@@ -48,17 +48,24 @@ def get_session(
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for intermediate tables.
 
-    Uses the cluster's ``spark.checkpoint.dir`` when set; only when it is unset
-    (local runs, tests) a fresh local folder is created and registered.
+    Uses the cluster's checkpoint folder (``spark.checkpoint.dir``) when set;
+    only when it is unset (local runs, tests) a fresh local folder is created
+    and registered.
     """
-    sc = spark.sparkContext
-    root = sc.getCheckpointDir()
+    root = None
+    try:
+        root = spark.sparkContext.getCheckpointDir()
+    except Exception:  # noqa: BLE001 - no SparkContext (e.g. Spark Connect)
+        pass
     if not root:
         root = spark.conf.get("spark.checkpoint.dir", None)
-        if not root:
-            root = tempfile.mkdtemp(prefix="matchday-ckpt-")
-        sc.setCheckpointDir(root)
-        root = sc.getCheckpointDir() or root
+    if not root:
+        root = tempfile.mkdtemp(prefix="matchday-ckpt-")
+        try:
+            spark.sparkContext.setCheckpointDir(root)
+            root = spark.sparkContext.getCheckpointDir() or root
+        except Exception:  # noqa: BLE001
+            spark.conf.set("spark.checkpoint.dir", root)
     return root
 
 

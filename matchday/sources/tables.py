@@ -58,7 +58,10 @@ def ensure_parallelism(df: DataFrame, key: str | None = None, min_partitions: in
     retry; a later aggregate or join on the same key reuses the partitioning)
     or round-robin when no key is given. A large input is left untouched.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= target:
+            return df
+    except Exception:  # noqa: BLE001 - sessions without RDD access (e.g. Spark Connect)
         return df
     return df.repartition(target, key) if key else df.repartition(target)
