@@ -1,6 +1,7 @@
 """Scans, sinks, lookup tables and the test-data feed."""
 
 from .feed import (
+    annotate_requests,
     available_seasons,
     catalogue_from_files,
     feed_catalogue,
@@ -13,6 +14,7 @@ from .mappers import league_mapper, read_mapper_csv, team_mapper
 from .sinks import write_feed_lines, write_normalized, write_table
 
 __all__ = [
+    "annotate_requests",
     "available_seasons",
     "catalogue_from_files",
     "feed_catalogue",

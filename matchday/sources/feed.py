@@ -81,6 +81,13 @@ def request_grid(spark: SparkSession, leagues: Sequence[str], seasons: Sequence[
     return lg.select("league", F.explode(F.array(*[F.lit(int(s)).cast("bigint") for s in seasons])).alias("season"))
 
 
+def annotate_requests(grid: DataFrame, catalogue: DataFrame) -> DataFrame:
+    """Every requested pair with ``available`` (true: processed, false: skipped)."""
+    cat = catalogue.select("league", "season").distinct().withColumn("available", F.lit(True))
+    out = grid.join(cat, ["league", "season"], "left")
+    return out.select("league", "season", F.coalesce(F.col("available"), F.lit(False)).alias("available"))
+
+
 def available_seasons(grid: DataFrame, catalogue: DataFrame) -> DataFrame:
     """Requested pairs that exist (processed)."""
     return grid.join(catalogue.select("league", "season"), ["league", "season"], "left_semi")

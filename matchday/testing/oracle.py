@@ -333,6 +333,10 @@ def oracle_sql() -> dict[str, str]:
     q["normalize_match_results"] = q["scan_records_glob"]
     q["normalize_goals"] = _goal_rows()
     q["normalize_meta_subset"] = f"{_with(M, RES)} SELECT {sub_sel}, {rec_cols} FROM res"
+    q["request_grid"] = (
+        f"{_with(M)}, {_grid_sql()} SELECT g.league, g.season, "
+        "EXISTS (SELECT 1 FROM cat c WHERE c.league = g.league AND c.season = g.season) AS available FROM grid g"
+    )
     q["available_seasons"] = (
         f"{_with(M)}, {_grid_sql()} SELECT g.league, g.season FROM grid g "
         "WHERE EXISTS (SELECT 1 FROM cat c WHERE c.league = g.league AND c.season = g.season)"

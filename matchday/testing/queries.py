@@ -26,6 +26,7 @@ from ..schemas import META_COLUMNS, PERFORMANCE_METRICS, meta_name
 from ..session import materialize, scratch_path
 from ..sources import mappers, testdata
 from ..sources.feed import (
+    annotate_requests,
     available_seasons as _available,
     feed_catalogue,
     read_feed,
@@ -92,6 +93,12 @@ def scan_records_glob(spark, sf):
     return scan_records(spark, root, "matchResults", separator=SEP)
 
 
+def request_grid_q(spark, sf):
+    """The requested leagues x seasons, each flagged available (processed) or not (skipped)."""
+    grid = request_grid(spark, REQUEST_LEAGUES, REQUEST_SEASONS)
+    return annotate_requests(grid, feed_catalogue(_feed(spark, sf)))
+
+
 def available_seasons(spark, sf):
     grid = request_grid(spark, REQUEST_LEAGUES, REQUEST_SEASONS)
     return _available(grid, feed_catalogue(_feed(spark, sf)))
@@ -303,6 +310,7 @@ def multi_poisson_deviance(spark, sf):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_match_feed": scan_match_feed,
     "scan_records_glob": scan_records_glob,
+    "request_grid": request_grid_q,
     "available_seasons": available_seasons,
     "skipped_seasons": skipped_seasons,
     "flatten_feed": flatten_feed,
