@@ -22,14 +22,18 @@ CASES = [
 ]
 
 
+def _rows():
+    return [tuple(float(v) for v in c[:4]) for c in CASES]
+
+
 def test_published_cases(spark):
-    df = spark.createDataFrame([c[:4] for c in CASES], "t1 double, t2 double, p1 double, p2 double")
+    df = spark.createDataFrame(_rows(), "t1 double, t2 double, p1 double, p2 double")
     got = [r[0] for r in df.select(tip_score("t1", "t2", "p1", "p2")).collect()]
     assert got == [c[4] for c in CASES]
 
 
 def test_mean_of_published_cases(spark):
-    df = spark.createDataFrame([c[:4] for c in CASES], "t1 double, t2 double, p1 double, p2 double")
+    df = spark.createDataFrame(_rows(), "t1 double, t2 double, p1 double, p2 double")
     row = mean_tip_score(df).collect()[0]
     assert math.isclose(row["mean_tip_score"], 1.9)
     assert row["n"] == 10
