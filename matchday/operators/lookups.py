@@ -26,29 +26,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.features import suffix_alias
-
 NULL_KEY_SPREAD = 256
 _LK = "_lk_"
 
 
-def shifted_lookup(
-    table: DataFrame,
-    columns: Sequence[str],
-    suffix: str,
-    day_col: str = "match_day",
-    offset: int = 1,
-    league_col: str = "league_id",
-    team_col: str = "team_id",
-) -> DataFrame:
-    """``table`` keyed on (league, team + suffix, day + offset), value columns suffixed."""
-    return table.select(
-        F.col(league_col),
-        (F.col(day_col) + F.lit(offset)).alias(day_col),
-        *suffix_alias([team_col, *columns], suffix),
-    )
-
-
 def null_spread_salt(keys: Sequence[str], spread_by: str, spread: int = NULL_KEY_SPREAD) -> Column:
     """0 for rows with a complete key; 1..spread (hash of ``spread_by``) for rows with a null in the key."""
     any_null = None
@@ -71,25 +52,6 @@ def zero_salt(keys: Sequence[str]) -> Column:
     return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(1)).cast("int")
 
 
-def left_lookup_join(
-    left: DataFrame,
-    right: DataFrame,
-    on: Sequence[str],
-    spread_by: str | None = "match_id",
-    spread: int = NULL_KEY_SPREAD,
-) -> DataFrame:
-    """``left LEFT JOIN right USING (on)`` with null-key rows spread over ``spread`` salts.
-
-    Output columns: all of ``left`` in their order, then the value columns of ``right``.
-    """
-    order = [*left.columns, *[c for c in right.columns if c not in on]]
-    if not spread_by or spread_by not in left.columns or spread <= 1:
-        return left.join(right, list(on), "left").select(*order)
-    l2 = left.withColumn("_null_salt", null_spread_salt(on, spread_by, spread))
-    r2 = right.withColumn("_null_salt", zero_salt(on))
-    return l2.join(r2, [*on, "_null_salt"], "left").select(*order)
-
-
 def previous_day_features(
     base: DataFrame,
     tables: Sequence[tuple[DataFrame, Sequence[str]]],

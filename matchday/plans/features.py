@@ -15,7 +15,6 @@ from ..sources.sinks import write_table
 
 STANDINGS_FEATURES = ("games", "rank")
 TARGETS = ("goals", "result_class")
-JOIN_KEYS = ("league_id", "team_id_{side}", "match_day")
 
 
 class FeatureBuilder:

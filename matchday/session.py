@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -85,14 +84,3 @@ def materialize(df, name: str):
     path = scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme so Python can look at a local path."""
-    return path[5:] if path.startswith("file:") else path
-
-
-def ensure_dir(path: str) -> None:
-    p = local_path(path)
-    if "://" not in p:
-        os.makedirs(p, exist_ok=True)

@@ -83,3 +83,18 @@ def test_conform_teams_is_broadcast(spark):
     assert "BroadcastHashJoin" in plan
     r = out.select("team_id_unique_1", "team_id_unique_2").collect()[0]
     assert tuple(r) == (66, 66)
+
+
+def test_suffix_alias_and_registry(spark):
+    from matchday.functions.features import FEATURES, register_feature, suffix_alias
+
+    df = spark.createDataFrame([(1, 2)], "a long, b long")
+    assert df.select(suffix_alias("a", "_1")).columns == ["a_1"]
+    assert df.select(*suffix_alias(["a", "b"], "_2")).columns == ["a_2", "b_2"]
+    with pytest.raises(ValueError):
+        suffix_alias(3, "_x")
+    register_feature("double_a", lambda sep=".": (F.col("a") * 2).alias("double_a"))
+    try:
+        assert df.select(*build_features(["double_a"])).collect()[0][0] == 2
+    finally:
+        FEATURES.pop("double_a")

@@ -57,3 +57,10 @@ def test_integer_inputs(spark):
     df = spark.createDataFrame([(3, 1, 2, 0), (1, 1, 2, 2)], "a long, b long, c long, d long")
     got = [r[0] for r in df.select(tip_score(F.col("a"), "b", "c", "d")).collect()]
     assert got == [2, 2]
+
+
+def test_with_tip_score_column(spark):
+    from matchday.operators.metrics import with_tip_score
+
+    df = spark.createDataFrame(_rows(), "t1 double, t2 double, p1 double, p2 double")
+    assert [r.tip_score for r in with_tip_score(df).collect()] == [c[4] for c in CASES]
