@@ -23,9 +23,16 @@ def test_every_query_has_an_oracle():
     assert set(E.queries()) == set(SQL)
 
 
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN"}
+
+
 @pytest.mark.parametrize("name", sorted(E.queries()))
 def test_query_matches_oracle(spark, con, name):
-    got = E.queries()[name](spark, SF).toPandas()
+    sdf = E.queries()[name](spark, SF)
+    rel = con.sql(SQL[name])
+    spark_types = {f.name: TYPES.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in sdf.schema}
+    assert spark_types == {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    got = sdf.toPandas()
     want = con.execute(SQL[name]).fetchdf()
     gc, gr = rows_of(got)
     wc, wr = rows_of(want)
