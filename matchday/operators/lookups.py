@@ -26,6 +26,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Least number of salts for null-key rows; the session's shuffle width is used when larger.
 NULL_KEY_SPREAD = 256
 _LK = "_lk_"
 
@@ -61,7 +62,7 @@ def previous_day_features(
     team_col: str = "team_id",
     offset: int = 1,
     spread_by: str | None = "match_id",
-    spread: int = NULL_KEY_SPREAD,
+    spread: int | None = None,
 ) -> DataFrame:
     """Left-join, for every team ``team_id_<side>`` of ``base``, the listed columns of each
     lookup table at (league, team, day - offset), named ``<column>_<side>``.
@@ -69,6 +70,11 @@ def previous_day_features(
     Output columns: ``base`` columns, then per table (in order) its columns for
     side 1, then for side 2.
     """
+    if spread is None:
+        # null-key rows never match: spread them as wide as the shuffle itself
+        from .skew import shuffle_width
+
+        spread = max(NULL_KEY_SPREAD, shuffle_width(base.sparkSession))
     salt_ok = bool(spread_by) and spread_by in base.columns and spread > 1
     lookups = []
     for table, cols in tables:

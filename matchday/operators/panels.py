@@ -75,15 +75,18 @@ def running_avg(col: str, w: WindowSpec, games: str = "games") -> Column:
 
 
 def _split(view: DataFrame, keys: Sequence[str], hot_threshold: int | None, hot: Sequence[tuple] | None = None):
-    """(rows of normal keys, rows of hot keys or None). ``hot`` skips the detection pass."""
+    """(rows of normal keys, rows of hot keys or None, segments for the hot rows).
+
+    ``hot`` (e.g. from one GROUPING SETS pass) skips the detection pass.
+    """
     if hot is None:
         if hot_threshold is None:
-            return view, None
+            return view, None, 0
         hot = hot_keys(view, keys, hot_threshold)
     if not hot:
-        return view, None
+        return view, None, 0
     is_hot = key_in(keys, hot)
-    return view.filter(~is_hot), view.filter(is_hot)
+    return view.filter(~is_hot), view.filter(is_hot), segment_count(view, getattr(hot, "rows", 0))
 
 
 def running_totals(
@@ -102,11 +105,11 @@ def running_totals(
     window task; ``None`` skips the check.
     """
     w = panel_window(keys, order)
-    cold, hot = _split(view, keys, hot_threshold, hot)
+    cold, hot, segments = _split(view, keys, hot_threshold, hot)
     out = cold.select(*carry, *[running_sum(m, w).alias(m) for m in metrics])
     if hot is None:
         return out
-    ps = prefix_sums(hot, keys, order, metrics, segment_count(view))
+    ps = prefix_sums(hot, keys, order, metrics, segments)
     return out.unionByName(ps.select(*carry, *[cum_value(m).cast("bigint").alias(m) for m in metrics]))
 
 
@@ -125,7 +128,7 @@ def table_rank(
     aggregate), ranked over those counts, and joined back.
     """
     w = Window.partitionBy(*over).orderBy(*[F.col(c).desc() for c in by])
-    cold, hot = _split(totals, over, hot_threshold, hot)
+    cold, hot, _ = _split(totals, over, hot_threshold, hot)
     out = cold.withColumn(name, F.rank().over(w).cast("bigint"))
     if hot is None:
         return out
@@ -159,7 +162,7 @@ def performance_stats(
     """Rolling sums over the last 3 and 5 games and running averages per panel."""
     keys = panel_classes(performance_class)
     w = panel_window(keys, order)
-    cold, hot = _split(view, keys, hot_threshold, hot)
+    cold, hot, segments = _split(view, keys, hot_threshold, hot)
     cols = []
     for m in metrics:
         cols += [rolling_sum(m, w, n).alias(f"{m}_last_{n}_games") for n in windows]
@@ -168,7 +171,7 @@ def performance_stats(
     if hot is None:
         return out
     needed = list(dict.fromkeys([*metrics, games]))
-    ps = prefix_sums(hot, keys, order, needed, segment_count(view))
+    ps = prefix_sums(hot, keys, order, needed, segments)
     tracked = [f"_cum_{m}" for m in metrics] + [f"_nn_{m}" for m in metrics]
     for n in windows:
         ps = lagged(ps, keys, n, tracked)

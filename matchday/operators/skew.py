@@ -34,23 +34,32 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_HOT_ROWS = 100_000
+# Rows per segment of a hot key (a few hundred MB at ~100-200 bytes per row).
+SEGMENT_ROWS = 2_000_000
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], threshold: int = DEFAULT_HOT_ROWS) -> list[tuple]:
+class HotKeys(list):
+    """The hot keys (tuples) of one key set, with ``rows``: their total row count."""
+
+    def __init__(self, keys=(), rows: int = 0):
+        super().__init__(keys)
+        self.rows = int(rows)
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], threshold: int = DEFAULT_HOT_ROWS) -> HotKeys:
     """Keys with more than ``threshold`` rows (at most rows / threshold of them)."""
     rows = (
         df.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_rows"))
         .filter(F.col("_rows") > F.lit(threshold))
-        .select(*keys)
         .collect()
     )
-    return [tuple(r) for r in rows]
+    return HotKeys([tuple(r[k] for k in keys) for r in rows], sum(r["_rows"] for r in rows))
 
 
 def hot_keys_multi(
     df: DataFrame, key_sets: Sequence[Sequence[str]], threshold: int = DEFAULT_HOT_ROWS
-) -> list[list[tuple]]:
+) -> list[HotKeys]:
     """Hot keys for several key sets in one pass (GROUPING SETS), one list per key set."""
     cols = list(dict.fromkeys(c for ks in key_sets for c in ks))
     gid_of = {}
@@ -65,10 +74,11 @@ def hot_keys_multi(
         .filter(F.col("_rows") > F.lit(threshold))
         .collect()
     )
-    out: list[list[tuple]] = [[] for _ in key_sets]
+    out = [HotKeys() for _ in key_sets]
     for r in rows:
         i = gid_of[r["_gid"]]
         out[i].append(tuple(r[c] for c in key_sets[i]))
+        out[i].rows += r["_rows"]
     return out
 
 
@@ -160,5 +170,16 @@ def cum_value(m: str) -> Column:
     return F.when(F.col(f"_nn_{m}") == 0, F.lit(None)).otherwise(F.col(f"_cum_{m}"))
 
 
-def segment_count(df: DataFrame) -> int:
-    return max(df.sparkSession.sparkContext.defaultParallelism, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+def shuffle_width(spark) -> int:
+    """The session's shuffle partition count (at least the default parallelism when known)."""
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        width = max(width, spark.sparkContext.defaultParallelism)
+    except Exception:  # noqa: BLE001 - no SparkContext (e.g. Spark Connect)
+        pass
+    return width
+
+
+def segment_count(df: DataFrame, hot_rows: int = 0) -> int:
+    """Segments for the hot rows: at least the shuffle width, more when the hot rows need it."""
+    return max(shuffle_width(df.sparkSession), -(-int(hot_rows) // SEGMENT_ROWS))

@@ -70,3 +70,12 @@ def test_standings_plan_split_equals_plain(spark):
     games = list(GAMES) + [(200 + i, 10, 1 + i % 6, None, 3000 + i, i % 3, i % 2) for i in range(40)]
     m = clean_rows(spark, games)
     assert _bag(standings(m, hot_threshold=None)) == _bag(standings(m, hot_threshold=5))
+
+
+def test_hot_rows_counted_and_segments_scale(spark, skewed):
+    from matchday.operators.skew import SEGMENT_ROWS, hot_keys, segment_count, shuffle_width
+
+    hk = hot_keys(skewed, ["league_id", "team_id"], 100)
+    assert hk.rows == 300
+    assert segment_count(skewed, hk.rows) == shuffle_width(spark)
+    assert segment_count(skewed, 50 * SEGMENT_ROWS + 1) == max(shuffle_width(spark), 51)
