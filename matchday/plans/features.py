@@ -14,6 +14,9 @@ from ..schemas import performance_columns
 from ..sources.sinks import write_table
 
 STANDINGS_FEATURES = ("games", "rank")
+GOALS_BASE_COLUMNS = (
+    "match_id", "league_id", "match_day", "team_id_1", "team_name_1", "team_id_2", "team_name_2", "home_team", "goals",
+)
 TARGETS = ("goals", "result_class")
 
 
@@ -83,6 +86,48 @@ class FeatureBuilder:
         """The 21 form statistics of both teams after the previous match day."""
         return self._add_previous_day_steps(base, [("overall_performance", performance)])
 
+    def _goals_features_by_match(self, matches: DataFrame, steps: list[tuple[str, DataFrame | str]]) -> DataFrame:
+        """Goals base view with previous-day steps, joined once per match instead of once per row.
+
+        Both rows of a match need the same two lookups (home and away team), only
+        swapped: the joins run on the N match rows, then one Generate emits the two
+        oriented rows. Duplicate lookup keys fan out to the same rows as joining
+        each oriented row.
+        """
+        m = matches.select(
+            "match_id", "league_id", "match_day", "team_id_1", "team_name_1", "team_id_2", "team_name_2",
+            "goals_team_1", "goals_team_2",
+        )
+        tables = [(self._table(t), self.PREVIOUS_DAY_STEPS[n]) for n, t in steps]
+        joined = previous_day_features(m, tables)
+
+        def orient(home: bool):
+            a, b = (1, 2) if home else (2, 1)
+            fields = [
+                F.col(f"team_id_{a}").alias("team_id_1"),
+                F.col(f"team_name_{a}").alias("team_name_1"),
+                F.col(f"team_id_{b}").alias("team_id_2"),
+                F.col(f"team_name_{b}").alias("team_name_2"),
+                F.lit(1 if home else 0).cast("int").alias("home_team"),
+                F.col(f"goals_team_{a}").cast("bigint").alias("goals"),
+            ]
+            for name, _ in steps:
+                cols = self.PREVIOUS_DAY_STEPS[name]
+                fields += [F.col(f"{c}_{a}").alias(f"{c}_1") for c in cols]
+                fields += [F.col(f"{c}_{b}").alias(f"{c}_2") for c in cols]
+            return F.struct(*fields)
+
+        out = joined.select("match_id", "league_id", "match_day", F.inline(F.array(orient(True), orient(False))))
+        for name, _ in steps:
+            out = self._finish_step(name, out)
+        ordered = list(GOALS_BASE_COLUMNS)
+        for name, _ in steps:
+            cols = self.PREVIOUS_DAY_STEPS[name]
+            ordered += [f"{c}_1" for c in cols] + [f"{c}_2" for c in cols]
+            if name == "overall_standings":
+                ordered.append("rank_diff")
+        return out.select(*ordered)
+
     # --- entry point --------------------------------------------------------
     def get_features(
         self,
@@ -91,21 +136,27 @@ class FeatureBuilder:
         target: str = "goals",
         output_path: str | None = None,
     ) -> DataFrame:
+        if target not in TARGETS:
+            raise NotImplementedError(f"target must be one of {list(TARGETS)}")
         matches = self.load_match_results(match_results)
-        if target == "goals":
+        steps = list(features.items())
+        lead = 0
+        while lead < len(steps) and steps[lead][0] in self.PREVIOUS_DAY_STEPS and not self._overridden(steps[lead][0]):
+            lead += 1
+        if target == "goals" and lead and not self._overridden_view("goals_base_view"):
+            base = self._goals_features_by_match(matches, steps[:lead])
+            steps = steps[lead:]
+        elif target == "goals":
             base = self.goals_base_view(matches)
-        elif target == "result_class":
-            base = self.result_class_base_view(matches)
         else:
-            raise NotImplementedError(f"target must be one of {list(TARGETS)}")
-        steps = list(features.items())
+            base = self.result_class_base_view(matches)
         i = 0
         while i < len(steps):
             name = steps[i][0]
             if name in self.PREVIOUS_DAY_STEPS and not self._overridden(name):
                 # consecutive previous-day steps share their joins
                 j = i
-                while j < len(steps) and steps[j][0] in self.PREVIOUS_DAY_STEPS:
+                while j < len(steps) and steps[j][0] in self.PREVIOUS_DAY_STEPS and not self._overridden(steps[j][0]):
                     j += 1
                 base = self._add_previous_day_steps(base, steps[i:j])
                 i = j
@@ -119,3 +170,6 @@ class FeatureBuilder:
         if output_path:
             write_table(base, output_path)
         return base
+
+    def _overridden_view(self, name: str) -> bool:
+        return getattr(type(self), name, None) is not getattr(FeatureBuilder, name, None)
