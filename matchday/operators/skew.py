@@ -18,8 +18,9 @@ Distributed running statistics for hot keys (all exact):
    a contiguous, bounded run of one key's ordered rows;
 2. running sums inside each segment (window over (segment, key): bounded);
 3. segment totals (one row per segment and key) and, over those, the totals of
-   all earlier segments of the key: a table of at most ``segments x hot keys``
-   rows, broadcast back as offsets;
+   all earlier segments of the key. Each key covers a contiguous run of
+   segments, so this table has at most ``segments + hot keys`` rows; it is
+   broadcast back as offsets;
 4. running value = in-segment value + offset; row number likewise;
 5. a sum over the last k rows is ``cum(i) - cum(i - k)``: an equi join of the
    hot rows with themselves on (key, row number), whose keys are unique.
@@ -135,7 +136,7 @@ def prefix_sums(
         *[off(f"_tcum_{m}").alias(f"_ocum_{m}") for m in metrics],
         *[off(f"_tnn_{m}").alias(f"_onn_{m}") for m in metrics],
     )
-    # bounded by segments x hot keys rows: safe to broadcast
+    # at most segments + hot keys rows (each key spans a contiguous run of segments)
     offsets = F.broadcast(offsets)
     cond = (local["_seg"] == offsets["_seg"]) & _null_safe_on(local, offsets, keys)
     joined = local.join(offsets, cond, "inner")

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from ..operators.conform import clean, conform_leagues, conform_teams
 from ..operators.metrics import mean_poisson_deviance, mean_tip_score
-from ..operators.normalize import flatten, normalize, seasons_without_records
+from ..operators.normalize import flatten, normalize
+from ..operators.normalize import seasons_without_records as _seasons_without_records
 from ..operators.panels import STANDINGS_KEYS, running_totals
 from ..operators.sampling import half_sample
 from ..operators.views import goals_base_view, load_match_results, result_class_base_view, team_view
@@ -127,9 +128,7 @@ def normalize_meta_subset(spark, sf):
 
 
 def seasons_without_records(spark, sf):
-    from ..operators.normalize import seasons_without_records as op
-
-    return op(_feed(spark, sf), "matchResults")
+    return _seasons_without_records(_feed(spark, sf), "matchResults")
 
 
 def filter_excluded_leagues(spark, sf):
