@@ -1,6 +1,6 @@
 """Table operators (DataFrame -> DataFrame)."""
 
-from .conform import checked_broadcast, clean, conform_leagues, conform_teams
+from .conform import checked_broadcast, clean, conform_leagues, conform_teams, unmapped_teams
 from .lookups import null_spread_salt, previous_day_features
 from .metrics import mean_poisson_deviance, mean_tip_score, with_tip_score
 from .normalize import flatten, normalize, seasons_without_records, validate_meta, validate_records
@@ -41,6 +41,7 @@ __all__ = [
     "table_rank",
     "team_side_view",
     "team_view",
+    "unmapped_teams",
     "validate_meta",
     "validate_records",
     "with_tip_score",

@@ -63,6 +63,29 @@ def conform_teams(
     return out
 
 
+def unmapped_teams(
+    records: DataFrame, team_mapper: DataFrame, separator: str = ".", broadcast: bool = True
+) -> DataFrame:
+    """Raw team ids of the feed (either side) that the team mapper does not know, with
+    their number of record rows: the teams that end up with a null conformed id.
+
+    Both sides are unpivoted by one Generate and pre-aggregated per raw id
+    (partial aggregate) before the anti join with the mapper.
+    """
+    side = lambda n: F.struct(
+        F.col(f"`team{n}{separator}teamId`").alias("team_id_raw"),
+        F.col(f"`team{n}{separator}teamName`").alias("team_name"),
+    )
+    ids = records.select(F.inline(F.array(side(1), side(2)))).filter(F.col("team_id_raw").isNotNull())
+    counts = ids.groupBy("team_id_raw").agg(
+        F.min("team_name").alias("team_name"), F.count(F.lit(1)).alias("n_rows")
+    )
+    tm = team_mapper.select("team_id_raw")
+    if broadcast:
+        tm = checked_broadcast(tm, known_rows=row_bound(team_mapper))
+    return counts.join(tm, "team_id_raw", "left_anti")
+
+
 def clean(
     records: DataFrame,
     league_mapper: DataFrame,

@@ -361,6 +361,13 @@ def oracle_sql() -> dict[str, str]:
         "t1.team_id_unique AS team_id_unique_1, t2.team_id_unique AS team_id_unique_2 FROM res r "
         "LEFT JOIN tm t1 ON r.team1_teamId = t1.team_id_raw LEFT JOIN tm t2 ON r.team2_teamId = t2.team_id_raw"
     )
+    q["unmapped_teams"] = (
+        f"{_with(M, RES, TM)} SELECT s.team_id_raw, MIN(s.team_name) AS team_name, COUNT(*) AS n_rows FROM ("
+        "SELECT team1_teamId AS team_id_raw, team1_teamName AS team_name FROM res "
+        "UNION ALL SELECT team2_teamId, team2_teamName FROM res) s "
+        "WHERE s.team_id_raw IS NOT NULL AND s.team_id_raw NOT IN (SELECT team_id_raw FROM tm) "
+        "GROUP BY s.team_id_raw"
+    )
     q["clean_matches"] = f"{_with(M, RES, LM, TM)} {_clean_sql()}"
     q["clean_feature_subset"] = f"{_with(M, RES, LM, TM)} {_clean_sql(FEATURE_SUBSET)}"
     q["goals_features"] = (

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.conform import clean, conform_leagues, conform_teams
+from ..operators.conform import clean, conform_leagues, conform_teams, unmapped_teams
 from ..operators.metrics import mean_poisson_deviance, mean_tip_score
 from ..operators.normalize import flatten, normalize
 from ..operators.normalize import seasons_without_records as _seasons_without_records
@@ -146,6 +146,10 @@ def conform_teams_q(spark, sf):
     return out.select("matchID", "resultID", "team1_teamId", "team2_teamId", "team_id_unique_1", "team_id_unique_2")
 
 
+def unmapped_teams_q(spark, sf):
+    return unmapped_teams(_records(spark, sf), testdata.team_mapper(spark), separator=SEP)
+
+
 def clean_matches(spark, sf):
     return _clean(spark, sf)
 
@@ -320,6 +324,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "filter_excluded_leagues": filter_excluded_leagues,
     "conform_leagues": conform_leagues_q,
     "conform_teams": conform_teams_q,
+    "unmapped_teams": unmapped_teams_q,
     "clean_matches": clean_matches,
     "clean_feature_subset": clean_feature_subset,
     "goals_features": goals_features,
