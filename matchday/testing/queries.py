@@ -22,7 +22,7 @@ from ..operators.views import goals_base_view, load_match_results, result_class_
 from ..functions.predicates import not_excluded_league
 from ..functions.scoring import tip_score
 from ..plans.features import FeatureBuilder
-from ..plans.tables import performance, standings
+from ..plans.tables import hot_team_keys, performance, standings
 from ..schemas import META_COLUMNS, PERFORMANCE_METRICS, meta_name
 from ..session import materialize, scratch_path
 from ..sources import mappers, testdata
@@ -253,7 +253,12 @@ def performance_home_away(spark, sf):
 # --- features -----------------------------------------------------------------
 def _features(spark, sf, steps: tuple[str, ...], target: str) -> DataFrame:
     cm = _clean_table(spark, sf)
-    tables = {"overall_standings": lambda: standings(cm), "overall_performance": lambda: performance(cm)}
+    # one hot-key pass serves both tables (same team view)
+    panel_hot, day_hot = hot_team_keys(cm)
+    tables = {
+        "overall_standings": lambda: standings(cm, hot=(panel_hot, day_hot)),
+        "overall_performance": lambda: performance(cm, hot=panel_hot),
+    }
     fb = FeatureBuilder(spark)
     return fb.get_features(cm, {s: tables[s]() for s in steps}, target=target)
 
