@@ -43,9 +43,10 @@ def league_name(sep: str = ".") -> Column:
     return F.col("league_name_unique").alias("league_name")
 
 
-# The feed's league name ends in " YYYY/YYYY" (10 characters).
-SEASON_SUFFIX_LEN = 10
-SEASON_NAME_LEN = 9
+# --- fixed values: the feed's league name ends in " YYYY/YYYY" -----------------
+SEASON_SUFFIX_LEN = 10  # characters dropped for the raw league name
+SEASON_NAME_LEN = 9  # characters kept for the season name
+# -----------------------------------------------------------------------------
 
 
 def league_name_raw(sep: str = ".") -> Column:
@@ -131,7 +132,7 @@ FEATURES: dict[str, Callable[[str], Column]] = {
     "team_name_2": team_name_2,
 }
 
-# Columns of the clean match table, in order.
+# --- fixed values: columns of the clean match table, in order ----------------
 DEFAULT_FEATURES: tuple[str, ...] = (
     "match_id",
     "league_id",
@@ -151,6 +152,7 @@ DEFAULT_FEATURES: tuple[str, ...] = (
     "points_team_1",
     "points_team_2",
 )
+# -----------------------------------------------------------------------------
 
 
 def register_feature(name: str, factory: Callable[[str], Column]) -> None:

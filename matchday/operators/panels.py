@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ..schemas import PANEL_METRICS, PERFORMANCE_METRICS
 from .skew import DEFAULT_HOT_ROWS, cum_value, hot_keys, key_in, lagged, prefix_sums, segment_count
 
+# --- fixed values: performance classes and their panel keys; rank order --------
 PERFORMANCE_CLASSES: dict[str, tuple[str, ...]] = {
     "overall": ("league_id", "team_id"),
     "home_away": ("league_id", "team_id", "home_team"),
@@ -24,6 +25,7 @@ PERFORMANCE_CLASSES: dict[str, tuple[str, ...]] = {
 PANEL_ORDER: tuple[str, ...] = ("match_day", "match_id")
 RANK_BY: tuple[str, ...] = ("points", "goals_diff", "goals_scored")
 RANK_OVER: tuple[str, ...] = ("league_id", "match_day")
+# -----------------------------------------------------------------------------
 STANDINGS_KEYS: tuple[str, ...] = (
     "league_id",
     "league_name",

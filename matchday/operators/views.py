@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 from ..functions.predicates import final_results
 from .sampling import half_sample_flag
 
+# --- fixed values: team-view classes -------------------------------------------
 TEAM_VIEW_CLASSES = ("overall", "home", "away")
+# -----------------------------------------------------------------------------
 
 
 def _i(v: int) -> Column:

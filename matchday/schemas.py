@@ -160,7 +160,8 @@ TEAM_MAPPER_SCHEMA = T.StructType(
     ]
 )
 
-# Metrics summed along a team's panel, in output order.
+# --- fixed values: table metrics, in output order -----------------------------
+# Metrics summed along a team's panel (standings).
 PANEL_METRICS: tuple[str, ...] = (
     "games",
     "wins",
@@ -181,6 +182,7 @@ PERFORMANCE_METRICS: tuple[str, ...] = (
     "goals_conceded",
     "goals_diff",
 )
+# -----------------------------------------------------------------------------
 
 
 def performance_columns() -> list[str]:
