@@ -331,6 +331,7 @@ def oracle_sql() -> dict[str, str]:
     q["flatten_feed"] = q["scan_match_feed"]
     q["scan_records_glob"] = f"{_with(M, RES)} SELECT * FROM res"
     q["normalize_match_results"] = q["scan_records_glob"]
+    q["stream_match_results"] = q["scan_records_glob"]
     q["normalize_goals"] = _goal_rows()
     q["normalize_meta_subset"] = f"{_with(M, RES)} SELECT {sub_sel}, {rec_cols} FROM res"
     q["request_grid"] = (

@@ -100,6 +100,22 @@ def request_grid_q(spark, sf):
     return annotate_requests(grid, feed_catalogue(_feed(spark, sf)))
 
 
+def stream_match_results(spark, sf):
+    """Streaming ingest: feed files landed as JSON Lines, normalised by an availableNow query."""
+    from ..streaming import normalize_stream
+
+    landing = scratch_path(spark, "landing")
+    out_root = scratch_path(spark, "streamed")
+    write_feed_lines(_feed(spark, sf), landing)
+    q = normalize_stream(
+        spark, landing, out_root, separator=SEP, layout="lines", checkpoint=scratch_path(spark, "stream-ckpt")
+    )
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(f"streaming ingest failed: {q.exception()}")
+    return scan_records(spark, out_root, "matchResults", separator=SEP)
+
+
 def available_seasons(spark, sf):
     grid = request_grid(spark, REQUEST_LEAGUES, REQUEST_SEASONS)
     return _available(grid, feed_catalogue(_feed(spark, sf)))
@@ -318,6 +334,7 @@ def multi_poisson_deviance(spark, sf):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_match_feed": scan_match_feed,
     "scan_records_glob": scan_records_glob,
+    "stream_match_results": stream_match_results,
     "request_grid": request_grid_q,
     "available_seasons": available_seasons,
     "skipped_seasons": skipped_seasons,
