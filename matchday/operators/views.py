@@ -22,46 +22,43 @@ def _i(v: int) -> Column:
     return F.lit(v).cast("int")
 
 
-def _flag(cond: Column) -> Column:
-    return F.when(cond, _i(1)).otherwise(_i(0))
+def _side(team: int, active: bool) -> str:
+    """One side of a match, seen from that team, as a SQL struct expression.
 
-
-def _side(team: int, active: bool) -> Column:
-    """One side of a match, seen from that team."""
-    rc = F.col("result_class")
+    Written as one ``named_struct`` text so it is parsed once on the JVM.
+    """
     me, other = (1, 2) if team == 1 else (2, 1)
     win, loss = (1, -1) if team == 1 else (-1, 1)
     fields = [
-        F.col(f"team_id_{me}").alias("team_id"),
-        F.col(f"team_name_{me}").alias("team_name"),
-        _i(1 if team == 1 else 0).alias("home_team"),
+        f"'team_id', team_id_{me}",
+        f"'team_name', team_name_{me}",
+        f"'home_team', CAST({1 if team == 1 else 0} AS INT)",
     ]
     if active:
-        diff = F.col("goals_diff") if team == 1 else -F.col("goals_diff")
+        diff = "goals_diff" if team == 1 else "-goals_diff"
         fields += [
-            _i(1).alias("games"),
-            _flag(rc == win).alias("wins"),
-            _flag(rc == 0).alias("draws"),
-            _flag(rc == loss).alias("losses"),
-            F.col(f"goals_team_{me}").cast("bigint").alias("goals_scored"),
-            F.col(f"goals_team_{other}").cast("bigint").alias("goals_conceded"),
-            diff.cast("bigint").alias("goals_diff"),
-            F.col(f"points_team_{me}").cast("int").alias("points"),
+            "'games', CAST(1 AS INT)",
+            f"'wins', CAST(CASE WHEN result_class = {win} THEN 1 ELSE 0 END AS INT)",
+            "'draws', CAST(CASE WHEN result_class = 0 THEN 1 ELSE 0 END AS INT)",
+            f"'losses', CAST(CASE WHEN result_class = {loss} THEN 1 ELSE 0 END AS INT)",
+            f"'goals_scored', CAST(goals_team_{me} AS BIGINT)",
+            f"'goals_conceded', CAST(goals_team_{other} AS BIGINT)",
+            f"'goals_diff', CAST({diff} AS BIGINT)",
+            f"'points', CAST(points_team_{me} AS INT)",
         ]
     else:
         # the side that does not count still yields a row, with every KPI 0
-        zero_l = F.lit(0).cast("bigint")
         fields += [
-            _i(0).alias("games"),
-            _i(0).alias("wins"),
-            _i(0).alias("draws"),
-            _i(0).alias("losses"),
-            zero_l.alias("goals_scored"),
-            zero_l.alias("goals_conceded"),
-            zero_l.alias("goals_diff"),
-            _i(0).alias("points"),
+            "'games', CAST(0 AS INT)",
+            "'wins', CAST(0 AS INT)",
+            "'draws', CAST(0 AS INT)",
+            "'losses', CAST(0 AS INT)",
+            "'goals_scored', CAST(0 AS BIGINT)",
+            "'goals_conceded', CAST(0 AS BIGINT)",
+            "'goals_diff', CAST(0 AS BIGINT)",
+            "'points', CAST(0 AS INT)",
         ]
-    return F.struct(*fields)
+    return f"named_struct({', '.join(fields)})"
 
 
 def _check_view_args(team: int | None, standings_class: str) -> None:
@@ -81,7 +78,7 @@ _VIEW_KEYS = ("match_id", "league_id", "league_name", "season_name", "match_day"
 def team_side_view(matches: DataFrame, team: int, standings_class: str = "overall") -> DataFrame:
     """One side's rows (16 columns). Prefer :func:`team_view`, which does both in one pass."""
     _check_view_args(team, standings_class)
-    return matches.select(*_VIEW_KEYS, F.inline(F.array(_side(team, _active(team, standings_class)))))
+    return matches.selectExpr(*_VIEW_KEYS, f"inline(array({_side(team, _active(team, standings_class))}))")
 
 
 def team_view(matches: DataFrame, standings_class: str = "overall") -> DataFrame:
@@ -91,8 +88,8 @@ def team_view(matches: DataFrame, standings_class: str = "overall") -> DataFrame
     give the other side a row of zeros.
     """
     _check_view_args(None, standings_class)
-    sides = F.array(_side(1, _active(1, standings_class)), _side(2, _active(2, standings_class)))
-    return matches.select(*_VIEW_KEYS, F.inline(sides))
+    s1, s2 = _side(1, _active(1, standings_class)), _side(2, _active(2, standings_class))
+    return matches.selectExpr(*_VIEW_KEYS, f"inline(array({s1}, {s2}))")
 
 
 def load_match_results(matches: DataFrame, **filter_args) -> DataFrame:
@@ -103,18 +100,15 @@ def load_match_results(matches: DataFrame, **filter_args) -> DataFrame:
 def goals_base_view(matches: DataFrame) -> DataFrame:
     """Two rows per match with the goals of ``team_id_1`` as target: as is, and sides swapped."""
 
-    def side(home: bool) -> Column:
+    def side(home: bool) -> str:
         a, b = (1, 2) if home else (2, 1)
-        return F.struct(
-            F.col(f"team_id_{a}").alias("team_id_1"),
-            F.col(f"team_name_{a}").alias("team_name_1"),
-            F.col(f"team_id_{b}").alias("team_id_2"),
-            F.col(f"team_name_{b}").alias("team_name_2"),
-            _i(1 if home else 0).alias("home_team"),
-            F.col(f"goals_team_{a}").cast("bigint").alias("goals"),
+        return (
+            f"named_struct('team_id_1', team_id_{a}, 'team_name_1', team_name_{a}, "
+            f"'team_id_2', team_id_{b}, 'team_name_2', team_name_{b}, "
+            f"'home_team', CAST({1 if home else 0} AS INT), 'goals', CAST(goals_team_{a} AS BIGINT))"
         )
 
-    return matches.select("match_id", "league_id", "match_day", F.inline(F.array(side(True), side(False))))
+    return matches.selectExpr("match_id", "league_id", "match_day", f"inline(array({side(True)}, {side(False)}))")
 
 
 def result_class_base_view(
