@@ -14,9 +14,11 @@ SEASON_PARTITIONS: tuple[str, ...] = ("leagueShortcut", "leagueSeason")
 def write_table(
     df: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] | None = None
 ) -> None:
+    """Write Parquet. A partitioned overwrite replaces only the partitions present in ``df``
+    (dynamic partition overwrite), so other seasons already written stay untouched."""
     w = df.write.mode(mode)
     if partition_by:
-        w = w.partitionBy(*partition_by)
+        w = w.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
     w.parquet(path)
 
 
@@ -29,8 +31,9 @@ def write_normalized(
 ) -> str:
     """Write a normalised record table below ``root/records``, one directory per league season.
 
-    Partitioning is skipped when the meta projection left the season columns out.
-    Returns the written path.
+    Re-running for some seasons replaces just those seasons' directories, like
+    rewriting one file per season. Partitioning is skipped when the meta
+    projection left the season columns out. Returns the written path.
     """
     validate_records(records)
     path = f"{root.rstrip('/')}/{records}"

@@ -134,3 +134,16 @@ def test_partitioned_write_and_scan(spark, tmp_dir):
     assert back.columns == normalize(feed).columns
     assert back.count() == 3
     assert back.schema["leagueSeason"].dataType.simpleString() == "bigint"
+
+
+def test_rewriting_a_season_keeps_the_others(spark, tmp_dir):
+    root = os.path.join(tmp_dir, "normalized")
+    a = read_feed(spark, _write(tmp_dir, "bl1_2022.json", [_match(1, [FINAL], leagueSeason=2022)]))
+    write_normalized(normalize(a), root, "matchResults")
+    b = read_feed(spark, _write(tmp_dir, "bl1_2023.json", [_match(2, [FINAL, HALF])]))
+    write_normalized(normalize(b), root, "matchResults")
+    b2 = read_feed(spark, _write(tmp_dir, "bl1_2023.json", [_match(3, [FINAL])]))
+    write_normalized(normalize(b2), root, "matchResults")  # 2023 again: replaced, 2022 kept
+    back = scan_records(spark, root, "matchResults")
+    assert sorted((r.leagueSeason, r.matchID) for r in back.select("leagueSeason", "matchID").collect()) == [
+        (2022, 1), (2023, 3)]
