@@ -9,7 +9,14 @@ from pyspark.sql import functions as F
 
 from ..operators.normalize import normalize, validate_meta, validate_records
 from ..schemas import normalized_schema
-from ..sources.feed import feed_catalogue, read_feed, request_grid, skipped_seasons
+from ..sources.feed import (
+    available_seasons,
+    catalogue_from_files,
+    feed_catalogue,
+    read_feed,
+    request_grid,
+    skipped_seasons,
+)
 from ..sources.sinks import write_normalized
 
 
@@ -26,21 +33,39 @@ def normalize_seasons(
 ) -> DataFrame:
     """Normalise the requested league seasons found under ``feed_path``.
 
-    All seasons are read by one scan and written by one partitioned write
-    (``out_root/records/leagueShortcut=../leagueSeason=..``). The requested
-    grid is a filter on the scan (no join with the data). Returns the
-    requested-but-missing seasons as a table (the "skipped" report).
+    With the feed's file layout (``layout="array"``, files named
+    ``{league}_{season}.json``) a season is available when its file exists:
+    file names are listed (no content is read), the request grid is matched
+    against them, and only the matching files are read, whole. Other layouts
+    are read completely and filtered on the league and season fields.
+
+    All selected seasons are normalised by one scan and written by one
+    partitioned write (``out_root/records/leagueShortcut=../leagueSeason=..``,
+    replacing only those seasons). Returns the requested-but-missing seasons
+    (the "skipped" report).
     """
     validate_records(records)
     cols = validate_meta(meta)
+    requested = leagues is not None and seasons is not None
+    grid = request_grid(spark, leagues, seasons) if requested else None
+    if requested and layout == "array":
+        catalogue = catalogue_from_files(spark, feed_path)
+        # bounded by the caller's leagues x seasons lists
+        found = available_seasons(grid, catalogue).collect()
+        if not found:
+            return skipped_seasons(grid, catalogue)
+        base = feed_path.rstrip("/")
+        feed = read_feed(spark, [f"{base}/{r['league']}_{r['season']}.json" for r in found], layout=layout)
+        write_normalized(normalize(feed, records=records, meta=meta, separator=separator), out_root, records)
+        return skipped_seasons(grid, catalogue)
     feed = read_feed(spark, feed_path, layout=layout)
-    if leagues is not None and seasons is not None:
+    if requested:
         feed = feed.filter(
             F.col("leagueShortcut").isin(list(leagues)) & F.col("leagueSeason").isin([int(s) for s in seasons])
         )
     out = normalize(feed, records=records, meta=meta, separator=separator)
     path = write_normalized(out, out_root, records)
-    if leagues is None or seasons is None:
+    if not requested:
         return spark.createDataFrame([], "league string, season bigint")
     # every match keeps a row (outer explode), so the written table lists every season
     # found; reading its two season columns avoids parsing the JSON a second time
@@ -49,4 +74,4 @@ def normalize_seasons(
         catalogue = feed_catalogue(written.select("leagueShortcut", "leagueSeason"))
     else:
         catalogue = feed_catalogue(feed)
-    return skipped_seasons(request_grid(spark, leagues, seasons), catalogue)
+    return skipped_seasons(grid, catalogue)

@@ -63,3 +63,17 @@ def test_file_workflow(spark, tmp_dir):
     r = written.filter("match_day = 2 AND team_id_1 = 9").collect()[0]
     # team 9 drew on day 1 (rank 2 behind team 40's win), team 7 lost (rank 4)
     assert (r.games_1, r.rank_1, r.games_2, r.rank_2, r.rank_diff) == (1, 2, 1, 4, -2)
+
+
+def test_only_requested_season_files_are_read(spark, tmp_dir):
+    feed_dir = os.path.join(tmp_dir, "feed")
+    os.makedirs(feed_dir)
+    _write(feed_dir, "bl1_2023.json", [_match(1, [FINAL])])
+    # an unrequested season file that is not even valid JSON: it must never be parsed
+    with open(os.path.join(feed_dir, "bl1_2021.json"), "w", encoding="utf-8") as f:
+        f.write("{ not json")
+    out = os.path.join(tmp_dir, "data")
+    skipped = normalize_seasons(spark, feed_dir, out, leagues=["bl1"], seasons=[2023, 2024])
+    assert sorted(map(tuple, skipped.collect())) == [("bl1", 2024)]
+    back = spark.read.parquet(os.path.join(out, "matchResults"))
+    assert back.count() == 1
