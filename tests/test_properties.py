@@ -113,3 +113,49 @@ def test_half_sample_equals_global_ranking(spark, ids, seed):
     keyed = sorted((hashlib.md5(f"{seed}{i}".encode()).hexdigest(), i) for i in ids)
     chosen = {i for _, i in keyed[: len(ids) // 2]}
     assert got == sorted(i for i in ids if i in chosen)
+
+
+games_st = st.lists(
+    st.tuples(st.integers(1, 2), st.integers(1, 6), st.integers(1, 5), st.integers(1, 5), st.integers(0, 4),
+              st.integers(0, 4)),
+    min_size=1,
+    max_size=40,
+)
+
+
+@SETTINGS
+@given(games_st)
+def test_standings_invariants(spark, games):
+    from collections import defaultdict
+
+    from helpers import clean_rows
+    from matchday.plans.tables import standings
+
+    rows = [(i, lg, day, t1, t2 if t2 != t1 else t1 + 5, g1, g2) for i, (lg, day, t1, t2, g1, g2) in enumerate(games)]
+    m = clean_rows(spark, rows)
+    cols = ("games", "wins", "draws", "losses", "goals_scored", "goals_conceded", "goals_diff", "points")
+
+    def per_panel(cls):
+        sums = defaultdict(lambda: [0] * len(cols))
+        out = standings(m, cls).collect()
+        for r in out:
+            acc = sums[(r.league_id, r.team_id)]
+            for i, c in enumerate(cols):
+                acc[i] += r[c]
+        return out, sums
+
+    o, so = per_panel("overall")
+    _, sh = per_panel("home")
+    _, sa = per_panel("away")
+    assert len(o) == 2 * len(rows)
+    # the three views have the same rows in the same panel order, and per game overall =
+    # home + away, so the running totals add up panel by panel
+    assert so.keys() == sh.keys() == sa.keys()
+    for k in so:
+        assert so[k] == [x + y for x, y in zip(sh[k], sa[k])]
+    assert all(r.games == r.wins + r.draws + r.losses for r in o)
+    per_day = defaultdict(list)
+    for r in o:
+        per_day[(r.league_id, r.match_day)].append(r["rank"])
+    assert all(1 <= x <= len(v) for v in per_day.values() for x in v)
+    assert all(min(v) == 1 for v in per_day.values())
