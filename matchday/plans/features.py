@@ -27,6 +27,9 @@ class FeatureBuilder:
     path); each step ``name`` is the method ``add_<name>``. Steps run in the
     given order; unknown names are reported and skipped. Extend by subclassing
     and adding ``add_<name>(base, table) -> DataFrame`` methods.
+
+    ``get_features(matches, features, target, output_path)`` also accepts the
+    positional order ``(matches, output_path, features, target)``.
     """
 
     def __init__(self, spark: SparkSession | None = None, seed: str = ""):
@@ -139,6 +142,10 @@ class FeatureBuilder:
         target: str = "goals",
         output_path: str | None = None,
     ) -> DataFrame:
+        if isinstance(features, str) and isinstance(target, Mapping):
+            # positional order (match results, result path, features, target): the path is
+            # where the feature table is written
+            features, target, output_path = target, (output_path or "goals"), features
         if target not in TARGETS:
             raise NotImplementedError(f"target must be one of {list(TARGETS)}")
         matches = self.load_match_results(match_results)

@@ -77,3 +77,15 @@ def test_only_requested_season_files_are_read(spark, tmp_dir):
     assert sorted(map(tuple, skipped.collect())) == [("bl1", 2024)]
     back = spark.read.parquet(os.path.join(out, "matchResults"))
     assert back.count() == 1
+
+
+def test_positional_result_path_order(spark, tmp_dir):
+    from helpers import clean_rows
+    from matchday.plans.tables import standings
+    from test_tables import GAMES
+
+    m = clean_rows(spark, GAMES)
+    out = os.path.join(tmp_dir, "feat")
+    got = FeatureBuilder(spark).get_features(m, out, {"overall_standings": standings(m)}, "result_class")
+    assert got.count() == len(GAMES) and "rank_diff" in got.columns
+    assert spark.read.parquet(out).count() == len(GAMES)
