@@ -45,33 +45,27 @@ def get_session(
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """Shared folder for intermediate tables.
+    """Folder for intermediate tables that the driver and all executors share.
 
-    Uses the cluster's checkpoint folder (``spark.checkpoint.dir``) when set;
-    only when it is unset (local runs, tests) a fresh local folder is created
-    and registered.
+    It is the cluster's checkpoint folder (``spark.checkpoint.dir``). Where that is unset, a local session (one machine) gets
+    a temporary folder; on a cluster each machine would write to its own disk, so there it is an error.
     """
-    root = None
-    try:
-        root = spark.sparkContext.getCheckpointDir()
-    except Exception:  # noqa: BLE001 - no SparkContext (e.g. Spark Connect)
-        pass
-    if not root:
-        root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="matchday-ckpt-")
-        try:
-            spark.sparkContext.setCheckpointDir(root)
-            root = spark.sparkContext.getCheckpointDir() or root
-        except Exception:  # noqa: BLE001
-            spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    sc = spark.sparkContext
+    root = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if root:
+        return root
+    if not sc.master.startswith("local[") and sc.master != "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="matchday-ckpt-"))
+    return sc.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new, unique path below the checkpoint root."""
-    root = checkpoint_root(spark).rstrip("/")
-    return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
+    """A new, unique path below the checkpoint root; whatever is written there goes when the session's JVM ends."""
+    path = f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    there = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    there.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(there)
+    return path
 
 
 def materialize(df, name: str):

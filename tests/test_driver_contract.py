@@ -14,7 +14,7 @@ from pyspark.sql import SparkSession
 spark = (SparkSession.builder.master("local[2]").config("spark.sql.shuffle.partitions", "4")
          .config("spark.ui.enabled", "false").getOrCreate())
 import __spark_entry__ as E
-out = {"entry_rows": E.entry(spark).count(), "n_queries": len(E.queries()), "n_sql": len(E.oracle_sql())}
+out = {"entry_rows": E.entry(spark).count(), "n_queries": len(E._queries.QUERIES), "n_sql": len(E._oracle.oracle_sql())}
 out["features_rows"] = E.queries()["features_goals"](spark, "/root/testdata/sf0.001").count()
 spark.stop()
 print(json.dumps(out))
