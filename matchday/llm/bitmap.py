@@ -10,6 +10,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,8 +32,8 @@ def bits_for(n: int) -> int:
     return min(MAX_BITS, max(16, math.ceil(math.log2(16 * max(n, 1)))))
 
 
-def bitmap(hashes: DataFrame, column: str, n: int) -> Bitmap:
-    """Bitmap of a column of well mixed 64-bit hashes; ``n``: how many there are, about."""
+def bitmap(hashes: DataFrame, column: str, n: int) -> Broadcast:
+    """Broadcast bitmap of a column of well mixed 64-bit hashes; ``n``: how many there are, about."""
     bits = bits_for(n)
     low = F.col(column).bitwiseAND(F.lit((1 << bits) - 1))
     rows = (
@@ -44,4 +45,4 @@ def bitmap(hashes: DataFrame, column: str, n: int) -> Bitmap:
     )
     words = np.zeros(1 << (bits - 6), np.uint64)
     words[rows["word"].to_numpy()] = rows["bits"].to_numpy().view(np.uint64)
-    return Bitmap(words)
+    return hashes.sparkSession.sparkContext.broadcast(Bitmap(words))

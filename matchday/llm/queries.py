@@ -6,15 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from matchday.llm import quality, secret_scan, url_filter
+from matchday.llm import decontaminate, quality, secret_scan, substring_dedup, token_records, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": url_filter.op1_url_filter,
     "op2_secret_scan": secret_scan.op2_secret_scan,
+    "op3_decontaminate": decontaminate.op3_decontaminate,
+    "op4_substring_dedup": substring_dedup.op4_substring_dedup,
+    "op5_token_records": token_records.op5_token_records,
     "op6_quality_rules": quality.op6_quality_rules,
 }
 ORACLE_SQL: dict[str, str] = {
     "op1_url_filter": url_filter.ORACLE_SQL,
     "op2_secret_scan": secret_scan.ORACLE_SQL,
+    "op4_substring_dedup": substring_dedup.ORACLE_SQL,
     "op6_quality_rules": quality.ORACLE_SQL,
 }

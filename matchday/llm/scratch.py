@@ -2,10 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import os
+
+from pyspark.sql import DataFrame, SparkSession
 
 from matchday.session import scratch_path
 
+_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
+def importable(spark: SparkSession) -> None:
+    """Lets Python workers import this package from the place where the driver found it (a cluster may ship it instead)."""
+    env = spark.sparkContext.environment
+    known = env.get("PYTHONPATH", "")
+    if _ROOT not in known.split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(x for x in (_ROOT, known) if x)
+
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as Parquet below ``spark.checkpoint.dir``, and a scan of it.
@@ -14,5 +26,5 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, f"llm-{name}")
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

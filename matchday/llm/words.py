@@ -105,3 +105,19 @@ def long_lists(values: np.ndarray, counts: np.ndarray) -> pa.ListArray:
     """An Arrow column of lists of 64-bit integers from flat values and each row's number of them."""
     at = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(at), pa.array(np.ascontiguousarray(values).view(np.int64)))
+
+
+def chunks(batches, column: str, most: int = 16 << 20):
+    """Slices of the batches whose texts hold ``most`` bytes at most (a longer text is a slice of its own).
+
+    Yields the slice and its texts; memory follows ``most`` and the longest text, not the number of rows in a batch.
+    """
+    for batch in batches:
+        texts = texts_of(batch.column(column))
+        ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
+        at = 0
+        while at < len(texts):
+            full = (ends[at - 1] if at else 0) + most
+            end = max(at + 1, int(np.searchsorted(ends, full, side="right")))
+            yield batch.slice(at, end - at), texts.slice(at, end - at)
+            at = end
