@@ -8,7 +8,9 @@ Classes are partitioned into groups of similar ones: at first each by itself, th
 matrix holds, for each shingle, the groups in whose union of prefixes it is. A query's overlap with a group is bounded by its
 own size less its prefix shingles outside the group's union: a group that shares none cannot qualify, and a shingle of one
 group only has nothing to open. Opened groups are compared member by member, first with one member of each shingle's bucket,
-then with 4, 16, 64 ..., until no shingle of two groups is left: members that a link joined meanwhile are not compared.
+then with 8, 64, 512 ..., until no shingle of two groups is left: members that a link joined meanwhile are not compared. Pairs
+whose horizons (the first shingles in hash order, at hand for every class) rule a link out need no text; the others are
+compared whole.
 Nothing is cut off. Shingles are compared by 64-bit hashes, sets by 128-bit ones.
 """
 
@@ -28,7 +30,7 @@ from matchday.llm.bitmap import bitmap
 from matchday.llm.components import components
 from matchday.llm.scratch import written
 from matchday.llm.tables import table
-from matchday.llm.words import Spans, chunks, encoded, hashed, long_lists, short_windows, split_words, starts
+from matchday.llm.words import Spans, chunks, encoded, hashed, long_lists, short_windows, split_words, starts, texts_of
 
 SHINGLE, PERCENT = 4, 85
 #: Per cent of a set, in hash order, that the first pass hands on, so that most prefixes can be taken from it.
@@ -131,10 +133,23 @@ def _texts(batches, wanted: Broadcast, k: int) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), batch.column("text")], ["class", "text"])
 
 
+def _possible(batches, percent: int) -> Iterator[pa.RecordBatch]:
+    """The pairs that their horizons do not rule out: up to the end of the shorter one, both sets are known."""
+    for batch in batches:
+        keep = []
+        for x, n, y, m in zip(*(batch.column(c) for c in ("near_a", "n_a", "near_b", "n_b")), strict=True):
+            x, y, n, m = x.values.to_numpy().view(np.uint64), y.values.to_numpy().view(np.uint64), n.as_py(), m.as_py()
+            ends = [z[-1] for z, size in ((x, n), (y, m)) if len(z) < size]
+            known_x, known_y = (len(z) if not ends else int(np.searchsorted(z, min(ends), side="right")) for z in (x, y))
+            both = len(np.intersect1d(x[:known_x], y[:known_y], assume_unique=True))
+            keep.append((100 + percent) * (both + min(n - known_x, m - known_y)) >= percent * (n + m))
+        yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+
 def _links(batches, k: int, percent: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        a = shingle_sets(pc.fill_null(batch.column("text_a").cast(pa.large_string()), ""), k)
-        b = shingle_sets(pc.fill_null(batch.column("text_b").cast(pa.large_string()), ""), k)
+        a = shingle_sets(texts_of(batch.column("text_a")), k)
+        b = shingle_sets(texts_of(batch.column("text_b")), k)
         both = np.array([len(np.intersect1d(x, y, assume_unique=True)) for x, y in zip(a, b, strict=True)], np.int64)
         either = np.array([len(x) + len(y) for x, y in zip(a, b, strict=True)], np.int64) - both
         yield batch.select(["a", "b"]).filter(pa.array(100 * both >= percent * either))
@@ -156,6 +171,37 @@ def _pairs(rows: DataFrame, pivots: DataFrame, percent: int) -> DataFrame:
     )
 
 
+def _with_both(pairs: DataFrame, of_class: DataFrame) -> DataFrame:
+    """The pairs with the columns of their two classes, under the names ``_a`` and ``_b``."""
+    for side in "ba":
+        named = of_class.select(*[F.col(c).alias(side if c == "class" else f"{c}_{side}") for c in of_class.columns])
+        pairs = pairs.join(named, side)
+    return pairs
+
+
+def _verified(pairs: DataFrame, classes: DataFrame, source: DataFrame, k: int, percent: int) -> DataFrame | None:
+    """The pairs that link (None: none does). Only rows of classes in question are shuffled."""
+    def wanted(of: DataFrame, key: str):
+        each = of.select(F.col("a").alias("class")).unionByName(of.select(F.col("b").alias("class"))).distinct()
+        if key == "doc_id":
+            each = each.join(classes.select("class", "doc_id"), "class")
+        return bitmap(each.select(F.xxhash64(key).alias("id_hash")), "id_hash", 2 * of.count()), each.select("class")
+
+    some, _ = wanted(pairs, "class")
+    near = classes.select("class", "n", "near", F.xxhash64("class").alias("id_hash")).mapInArrow(
+        lambda b: _some(b, some), "class binary, n bigint, near array<bigint>, id_hash bigint").drop("id_hash")
+    possible = written(
+        _with_both(pairs, near).mapInArrow(lambda b: _possible(b, percent), "a binary, b binary"), "possible")
+    if possible.isEmpty():
+        return None
+    some, names = wanted(possible, "doc_id")
+    texts = written(
+        source.mapInArrow(lambda b: _texts(b, some, k), "class binary, text string")
+        .join(names, "class", "left_semi").groupBy("class").agg(F.first("text").alias("text")), "texts")
+    links = written(_with_both(possible, texts).mapInArrow(lambda b: _links(b, k, percent), "a binary, b binary"), "links")
+    return None if links.isEmpty() else links
+
+
 def link_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """One row for each document: doc_id, n_shingles, component_id (the smallest id that links reach, its own included).
 
@@ -194,50 +240,37 @@ def link_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     rows = written(regular.mapInArrow(lambda b: _shared(b, maps), "token bigint, class binary, n bigint, at bigint"), "prefix-rows")
     matrix = written(
         rows.join(rows.groupBy("token").agg(F.count("*").alias("classes")).where("classes > 1").select("token"), "token"), "matrix")
-    met = matrix.select("class").distinct().join(classes.select("class", "doc_id"), "class")
-    wanted = bitmap(met.select(F.xxhash64("doc_id").alias("id_hash")), "id_hash", met.count())
-    texts = written(
-        source.mapInArrow(lambda b: _texts(b, wanted, k), "class binary, text string")
-        .join(met.select("class"), "class", "left_semi").groupBy("class").agg(F.first("text").alias("text")), "texts")
-
     groups = None  # node, root
     turn = 0
     while True:
         named = matrix.withColumn("group", F.col("class")) if groups is None else (
-            matrix.join(groups.select(F.col("node").alias("class"), F.col("root").alias("group")), "class", "left")
+            matrix.drop("group", "size").join(groups.select(F.col("node").alias("class"), F.col("root").alias("group")), "class", "left")
             .withColumn("group", F.coalesce("group", "class")))
-        named = written(named, "groups")
         several = (
             named.groupBy("token").agg(F.min("group").alias("lo"), F.max("group").alias("hi"), F.count("*").alias("size"))
             .where("lo <> hi").select("token", "size"))
-        opened = written(named.join(several, "token"), "opened")
+        opened = written(named.drop("size").join(several, "token"), "opened")
+        if opened.isEmpty():
+            break
         member = F.struct("class", "n", "at", "group").alias("m")
-        if not turn:
-            pivots = opened.groupBy("token").agg(F.min(member).alias("m")).select("token", "m.*")
-            pairs = _pairs(opened, pivots, percent)
-            matrix = opened.join(pivots.select("token", "class"), ["token", "class"], "left_anti")
-        else:
-            few, many = opened.where(F.col("size") <= _SMALL), opened.where(F.col("size") > _SMALL)
-            pivots = (
-                many.groupBy("token", F.pmod(F.xxhash64("class", F.lit(turn)), F.lit(4**turn))).agg(F.min(member).alias("m"))
-                .select("token", "m.*"))
-            pairs = _pairs(few, few, percent).unionByName(_pairs(many, pivots, percent))
-            matrix = many.join(pivots.select("token", "class"), ["token", "class"], "left_anti")
-        pairs = written(pairs.distinct(), "pairs")
-        links = written(
-            pairs.join(texts.select(F.col("class").alias("b"), F.col("text").alias("text_b")), "b")
-            .join(texts.select(F.col("class").alias("a"), F.col("text").alias("text_a")), "a")
-            .mapInArrow(lambda b: _links(b, k, percent), "a binary, b binary"), "links")
-        if groups is not None:
-            links = links.unionByName(groups.select(F.col("node").alias("a"), F.col("root").alias("b")))
-        groups = components(links)
-        matrix = written(matrix.drop("size", "group"), "matrix")
+        small = _SMALL if turn else 0
+        few, many = opened.where(F.col("size") <= small), opened.where(F.col("size") > small)
+        pivots = (
+            many.groupBy("token", F.pmod(F.xxhash64("class"), F.lit(8**turn)).alias("part")).agg(F.min(member).alias("m"))
+            .select("token", "m.*"))
+        met = _pairs(many, pivots, percent)
+        met = written((met.unionByName(_pairs(few, few, percent)) if turn else met).distinct(), "pairs")
+        matrix = many.join(pivots.select("token", "class"), ["token", "class"], "left_anti")
+        links = _verified(met, classes, source, k, percent)
+        if links is not None:
+            if groups is not None:
+                links = links.unionByName(groups.select(F.col("node").alias("a"), F.col("root").alias("b")))
+            groups = components(links)
         turn += 1
-        if matrix.isEmpty():
-            break
 
     ids = sets.where("class IS NOT NULL").groupBy("class").agg(F.min("doc_id").alias("first"))
     rooted = (
+        ids.withColumn("root", F.col("class")) if groups is None else
         ids.join(groups.select(F.col("node").alias("class"), "root"), "class", "left").withColumn("root", F.coalesce("root", "class")))
     lowest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     named = rooted.select("class", "root").join(lowest, "root").select("class", "component_id")
