@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from matchday.llm import decontaminate, jaccard_join, quality, secret_scan, sentencepiece_stream, substring_dedup, token_records, url_filter
+from matchday.llm import decontaminate, jaccard_join, pseudonyms, quality, secret_scan, sentencepiece_stream, substring_dedup, token_records, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": url_filter.op1_url_filter,
@@ -17,6 +17,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_quality_rules": quality.op6_quality_rules,
     "op8_sentencepiece": sentencepiece_stream.op8_sentencepiece,
     "op9_jaccard_join": jaccard_join.op9_jaccard_join,
+    "op10_pseudonyms": pseudonyms.op10_pseudonyms,
 }
 ORACLE_SQL: dict[str, str] = {
     "op1_url_filter": url_filter.ORACLE_SQL,
