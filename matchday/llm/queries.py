@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from matchday.llm import decontaminate, jaccard_join, pseudonyms, quality, secret_scan, sentencepiece_stream, substring_dedup, token_records, url_filter
+from matchday.llm import (
+    decontaminate, html_text, jaccard_join, pseudonyms, quality, secret_scan, sentencepiece_stream, substring_dedup, token_records,
+    url_filter,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": url_filter.op1_url_filter,
@@ -15,6 +18,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_substring_dedup": substring_dedup.op4_substring_dedup,
     "op5_token_records": token_records.op5_token_records,
     "op6_quality_rules": quality.op6_quality_rules,
+    "op7_html_text": html_text.op7_html_text,
     "op8_sentencepiece": sentencepiece_stream.op8_sentencepiece,
     "op9_jaccard_join": jaccard_join.op9_jaccard_join,
     "op10_pseudonyms": pseudonyms.op10_pseudonyms,
