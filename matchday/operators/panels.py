@@ -2,9 +2,9 @@
 
 Every statistic of one table shares one window specification, so Catalyst
 plans a single Exchange + Sort + Window for all of them (frames may differ
-inside one Window operator). Order is (match_day, match_id): the match day
-alone leaves ties undefined, the id makes the order total and the result
-deterministic.
+inside one Window operator). Order is (match_day, match_id, home_team): the
+match day alone leaves ties undefined; the id parts matches, and the side parts
+the two rows that a match between two unmapped teams has in the null panel.
 """
 
 from __future__ import annotations
@@ -15,14 +15,14 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..schemas import PANEL_METRICS, PERFORMANCE_METRICS
-from .skew import DEFAULT_HOT_ROWS, cum_value, hot_keys, key_in, lagged, prefix_sums, segment_count
+from .skew import DEFAULT_HOT_ROWS, cum_value, lagged, prefix_sums, same_key, split_hot
 
 # --- fixed values: performance classes and their panel keys; rank order --------
 PERFORMANCE_CLASSES: dict[str, tuple[str, ...]] = {
     "overall": ("league_id", "team_id"),
     "home_away": ("league_id", "team_id", "home_team"),
 }
-PANEL_ORDER: tuple[str, ...] = ("match_day", "match_id")
+PANEL_ORDER: tuple[str, ...] = ("match_day", "match_id", "home_team")
 RANK_BY: tuple[str, ...] = ("points", "goals_diff", "goals_scored")
 RANK_OVER: tuple[str, ...] = ("league_id", "match_day")
 # -----------------------------------------------------------------------------
@@ -76,21 +76,6 @@ def running_avg(col: str, w: WindowSpec, games: str = "games") -> Column:
     )
 
 
-def _split(view: DataFrame, keys: Sequence[str], hot_threshold: int | None, hot: Sequence[tuple] | None = None):
-    """(rows of normal keys, rows of hot keys or None, segments for the hot rows).
-
-    ``hot`` (e.g. from one GROUPING SETS pass) skips the detection pass.
-    """
-    if hot is None:
-        if hot_threshold is None:
-            return view, None, 0
-        hot = hot_keys(view, keys, hot_threshold)
-    if not hot:
-        return view, None, 0
-    is_hot = key_in(keys, hot)
-    return view.filter(~is_hot), view.filter(is_hot), segment_count(view, getattr(hot, "rows", 0))
-
-
 def running_totals(
     view: DataFrame,
     keys: Sequence[str] = ("league_id", "team_id"),
@@ -98,7 +83,6 @@ def running_totals(
     carry: Sequence[str] = STANDINGS_KEYS,
     order: Sequence[str] = PANEL_ORDER,
     hot_threshold: int | None = DEFAULT_HOT_ROWS,
-    hot: Sequence[tuple] | None = None,
 ) -> DataFrame:
     """Running totals of each metric per panel (the league table after each game).
 
@@ -107,11 +91,11 @@ def running_totals(
     window task; ``None`` skips the check.
     """
     w = panel_window(keys, order)
-    cold, hot, segments = _split(view, keys, hot_threshold, hot)
+    cold, hot = split_hot(view, keys, hot_threshold)
     out = cold.select(*carry, *[running_sum(m, w).alias(m) for m in metrics])
     if hot is None:
         return out
-    ps = prefix_sums(hot, keys, order, metrics, segments)
+    ps = prefix_sums(hot, keys, order, metrics)
     return out.unionByName(ps.select(*carry, *[cum_value(m).cast("bigint").alias(m) for m in metrics]))
 
 
@@ -121,7 +105,7 @@ def table_rank(
     over: Sequence[str] = RANK_OVER,
     name: str = "rank",
     hot_threshold: int | None = DEFAULT_HOT_ROWS,
-    hot: Sequence[tuple] | None = None,
+    count_on: DataFrame | None = None,
 ) -> DataFrame:
     """Rank (method "min", i.e. SQL RANK) of the descending tuple ``by`` within ``over``.
 
@@ -130,23 +114,18 @@ def table_rank(
     aggregate), ranked over those counts, and joined back.
     """
     w = Window.partitionBy(*over).orderBy(*[F.col(c).desc() for c in by])
-    cold, hot, _ = _split(totals, over, hot_threshold, hot)
+    cold, hot = split_hot(totals, over, hot_threshold, count_on)
     out = cold.withColumn(name, F.rank().over(w).cast("bigint"))
     if hot is None:
         return out
-    from .conform import checked_broadcast
-
+    # distinct tuples of one group: bounded by the values that points and goals take, not by its rows
     counts = hot.groupBy(*over, *by).agg(F.count(F.lit(1)).alias("_n"))
     before = w.rowsBetween(Window.unboundedPreceding, -1)
     ranks = counts.select(
         *[F.col(c).alias(f"_k_{c}") for c in (*over, *by)],
         (F.coalesce(F.sum("_n").over(before), F.lit(0)) + F.lit(1)).cast("bigint").alias(name),
     )
-    cond = None
-    for c in (*over, *by):
-        t = F.col(c).eqNullSafe(F.col(f"_k_{c}"))
-        cond = t if cond is None else cond & t
-    ranked = hot.join(checked_broadcast(ranks), cond, "inner").select(*totals.columns, name)
+    ranked = hot.join(ranks, same_key([*over, *by], "_k_"), "inner").select(*totals.columns, name)
     return out.unionByName(ranked)
 
 
@@ -159,12 +138,11 @@ def performance_stats(
     order: Sequence[str] = PANEL_ORDER,
     hot_threshold: int | None = DEFAULT_HOT_ROWS,
     games: str = "games",
-    hot: Sequence[tuple] | None = None,
 ) -> DataFrame:
     """Rolling sums over the last 3 and 5 games and running averages per panel."""
     keys = panel_classes(performance_class)
     w = panel_window(keys, order)
-    cold, hot, segments = _split(view, keys, hot_threshold, hot)
+    cold, hot = split_hot(view, keys, hot_threshold)
     cols = []
     for m in metrics:
         cols += [rolling_sum(m, w, n).alias(f"{m}_last_{n}_games") for n in windows]
@@ -173,7 +151,7 @@ def performance_stats(
     if hot is None:
         return out
     needed = list(dict.fromkeys([*metrics, games]))
-    ps = prefix_sums(hot, keys, order, needed, segments)
+    ps = prefix_sums(hot, keys, order, needed)
     tracked = [f"_cum_{m}" for m in metrics] + [f"_nn_{m}" for m in metrics]
     for n in windows:
         ps = lagged(ps, keys, n, tracked)

@@ -3,27 +3,24 @@
 A window partition is processed by one task. A football panel (one team in one
 league season) has a few dozen rows, but a key can still be hot: all unmapped
 teams of a league share the null team id, and a malformed feed can put
-everything under one league id. Such a partition, if it held a third of all
-rows, would be sorted and scanned by a single task.
-
-The split: count rows per key with a partial aggregate (map-side combine, at
-most one row per key and task crosses the shuffle) and collect the keys above
-a threshold. They are few by construction (each holds more than
-``threshold`` rows). Rows of normal keys keep the plain ``Window``; rows of hot
-keys take the exact distributed path below, and the two parts are unioned.
-
-Distributed running statistics for hot keys (all exact):
-
-1. range-partition the hot rows on (key, order) into segments: each segment is
-   a contiguous, bounded run of one key's ordered rows;
-2. running sums inside each segment (window over (segment, key): bounded);
-3. segment totals (one row per segment and key) and, over those, the totals of
-   all earlier segments of the key. Each key covers a contiguous run of
-   segments, so this table has at most ``segments + hot keys`` rows; it is
-   broadcast back as offsets;
-4. running value = in-segment value + offset; row number likewise;
-5. a sum over the last k rows is ``cum(i) - cum(i - k)``: an equi join of the
-   hot rows with themselves on (key, row number), whose keys are unique.
+everything under one league id.
+
+The split: rows per key are counted by a partial aggregate; keys above a
+threshold form a table (never collected). Rows of other keys keep the plain
+``Window`` (left anti join), rows of hot keys take the path below (left semi
+join), and the two parts are unioned. Everything is one lazy plan.
+
+Running statistics of hot keys (all exact):
+
+1. a segment is the rows of one key, one value of the first order column and
+   one block of ``SEGMENT_IDS`` consecutive values of the second. It depends on
+   a row's own values only, so every branch of the plan agrees on it;
+2. running sums inside each segment (window over key and segment);
+3. one row of totals per segment, and over those the totals of all earlier
+   segments of the key;
+4. running value = in-segment value + the totals before; row number likewise;
+5. a sum over the last k rows is ``cum(i) - cum(i - k)``: an equi join on
+   (key, row number), whose keys are unique.
 """
 
 from __future__ import annotations
@@ -35,131 +32,76 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_HOT_ROWS = 100_000
-# Rows per segment of a hot key (a few hundred MB at ~100-200 bytes per row).
-SEGMENT_ROWS = 2_000_000
+# Consecutive ids of one segment; with unique match ids a segment holds two rows per id at most.
+SEGMENT_IDS = 1 << 20
+_SEGMENT = ("_seg_first", "_seg_block")
 
 
-class HotKeys(list):
-    """The hot keys (tuples) of one key set, with ``rows``: their total row count."""
+def hot_keys(df: DataFrame, keys: Sequence[str], threshold: int = DEFAULT_HOT_ROWS) -> DataFrame:
+    """The keys with more than ``threshold`` rows, as a table (null is a key)."""
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    return counts.filter(F.col("_rows") > F.lit(threshold)).select(*keys)
 
-    def __init__(self, keys=(), rows: int = 0):
-        super().__init__(keys)
-        self.rows = int(rows)
 
+def same_key(keys: Sequence[str], prefix: str) -> Column:
+    """Null-safe equality of ``keys`` with the columns of that name behind ``prefix``."""
+    return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"{prefix}{k}")) for k in keys])
 
-def hot_keys(df: DataFrame, keys: Sequence[str], threshold: int = DEFAULT_HOT_ROWS) -> HotKeys:
-    """Keys with more than ``threshold`` rows (at most rows / threshold of them)."""
-    rows = (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .filter(F.col("_rows") > F.lit(threshold))
-        .collect()
-    )
-    return HotKeys([tuple(r[k] for k in keys) for r in rows], sum(r["_rows"] for r in rows))
-
-
-def hot_keys_multi(
-    df: DataFrame, key_sets: Sequence[Sequence[str]], threshold: int = DEFAULT_HOT_ROWS
-) -> list[HotKeys]:
-    """Hot keys for several key sets in one pass (GROUPING SETS), one list per key set."""
-    cols = list(dict.fromkeys(c for ks in key_sets for c in ks))
-    gid_of = {}
-    for i, ks in enumerate(key_sets):
-        gid = 0
-        for c in cols:
-            gid = (gid << 1) | (0 if c in ks else 1)
-        gid_of[gid] = i
-    rows = (
-        df.groupingSets([list(ks) for ks in key_sets], *cols)
-        .agg(F.count(F.lit(1)).alias("_rows"), F.grouping_id().alias("_gid"))
-        .filter(F.col("_rows") > F.lit(threshold))
-        .collect()
-    )
-    out = [HotKeys() for _ in key_sets]
-    for r in rows:
-        i = gid_of[r["_gid"]]
-        out[i].append(tuple(r[c] for c in key_sets[i]))
-        out[i].rows += r["_rows"]
-    return out
-
-
-def key_in(keys: Sequence[str], values: Sequence[tuple]) -> Column:
-    """Null-safe membership of the row's key in ``values`` (a null key is a real panel)."""
-    if not values:
-        return F.lit(False)
-    terms = [
-        reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.lit(v)) for k, v in zip(keys, val)]) for val in values
-    ]
-    return reduce(lambda a, b: a | b, terms)
-
-
-def _null_safe_on(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in cols])
-
-
-def prefix_sums(
-    hot: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    metrics: Sequence[str],
-    segments: int,
-) -> DataFrame:
+
+def split_hot(
+    df: DataFrame, keys: Sequence[str], threshold: int | None, count_on: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame | None]:
+    """(rows of other keys, rows of hot keys); ``None`` as threshold: all rows, and None.
+
+    ``count_on``: a cheaper table with the same number of rows per key.
+    """
+    if threshold is None:
+        return df, None
+    hot = hot_keys(df if count_on is None else count_on, keys, threshold)
+    hot = hot.select(*[F.col(k).alias(f"_hot_{k}") for k in keys])
+    cond = same_key(keys, "_hot_")
+    return df.join(hot, cond, "left_anti"), df.join(hot, cond, "left_semi")
+
+
+def prefix_sums(hot: DataFrame, keys: Sequence[str], order: Sequence[str], metrics: Sequence[str]) -> DataFrame:
     """Add ``_row`` (1-based position in the key's order), ``_cum_<m>`` (running sum of
     the non-null values, 0 before the first) and ``_nn_<m>`` (running count of
     non-null values) to every row of ``hot``."""
-    seg = hot.repartitionByRange(segments, *[F.col(k) for k in keys], *[F.col(o) for o in order]).withColumn(
-        "_seg", F.spark_partition_id()
+    block = F.floor(F.col(order[1]) / F.lit(SEGMENT_IDS)).cast("bigint")
+    seg = hot.withColumns({_SEGMENT[0]: F.col(order[0]), _SEGMENT[1]: block})
+    w = (
+        Window.partitionBy(*keys, *_SEGMENT).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    w = Window.partitionBy("_seg", *keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     zero = F.lit(0)
     local = seg.select(
         "*",
-        F.count(F.lit(1)).over(w).alias("_lrow"),
-        *[F.coalesce(F.sum(m).over(w), zero).alias(f"_lcum_{m}") for m in metrics],
-        *[F.count(m).over(w).alias(f"_lnn_{m}") for m in metrics],
+        F.count(F.lit(1)).over(w).alias("_row"),
+        *[F.coalesce(F.sum(m).over(w), zero).alias(f"_cum_{m}") for m in metrics],
+        *[F.count(m).over(w).alias(f"_nn_{m}") for m in metrics],
     )
-    totals = seg.groupBy("_seg", *keys).agg(
-        F.min(F.struct(*order)).alias("_first"),
-        F.count(F.lit(1)).alias("_trow"),
-        *[F.coalesce(F.sum(m), zero).alias(f"_tcum_{m}") for m in metrics],
-        *[F.count(m).alias(f"_tnn_{m}") for m in metrics],
+    totals = seg.groupBy(*keys, *_SEGMENT).agg(
+        F.count(F.lit(1)).alias("_t_row"),
+        *[F.coalesce(F.sum(m), zero).alias(f"_t_cum_{m}") for m in metrics],
+        *[F.count(m).alias(f"_t_nn_{m}") for m in metrics],
     )
-    before = Window.partitionBy(*keys).orderBy("_first").rowsBetween(Window.unboundedPreceding, -1)
-
-    def off(c: str) -> Column:
-        return F.coalesce(F.sum(c).over(before), F.lit(0))
-
+    before = Window.partitionBy(*keys).orderBy(*_SEGMENT).rowsBetween(Window.unboundedPreceding, -1)
+    names = ["_row", *[f"_cum_{m}" for m in metrics], *[f"_nn_{m}" for m in metrics]]
     offsets = totals.select(
-        "_seg",
-        *keys,
-        off("_trow").alias("_orow"),
-        *[off(f"_tcum_{m}").alias(f"_ocum_{m}") for m in metrics],
-        *[off(f"_tnn_{m}").alias(f"_onn_{m}") for m in metrics],
-    )
-    # at most segments + hot keys rows (each key spans a contiguous run of segments)
-    offsets = F.broadcast(offsets)
-    cond = (local["_seg"] == offsets["_seg"]) & _null_safe_on(local, offsets, keys)
-    joined = local.join(offsets, cond, "inner")
-    base_cols = [local[c] for c in hot.columns]
-    return joined.select(
-        *base_cols,
-        (local["_lrow"] + offsets["_orow"]).alias("_row"),
-        *[(local[f"_lcum_{m}"] + offsets[f"_ocum_{m}"]).alias(f"_cum_{m}") for m in metrics],
-        *[(local[f"_lnn_{m}"] + offsets[f"_onn_{m}"]).alias(f"_nn_{m}") for m in metrics],
+        *[F.col(c).alias(f"_o_{c}") for c in (*keys, *_SEGMENT)],
+        *[F.coalesce(F.sum(f"_t{n}").over(before), zero).alias(f"_o{n}") for n in names],
     )
+    joined = local.join(offsets, same_key([*keys, *_SEGMENT], "_o_"), "inner")
+    return joined.select(*hot.columns, *[(F.col(n) + F.col(f"_o{n}")).alias(n) for n in names])
 
 
 def lagged(df: DataFrame, keys: Sequence[str], k: int, cols: Sequence[str]) -> DataFrame:
     """Attach ``cols`` of the row k positions earlier in the same key as ``<col>_lag<k>`` (0 before the start)."""
     right = df.select(
         *[F.col(c).alias(f"_r_{c}") for c in keys],
-        (F.col("_row") + F.lit(k)).alias("_r_row"),
+        (F.col("_row") + F.lit(k)).alias("_r__row"),
         *[F.col(c).alias(f"{c}_lag{k}") for c in cols],
     )
-    cond = reduce(
-        lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in keys]
-    ) & (F.col("_row") == F.col("_r_row"))
-    out = df.join(right, cond, "left")
+    out = df.join(right, same_key([*keys, "_row"], "_r_"), "left")
     return out.select(
         *[F.col(c) for c in df.columns],
         *[F.coalesce(F.col(f"{c}_lag{k}"), F.lit(0)).alias(f"{c}_lag{k}") for c in cols],
@@ -179,8 +121,3 @@ def shuffle_width(spark) -> int:
     except Exception:  # noqa: BLE001 - no SparkContext (e.g. Spark Connect)
         pass
     return width
-
-
-def segment_count(df: DataFrame, hot_rows: int = 0) -> int:
-    """Segments for the hot rows: at least the shuffle width, more when the hot rows need it."""
-    return max(shuffle_width(df.sparkSession), -(-int(hot_rows) // SEGMENT_ROWS))

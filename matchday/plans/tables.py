@@ -4,59 +4,36 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.panels import RANK_OVER, performance_stats, running_totals, table_rank
-from ..operators.skew import DEFAULT_HOT_ROWS, hot_keys_multi
+from ..operators.panels import performance_stats, running_totals, table_rank
+from ..operators.skew import DEFAULT_HOT_ROWS
 from ..operators.views import load_match_results, team_view
 from ..sources.sinks import write_table
 
 
 def standings(
-    matches: DataFrame,
-    standings_class: str = "overall",
-    hot_threshold: int | None = DEFAULT_HOT_ROWS,
-    hot: tuple | None = None,
+    matches: DataFrame, standings_class: str = "overall", hot_threshold: int | None = DEFAULT_HOT_ROWS
 ) -> DataFrame:
     """League table of every team after each of its games, with the table rank of that match day.
 
     final-result filter -> team view (one Generate) -> running totals per
-    (league, team) -> rank per (league, match day). Two shuffles: one per window
-    partitioning. Hot panels and hot match days (see :mod:`~matchday.operators.skew`)
-    are found in one GROUPING SETS pass over the view; ``hot`` = (panel keys,
-    match-day keys) from such a pass (see :func:`hot_team_keys`) skips it.
+    (league, team) -> rank per (league, match day): one shuffle per window
+    partitioning. Panels and match days with more than ``hot_threshold`` rows
+    are split (see :mod:`~matchday.operators.skew`); ``None`` plans the plain
+    windows only.
     """
     view = team_view(load_match_results(matches), standings_class)
-    if hot is None and hot_threshold is None:
-        return table_rank(running_totals(view, hot_threshold=None), hot_threshold=None)
-    # the totals have exactly the view's rows, so both key sets are counted on the view
-    panel_hot, day_hot = hot if hot is not None else hot_team_keys(matches, standings_class, hot_threshold)
-    return table_rank(running_totals(view, hot=panel_hot), hot=day_hot)
-
-
-def hot_team_keys(
-    matches: DataFrame, standings_class: str = "overall", hot_threshold: int = DEFAULT_HOT_ROWS
-) -> tuple:
-    """(hot (league, team) panels, hot (league, match day) groups) of the team view, in one pass.
-
-    Every team-view class has the same rows, so the result serves standings of
-    any class and performance of class "overall".
-    """
-    view = team_view(load_match_results(matches), standings_class)
-    panel_hot, day_hot = hot_keys_multi(view, [("league_id", "team_id"), RANK_OVER], hot_threshold)
-    return panel_hot, day_hot
+    return table_rank(running_totals(view, hot_threshold=hot_threshold), hot_threshold=hot_threshold, count_on=view)
 
 
 def performance(
-    matches: DataFrame,
-    performance_class: str = "overall",
-    hot_threshold: int | None = DEFAULT_HOT_ROWS,
-    hot=None,
+    matches: DataFrame, performance_class: str = "overall", hot_threshold: int | None = DEFAULT_HOT_ROWS
 ) -> DataFrame:
     """Form of every team per game: rolling sums over 3 and 5 games and running averages.
 
-    One shuffle: all 21 statistics share one window partitioning and order.
+    All 21 statistics share one window partitioning and order.
     """
     view = team_view(load_match_results(matches), "overall")
-    return performance_stats(view, performance_class, hot_threshold=hot_threshold, hot=hot)
+    return performance_stats(view, performance_class, hot_threshold=hot_threshold)
 
 
 def create_standings(

@@ -39,7 +39,7 @@ def _spelling_case() -> str:
 
 def _team_id(pos: str) -> str:
     return (
-        f"CASE WHEN {pos} = 17 AND lg % 5 = 4 THEN 999 "
+        f"CASE WHEN {pos} = 17 AND lg % 5 = 4 THEN 999 WHEN {pos} = 16 AND lg % 5 = 4 THEN 998 "
         f"WHEN {pos} < 4 AND lg % 2 = 1 THEN 200 + {pos} ELSE 100 + {pos} END"
     )
 
@@ -254,7 +254,7 @@ def match_feed(spark: SparkSession, sf_dir: str, with_goals: bool = True) -> Dat
 
 
 def team_mapper(spark: SparkSession, sf_dir: str | None = None) -> DataFrame:
-    """Mapper for the derived feed: raw 100+i and 200+i map to i+1; 999 stays unmapped."""
+    """Mapper for the derived feed: raw 100+i and 200+i map to i+1; 998 and 999 stay unmapped."""
     rows = [(f"Team {100 + i}", 100 + i, i + 1) for i in range(18)]
     rows += [(f"Team {200 + i}", 200 + i, i + 1) for i in range(4)]
     return local_table(spark, rows, TEAM_MAPPER_SCHEMA)

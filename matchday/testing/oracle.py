@@ -153,7 +153,7 @@ def _team_view_sql(cls: str) -> str:
     return f"{_side_sql(1, a1)} UNION ALL {_side_sql(2, a2)}"
 
 
-PANEL = "ORDER BY match_day, match_id"
+PANEL = "ORDER BY match_day, match_id, home_team"
 RUN = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
 TOTALS = ("games", "wins", "draws", "losses", "goals_scored", "goals_conceded", "goals_diff", "points")
 
@@ -401,6 +401,7 @@ def oracle_sql() -> dict[str, str]:
         tv = f"tv AS ({_team_view_sql(cls)})"
         q[f"standings_{cls}"] = f"{_with(*BASE_CLEAN, tv)} {_standings_sql('tv')}"
     q["performance_overall"] = f"{_with(*BASE_CLEAN, TVO, PF)} SELECT * FROM pf"
+    q["standings_hot"], q["performance_hot"] = q["standings_overall"], q["performance_overall"]
     q["performance_home_away"] = (
         f"{_with(*BASE_CLEAN, TVO)} {_performance_sql('league_id, team_id, home_team', 'tvo')}"
     )

@@ -22,7 +22,7 @@ from ..operators.views import goals_base_view, load_match_results, result_class_
 from ..functions.predicates import not_excluded_league
 from ..functions.scoring import tip_score
 from ..plans.features import FeatureBuilder
-from ..plans.tables import hot_team_keys, performance, standings
+from ..plans.tables import performance, standings
 from ..schemas import META_COLUMNS, PERFORMANCE_METRICS, meta_name
 from ..session import materialize, scratch_path
 from ..sources import mappers, testdata
@@ -222,15 +222,15 @@ def half_sample_q(spark, sf):
 
 # --- windows ------------------------------------------------------------------
 def running_totals_q(spark, sf):
-    return running_totals(team_view(_final(spark, sf), "overall"), carry=STANDINGS_KEYS)
+    return running_totals(team_view(load_match_results(_clean_table(spark, sf)), "overall"), carry=STANDINGS_KEYS)
 
 
 def table_rank_q(spark, sf):
-    return standings(_clean(spark, sf)).select("league_id", "match_day", "team_id", "rank")
+    return standings(_clean_table(spark, sf)).select("league_id", "match_day", "team_id", "rank")
 
 
 def _perf_subset(spark, sf, suffix: str):
-    p = performance(_clean(spark, sf))
+    p = performance(_clean_table(spark, sf))
     return p.select("match_id", "league_id", "match_day", "team_id", *[f"{m}{suffix}" for m in PERFORMANCE_METRICS])
 
 
@@ -247,34 +247,41 @@ def running_avg(spark, sf):
 
 
 def standings_overall(spark, sf):
-    return standings(_clean(spark, sf), "overall")
+    return standings(_clean_table(spark, sf), "overall")
 
 
 def standings_home(spark, sf):
-    return standings(_clean(spark, sf), "home")
+    return standings(_clean_table(spark, sf), "home")
 
 
 def standings_away(spark, sf):
-    return standings(_clean(spark, sf), "away")
+    return standings(_clean_table(spark, sf), "away")
 
 
 def performance_overall(spark, sf):
-    return performance(_clean(spark, sf), "overall")
+    return performance(_clean_table(spark, sf), "overall")
 
 
 def performance_home_away(spark, sf):
-    return performance(_clean(spark, sf), "home_away")
+    return performance(_clean_table(spark, sf), "home_away")
+
+
+# A threshold that the null panels and most match days of the test feed exceed: the split path, checked like the plain one.
+LOW_HOT_ROWS = 12
+
+
+def standings_hot(spark, sf):
+    return standings(_clean_table(spark, sf), "overall", hot_threshold=LOW_HOT_ROWS)
+
+
+def performance_hot(spark, sf):
+    return performance(_clean_table(spark, sf), "overall", hot_threshold=LOW_HOT_ROWS)
 
 
 # --- features -----------------------------------------------------------------
 def _features(spark, sf, steps: tuple[str, ...], target: str) -> DataFrame:
     cm = _clean_table(spark, sf)
-    # one hot-key pass serves both tables (same team view)
-    panel_hot, day_hot = hot_team_keys(cm)
-    tables = {
-        "overall_standings": lambda: standings(cm, hot=(panel_hot, day_hot)),
-        "overall_performance": lambda: performance(cm, hot=panel_hot),
-    }
+    tables = {"overall_standings": lambda: standings(cm), "overall_performance": lambda: performance(cm)}
     fb = FeatureBuilder(spark)
     return fb.get_features(cm, {s: tables[s]() for s in steps}, target=target)
 
@@ -370,6 +377,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "standings_away": standings_away,
     "performance_overall": performance_overall,
     "performance_home_away": performance_home_away,
+    "standings_hot": standings_hot,
+    "performance_hot": performance_hot,
     "add_overall_standings": add_overall_standings,
     "add_overall_performance": add_overall_performance,
     "features_goals": features_goals,

@@ -53,15 +53,7 @@ def test_rank_split_equals_window(spark, skewed):
 def test_hot_path_is_used(spark, skewed):
     from matchday.operators.skew import hot_keys
 
-    assert hot_keys(skewed, ["league_id", "team_id"], 100) == [(10, None)]
-
-
-def test_grouping_sets_detection(spark, skewed):
-    from matchday.operators.skew import hot_keys, hot_keys_multi
-
-    a, b = hot_keys_multi(skewed, [("league_id", "team_id"), ("league_id", "match_day")], 7)
-    assert sorted(a, key=repr) == sorted(hot_keys(skewed, ["league_id", "team_id"], 7), key=repr)
-    assert sorted(b, key=repr) == sorted(hot_keys(skewed, ["league_id", "match_day"], 7), key=repr)
+    assert [tuple(r) for r in hot_keys(skewed, ["league_id", "team_id"], 100).collect()] == [(10, None)]
 
 
 def test_standings_plan_split_equals_plain(spark):
@@ -72,10 +64,42 @@ def test_standings_plan_split_equals_plain(spark):
     assert _bag(standings(m, hot_threshold=None)) == _bag(standings(m, hot_threshold=5))
 
 
-def test_hot_rows_counted_and_segments_scale(spark, skewed):
-    from matchday.operators.skew import SEGMENT_ROWS, hot_keys, segment_count, shuffle_width
-
-    hk = hot_keys(skewed, ["league_id", "team_id"], 100)
-    assert hk.rows == 300
-    assert segment_count(skewed, hk.rows) == shuffle_width(spark)
-    assert segment_count(skewed, 50 * SEGMENT_ROWS + 1) == max(shuffle_width(spark), 51)
+BIG = 400_000
+
+
+@pytest.fixture(scope="module")
+def one_big_panel(spark, tmp_path_factory):
+    """All rows in one panel, with every column different, on several input files."""
+    i = F.col("id")
+    path = str(tmp_path_factory.mktemp("panel") / "rows")
+    spark.range(0, BIG, numPartitions=8).select(
+        i.alias("match_id"), F.lit(7).cast("bigint").alias("league_id"), F.lit("L").alias("league_name"), F.lit("S").alias("season_name"),
+        (i % 997).alias("match_day"), F.lit(None).cast("bigint").alias("team_id"), F.concat(F.lit("T"), i % 31).alias("team_name"),
+        (i % 2).cast("int").alias("home_team"), F.lit(1).alias("games"),
+        *[(i * p % 5).cast("int").alias(c) for c, p in (("wins", 3), ("draws", 7), ("losses", 11))],
+        *[(i * p % 9).alias(c) for c, p in (("goals_scored", 5), ("goals_conceded", 13), ("goals_diff", 17))],
+        (i * 19 % 4).cast("int").alias("points"),
+    ).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+@pytest.mark.parametrize("sample", ["1", "100"])
+def test_full_rows_of_a_large_panel(spark, one_big_panel, sample):
+    name = "spark.sql.execution.rangeExchange.sampleSizePerPartition"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, sample)
+    try:
+        for f in (running_totals, performance_stats):
+            plain, split = f(one_big_panel, hot_threshold=None), f(one_big_panel, hot_threshold=100_000)
+            assert plain.count() == split.count() == BIG
+            assert plain.exceptAll(split).count() == 0
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
+def test_order_of_matches_between_unmapped_teams_is_total(spark):
+    games = [(100 + i, 10, 1, None, None, i % 4, (i + 1) % 3) for i in range(6)]
+    views = [team_view(clean_rows(spark, g)).repartition(3) for g in (games, games[::-1])]
+    a, b = (_bag(running_totals(v, hot_threshold=None)) for v in views)
+    assert a == b
+    assert a == _bag(running_totals(views[0], hot_threshold=5))
