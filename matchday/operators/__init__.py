@@ -5,7 +5,7 @@ from .lookups import null_spread_salt, previous_day_features
 from .metrics import mean_poisson_deviance, mean_tip_score, with_tip_score
 from .normalize import flatten, normalize, seasons_without_records, validate_meta, validate_records
 from .panels import performance_stats, rolling_sum, running_avg, running_sum, running_totals, table_rank
-from .sampling import bernoulli_flag, half_sample, half_sample_cut, half_sample_flag
+from .sampling import half_sample, half_sample_cut, half_sample_flag
 from .views import (
     goals_base_view,
     load_match_results,
@@ -15,7 +15,6 @@ from .views import (
 )
 
 __all__ = [
-    "bernoulli_flag",
     "checked_broadcast",
     "clean",
     "conform_leagues",

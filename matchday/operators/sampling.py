@@ -7,15 +7,16 @@ reproducible.
 
 Finding the cut key never orders all rows in one task:
 
-1. bucket = first hex digits of the hash; count rows per bucket with a partial
-   aggregate (at most 16**digits rows leave the map side);
-2. a running sum over the bucket counts (bounded table) gives the bucket that
-   holds the cut and how many rows of it are taken;
-3. only that bucket's distinct keys (about n_distinct / 16**digits, uniform by
-   construction) are ordered to find the cut key.
+1. rows are counted per first four hex digits of the hash (partial aggregate,
+   65,536 rows at most); running sums over these give the bucket that holds the
+   cut and how many of its rows are taken;
+2. the same within that bucket, on the next four digits;
+3. only keys that share eight digits are ordered, about n / 2**32 distinct ones
+   (233 of 1e12 ids).
 
 Copies of one id share one key, so duplicates never crowd one task: step 3
-aggregates them first. The sample itself is then a predicate
+aggregates them first. Each step is a one-row scalar subquery of the next, so
+nothing runs while the plan is built, and the sample is the predicate
 ``(hash, id) <= cut`` that every task evaluates locally.
 """
 
@@ -24,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_BUCKET_HEX_DIGITS = 4
+BUCKET_HEX_DIGITS = 4
 
 
 def sample_key(id_col: str | Column, seed: str = "") -> Column:
@@ -32,60 +33,39 @@ def sample_key(id_col: str | Column, seed: str = "") -> Column:
     return F.md5(F.concat(F.lit(str(seed)), F.coalesce(c.cast("string"), F.lit(""))))
 
 
-def half_sample_cut(
-    df: DataFrame,
-    id_col: str = "match_id",
-    seed: str = "",
-    fraction: float = 0.5,
-    bucket_hex_digits: int = DEFAULT_BUCKET_HEX_DIGITS,
-):
-    """The largest (hash, id) key inside the sample, or ``None`` for an empty sample."""
-    keyed = df.select(sample_key(id_col, seed).alias("_h"), F.col(id_col).alias("_id"))
-    keyed = keyed.withColumn("_b", F.substring("_h", 1, bucket_hex_digits))
-    counts = keyed.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
-    # bounded: at most 16**digits rows in this single-partition window
-    upto = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    everything = Window.partitionBy()
-    cum = counts.select(
-        "_b",
-        "_n",
-        F.sum("_n").over(upto).alias("_cum"),
-        F.floor(F.sum("_n").over(everything) * F.lit(float(fraction))).cast("bigint").alias("_need"),
-    )
-    hit = (
-        cum.filter((F.col("_cum") - F.col("_n") < F.col("_need")) & (F.col("_need") <= F.col("_cum")))
-        .select("_b", (F.col("_need") - (F.col("_cum") - F.col("_n"))).alias("_k"))
-        .collect()
+def _bucket_of_cut(keyed: DataFrame, digits: int, need: Column) -> DataFrame:
+    """One row: the bucket (first ``digits`` hex digits) in which the ``need``-th row falls, and its place in there."""
+    counts = keyed.groupBy(F.substring("_h", 1, digits).alias("b")).agg(F.count(F.lit(1)).alias("n"))
+    # at most 16**BUCKET_HEX_DIGITS rows: the buckets of one parent bucket
+    upto = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cum = counts.select("b", "n", F.sum("n").over(upto).alias("cum")).withColumn("need", need)
+    return (
+        cum.filter((F.col("cum") - F.col("n") < F.col("need")) & (F.col("need") <= F.col("cum")))
+        .select(F.struct("b", (F.col("need") - (F.col("cum") - F.col("n"))).alias("k")).alias("hit"))
     )
-    if not hit:
-        return None
-    bucket, k = hit[0]["_b"], hit[0]["_k"]
-    cand = keyed.filter(F.col("_b") == F.lit(bucket)).groupBy("_h", "_id").agg(F.count(F.lit(1)).alias("_n"))
-    upto2 = Window.orderBy("_h", "_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cut = (
-        cand.withColumn("_cum", F.sum("_n").over(upto2))
-        .filter(F.col("_cum") - F.col("_n") < F.lit(k))
+
+
+def half_sample_cut(df: DataFrame, id_col: str = "match_id", seed: str = "", fraction: float = 0.5) -> DataFrame:
+    """One row with ``cut``: the largest (hash, id) key inside the sample, null for an empty sample."""
+    keyed = df.select(sample_key(id_col, seed).alias("_h"), F.col(id_col).alias("_id"))
+    need = keyed.select(F.floor(F.count(F.lit(1)) * F.lit(float(fraction))).cast("bigint")).scalar()
+    for step in (1, 2):
+        hit = _bucket_of_cut(keyed, step * BUCKET_HEX_DIGITS, need).scalar()
+        keyed = keyed.filter(F.substring("_h", 1, step * BUCKET_HEX_DIGITS) == hit["b"])
+        need = hit["k"]
+    cand = keyed.groupBy("_h", "_id").agg(F.count(F.lit(1)).alias("n"))
+    upto = Window.orderBy("_h", "_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return (
+        cand.withColumn("cum", F.sum("n").over(upto)).filter(F.col("cum") - F.col("n") < need)
         .agg(F.max(F.struct("_h", "_id")).alias("cut"))
-        .collect()[0]["cut"]
     )
-    return (cut["_h"], cut["_id"])
 
 
-def half_sample_flag(
-    df: DataFrame,
-    id_col: str = "match_id",
-    seed: str = "",
-    fraction: float = 0.5,
-    bucket_hex_digits: int = DEFAULT_BUCKET_HEX_DIGITS,
-) -> Column:
+def half_sample_flag(df: DataFrame, id_col: str = "match_id", seed: str = "", fraction: float = 0.5) -> Column:
     """Boolean column: is this row's id in the sample of ``df``."""
-    cut = half_sample_cut(df, id_col, seed, fraction, bucket_hex_digits)
-    if cut is None:
-        return F.lit(False)
-    h, i = cut
-    key = sample_key(id_col, seed)
-    idc = F.col(id_col)
-    return (key < F.lit(h)) | ((key == F.lit(h)) & (idc <= F.lit(i)))
+    cut = half_sample_cut(df, id_col, seed, fraction).scalar()
+    key, i = sample_key(id_col, seed), F.col(id_col)
+    return F.coalesce((key < cut["_h"]) | ((key == cut["_h"]) & (i <= cut["_id"])), F.lit(False))
 
 
 def half_sample(
@@ -94,8 +74,3 @@ def half_sample(
     """Rows of ``df`` whose id is in the exact half sample."""
     return df.filter(half_sample_flag(df, id_col, seed, fraction))
 
-
-def bernoulli_flag(id_col: str = "match_id", seed: int = 0, fraction: float = 0.5) -> Column:
-    """Cheap approximate alternative: each id independently with probability ``fraction``."""
-    u = F.pmod(F.xxhash64(F.lit(seed), F.col(id_col)), F.lit(1_000_000)) / F.lit(1_000_000.0)
-    return u < F.lit(float(fraction))

@@ -13,11 +13,13 @@ from ..operators.views import goals_base_view, load_match_results, result_class_
 from ..schemas import performance_columns
 from ..sources.sinks import write_table
 
+# --- fixed values: columns taken from standings, and of the goals base view ----
 STANDINGS_FEATURES = ("games", "rank")
 GOALS_BASE_COLUMNS = (
     "match_id", "league_id", "match_day", "team_id_1", "team_name_1", "team_id_2", "team_name_2", "home_team", "goals",
 )
 TARGETS = ("goals", "result_class")
+# -----------------------------------------------------------------------------
 
 
 class FeatureBuilder:
@@ -179,6 +181,7 @@ class FeatureBuilder:
             i += 1
         if output_path:
             write_table(base, output_path)
+            return base.sparkSession.read.parquet(output_path)
         return base
 
     def _overridden_view(self, name: str) -> bool:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.normalize import normalize, validate_meta, validate_records
@@ -17,7 +17,7 @@ from ..sources.feed import (
     request_grid,
     skipped_seasons,
 )
-from ..sources.sinks import write_normalized
+from ..sources.sinks import SEASON_PARTITIONS, write_normalized
 
 
 def normalize_seasons(
@@ -33,45 +33,55 @@ def normalize_seasons(
 ) -> DataFrame:
     """Normalise the requested league seasons found under ``feed_path``.
 
-    With the feed's file layout (``layout="array"``, files named
-    ``{league}_{season}.json``) a season is available when its file exists:
-    file names are listed (no content is read), the request grid is matched
-    against them, and only the matching files are read, whole. Other layouts
-    are read completely and filtered on the league and season fields.
+    ``leagues`` and ``seasons`` each restrict the feed on their own; together
+    they are the requested grid. With the feed's file layout
+    (``layout="array"``, files named ``{league}_{season}.json``) a season is
+    available when its file exists: file names are listed (no content is read)
+    and only the matching files are read, whole. Other layouts are read
+    completely and filtered on the league and season fields.
 
     All selected seasons are normalised by one scan and written by one
     partitioned write (``out_root/records/leagueShortcut=../leagueSeason=..``,
-    replacing only those seasons). Returns the requested-but-missing seasons
-    (the "skipped" report).
+    replacing only those seasons). The two season columns are always written,
+    whatever ``meta`` selects. Returns the requested-but-missing seasons (the
+    "skipped" report; empty unless both lists are given).
     """
     validate_records(records)
     cols = validate_meta(meta)
-    requested = leagues is not None and seasons is not None
-    grid = request_grid(spark, leagues, seasons) if requested else None
-    if requested and layout == "array":
+    cols = [*cols, *[c for c in SEASON_PARTITIONS if c not in cols]]
+    nothing = spark.createDataFrame([], "league string, season bigint")
+    grid = request_grid(spark, leagues, seasons) if leagues is not None and seasons is not None else None
+    catalogue = None
+    if layout == "array" and (leagues is not None or seasons is not None):
         catalogue = catalogue_from_files(spark, feed_path)
-        # bounded by the caller's leagues x seasons lists
-        found = available_seasons(grid, catalogue).collect()
+        wanted = catalogue if grid is None else available_seasons(grid, catalogue)
+        if grid is None:
+            wanted = wanted.filter(_selected("league", "season", leagues, seasons))
+        # as many rows as there are season files among those asked for
+        found = wanted.collect()
         if not found:
-            return skipped_seasons(grid, catalogue)
+            return nothing if grid is None else skipped_seasons(grid, catalogue)
         base = feed_path.rstrip("/")
         feed = read_feed(spark, [f"{base}/{r['league']}_{r['season']}.json" for r in found], layout=layout)
-        write_normalized(normalize(feed, records=records, meta=meta, separator=separator), out_root, records)
-        return skipped_seasons(grid, catalogue)
-    feed = read_feed(spark, feed_path, layout=layout)
-    if requested:
-        feed = feed.filter(
-            F.col("leagueShortcut").isin(list(leagues)) & F.col("leagueSeason").isin([int(s) for s in seasons])
-        )
-    out = normalize(feed, records=records, meta=meta, separator=separator)
-    path = write_normalized(out, out_root, records)
-    if not requested:
-        return spark.createDataFrame([], "league string, season bigint")
-    # every match keeps a row (outer explode), so the written table lists every season
-    # found; reading its two season columns avoids parsing the JSON a second time
-    written = spark.read.schema(normalized_schema(records, cols, separator)).parquet(path)
-    if all(c in written.columns for c in ("leagueShortcut", "leagueSeason")):
-        catalogue = feed_catalogue(written.select("leagueShortcut", "leagueSeason"))
     else:
-        catalogue = feed_catalogue(feed)
+        feed = read_feed(spark, feed_path, layout=layout).filter(
+            _selected("leagueShortcut", "leagueSeason", leagues, seasons)
+        )
+    path = write_normalized(normalize(feed, records=records, meta=cols, separator=separator), out_root, records)
+    if grid is None:
+        return nothing
+    if catalogue is None:
+        # every match keeps a row (outer explode), so the written table lists every season
+        # found; reading its two season columns avoids parsing the JSON a second time
+        written = spark.read.schema(normalized_schema(records, cols, separator)).parquet(path)
+        catalogue = feed_catalogue(written.select(*SEASON_PARTITIONS))
     return skipped_seasons(grid, catalogue)
+
+
+def _selected(league: str, season: str, leagues: Sequence[str] | None, seasons: Sequence[int] | None) -> Column:
+    out = F.lit(True)
+    if leagues is not None:
+        out = out & F.col(league).isin(list(leagues))
+    if seasons is not None:
+        out = out & F.col(season).isin([int(s) for s in seasons])
+    return out

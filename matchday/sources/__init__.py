@@ -8,6 +8,7 @@ from .feed import (
     read_feed,
     request_grid,
     scan_records,
+    scan_season_files,
     skipped_seasons,
 )
 from .mappers import league_mapper, read_mapper_csv, team_mapper
@@ -23,6 +24,7 @@ __all__ = [
     "read_mapper_csv",
     "request_grid",
     "scan_records",
+    "scan_season_files",
     "skipped_seasons",
     "team_mapper",
     "write_feed_lines",

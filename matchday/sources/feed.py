@@ -33,19 +33,57 @@ def read_feed(spark: SparkSession, path: str | Sequence[str], layout: str = "arr
     return reader.json(paths)
 
 
+def stream_folders(spark: SparkSession, root: str, records: str) -> list[str]:
+    """The output folders of streams into ``root`` (one for each landing folder)."""
+    jvm = spark.sparkContext._jvm
+    base = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{records}_stream")
+    fs = base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted(f.getPath().toString() for f in fs.listStatus(base)) if fs.exists(base) else []
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def scan_records(
     spark: SparkSession, root: str, records: str = "matchResults", separator: str = "."
 ) -> DataFrame:
-    """All seasons of one record kind written by :func:`write_normalized` (one scan).
+    """All seasons of one record kind written by :func:`write_normalized` or by streams below ``root``.
 
     The schema is declared, so partition columns keep their feed types and
-    filters on league/season prune whole directories.
+    filters on league/season prune whole directories. A season that was
+    written in batch replaces its streamed rows.
     """
     validate_records(records)
     schema = normalized_schema(records, separator=separator)
-    df = spark.read.schema(schema).parquet(f"{root.rstrip('/')}/{records}")
     # partition columns come last from the reader; restore the declared order
-    return df.select(*[F.col(f"`{f.name}`") for f in schema.fields])
+    columns = [F.col(f"`{f.name}`") for f in schema.fields]
+    path = f"{root.rstrip('/')}/{records}"
+    streams = stream_folders(spark, root, records)
+    batch = spark.read.schema(schema).parquet(path).select(*columns) if not streams or _exists(spark, path) else None
+    streamed = None
+    for folder in streams:
+        one = spark.read.schema(schema).parquet(folder).select(*columns)
+        streamed = one if streamed is None else streamed.unionByName(one)
+    if streamed is None:
+        return batch
+    if batch is None:
+        return streamed
+    done = batch.select("leagueShortcut", "leagueSeason").distinct()
+    return batch.unionByName(streamed.join(done, ["leagueShortcut", "leagueSeason"], "left_anti").select(*columns))
+
+
+def scan_season_files(
+    spark: SparkSession, path: str, records: str = "matchResults", separator: str = "."
+) -> DataFrame:
+    """All season files of one record kind in one folder, named ``{league}_{season}_{records}.parquet``.
+
+    The cleaned table of the folder (``{records}_clean.parquet``) does not end alike and is not read.
+    """
+    validate_records(records)
+    schema = normalized_schema(records, separator=separator)
+    return spark.read.schema(schema).parquet(f"{path.rstrip('/')}/*{records}.parquet")
 
 
 def feed_catalogue(feed: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..operators.normalize import validate_records
 
@@ -15,7 +16,13 @@ def write_table(
     df: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] | None = None
 ) -> None:
     """Write Parquet. A partitioned overwrite replaces only the partitions present in ``df``
-    (dynamic partition overwrite), so other seasons already written stay untouched."""
+    (dynamic partition overwrite), so other seasons already written stay untouched.
+
+    Rows are first rebalanced on the partition columns: each partition is written by one task, a large one by several
+    (AQE splits it at the advisory size), instead of one file from every task.
+    """
+    if partition_by:
+        df = df.hint("rebalance", *[F.col(f"`{c}`") for c in partition_by])
     w = df.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
@@ -32,15 +39,14 @@ def write_normalized(
     """Write a normalised record table below ``root/records``, one directory per league season.
 
     Re-running for some seasons replaces just those seasons' directories, like
-    rewriting one file per season. Partitioning is skipped when the meta
-    projection left the season columns out. Returns the written path.
+    rewriting one file per season; so ``df`` must hold the partition columns.
+    Returns the written path.
     """
     validate_records(records)
     path = f"{root.rstrip('/')}/{records}"
-    parts = [p for p in partition_by if p in df.columns]
-    if len(parts) != len(partition_by):
-        parts = []
-    write_table(df, path, mode=mode, partition_by=parts or None)
+    if missing := [p for p in partition_by if p not in df.columns]:
+        raise ValueError(f"{missing} are needed to tell seasons apart; a write without them would replace every season")
+    write_table(df, path, mode=mode, partition_by=list(partition_by) or None)
     return path
 
 

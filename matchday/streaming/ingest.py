@@ -11,6 +11,7 @@ ingestion); ``trigger="continuous-poll"`` keeps polling at ``interval``.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +19,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.normalize import normalize, validate_meta, validate_records
 from ..schemas import FEED_SCHEMA
-from ..session import checkpoint_root
 from ..sources.sinks import SEASON_PARTITIONS
 
 
@@ -48,23 +48,26 @@ def normalize_stream(
     trigger: str = "availableNow",
     interval: str = "1 minute",
 ) -> StreamingQuery:
-    """Start a query that appends newly landed matches, normalised, to ``out_root/records``.
+    """Start a query that appends newly landed matches, normalised, below ``out_root``.
 
-    The checkpoint defaults to a folder below the session's checkpoint root, so
-    a restarted query resumes where it stopped.
+    Each landing folder has its own output folder (``out_root/{records}_stream/..``) and, unless ``checkpoint`` is
+    given, its own checkpoint (``out_root/_checkpoints/..``). Both follow from the two folders alone, so a query that is
+    started again in another session resumes where the last one stopped. Batch writes go to other folders:
+    :func:`~matchday.sources.feed.scan_records` reads both. The two season columns are always written.
     """
     validate_records(records)
     cols = validate_meta(meta)
-    out = normalize(feed_stream(spark, landing_dir, layout), records=records, meta=meta, separator=separator)
-    ckpt = checkpoint or f"{checkpoint_root(spark).rstrip('/')}/stream-{records}"
+    cols = [*cols, *[c for c in SEASON_PARTITIONS if c not in cols]]
+    out = normalize(feed_stream(spark, landing_dir, layout), records=records, meta=cols, separator=separator)
+    name = hashlib.md5(landing_dir.rstrip("/").encode()).hexdigest()[:12]
+    root = out_root.rstrip("/")
+    ckpt = checkpoint or f"{root}/_checkpoints/{records}-{name}"
     writer = out.writeStream.format("parquet").option("checkpointLocation", ckpt).outputMode("append")
-    parts = [p for p in SEASON_PARTITIONS if p in cols]
-    if len(parts) == len(SEASON_PARTITIONS):
-        writer = writer.partitionBy(*parts)
+    writer = writer.partitionBy(*SEASON_PARTITIONS)
     if trigger == "availableNow":
         writer = writer.trigger(availableNow=True)
     elif trigger == "continuous-poll":
         writer = writer.trigger(processingTime=interval)
     else:
         raise ValueError("trigger must be 'availableNow' or 'continuous-poll'")
-    return writer.start(f"{out_root.rstrip('/')}/{records}")
+    return writer.start(f"{root}/{records}_stream/{name}")

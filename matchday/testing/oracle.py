@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from ..functions.features import DEFAULT_FEATURES
 from ..schemas import META_COLUMNS, PERFORMANCE_METRICS, meta_name
-from ..sources.mappers import LEAGUE_MAPPER_CSV
+from ..sources.mappers import LEAGUE_MAPPER_CSV, TEAM_MAPPER_CSV
 from ..sources.testdata import (
     DEVIANCE_COLUMNS,
     FINAL_RESULT,
@@ -275,12 +275,17 @@ GOALS_SQL = f"SELECT {', '.join(GOAL_COLUMNS)}, l_orderkey FROM lineitem"
 GOAL_KEYS = [c.rsplit(" AS ", 1)[1] for c in GOAL_COLUMNS]
 
 
-def _sizes_select() -> str:
-    return (
-        f"SELECT {_meta_select('m.')}, CAST(CASE WHEN m.has_result THEN 2 ELSE 0 END AS INTEGER) AS n_results, "
-        "CAST(COALESCE(g.n, 0) AS INTEGER) AS n_goals FROM m "
-        "LEFT JOIN (SELECT l_orderkey, COUNT(*) AS n FROM lineitem GROUP BY l_orderkey) g ON m.matchID = g.l_orderkey"
-    )
+def _raw_goals() -> str:
+    """All values of the goal objects as the feed holds them, both spellings of the own-goal flag included."""
+    whole = ("goalID", "scoreTeam1", "scoreTeam2", "matchMinute", "goalGetterID")
+    cols = ", ".join(f"CAST(g.{k} AS BIGINT) AS {k}" if k in whole else f"g.{k}" for k in GOAL_KEYS)
+    return f"{_with(M)}, g AS ({GOALS_SQL}) SELECT {_meta_select('m.')}, {cols} FROM m LEFT JOIN g ON m.matchID = g.l_orderkey"
+
+
+def _default_teams_sql() -> str:
+    rows = [line.rsplit(",", 2) for line in TEAM_MAPPER_CSV.strip().splitlines()[1:]]
+    values = ", ".join(f"({a}, {b})" for _, a, b in rows)
+    return f"SELECT CAST(a AS BIGINT) AS team_id_raw, CAST(b AS BIGINT) AS team_id_unique FROM (VALUES {values}) t(a, b)"
 
 
 def _goal_rows() -> str:
@@ -327,11 +332,18 @@ def oracle_sql() -> dict[str, str]:
     )
     rec_cols = "resultID, resultName, pointsTeam1, pointsTeam2, resultOrderID, resultTypeID, resultDescription"
     q = {}
-    q["scan_match_feed"] = f"{_with(M)} {_sizes_select()}"
-    q["flatten_feed"] = q["scan_match_feed"]
+    q["scan_match_feed"] = _raw_goals()
     q["scan_records_glob"] = f"{_with(M, RES)} SELECT * FROM res"
     q["normalize_match_results"] = q["scan_records_glob"]
-    q["stream_match_results"] = q["scan_records_glob"]
+    for same in ("stream_match_results", "flatten_feed", "scan_feed_arrays", "scan_season_files"):
+        q[same] = q["scan_records_glob"]
+    q["normalize_seasons"] = (
+        f"{_with(M, RES)}, {_grid_sql()} SELECT matchID, leagueShortcut, leagueSeason, "
+        f"CASE WHEN CAST(substr(leagueShortcut, 2) AS INTEGER) < {len(REQUEST_LEAGUES) // 2} "
+        f"AND NOT {'team1.teamId' in META_SUBSET} THEN NULL ELSE team1_teamId END AS team1_teamId, "
+        "resultID, resultName, pointsTeam1, pointsTeam2 FROM res "
+        "WHERE EXISTS (SELECT 1 FROM grid g WHERE g.league = leagueShortcut AND g.season = leagueSeason)"
+    )
     q["normalize_goals"] = _goal_rows()
     q["normalize_meta_subset"] = f"{_with(M, RES)} SELECT {sub_sel}, {rec_cols} FROM res"
     q["request_grid"] = (
@@ -362,6 +374,12 @@ def oracle_sql() -> dict[str, str]:
         "t1.team_id_unique AS team_id_unique_1, t2.team_id_unique AS team_id_unique_2 FROM res r "
         "LEFT JOIN tm t1 ON r.team1_teamId = t1.team_id_raw LEFT JOIN tm t2 ON r.team2_teamId = t2.team_id_raw"
     )
+    default_teams = f"tm AS ({_default_teams_sql()})"
+    q["conform_teams_csv"] = (
+        f"{_with(M, RES, default_teams)} SELECT r.matchID, r.resultID, r.team1_teamId, r.team2_teamId, "
+        "t1.team_id_unique AS team_id_unique_1, t2.team_id_unique AS team_id_unique_2 FROM res r "
+        "LEFT JOIN tm t1 ON r.team1_teamId = t1.team_id_raw LEFT JOIN tm t2 ON r.team2_teamId = t2.team_id_raw"
+    )
     q["unmapped_teams"] = (
         f"{_with(M, RES, TM)} SELECT s.team_id_raw, MIN(s.team_name) AS team_name, COUNT(*) AS n_rows FROM ("
         "SELECT team1_teamId AS team_id_raw, team1_teamName AS team_name FROM res "
@@ -370,6 +388,11 @@ def oracle_sql() -> dict[str, str]:
         "GROUP BY s.team_id_raw"
     )
     q["clean_matches"] = f"{_with(M, RES, LM, TM)} {_clean_sql()}"
+    q["clean_sink"] = q["clean_matches"]
+    q["suffix_rename"] = (
+        f"{_with(M, RES, LM, TM, CM)} SELECT match_id, result_name, match_day AS match_day_1, "
+        "goals_team_1 AS goals_team_1_1, goals_team_2 AS goals_team_2_1, league_id AS league_id_1 FROM cm"
+    )
     q["clean_feature_subset"] = f"{_with(M, RES, LM, TM)} {_clean_sql(FEATURE_SUBSET)}"
     q["goals_features"] = (
         f"{_with(M, RES, LM, TM)} "
@@ -401,7 +424,8 @@ def oracle_sql() -> dict[str, str]:
         tv = f"tv AS ({_team_view_sql(cls)})"
         q[f"standings_{cls}"] = f"{_with(*BASE_CLEAN, tv)} {_standings_sql('tv')}"
     q["performance_overall"] = f"{_with(*BASE_CLEAN, TVO, PF)} SELECT * FROM pf"
-    q["standings_hot"], q["performance_hot"] = q["standings_overall"], q["performance_overall"]
+    for same in ("hot", "sink"):
+        q[f"standings_{same}"], q[f"performance_{same}"] = q["standings_overall"], q["performance_overall"]
     q["performance_home_away"] = (
         f"{_with(*BASE_CLEAN, TVO)} {_performance_sql('league_id, team_id, home_team', 'tvo')}"
     )

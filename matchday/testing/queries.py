@@ -19,10 +19,13 @@ from ..operators.normalize import seasons_without_records as _seasons_without_re
 from ..operators.panels import STANDINGS_KEYS, running_totals
 from ..operators.sampling import half_sample
 from ..operators.views import goals_base_view, load_match_results, result_class_base_view, team_view
+from ..functions.features import suffix_alias
 from ..functions.predicates import not_excluded_league
 from ..functions.scoring import tip_score
 from ..plans.features import FeatureBuilder
-from ..plans.tables import performance, standings
+from ..plans.cleaning import clean_records
+from ..plans.ingest import normalize_seasons
+from ..plans.tables import create_performance, create_standings, performance, standings
 from ..schemas import META_COLUMNS, PERFORMANCE_METRICS, meta_name
 from ..session import materialize, scratch_path
 from ..sources import mappers, testdata
@@ -33,6 +36,7 @@ from ..sources.feed import (
     read_feed,
     request_grid,
     scan_records,
+    scan_season_files,
     skipped_seasons as _skipped,
 )
 from ..sources.sinks import write_feed_lines, write_normalized
@@ -71,12 +75,9 @@ def _clean_table(spark: SparkSession, sf: str) -> DataFrame:
     return materialize(_clean(spark, sf), "clean-matches")
 
 
-def _with_sizes(df: DataFrame) -> DataFrame:
-    def n(c: str):
-        s = F.coalesce(F.size(c), F.lit(0))
-        return F.when(s < 0, F.lit(0)).otherwise(s).cast("int")
-
-    return df.select(*[F.col(f"`{c}`") for c in META], n("matchResults").alias("n_results"), n("goals").alias("n_goals"))
+def _with_elements(df: DataFrame, records: str) -> DataFrame:
+    """The kept record list of flattened matches, one row per element with all its values."""
+    return df.select(*[F.col(f"`{c}`") for c in META], F.inline_outer(records))
 
 
 # --- sources ------------------------------------------------------------------
@@ -84,7 +85,28 @@ def scan_match_feed(spark, sf):
     """Write the feed as JSON Lines, scan it back with the declared schema."""
     path = scratch_path(spark, "feed-json")
     write_feed_lines(_feed(spark, sf, goals=True), path)
-    return _with_sizes(flatten(read_feed(spark, path, layout="lines"), separator=SEP))
+    return _with_elements(flatten(read_feed(spark, path, layout="lines"), separator=SEP), "goals")
+
+
+def scan_feed_arrays(spark, sf):
+    """One JSON array per league season, scanned as the feed serves it."""
+    path = scratch_path(spark, "feed-arrays")
+    feed = _feed(spark, sf)
+    seasons = feed.groupBy("leagueShortcut", "leagueSeason").agg(F.collect_list(F.struct(*feed.columns)).alias("m"))
+    seasons.select(
+        F.concat_ws("_", "leagueShortcut", "leagueSeason").alias("season"), F.to_json("m").alias("value")
+    ).write.partitionBy("season").text(path)
+    return _with_elements(flatten(read_feed(spark, path, layout="array"), separator=SEP), "matchResults")
+
+
+def scan_season_files_q(spark, sf):
+    """Season files named by league, season and record kind in one folder."""
+    root = scratch_path(spark, "season-files")
+    records = _records(spark, sf)
+    for odd in (0, 1):
+        records.filter(F.col("leagueSeason") % 2 == odd).write.parquet(f"{root}/all_{odd}_matchResults.parquet")
+    records.limit(0).write.parquet(f"{root}/matchResults_clean.parquet")
+    return scan_season_files(spark, root, "matchResults", separator=SEP)
 
 
 def scan_records_glob(spark, sf):
@@ -107,9 +129,7 @@ def stream_match_results(spark, sf):
     landing = scratch_path(spark, "landing")
     out_root = scratch_path(spark, "streamed")
     write_feed_lines(_feed(spark, sf), landing)
-    q = normalize_stream(
-        spark, landing, out_root, separator=SEP, layout="lines", checkpoint=scratch_path(spark, "stream-ckpt")
-    )
+    q = normalize_stream(spark, landing, out_root, separator=SEP, layout="lines")
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(f"streaming ingest failed: {q.exception()}")
@@ -128,7 +148,18 @@ def skipped_seasons(spark, sf):
 
 # --- normalisation ------------------------------------------------------------
 def flatten_feed(spark, sf):
-    return _with_sizes(flatten(_feed(spark, sf, goals=True), separator=SEP))
+    return _with_elements(flatten(_feed(spark, sf), separator=SEP), "matchResults")
+
+
+def normalize_seasons_q(spark, sf):
+    """The many-season driver on a feed folder, by two calls with another meta list each."""
+    feed, out = scratch_path(spark, "feed-json"), scratch_path(spark, "seasons")
+    write_feed_lines(_feed(spark, sf), feed)
+    half = len(REQUEST_LEAGUES) // 2
+    for leagues, meta in ((REQUEST_LEAGUES[:half], META_SUBSET), (REQUEST_LEAGUES[half:], "all")):
+        normalize_seasons(spark, feed, out, leagues, REQUEST_SEASONS, meta=meta, layout="lines", separator=SEP)
+    back = scan_records(spark, out, "matchResults", separator=SEP)
+    return back.select("matchID", "leagueShortcut", "leagueSeason", "team1_teamId", "resultID", "resultName", "pointsTeam1", "pointsTeam2")
 
 
 def normalize_match_results(spark, sf):
@@ -162,6 +193,15 @@ def conform_teams_q(spark, sf):
     return out.select("matchID", "resultID", "team1_teamId", "team2_teamId", "team_id_unique_1", "team_id_unique_2")
 
 
+def conform_teams_csv(spark, sf):
+    """The default 95-row team mapper, read from its CSV file."""
+    path = scratch_path(spark, "team-mapper")
+    lines = mappers.TEAM_MAPPER_CSV.strip().splitlines()
+    spark.createDataFrame([(i, x) for i, x in enumerate(lines)], "i int, value string").orderBy("i").coalesce(1).select("value").write.text(path)
+    out = conform_teams(_records(spark, sf), mappers.read_mapper_csv(spark, path, "team"), separator=SEP)
+    return out.select("matchID", "resultID", "team1_teamId", "team2_teamId", "team_id_unique_1", "team_id_unique_2")
+
+
 def unmapped_teams_q(spark, sf):
     return unmapped_teams(_records(spark, sf), testdata.team_mapper(spark), separator=SEP)
 
@@ -170,6 +210,20 @@ def clean_matches(spark, sf):
     return _clean(spark, sf)
 
 
+def clean_sink(spark, sf):
+    """Season folders in, the written clean table out."""
+    root, path = scratch_path(spark, "records"), scratch_path(spark, "clean")
+    write_normalized(_records(spark, sf), root, "matchResults")
+    clean_records(spark, root, path, team_mapper=testdata.team_mapper(spark), separator=SEP)
+    return spark.read.parquet(path)
+
+
+def suffix_rename(spark, sf):
+    """The suffix that the feature joins give to a team's columns."""
+    names = ["match_day", "goals_team_1", "goals_team_2"]
+    return _clean(spark, sf).select("match_id", "result_name", *suffix_alias(names, "_1"), suffix_alias("league_id", "_1"))
+
+
 def clean_feature_subset(spark, sf):
     return _clean(spark, sf, features=FEATURE_SUBSET)
 
@@ -266,6 +320,22 @@ def performance_home_away(spark, sf):
     return performance(_clean_table(spark, sf), "home_away")
 
 
+def _written(spark, sf, create) -> DataFrame:
+    matches, out = scratch_path(spark, "clean-matches"), scratch_path(spark, "table")
+    _clean(spark, sf).write.parquet(matches)
+    create(spark, matches, out)
+    return spark.read.parquet(out)
+
+
+def standings_sink(spark, sf):
+    """The path-level wrapper, from a written clean table to written standings."""
+    return _written(spark, sf, create_standings)
+
+
+def performance_sink(spark, sf):
+    return _written(spark, sf, create_performance)
+
+
 # A threshold that the null panels and most match days of the test feed exceed: the split path, checked like the plain one.
 LOW_HOT_ROWS = 12
 
@@ -341,6 +411,14 @@ def multi_poisson_deviance(spark, sf):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_match_feed": scan_match_feed,
     "scan_records_glob": scan_records_glob,
+    "scan_feed_arrays": scan_feed_arrays,
+    "scan_season_files": scan_season_files_q,
+    "normalize_seasons": normalize_seasons_q,
+    "conform_teams_csv": conform_teams_csv,
+    "clean_sink": clean_sink,
+    "suffix_rename": suffix_rename,
+    "standings_sink": standings_sink,
+    "performance_sink": performance_sink,
     "stream_match_results": stream_match_results,
     "request_grid": request_grid_q,
     "available_seasons": available_seasons,

@@ -89,3 +89,52 @@ def test_positional_result_path_order(spark, tmp_dir):
     got = FeatureBuilder(spark).get_features(m, out, {"overall_standings": standings(m)}, "result_class")
     assert got.count() == len(GAMES) and "rank_diff" in got.columns
     assert spark.read.parquet(out).count() == len(GAMES)
+
+
+def _three_leagues(tmp_dir):
+    feed_dir = os.path.join(tmp_dir, "feed")
+    os.makedirs(feed_dir)
+    for i, league in enumerate(("a", "b", "c")):
+        _write(feed_dir, f"{league}_2023.json", [_match(i, [FINAL], leagueShortcut=league)])
+    return feed_dir, os.path.join(tmp_dir, "data")
+
+
+def test_a_meta_subset_keeps_other_seasons(spark, tmp_dir):
+    from matchday.sources import scan_records
+
+    feed_dir, out = _three_leagues(tmp_dir)
+    for league in ("a", "b"):
+        normalize_seasons(spark, feed_dir, out, leagues=[league], seasons=[2023], meta=["matchID"])
+    assert sorted(r[0] for r in scan_records(spark, out).select("matchID").collect()) == [0, 1]
+
+
+def test_one_list_alone_filters(spark, tmp_dir):
+    from matchday.sources import scan_records
+
+    feed_dir, out = _three_leagues(tmp_dir)
+    assert normalize_seasons(spark, feed_dir, out, leagues=["a"]).count() == 0
+    assert [r[0] for r in scan_records(spark, out).select("matchID").collect()] == [0]
+    normalize_seasons(spark, feed_dir, out, seasons=[1999])
+    assert scan_records(spark, out).count() == 1
+
+
+def test_files_per_season_are_bounded(spark, tmp_dir):
+    from matchday.operators.normalize import normalize
+    from matchday.sources import read_feed, write_normalized
+
+    feed_dir, out = _three_leagues(tmp_dir)
+    many = normalize(read_feed(spark, feed_dir)).crossJoin(spark.range(400).select()).repartition(40)
+    write_normalized(many, out)
+    files = [f for f in spark.read.parquet(os.path.join(out, "matchResults")).inputFiles()]
+    assert len(files) == 3
+
+
+def test_season_files_of_one_folder(spark, tmp_dir):
+    from matchday.operators.normalize import normalize
+    from matchday.sources import read_feed, scan_season_files
+
+    feed_dir, out = _three_leagues(tmp_dir)
+    rows = normalize(read_feed(spark, feed_dir))
+    rows.write.parquet(os.path.join(out, "x_2023_matchResults.parquet"))
+    rows.write.parquet(os.path.join(out, "matchResults_clean.parquet"))
+    assert scan_season_files(spark, out).count() == rows.count() == 3

@@ -107,14 +107,3 @@ def test_result_class_base_view_mirrors_half(spark):
     twice = result_class_base_view(v.withColumn("league_name", F.lit(None)), mirrored=F.col("home_team") == 0)
     back = {r.match_id: (r.team_id_1, r.goals_diff, r.result_class) for r in twice.collect()}
     assert back == {k: (o.team_id_1, o.goals_diff, o.result_class) for k, o in orig.items()}
-
-
-def test_bernoulli_flag_is_an_alternative_sample(spark):
-    from matchday.operators.sampling import bernoulli_flag
-
-    ids = spark.range(0, 20000).withColumnRenamed("id", "match_id")
-    n = ids.filter(bernoulli_flag("match_id", seed=3)).count()
-    assert 9000 < n < 11000  # approximate half, independent per id
-    m = clean_rows(spark, GAMES)
-    v = result_class_base_view(m, mirrored=bernoulli_flag("match_id", seed=3))
-    assert v.count() == len(GAMES)
