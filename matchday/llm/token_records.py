@@ -30,13 +30,13 @@ from pyspark.sql.window import Window
 
 from matchday.llm.scratch import importable, written
 from matchday.llm.tables import table
-from matchday.llm.words import chunks, encoded, split_words
+from matchday.llm.words import IdPool, chunks, encoded, split_words
 from matchday.session import scratch_path
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
 #: Distinct letter runs that a Python worker remembers.
-MEMORY = 1 << 19
+MEMORY = 1 << 18
 _HEAD, _SUM, _DOC = struct.Struct("<Q"), struct.Struct("<I"), struct.Struct("<BBq")
 #: Words of Latin letters and ASCII punctuation without the apostrophe: the tokenizer parts the two and lower-cases each letter.
 _SIMPLE = r"^[A-Za-zÀ-ÖØ-öø-ÿ]+[!-&(-/:-@\[-`{-~]*$"
@@ -62,29 +62,28 @@ class Units:
         self._clear()
 
     def _clear(self) -> None:
-        self._at: dict[str, int] = {"": 0}
-        self._lists: list[np.ndarray] = [np.zeros(0, np.uint32)]
+        self._pool = IdPool()
+        self._pool.add("", ())
 
     def of(self, simple: list[str], other: list[str]) -> tuple[pa.LargeListArray, np.ndarray, np.ndarray]:
         """A pool of id lists, and the places in it of the simple strings (one pre-token each) and of the others."""
-        if len(self._at) > MEMORY:
+        if len(self._pool.at) > MEMORY:
             self._clear()
-        at, lists = self._at, self._lists
+        pool, at = self._pool, self._pool.at
         new = list(dict.fromkeys(x for x in simple if x not in at))
-        if new:
-            ids = [np.array(e.ids, np.uint32) for e in self._tokenizer.encode_batch_fast(
-                [" ".join(new[i : i + 1000]) for i in range(0, len(new), 1000)], add_special_tokens=False)]
-            flat = np.concatenate(ids)
-            for x, part in zip(new, np.split(flat, np.flatnonzero(self._ends[flat])[:-1] + 1), strict=True):
-                at[x] = len(lists)
-                lists.append(part)
+        for i in range(0, len(new), 1000):
+            some = new[i : i + 1000]
+            ids = self._tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids
+            begin = 0
+            for x, end in zip(some, (np.flatnonzero(self._ends[ids]) + 1).tolist(), strict=True):
+                pool.add(x, ids[begin:end])
+                begin = end
         strange = list(dict.fromkeys(x for x in other if x not in at))
-        for x, e in zip(strange, self._tokenizer.encode_batch_fast(strange, add_special_tokens=False), strict=True):
-            at[x] = len(lists)
-            lists.append(np.array(e.ids, np.uint32))
-        ends = np.concatenate([[0], np.cumsum([len(x) for x in lists])])
-        pool = pa.LargeListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(lists)))
-        return pool, np.array([at[x] for x in simple], np.int64), np.array([at[x] for x in other], np.int64)
+        for i in range(0, len(strange), 1000):
+            some = strange[i : i + 1000]
+            for x, e in zip(some, self._tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
+                pool.add(x, e.ids)
+        return pool.lists(), np.array([at[x] for x in simple], np.int64), np.array([at[x] for x in other], np.int64)
 
 
 _UNITS: dict[str, Units] = {}
@@ -122,7 +121,7 @@ def encode_texts(texts: pa.LargeStringArray, path: str, end_id: int | None = END
     n = np.diff(np.concatenate([[0], text_ends]))
     if end_id is None:
         return ids, n
-    return np.insert(ids, text_ends, np.uint32(end_id)), n + 1
+    return np.insert(ids, text_ends, end_id), n + 1
 
 
 def _file_system(uri: str) -> tuple[pafs.FileSystem, str]:

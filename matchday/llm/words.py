@@ -7,6 +7,9 @@ and run, and different ones collide with probability 2**-64 a pair.
 
 from __future__ import annotations
 
+from array import array
+from collections.abc import Iterable
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -22,6 +25,9 @@ def texts_of(column) -> pa.LargeStringArray:
     """A string column of a batch, null as the empty text, with 64-bit offsets."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
+    if column.offset:
+        # a copy whose values begin at 0: some kernels of pyarrow take a cast slice's first offset for 0
+        column = pa.concat_arrays([column, column.slice(0, 0)])
     return pc.fill_null(column.cast(pa.large_string()), "")
 
 
@@ -107,7 +113,7 @@ def long_lists(values: np.ndarray, counts: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(at), pa.array(np.ascontiguousarray(values).view(np.int64)))
 
 
-def chunks(batches, column: str, most: int = 16 << 20):
+def chunks(batches, column: str, most: int = 8 << 20):
     """Slices of the batches whose texts hold ``most`` bytes at most (a longer text is a slice of its own).
 
     Yields the slice and its texts; memory follows ``most`` and the longest text, not the number of rows in a batch.
@@ -121,3 +127,23 @@ def chunks(batches, column: str, most: int = 16 << 20):
             end = max(at + 1, int(np.searchsorted(ends, full, side="right")))
             yield batch.slice(at, end - at), texts.slice(at, end - at)
             at = end
+
+
+class IdPool:
+    """Lists of ids by string, packed."""
+
+    def __init__(self):
+        self.at: dict[str, int] = {}
+        self._ids, self._ends = array("i"), array("q", [0])
+
+    def add(self, key: str, ids: Iterable[int]) -> int:
+        self._ids.extend(ids)
+        self._ends.append(len(self._ids))
+        self.at[key] = len(self._ends) - 2
+        return self.at[key]
+
+    def get(self, place: int) -> array:
+        return self._ids[self._ends[place] : self._ends[place + 1]]
+
+    def lists(self) -> pa.LargeListArray:
+        return pa.LargeListArray.from_arrays(pa.array(np.array(self._ends)), pa.array(np.array(self._ids)))
