@@ -76,27 +76,56 @@ def running_avg(col: str, w: WindowSpec, games: str = "games") -> Column:
     )
 
 
-def running_totals(
+def panel_stats(
     view: DataFrame,
-    keys: Sequence[str] = ("league_id", "team_id"),
-    metrics: Sequence[str] = PANEL_METRICS,
-    carry: Sequence[str] = STANDINGS_KEYS,
+    keys: Sequence[str],
+    carry: Sequence[str],
+    totals: Sequence[str] = (),
+    forms: Sequence[str] = (),
+    windows: Sequence[int] = (3, 5),
     order: Sequence[str] = PANEL_ORDER,
     hot_threshold: int | None = DEFAULT_HOT_ROWS,
+    games: str = "games",
 ) -> DataFrame:
-    """Running totals of each metric per panel (the league table after each game).
+    """``carry``, the running totals (named as the metric) and the form statistics of one panel, from one window.
 
-    Panels with more than ``hot_threshold`` rows are computed by the exact
-    distributed prefix sum of :mod:`~matchday.operators.skew` instead of one
-    window task; ``None`` skips the check.
+    Panels with more than ``hot_threshold`` rows are computed by the exact prefix sums of
+    :mod:`~matchday.operators.skew` instead of one window task; ``None`` skips the check.
     """
     w = panel_window(keys, order)
     cold, hot = split_hot(view, keys, hot_threshold)
-    out = cold.select(*carry, *[running_sum(m, w).alias(m) for m in metrics])
+    cols = [running_sum(m, w).alias(m) for m in totals]
+    for m in forms:
+        cols += [rolling_sum(m, w, n).alias(f"{m}_last_{n}_games") for n in windows]
+        cols.append(running_avg(m, w, games).alias(f"{m}_avg"))
+    out = cold.select(*carry, *cols)
     if hot is None:
         return out
-    ps = prefix_sums(hot, keys, order, metrics)
-    return out.unionByName(ps.select(*carry, *[cum_value(m).cast("bigint").alias(m) for m in metrics]))
+    needed = list(dict.fromkeys([*totals, *forms, *([games] if forms else [])]))
+    ps = prefix_sums(hot, keys, order, needed)
+    for n in windows if forms else ():
+        ps = lagged(ps, keys, n, [f"_{kind}_{m}" for kind in ("cum", "nn") for m in forms])
+    cols = [cum_value(m).cast("bigint").alias(m) for m in totals]
+    for m in forms:
+        for n in windows:
+            enough = (F.col(f"_nn_{m}") - F.col(f"_nn_{m}_lag{n}")) >= F.lit(n)
+            cols.append(
+                F.when(enough, F.col(f"_cum_{m}") - F.col(f"_cum_{m}_lag{n}")).cast("bigint").alias(f"{m}_last_{n}_games")
+            )
+        cols.append(F.try_divide(cum_value(m).cast("double"), cum_value(games).cast("double")).alias(f"{m}_avg"))
+    return out.unionByName(ps.select(*carry, *cols))
+
+
+def running_totals(
+    view: DataFrame,
+    keys: Sequence[str] = ("league_id", "team_id"),
+    metrics: Sequence[str] = PANEL_METRICS,
+    carry: Sequence[str] = STANDINGS_KEYS,
+    order: Sequence[str] = PANEL_ORDER,
+    hot_threshold: int | None = DEFAULT_HOT_ROWS,
+) -> DataFrame:
+    """Running totals of each metric per panel (the league table after each game)."""
+    return panel_stats(view, keys, carry, totals=metrics, order=order, hot_threshold=hot_threshold)
 
 
 def table_rank(
@@ -141,28 +170,4 @@ def performance_stats(
 ) -> DataFrame:
     """Rolling sums over the last 3 and 5 games and running averages per panel."""
     keys = panel_classes(performance_class)
-    w = panel_window(keys, order)
-    cold, hot = split_hot(view, keys, hot_threshold)
-    cols = []
-    for m in metrics:
-        cols += [rolling_sum(m, w, n).alias(f"{m}_last_{n}_games") for n in windows]
-        cols.append(running_avg(m, w, games).alias(f"{m}_avg"))
-    out = cold.select(*carry, *cols)
-    if hot is None:
-        return out
-    needed = list(dict.fromkeys([*metrics, games]))
-    ps = prefix_sums(hot, keys, order, needed)
-    tracked = [f"_cum_{m}" for m in metrics] + [f"_nn_{m}" for m in metrics]
-    for n in windows:
-        ps = lagged(ps, keys, n, tracked)
-    hot_cols = []
-    for m in metrics:
-        for n in windows:
-            enough = (F.col(f"_nn_{m}") - F.col(f"_nn_{m}_lag{n}")) >= F.lit(n)
-            hot_cols.append(
-                F.when(enough, F.col(f"_cum_{m}") - F.col(f"_cum_{m}_lag{n}")).cast("bigint").alias(f"{m}_last_{n}_games")
-            )
-        hot_cols.append(
-            F.try_divide(cum_value(m).cast("double"), cum_value(games).cast("double")).alias(f"{m}_avg")
-        )
-    return out.unionByName(ps.select(*carry, *hot_cols))
+    return panel_stats(view, keys, carry, forms=metrics, windows=windows, order=order, hot_threshold=hot_threshold, games=games)

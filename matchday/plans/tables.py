@@ -4,9 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.panels import performance_stats, running_totals, table_rank
+from ..operators.panels import (
+    PERFORMANCE_KEYS,
+    STANDINGS_KEYS,
+    panel_classes,
+    panel_stats,
+    performance_stats,
+    running_totals,
+    table_rank,
+)
 from ..operators.skew import DEFAULT_HOT_ROWS
 from ..operators.views import load_match_results, team_view
+from ..schemas import PANEL_METRICS, PERFORMANCE_METRICS, performance_columns
+from ..session import materialize
 from ..sources.sinks import write_table
 
 
@@ -36,6 +46,21 @@ def performance(
     return performance_stats(view, performance_class, hot_threshold=hot_threshold)
 
 
+def team_tables(matches: DataFrame, hot_threshold: int | None = DEFAULT_HOT_ROWS) -> tuple[DataFrame, DataFrame]:
+    """(standings, performance) of class "overall", from one window over the panels.
+
+    The statistics are written once below ``spark.checkpoint.dir``; the ranks and both tables read them there.
+    """
+    view = team_view(load_match_results(matches), "overall")
+    carry = list(dict.fromkeys([*STANDINGS_KEYS, *PERFORMANCE_KEYS]))
+    stats = materialize(
+        panel_stats(view, panel_classes("overall"), carry, PANEL_METRICS, PERFORMANCE_METRICS, hot_threshold=hot_threshold),
+        "team-stats",
+    )
+    table = table_rank(stats.select(*STANDINGS_KEYS, *PANEL_METRICS), hot_threshold=hot_threshold)
+    return table, stats.select(*PERFORMANCE_KEYS, *performance_columns())
+
+
 def create_standings(
     spark: SparkSession, match_results_path: str, standings_path: str, standings_class: str = "overall"
 ) -> None:

@@ -25,7 +25,7 @@ from ..functions.scoring import tip_score
 from ..plans.features import FeatureBuilder
 from ..plans.cleaning import clean_records
 from ..plans.ingest import normalize_seasons
-from ..plans.tables import create_performance, create_standings, performance, standings
+from ..plans.tables import create_performance, create_standings, performance, standings, team_tables
 from ..schemas import META_COLUMNS, PERFORMANCE_METRICS, meta_name
 from ..session import materialize, scratch_path
 from ..sources import mappers, testdata
@@ -351,9 +351,11 @@ def performance_hot(spark, sf):
 # --- features -----------------------------------------------------------------
 def _features(spark, sf, steps: tuple[str, ...], target: str) -> DataFrame:
     cm = _clean_table(spark, sf)
-    tables = {"overall_standings": lambda: standings(cm), "overall_performance": lambda: performance(cm)}
-    fb = FeatureBuilder(spark)
-    return fb.get_features(cm, {s: tables[s]() for s in steps}, target=target)
+    if len(steps) == 1:
+        tables = {"overall_standings": standings, "overall_performance": performance}
+        return FeatureBuilder(spark).get_features(cm, {s: tables[s](cm) for s in steps}, target=target)
+    both = dict(zip(("overall_standings", "overall_performance"), team_tables(cm)))
+    return FeatureBuilder(spark).get_features(cm, {s: both[s] for s in steps}, target=target)
 
 
 def add_overall_standings(spark, sf):
