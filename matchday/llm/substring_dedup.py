@@ -132,7 +132,10 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     # the first holder of each span, and of each window among the first holders of spans
     held = written(spans.groupBy("span").agg(F.min("doc_id").alias("holder"), F.first("windows").alias("windows")), "spans")
     each = held.select("span", "holder", F.posexplode("windows").alias("at", "window"))
-    earliest = each.groupBy("window").agg(F.min("holder").alias("earliest"))
+    # written, so that the join below deals both sides out anew and can split a window that many spans hold
+    earliest = written(
+        each.groupBy("window").agg(F.min("holder").alias("earliest"), F.max("holder").alias("latest")).where("earliest < latest")
+        .select("window", "earliest"), "windows")
     again = (
         each.join(earliest, "window").where(F.col("earliest") < F.col("holder"))
         .groupBy("span").agg(F.collect_list("at").alias("again"))
