@@ -8,8 +8,11 @@ from pyspark.sql import functions as F
 from matchday.llm.scratch import written
 
 
-def _mark(edges: DataFrame):
-    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether each node has one edge down, to a node that has none."""
+    several = edges.groupBy("a").agg(F.count("*").alias("n")).where("n > 1").select("a")
+    chained = edges.select(F.col("b").alias("a")).join(edges.select("a"), "a", "left_semi")
+    return several.unionByName(chained).isEmpty()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -19,17 +22,12 @@ def components(links: DataFrame) -> DataFrame:
     the longest path. No node's neighbours are ever gathered. An empty table gives an empty one.
     """
     edges = written(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
-    before = None
-    while (now := _mark(edges)) != before:
-        before = now
+    while not _are_stars(edges):
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        large = written(large, "large-star")
+        large = written(both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")), "large-star")
         least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = (
+        edges = written(
             large.join(least, "a").where("b <> m").select(F.greatest("b", "m").alias("a"), F.least("b", "m").alias("b"))
-            .unionByName(least.select("a", F.col("m").alias("b"))).distinct()
-        )
-        edges = written(small, "small-star")
+            .unionByName(least.select("a", F.col("m").alias("b"))).distinct(), "small-star")
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))

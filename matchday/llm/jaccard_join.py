@@ -7,8 +7,8 @@ which link share a prefix shingle.
 Classes are partitioned into groups of similar ones: at first each by itself, then the components of the links found. The
 matrix holds, for each shingle, the groups in whose union of prefixes it is. A query's overlap with a group is bounded by its
 own size less its prefix shingles outside the group's union: a group that shares none cannot qualify, and a shingle of one
-group only has nothing to open. Opened groups are compared member by member, first with one member of each shingle's bucket,
-then with 8, 64, 512 ..., until no shingle of two groups is left: members that a link joined meanwhile are not compared. Pairs
+group only has nothing to open. Opened groups are compared member by member, first with 16 members of each shingle's bucket, then with
+256, 4096 ..., until no shingle of two groups is left: members that a link joined meanwhile are not compared. Pairs
 whose horizons (the first shingles in hash order, at hand for every class) rule a link out need no text; the others are
 compared whole.
 Nothing is cut off. Shingles are compared by 64-bit hashes, sets by 128-bit ones.
@@ -37,8 +37,8 @@ SHINGLE, PERCENT = 4, 85
 _HORIZON = 20
 #: A shingle of so many classes comes last in the order.
 _FREQUENT = 64
-#: Buckets of so many classes are compared pair by pair at once.
-_SMALL = 8
+#: Buckets of so many classes are compared pair by pair at once; others with so many of their members first.
+_SMALL = 16
 
 
 def shingle_sets(texts: pa.LargeStringArray, k: int) -> list[np.ndarray]:
@@ -147,12 +147,11 @@ def _possible(batches, percent: int) -> Iterator[pa.RecordBatch]:
 
 
 def _links(batches, k: int, percent: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        a = shingle_sets(texts_of(batch.column("text_a")), k)
-        b = shingle_sets(texts_of(batch.column("text_b")), k)
+    for rows, texts in chunks(batches, "text_a", most=2 << 20):
+        a, b = shingle_sets(texts, k), shingle_sets(texts_of(rows.column("text_b")), k)
         both = np.array([len(np.intersect1d(x, y, assume_unique=True)) for x, y in zip(a, b, strict=True)], np.int64)
         either = np.array([len(x) + len(y) for x, y in zip(a, b, strict=True)], np.int64) - both
-        yield batch.select(["a", "b"]).filter(pa.array(100 * both >= percent * either))
+        yield rows.select(["a", "b"]).filter(pa.array(100 * both >= percent * either))
 
 
 def _pairs(rows: DataFrame, pivots: DataFrame, percent: int) -> DataFrame:
@@ -179,25 +178,23 @@ def _with_both(pairs: DataFrame, of_class: DataFrame) -> DataFrame:
     return pairs
 
 
-def _verified(pairs: DataFrame, classes: DataFrame, source: DataFrame, k: int, percent: int) -> DataFrame | None:
+def _verified(pairs: DataFrame, classes: DataFrame, n_classes: int, source: DataFrame, k: int, percent: int) -> DataFrame | None:
     """The pairs that link (None: none does). Only rows of classes in question are shuffled."""
-    def wanted(of: DataFrame, key: str):
-        each = of.select(F.col("a").alias("class")).unionByName(of.select(F.col("b").alias("class"))).distinct()
-        if key == "doc_id":
-            each = each.join(classes.select("class", "doc_id"), "class")
-        return bitmap(each.select(F.xxhash64(key).alias("id_hash")), "id_hash", 2 * of.count()), each.select("class")
+    def wanted(of: DataFrame) -> DataFrame:
+        return of.select(F.explode(F.array("a", "b")).alias("class"))
 
-    some, _ = wanted(pairs, "class")
+    some = bitmap(wanted(pairs).select(F.xxhash64("class").alias("id_hash")), "id_hash", n_classes)
     near = classes.select("class", "n", "near", F.xxhash64("class").alias("id_hash")).mapInArrow(
         lambda b: _some(b, some), "class binary, n bigint, near array<bigint>, id_hash bigint").drop("id_hash")
     possible = written(
         _with_both(pairs, near).mapInArrow(lambda b: _possible(b, percent), "a binary, b binary"), "possible")
     if possible.isEmpty():
         return None
-    some, names = wanted(possible, "doc_id")
+    ids = wanted(possible).distinct().join(classes.select("class", "doc_id"), "class")
+    some = bitmap(ids.select(F.xxhash64("doc_id").alias("id_hash")), "id_hash", n_classes)
     texts = written(
         source.mapInArrow(lambda b: _texts(b, some, k), "class binary, text string")
-        .join(names, "class", "left_semi").groupBy("class").agg(F.first("text").alias("text")), "texts")
+        .groupBy("class").agg(F.first("text").alias("text")), "texts")
     links = written(_with_both(possible, texts).mapInArrow(lambda b: _links(b, k, percent), "a binary, b binary"), "links")
     return None if links.isEmpty() else links
 
@@ -219,6 +216,7 @@ def link_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     classes = written(
         sets.where("class IS NOT NULL").groupBy("class")
         .agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("near").alias("near")), "classes")
+    n_classes = classes.count()
     common = written(
         classes.select(F.explode("near").alias("token")).groupBy("token").agg(F.count("*").alias("n")).where("n > 1"), "common")
     often = common.where(F.col("n") >= _FREQUENT)
@@ -253,15 +251,13 @@ def link_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         if opened.isEmpty():
             break
         member = F.struct("class", "n", "at", "group").alias("m")
-        small = _SMALL if turn else 0
-        few, many = opened.where(F.col("size") <= small), opened.where(F.col("size") > small)
+        few, many = opened.where(F.col("size") <= _SMALL), opened.where(F.col("size") > _SMALL)
         pivots = (
-            many.groupBy("token", F.pmod(F.xxhash64("class"), F.lit(8**turn)).alias("part")).agg(F.min(member).alias("m"))
+            many.groupBy("token", F.pmod(F.xxhash64("class"), F.lit(_SMALL ** (turn + 1))).alias("part")).agg(F.min(member).alias("m"))
             .select("token", "m.*"))
-        met = _pairs(many, pivots, percent)
-        met = written((met.unionByName(_pairs(few, few, percent)) if turn else met).distinct(), "pairs")
+        met = written(_pairs(many, pivots, percent).unionByName(_pairs(few, few, percent)).distinct(), "pairs")
         matrix = many.join(pivots.select("token", "class"), ["token", "class"], "left_anti")
-        links = _verified(met, classes, source, k, percent)
+        links = _verified(met, classes, n_classes, source, k, percent)
         if links is not None:
             if groups is not None:
                 links = links.unionByName(groups.select(F.col("node").alias("a"), F.col("root").alias("b")))
