@@ -23,12 +23,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matchday.llm.tables import table
-from matchday.llm.words import chunks, encoded
+from matchday.llm.words import IdPool, chunks, encoded
 
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"
 #: Distinct words, and pairs of pieces, that a Python worker remembers.
-MEMORY = 1 << 19
+MEMORY = 1 << 20
 _UNIT = re.compile(f"{MARK}+[^{MARK}]*")
 
 
@@ -62,20 +62,24 @@ class Pieces:
         self.raw = pa.array(raw, pa.large_binary())
         self.longest = max(map(len, self.ids))
         self._inside = {x[i : i + 2] for x in self.ids for i in range(len(x) - 1)}
-        self._ending: dict[str, tuple[int, ...]] = {}  # lengths of the pieces that end in two characters, longest first
-        for x in self.ids:
-            if len(x) > 1:
-                self._ending[x[-2:]] = tuple(sorted({*self._ending.get(x[-2:], ()), len(x)}, reverse=True))
         self._pairs: dict[tuple[str, str], bool] = {}
-        self._whole: dict[str, bool] = {}
+        self._halves: dict[str, tuple[str, str] | None] = {}
+        # pieces by their characters from the last to the first: at each character the piece that begins there, and what follows
+        self._back: dict[str, list] = {}
+        for x in self.ids:
+            if len(x) == 1 or self._split(x) is not None:
+                nodes = self._back
+                for c in reversed(x):
+                    node = nodes.setdefault(c, [None, {}])
+                    nodes = node[1]
+                node[0] = x
         self._clear()
 
     def _clear(self) -> None:
-        self._at: dict[str, int] = {}
-        self._lists: list[np.ndarray] = []
+        self._pool = IdPool()
 
-    def merged(self, text: str) -> list[str]:
-        """Merges of a short text: always the pair whose piece has the best score, of equal ones the first."""
+    def merged(self, text: str, steps: list | None = None) -> list[str]:
+        """Merges of a short text: always the pair whose piece has the best score, of equal ones the first. ``steps`` gets them."""
         parts = list(text)
         score = self.score
         while len(parts) > 1:
@@ -86,41 +90,82 @@ class Pieces:
                     best, at = s, i
             if at < 0:
                 return parts
+            if steps is not None:
+                steps.append((parts[at], parts[at + 1]))
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
-    def _is_whole(self, piece: str) -> bool:
-        known = self._whole.get(piece)
-        if known is None:
-            known = self._whole[piece] = self.merged(piece) == [piece]
-        return known
+    def _split(self, piece: str) -> tuple[str, str] | None:
+        """The two pieces that merge to a piece last; None if the piece is not the merge result of its characters."""
+        if len(piece) == 1:
+            return None
+        if piece not in self._halves:
+            steps: list[tuple[str, str]] = []
+            self._halves[piece] = steps[-1] if self.merged(piece, steps) == [piece] else None
+        return self._halves[piece]
+
+    def _meet(self, a: str, b: str) -> bool:
+        """Whether ``a`` and ``b`` side by side stay apart: goes back through the merges of both, the latest first, and looks
+        whether the pieces at their border would have merged before one of them was used up."""
+        score, limit = self.score, None
+        while True:
+            joined = score.get(a + b)
+            if joined is not None and (limit is None or joined > limit[0] or (joined == limit[0] and limit[1])):
+                return False
+            # a piece made by a merge is later than its parts; of equal ones the left is made first
+            late_a, late_b = (score[a] if len(a) > 1 else None), (score[b] if len(b) > 1 else None)
+            if late_a is None and late_b is None:
+                return True
+            if late_b is None or (late_a is not None and late_a < late_b):
+                limit, a = (late_a, False), self._split(a)[1]
+            else:
+                limit, b = (late_b, True), self._split(b)[0]
 
     def _follows(self, a: str, b: str) -> bool:
         known = self._pairs.get((a, b))
         if known is None:
             if len(self._pairs) >= MEMORY:
                 self._pairs.clear()
-            known = self._pairs[a, b] = self.merged(a + b) == [a, b]
+            # pieces of marks have one score, which says nothing of their order
+            known = self._pairs[a, b] = self.merged(a + b) == [a, b] if MARK in (a[-1], b[-1]) else self._meet(a, b)
         return known
 
+    def _last(self, text: str, i: int, last: list[str], done: str) -> str:
+        """The last piece of the path that ends at place ``i``."""
+        pairs, start, ends = self._pairs, i - 1, [text[i - 1]]
+        node = self._back.get(text[start])
+        while node is not None and start:
+            start -= 1
+            node = node[1].get(text[start])
+            if node is not None and node[0] is not None:
+                ends.append(node[0])
+        for piece in reversed(ends):
+            at = i - len(piece)
+            before = last[at] if at else done
+            if not before:
+                return piece
+            known = pairs.get((before, piece))
+            if known or known is None and self._follows(before, piece):
+                return piece
+        raise AssertionError("a path ends at every place")
+
+    def _short(self, text: str) -> list[str]:
+        """The pieces of a text no longer than the window; the same walk without commits."""
+        last = [""]
+        for i in range(1, len(text) + 1):
+            last.append(self._last(text, i, last, ""))
+        return self._path(last, len(text))
+
     def stream(self, characters: Iterable[str]) -> Iterator[str]:
         """The pieces of a marked text, as soon as they are certain."""
-        size, pieces = self.longest, self.score
+        size = self.longest
         text = ""  # the characters since the last committed boundary
         last: list[str] = [""]  # last piece of the path that ends at each position of the text
         done = ""  # the last committed piece
         for c in characters:
             text += c
             i = len(text)
-            for length in (*self._ending.get(text[-2:], ()), 1):
-                if length > i:
-                    continue
-                piece, start = text[i - length :], i - length
-                if (length == 1 or piece in pieces and self._is_whole(piece)) and (
-                    not (before := last[start] if start else done) or self._follows(before, piece)
-                ):
-                    last.append(piece)
-                    break
+            last.append(self._last(text, i, last, done))
             if i >= 4 * size:
                 live = set(range(i - size + 1, i + 1))
                 while len(live) > 1:
@@ -163,27 +208,24 @@ class Pieces:
 
     def pool(self, units: list[str]) -> tuple[pa.LargeListArray, np.ndarray]:
         """A pool of id lists, and the place of each marked word in it."""
-        if len(self._at) > MEMORY:
+        if len(self._pool.at) > MEMORY:
             self._clear()
-        at, lists, inside = self._at, self._lists, self._inside
+        pool, inside = self._pool, self._inside
 
         def place(unit: str) -> int:
-            known = at.get(unit)
+            known = pool.at.get(unit)
             if known is None:
                 # paths meet between two characters that no piece has side by side
                 cuts = [i for i in range(1, len(unit)) if unit[i - 1 : i + 1] not in inside]
                 if cuts:
-                    ids = np.concatenate([lists[place(unit[a:b])] for a, b in zip([0, *cuts], [*cuts, len(unit)], strict=True)])
+                    ids = [x for a, b in zip([0, *cuts], [*cuts, len(unit)], strict=True) for x in pool.get(place(unit[a:b]))]
                 else:
-                    ids = np.array(self.ids_of(self.stream(unit)), np.int32)
-                known = at[unit] = len(lists)
-                lists.append(ids)
+                    ids = self.ids_of(self._short(unit) if len(unit) <= self.longest else self.stream(unit))
+                known = pool.add(unit, ids)
             return known
 
         places = np.array([place(u) for u in units], np.int64)
-        ends = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int64)
-        flat = np.concatenate([*lists, np.zeros(0, np.int32)])
-        return pa.LargeListArray.from_arrays(pa.array(ends), pa.array(flat)), places
+        return pool.lists(), places
 
 
 _LOADED: dict[str, Pieces] = {}
