@@ -121,14 +121,13 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     seeds = written(
         anchors.groupBy("anchor").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("anchor"), "anchors")
     shared = bitmap(seeds, "anchor", seeds.count())
-    rows = written(
-        source.mapInArrow(
-            lambda b: _seeded(b, shared, least, anchor),
-            f"doc_id {kind}, text_id bigint, words string, n_words bigint, "
-            "seeds array<struct<span: bigint, first: bigint, windows: array<bigint>>>"),
-        "seeded",
-    )
-    spans = rows.where(F.size("seeds") > 0).select("doc_id", "text_id", F.explode("seeds").alias("s")).select("doc_id", "text_id", "s.*")
+    seeded = source.mapInArrow(
+        lambda b: _seeded(b, shared, least, anchor),
+        f"doc_id {kind}, text_id bigint, words string, n_words bigint, "
+        "seeds array<struct<span: bigint, first: bigint, windows: array<bigint>>>")
+    # only documents with a shared anchor are kept aside; the others are read from the source once more, at the end
+    rows = written(seeded.where(F.size("seeds") > 0), "seeded")
+    spans = rows.select("doc_id", "text_id", F.explode("seeds").alias("s")).select("doc_id", "text_id", "s.*")
     # the first holder of each span, and of each window among the first holders of spans
     held = written(spans.groupBy("span").agg(F.min("doc_id").alias("holder"), F.first("windows").alias("windows")), "spans")
     each = held.select("span", "holder", F.posexplode("windows").alias("at", "window"))
@@ -149,7 +148,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         .agg(F.collect_set(F.struct(
             "first", "size", "whole", F.when(F.col("whole"), F.array().cast("array<int>")).otherwise(F.col("again")).alias("windows"))).alias("repeats"))
     )
-    touched = rows.where(F.size("seeds") > 0).select("doc_id", "text_id", "words", "n_words")
+    touched = rows.select("doc_id", "text_id", "words", "n_words")
     same = (F.col("doc_id") == F.col("_doc_id")) & (F.col("text_id") == F.col("_text_id"))
     out = f"doc_id {kind}, n_words bigint, n_removed bigint, kept string"
     cut = (
@@ -158,7 +157,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             "cast(array() as array<struct<first: bigint, size: int, whole: boolean, windows: array<int>>>)")).alias("repeats"))
         .mapInArrow(lambda b: _cut(b, least), out)
     )
-    untouched = rows.where(F.size("seeds") == 0).select("doc_id", "n_words", F.lit(0).cast("long").alias("n_removed"), F.col("words").alias("kept"))
+    untouched = seeded.where(F.size("seeds") == 0).select("doc_id", "n_words", F.lit(0).cast("long").alias("n_removed"), F.col("words").alias("kept"))
     return cut.unionByName(untouched)
 
 
