@@ -28,7 +28,7 @@ from matchday.llm.words import IdPool, chunks, encoded
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"
 #: Distinct words, and pairs of pieces, that a Python worker remembers.
-MEMORY = 1 << 20
+MEMORY = 1 << 18
 _UNIT = re.compile(f"{MARK}+[^{MARK}]*")
 
 

@@ -11,9 +11,9 @@ from array import array
 from collections.abc import Iterable
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 
 #: Odd multiplier of the window hashes, and its inverse modulo 2**64.
 _M = 0x9E3779B97F4A7C15
@@ -49,9 +49,7 @@ def encoded(words: pa.Array) -> tuple[np.ndarray, pa.Array]:
 
 def hashed(distinct: pa.Array) -> np.ndarray:
     """64-bit hash of each string."""
-    if not len(distinct):
-        return np.zeros(0, np.uint64)
-    return pd.util.hash_array(distinct.to_numpy(zero_copy_only=False), categorize=False)
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, distinct.to_pylist()), np.uint64, len(distinct))
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -113,7 +111,7 @@ def long_lists(values: np.ndarray, counts: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(at), pa.array(np.ascontiguousarray(values).view(np.int64)))
 
 
-def chunks(batches, column: str, most: int = 8 << 20):
+def chunks(batches, column: str, most: int = 4 << 20):
     """Slices of the batches whose texts hold ``most`` bytes at most (a longer text is a slice of its own).
 
     Yields the slice and its texts; memory follows ``most`` and the longest text, not the number of rows in a batch.
