@@ -33,8 +33,8 @@ from matchday.llm.tables import table
 from matchday.llm.words import Spans, chunks, encoded, hashed, long_lists, short_windows, split_words, starts, texts_of
 
 SHINGLE, PERCENT = 4, 85
-#: Per cent of a set, in hash order, that the first pass hands on, so that most prefixes can be taken from it.
-_HORIZON = 20
+#: Per cent of a set beyond its prefix that the first pass hands on in hash order, so that most prefixes can be taken from it.
+_SPARE = 5
 #: A shingle of so many classes comes last in the order.
 _FREQUENT = 64
 #: Buckets of so many classes are compared pair by pair at once; others with so many of their members first.
@@ -68,7 +68,7 @@ def _sets(batches, k: int, percent: int) -> Iterator[pa.RecordBatch]:
     for batch, texts in chunks(batches, "text"):
         sets = shingle_sets(texts, k)
         n = np.array([len(x) for x in sets], np.int64)
-        most = np.minimum(n, np.maximum(-(-_HORIZON * n // 100), _prefix(n, percent)))
+        most = np.minimum(n, np.maximum(-(-(100 - percent + _SPARE) * n // 100), _prefix(n, percent)))
         near = [x[:m] for x, m in zip(sets, most, strict=True)]
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), pa.array(n), pa.array([_name(x) if len(x) else None for x in sets], pa.binary()),

@@ -58,3 +58,20 @@ def test_stages_take_odd_rows_and_empty_tables(spark):
         got = corpus_pipeline.STAGES[-1][1](spark, docs, SF).collect()
         assert sorted(repr(r.doc_id) for r in got) == (["5", "None"] if data else [])
     assert len(corpus_pipeline.STAGES) == 5
+
+
+def test_near_copies_of_five_words_and_four_fifths_go(spark):
+    base = [f"word{i}" for i in range(300)]
+    spread = [f"long{i}" for i in range(500)]
+    texts = [
+        base, base[:100] + [f"new{i}" for i in range(28)] + base[128:],  # 0.805 on five words, 0.811 on four
+        base[:100] + [f"far{i}" for i in range(60)] + base[160:],  # a copy of too little
+        spread, [f"other{i}" if i % 45 == 3 and i < 490 else w for i, w in enumerate(spread)],  # 11 words apart: 0.800 and 0.837
+        [f"tail{i}" for i in range(400)], [f"tail{i}" for i in range(400)] + [f"added{i}" for i in range(86)],  # 0.82 on both
+    ]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    rows += [(100 + r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").limit(200).collect()]
+    want = [d for (d, _), (_, _, first) in zip(rows, brute.components(rows, k=5, percent=80)) if d == first]
+    assert [d for d in want if d < 100] == [0, 2, 3, 5]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, SF).collect()) == sorted(want)
