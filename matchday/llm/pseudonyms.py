@@ -168,45 +168,76 @@ def _date(value: str, key: bytes) -> str | None:
     return None
 
 
+#: Characters of an IBAN, by country.
+_IBAN_SIZES = {x[:2]: int(x[2:]) for x in (
+    "AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BI27 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DJ27 DK18 DO28 EE20 EG29 ES24 FI18 FK18 FO18 "
+    "FR27 GB22 GE22 GI23 GL18 GR27 GT28 HN28 HR21 HU28 IE22 IL23 IQ23 IS26 IT27 JO30 KW30 KZ20 LB28 LC32 LI21 LT20 LU20 LV21 LY25 MC27 "
+    "MD24 ME22 MK19 MN20 MR27 MT31 MU30 NI28 NL18 NO15 OM23 PK24 PL28 PS29 PT25 QA29 RO24 RS22 RU33 SA24 SC31 SD18 SE24 SI19 SK24 SM27 "
+    "SO23 ST25 SV28 TL23 TN24 TR26 UA29 VA22 VG24 XK20 YE30").split()}
+
+
+def _of_its_country(value: str) -> bool:
+    return len(value.replace(" ", "")) == _IBAN_SIZES.get(value[:2])
+
+
 @dataclass(frozen=True)
 class Kind:
     name: str
     pattern: re.Pattern
     new: Callable[[str, bytes], str | None]
+    #: What may not follow a value.
+    after: re.Pattern
+    #: Of several ends, those that this holds for are tried before longer ones.
+    likely: Callable[[str], bool] | None = None
+
+
+def _kind(name: str, body: str, new: Callable[[str, bytes], str | None], before: str = r"(?<![A-Za-z0-9_.+-])",
+          after: str = r"(?![A-Za-z0-9_]|[.,-]\d)", likely: Callable[[str], bool] | None = None) -> Kind:
+    return Kind(name, re.compile(f"{before}(?:{body}){after}", re.ASCII), new, re.compile(after, re.ASCII), likely)
 
 
-_BEFORE, _AFTER = r"(?<![A-Za-z0-9_.+-])", r"(?![A-Za-z0-9_]|[.,-]\d)"
 #: In order of precedence where two begin at one place and are equally long.
 KINDS = (
-    Kind("email", re.compile(r"(?<![A-Za-z0-9_.+%-])[A-Za-z0-9_.+%-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9-])", re.ASCII), _email),
-    Kind("card", re.compile(_BEFORE + r"\d(?:[ -]?\d){12,18}" + _AFTER, re.ASCII), _card),
-    Kind("ip", re.compile(_BEFORE + r"\d{1,3}(?:\.\d{1,3}){3}" + _AFTER, re.ASCII), _ip),
-    Kind("iban", re.compile(_BEFORE + r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]){11,30}" + _AFTER, re.ASCII), _iban),
-    Kind("ssn", re.compile(_BEFORE + r"\d{3}-\d{2}-\d{4}" + _AFTER, re.ASCII), _ssn),
-    Kind("date", re.compile(_BEFORE + r"(?:\d{4}([-/.])\d{2}\1\d{2}|\d{2}([-/.])\d{2}\2\d{4})" + _AFTER, re.ASCII), _date),
-    Kind("phone", re.compile(
-        r"(?<![A-Za-z0-9_.+-])(?:\+\d{1,3}[ .-]?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])|\(\d{3}\)[ .-]?|\d{3}[.-])\d{3,4}[ .-]?\d{4}" + _AFTER, re.ASCII), _phone),
+    _kind("email", r"[A-Za-z0-9_.+%-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}", _email, r"(?<![A-Za-z0-9_.+%-])", r"(?![A-Za-z0-9-])"),
+    _kind("card", r"\d(?:[ -]?\d){12,18}", _card),
+    _kind("ip", r"\d{1,3}(?:\.\d{1,3}){3}", _ip),
+    _kind("iban", r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]){11,30}", _iban, likely=_of_its_country),
+    _kind("ssn", r"\d{3}-\d{2}-\d{4}", _ssn),
+    # a time may follow a date
+    _kind("date", r"\d{4}([-/.])\d{2}\1\d{2}|\d{2}([-/.])\d{2}\2\d{4}", _date, after=r"(?!(?!T\d)[A-Za-z0-9_]|[.,-]\d)"),
+    _kind("phone", r"(?:\+\d{1,3}[ .-]?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])|\(\d{3}\)[ .-]?|\d{3}[.-])\d{3,4}[ .-]?\d{4}", _phone),
 )
 
 
+def _ends(kind: Kind, text: str, start: int, end: int) -> list[int]:
+    """The places where a value of ``kind`` that begins at ``start`` may end, ``end`` being the last: the likely ones, then the others,
+    longer ones first."""
+    shorter = [
+        j for j in range(end - 1, start, -1)
+        if not text[j].isalnum() and kind.after.match(text, j) and kind.pattern.fullmatch(text, start, j)]
+    ends = [end, *shorter]
+    return sorted(ends, key=lambda j: not kind.likely(text[start:j])) if kind.likely else ends
+
+
 def find(text: str, key: bytes) -> list[tuple[int, int, str, str]]:
     """start, end, kind and pseudonym of all values in a text, in order; the leftmost and then longest of overlapping ones.
 
-    A run of two numbers with a space between is tried as one, then from its second part.
+    Every place where a value may begin is tried, with every place where it may end, so that a value beside other numbers or
+    words is found. An IBAN of its country's length goes before a longer one.
     """
     found = []
     for rank, kind in enumerate(KINDS):
         at = 0
         while m := kind.pattern.search(text, at):
-            value, at = m[0], m.end()
-            new = kind.new(value, key)
-            if new is None and " " in value and kind.name == "card":
-                # several plain numbers side by side
-                for part in re.finditer(r"[^ ]+", value):
-                    if (new := kind.new(part[0], key)) is not None:
-                        found.append((m.start() + part.start(), -(m.start() + part.end()), rank, new))
-            elif new is not None:
-                found.append((m.start(), -m.end(), rank, new))
+            start, at = m.start(), m.start() + 1
+            new = None if kind.likely and not kind.likely(m[0]) else kind.new(m[0], key)
+            if new is not None:
+                found.append((start, -m.end(), rank, new))
+                continue
+            for end in _ends(kind, text, start, m.end()):
+                if (new := kind.new(text[start:end], key)) is not None:
+                    found.append((start, -end, rank, new))
+                    break
     out, at = [], 0
     for start, end, rank, new in sorted(found):
         if start >= at:

@@ -103,6 +103,57 @@ def test_what_is_found_and_how_it_looks():
     assert cards[0] == cards[1] and pseudonyms.luhn(cards[0]) == 0
 
 
+def test_values_beside_other_numbers_and_words():
+    iban = "DE89370400440532013000"
+    for text, kind, value in (
+        ("12 4111 1111 1111 1111", "card", "4111 1111 1111 1111"), ("4111 1111 1111 1111 123", "card", "4111 1111 1111 1111"),
+        (f"{iban} BIC COBADEFFXXX", "iban", iban), (f"{iban} 2024", "iban", iban), (f"AB12 {iban} EUR", "iban", iban),
+        ("2024-02-29T10:00:00Z", "date", "2024-02-29"), ("a..b@x.org@y.com", "email", "x.org@y.com"),
+    ):
+        assert (kind, value) in [(k, text[s:e]) for s, e, k, _ in pseudonyms.find(text, b"k")], text
+    assert pseudonyms.find("2024-02-29Tuesday 2024-02-29_1", b"k") == []
+
+
+def _all_substrings(text, key):
+    """The values in a text, with every substring tried."""
+    from functools import cache
+
+    new, found = cache(lambda kind, value: kind.new(value, key)), []
+    for i in range(len(text)):
+        for rank, kind in enumerate(pseudonyms.KINDS):
+            ends = []
+            for j in range(i + 1, len(text) + 1):
+                if kind.pattern.fullmatch(text, i, j) and kind.after.match(text, j) and (x := new(kind, text[i:j])) is not None:
+                    ends.append((not (kind.likely and kind.likely(text[i:j])), -j, x))
+            if ends:
+                _, end, x = min(ends)
+                found.append((i, end, rank, x))
+    out, at = [], 0
+    for i, end, rank, x in sorted(found):
+        if i >= at:
+            out.append((i, -end, pseudonyms.KINDS[rank].name, x))
+            at = -end
+    return out
+
+
+def test_find_equals_a_search_of_all_substrings():
+    rng, kinds = random.Random(11), set()
+    values = ["4111 1111 1111 1111", "4111111111111111", "5500-0000-0000-0004", "DE89 3704 0044 0532 0130 00", "DE89370400440532013000", "GB82WEST12345698765432",
+              "10.1.2.3", "123-45-6789", "2024-02-29", "31/12/1999", "+1 (017) 555-7713", "+49 30 1234 5678", "212-555-0199", "a.b@x.org", "a..b@x.org"]
+    for _ in range(500):
+        parts = []
+        for _ in range(rng.randint(1, 5)):
+            r = rng.random()
+            parts.append(rng.choice(values) if r < 0.5 else "".join(rng.choice("0123456789") for _ in range(rng.randint(1, 6))) if r < 0.8 else rng.choice(
+                ["BIC", "X", "T10:00", "AB12", "é", "+", "(", "a@b", "word"]))
+            parts.append(rng.choice([" ", " ", " ", "-", ".", ",", "@", "T", "", "/"]))
+        text = "".join(parts)
+        got = pseudonyms.find(text, b"k")
+        assert got == _all_substrings(text, b"k"), text
+        kinds |= {k for _, _, k, _ in got}
+    assert len(kinds) == len(pseudonyms.KINDS)
+
+
 def test_values_stay_linked_across_documents(spark):
     rows = [(1, "to x@y.org now"), (2, "X@y.org"), (3, None), (4, ""), (4, ""), (None, "x@y.org z@y.org"), (5, "1" * 60 + " ١٢٣٤٥٦٧٨٩٠١٢٣٤٥٦")]
     df = spark.createDataFrame([(*r, "q") for r in rows], "doc_id long, text string, spans string")
