@@ -40,6 +40,8 @@ _VOID = set("area base br col embed hr img input link meta param source track wb
 #: Never text of a page.
 _SILENT = set("script style template noscript svg math iframe object head title textarea select button option datalist canvas audio video".split())
 _RAW = set("script style textarea title noscript iframe".split())
+#: Elements of a head; any other start tag, or text, ends it.
+_HEAD = set("base basefont bgsound link meta title noscript noframes style script template".split())
 _INLINE = set(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img input ins kbd label mark nobr q rp rt ruby s samp small span "
     "strike strong sub sup time tt u var wbr".split())
@@ -110,6 +112,8 @@ class Page:
                 pieces = []
 
         def say(text: str) -> None:
+            if silent and stack[-1][0] == "head" and text.strip():
+                close(len(stack) - 1)
             if text and not silent:
                 text = html.unescape(text) if "&" in text else text
                 pieces.append(text)
@@ -141,6 +145,11 @@ class Page:
                     if tag in _INLINE and stack[i][0] not in _INLINE:
                         break  # an inline end tag does not end a block
                 continue
+            if stack[-1][0] == "head":
+                if tag in ("html", "head"):
+                    continue
+                if tag not in _HEAD:
+                    close(len(stack) - 1)
             if tag == "br":
                 pieces.append(" ")
             if tag in _VOID:
@@ -168,6 +177,9 @@ class Page:
             stack.append((tag, node))
             anchors += tag == "a"
             silent += tag in _SILENT
+            if m[3].endswith("/") and any(x in ("svg", "math") for x, _ in stack):
+                close(len(stack) - 1)  # self-closed; elsewhere the slash means nothing
+                continue
             if tag in _RAW:
                 end = re.compile(f"</{tag}\\b", re.IGNORECASE).search(source, at)
                 if not end:

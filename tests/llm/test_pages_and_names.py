@@ -69,6 +69,29 @@ def test_broken_and_empty_pages(spark):
     assert html_text.extract(df.limit(0)).collect() == []
 
 
+def test_pages_without_an_end_of_the_head(trees):
+    text = "A sentence of the article that has some words in it, and a second part."
+    head = "<meta charset=utf-8><title>T</title><style>p {}</style><script>var a;</script><noscript><p>n</p></noscript><template><p>t</p></template><link href=x>"
+    body = f"<div class=post><h1>Title</h1><p>{text}</p><p>{text}</p></div>"
+    want = f"Title\n{text}\n{text}"
+    for source in (
+        f"<html><head>{head}</head><body>{body}", f"<html><head>{head}<body>{body}</body></html>", f"<html><head>{head}{body}", f"<head>\n{head}\n</head>{body}",
+        f"<head><head>{head}<body>{body}", f"<head><html>{head}<body>{body}", f"<head>{head}<img src=x>{body}</head>", f"<head><!-- c -->{head}</head><head>{body}",
+    ):
+        assert html_text.main_texts([source], trees)[0] == want, source
+    assert html_text.Page(f"<head>{head}{text}").blocks == [(0, text)]
+    assert html_text.Page(f"<head>{head}&nbsp;<b>{text}").blocks == [(0, text)]
+
+
+def test_self_closed_drawings(trees):
+    text = "A sentence of the article that has some words in it, and a second part."
+    for mark in ("<svg class='i' />", "<svg/>", '<svg width="10"/>', "<math/>", "<svg><title/><path d=''/><style/></svg>", "<svg><title>no</title><g/></svg>"):
+        page = f"<html><head><title>T</title></head><body><div class=post>{mark}<h1>Title</h1><p>{text}</p><p>{mark}{text}</p></div></body></html>"
+        assert html_text.main_texts([page], trees)[0] == f"Title\n{text}\n{text}", mark
+    # a slash does not close other elements
+    assert html_text.Page("<script src=x />no</script><p/>yes").blocks == [(1, "yes")]
+
+
 def test_trees_learn():
     import numpy as np
 
