@@ -18,7 +18,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from matchday.llm.bitmap import Bitmap, bitmap
 from matchday.llm.scratch import written
@@ -172,17 +171,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", it
         .where(F.size("seeds") > 0).groupBy("tokens").agg(F.min("item_id").alias("item_id"), F.first("seeds").alias("seeds")),
         "items",
     )
-    each = items.select("item_id", F.posexplode("seeds").alias("at", "seed"), F.size("tokens").alias("size"))
-    often = each.groupBy("seed").agg(F.countDistinct("item_id").alias("items"))
-    # Tiles that cover enough of an item hold so many of its seeds at least; without one seed fewer, a document that
-    # qualifies still meets the item. The most frequent seeds are the ones left out.
-    spare = F.ceil(F.ceil(F.lit(coverage) * F.col("size")) / SEED) - 1
-    rarest_first = Window.partitionBy("item_id").orderBy(F.desc("items"), "seed", "at")
-    chosen = written(
-        each.join(often, "seed").withColumn("n", F.row_number().over(rarest_first)).where(F.col("n") > spare)
-        .select("seed", "item_id").distinct(),
-        "seeds",
-    )
+    each = written(items.select("item_id", F.explode("seeds").alias("seed")).distinct(), "seeds")
     all_seeds = each.select("seed").distinct()
     known = bitmap(all_seeds, "seed", all_seeds.count())
     id_kind = docs.schema[doc_id].dataType.simpleString()
@@ -193,7 +182,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", it
         "seeded",
     )
     parts = rows.where("part IS NOT NULL").groupBy("part").agg(F.first("tokens").alias("tokens"), F.first("seeds").alias("seeds"))
-    pairs = parts.select("part", F.explode(F.array_distinct("seeds")).alias("seed")).join(chosen, "seed").select("part", "item_id").distinct()
+    pairs = parts.select("part", F.explode(F.array_distinct("seeds")).alias("seed")).join(each, "seed").select("part", "item_id").distinct()
     tiled = (
         pairs.join(parts.select("part", F.col("tokens").alias("text_tokens")), "part")
         .join(items.select("item_id", F.col("tokens").alias("item_tokens")), "item_id")

@@ -141,3 +141,20 @@ def test_leaks(spark):
     assert best[8] == (0, 2) and best[2] == (0, 1)
     assert find_leaks(df, bench.limit(0)).where("contaminated").count() == 0
     assert find_leaks(df.limit(0), bench).collect() == []
+
+
+def test_coverage_and_item_of_documents_below_the_threshold(spark):
+    rng = random.Random(6)
+    phrase = " ".join(f"both{i}" for i in range(10))
+    items = [(i, f"{phrase} " + " ".join(f"item{i}x{j}" for j in range(32))) for i in range(12)]
+    tail = lambda i, n: " ".join(items[i][1].split()[-n:])
+    docs = [(0, f"some words {phrase} others"), (1, f"{phrase} then {tail(4, 8)}"), (2, f"{tail(5, 12)} {phrase}"), (3, items[7][1]), (4, "nothing of it"), (5, tail(3, 6))]
+    docs += [(10 + i, " and ".join([phrase[: rng.randint(0, 70)], tail(rng.randrange(12), rng.randint(1, 32)), tail(rng.randrange(12), rng.randint(1, 9))])) for i in range(30)]
+    want = []
+    for d, text in docs:
+        best = min((-brute.coverage(text, x), i) for i, x in items)
+        want.append((d, -best[0] >= 0.8, best[1] if best[0] else None, round(-best[0], 9)))
+    assert want[0] == (0, False, 0, round(10 / 42, 9)) and want[1][2] == 4
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect()
+    assert sorted((r.doc_id, r.contaminated, r.item_id, round(r.coverage, 9)) for r in found) == sorted(want)
