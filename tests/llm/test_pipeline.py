@@ -75,3 +75,15 @@ def test_near_copies_of_five_words_and_four_fifths_go(spark):
     assert [d for d in want if d < 100] == [0, 2, 3, 5]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert sorted(r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, SF).collect()) == sorted(want)
+
+
+def test_extra_columns_keep_their_values(spark):
+    prose = " ".join(f"word{i}" for i in range(30))
+    names = ["kept", "n_words", "_clean", "_c", "found", "Base_Failed", "_blob", "n.symbols"]
+    docs = spark.createDataFrame(
+        [(1, prose + " token=abcdefgh", "a", 5, *names)], "doc_id long, text string, source string, n_chars long, " + ", ".join(f"`{x}` string" for x in names))
+    for stage in (corpus_pipeline.quality_rules, corpus_pipeline.secret_scans):
+        out = stage(spark, docs, SF)
+        row = out.first()
+        assert out.columns == docs.columns and list(row[4:]) == names and row["n_chars"] == len(row["text"])
+    assert row["text"] == prose + " [assign]"
