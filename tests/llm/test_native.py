@@ -110,3 +110,13 @@ def test_quality_of_edge_cases(spark):
     kept = {d: k for d, k, _ in got}
     assert kept[100] and kept[5] and kept[400] and not kept[301] and not kept[4]
     assert quality.judge_quality(df.limit(0), keep=["doc_id"]).collect() == []
+
+
+def test_the_share_decides_on_hosts_of_over_1000_texts(spark):
+    own = lambda host, i: " ".join(f"{host}{i}w{j}" for j in range(12))
+    rows = [(f"{host}{i}", own(host, i) + (f"\nLine of {host}" if i < n else ""), host)
+            for host, texts, n in (("a", 1000, 10), ("b", 1500, 14), ("c", 1500, 15), ("d", 1000, 9)) for i in range(texts)]
+    rows += [(f"copy{i}", rows[0][1], "a") for i in range(700)]  # copies of a text count once
+    got = {r.doc_id: r.n_removed_words for r in quality.judge_quality(
+        spark.createDataFrame(rows, "doc_id string, text string, source string"), keep=["doc_id"]).collect()}
+    assert [got[f"{h}0"] for h in "abcd"] == [3, 0, 3, 0] and got["a10"] == got["c15"] == 0 and got["copy3"] == 3
