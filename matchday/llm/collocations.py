@@ -21,15 +21,15 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from matchday.llm.bitmap import Bitmap, bitmap
-from matchday.llm.scratch import importable, written
+from matchday.llm.scratch import frugal, written
 from matchday.llm.tables import table
-from matchday.llm.words import Spans, chunks, encoded, mixed, split_words
+from matchday.llm.words import chunks, encoded, mixed, split_words
 
 #: Fixed by the query's contract: words of a candidate, its least count, the share that drops one inside a longer one, rows a language.
 LONGEST, LEAST_COUNT, INSIDE_PERCENT, TOP = 3, 10, 50, 2000
 NO_LANG = "und"
 #: Bytes of text whose phrases are counted together in a task.
-SLICE = 8 << 20
+SLICE = 4 << 20
 #: Ranks are taken within this many parts of a language first.
 SALTS = 256
 
@@ -37,6 +37,21 @@ SALTS = 256
 _BYTES = bytes(b + 32 if 65 <= b <= 90 else 10 if 10 <= b <= 13 or chr(b) in ".,;:!?" else 32 if b == 9 else b for b in range(256))
 
 
+_M = 0x9E3779B97F4A7C15
+_POWERS = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
+
+
+def _powers(n: int, which: str) -> np.ndarray:
+    """The first ``n`` powers of the multiplier, or of its inverse, modulo 2**64."""
+    known = _POWERS[which]
+    if len(known) < n:
+        base = np.full(n, _M if which == "up" else pow(_M, -1, 1 << 64), np.uint64)
+        base[0] = 1
+        with np.errstate(over="ignore"):
+            known = _POWERS[which] = np.multiply.accumulate(base)
+    return known[:n]
+
+
 class Phrases:
     """The words of some texts, and fingerprints of the runs of words that lie in one piece of one text."""
 
@@ -46,25 +61,32 @@ class Phrases:
         raw = bytes(memoryview(data)[int(at[0]) : int(at[-1])]).translate(_BYTES) if data is not None else b""
         at = at - at[0]
         clean = pa.LargeStringArray.from_buffers(len(texts), pa.py_buffer(at.tobytes()), pa.py_buffer(raw))
-        self.words, counts = split_words(clean)
-        self.codes, self.distinct = encoded(self.words)
-        self.text_of = np.repeat(np.arange(len(counts)), counts)
-        self.counts = counts
+        words, self.counts = split_words(clean)
+        codes, self.distinct = encoded(words)
+        self.codes = codes.astype(np.int32)
+        self.text_of = np.repeat(np.arange(len(self.counts), dtype=np.int32), self.counts)
         self._bits = np.uint64((1 << bits) - 1)
         self._breaks = self._pieces(np.frombuffer(raw, np.uint8), at)
-        self._langs = np.array([xxhash.xxh3_64_intdigest(x) for x in langs], np.uint64)
-        both = [xxhash.xxh3_128_intdigest(w) for w in self.distinct.to_pylist()]
-        self._low = Spans(np.array([x & 0xFFFFFFFFFFFFFFFF for x in both], np.uint64)[self.codes])
-        self._high = Spans(np.array([x >> 64 for x in both], np.uint64)[self.codes])
+        self._langs = np.array([xxhash.xxh3_64_intdigest(x, 13) for x in langs], np.uint64)
+        both = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, self.distinct.to_pylist())), ">u8").astype(np.uint64)
+        self._checks = both[::2]
+        with np.errstate(over="ignore"):
+            terms = both[1::2][self.codes] * _powers(len(self.codes), "up")
+            self._prefix = np.concatenate([np.zeros(1, np.uint64), np.add.accumulate(terms)])
 
     def _pieces(self, raw: np.ndarray, at: np.ndarray) -> np.ndarray:
         """The number of the piece in which each word lies (texts and pieces counted on)."""
-        gap = (raw == 32) | (raw == 10)
+        ends = raw == 10
         first = np.zeros(len(raw) + 1, bool)
         first[at] = True
         first = first[:-1]
-        starts = np.flatnonzero(~gap & (np.concatenate([[True], gap[:-1]]) | first)) if len(raw) else np.zeros(0, np.int64)
-        return (np.cumsum(raw == 10) + np.cumsum(first))[starts]
+        full = ~(ends | (raw == 32))
+        starts = full.copy()
+        starts[1:] &= ~full[:-1] | first[1:]
+        starts = np.flatnonzero(starts)
+        # breaks before each word: ends of pieces, and beginnings of texts
+        marks = np.flatnonzero(ends | first)
+        return np.searchsorted(marks, starts, "right").astype(np.int32)
 
     def runs(self, n: int) -> np.ndarray:
         """The first words of the runs of ``n`` words within a piece."""
@@ -72,15 +94,21 @@ class Phrases:
         return np.flatnonzero(self._breaks[:m] == self._breaks[n - 1 : n - 1 + m])
 
     def prints(self, first: np.ndarray, n: int) -> np.ndarray:
-        lang = self._langs[self.text_of[first]]
+        """Fingerprints of runs: the difference of two prefix polynomials, brought to one power, with language and length."""
         with np.errstate(over="ignore"):
-            return mixed(self._low.of(first, first + n) ^ (lang + np.uint64(n))) & self._bits
+            h = (self._prefix[first + n] - self._prefix[first]) * _powers(len(self.codes), "down")[first]
+            return mixed(h ^ (self._langs[self.text_of[first]] + np.uint64(n))) & self._bits
 
     def checks(self, first: np.ndarray, n: int) -> np.ndarray:
-        return (self._high.of(first, first + n) >> np.uint64(33)).astype(np.int64)
+        """31 bits of a polynomial of other hashes of the words."""
+        h = np.zeros(len(first), np.uint64)
+        with np.errstate(over="ignore"):
+            for i in range(n):
+                h = h * np.uint64(_M) + self._checks[self.codes[first + i]]
+        return (mixed(h) >> np.uint64(33)).astype(np.int64)
 
     def strings(self, first: np.ndarray, n: int) -> pa.Array:
-        parts = [self.words.take(pa.array(first + i)).cast(pa.string()) for i in range(n)]
+        parts = [self.distinct.take(pa.array(self.codes[first + i])).cast(pa.string()) for i in range(n)]
         return pc.binary_join_element_wise(*parts, " ") if n > 1 else parts[0]
 
 
@@ -90,8 +118,8 @@ def _slices(batches, bits: int):
 
 
 def _grouped(keys: np.ndarray, more: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The first place and the size of each group of equal (key, more)."""
-    order = np.lexsort((more, keys))
+    """A place and the size of each group of equal (key, more); a group that others with its key interrupt comes in parts."""
+    order = np.argsort(keys)
     k, m = keys[order], more[order]
     new = np.flatnonzero(np.concatenate([[True], (k[1:] != k[:-1]) | (m[1:] != m[:-1])])) if len(k) else np.zeros(0, np.int64)
     return order[new], np.diff(np.concatenate([new, [len(k)]]))
@@ -150,7 +178,7 @@ def _spell(batches, bits: int) -> Iterator[pa.RecordBatch]:
             place = np.minimum(np.searchsorted(asked, have), len(asked) - 1)
             first, have = first[asked[place] == have], have[asked[place] == have]
             # one occurrence of each print in each document that was asked for it
-            at, _ = _grouped(have, p.text_of[first])
+            at = np.unique(np.stack([have, p.text_of[first].astype(np.uint64)]), axis=1, return_index=True)[1] if len(have) else np.zeros(0, np.int64)
             want = set(zip(texts[mine].tolist(), prints[mine].view(np.uint64).tolist()))
             keep = [(t, x) in want for t, x in zip(p.text_of[first[at]].tolist(), have[at].tolist())]
             at = at[np.array(keep, bool)]
@@ -183,7 +211,7 @@ def frequent_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", le
     A null text is empty, a null language ``und``. ``bits``: width of the fingerprints, less only in tests.
     """
     spark = docs.sparkSession
-    importable(spark)
+    frugal(spark)
     clean = docs.select(
         F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"), F.coalesce(F.col(f"`{lang}`").cast("string"), F.lit(NO_LANG)).alias("lang"),
     ).withColumn("key", F.xxhash64("text", "lang"))
