@@ -19,6 +19,19 @@ def importable(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join(x for x in (_ROOT, known) if x)
 
 
+#: Settings of Python workers under which freed memory goes back to the system instead of staying with an idle worker.
+_FRUGAL = {
+    "ARROW_DEFAULT_MEMORY_POOL": "system", "MALLOC_ARENA_MAX": "2", "MALLOC_MMAP_THRESHOLD_": "262144", "MALLOC_TRIM_THRESHOLD_": "1048576",
+}
+
+
+def frugal(spark: SparkSession) -> None:
+    """Lets Python workers import this package, and give freed memory back."""
+    importable(spark)
+    for name, value in _FRUGAL.items():
+        spark.sparkContext.environment.setdefault(name, value)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as Parquet below ``spark.checkpoint.dir``, and a scan of it.
 

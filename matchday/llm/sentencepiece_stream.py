@@ -6,8 +6,10 @@ exactly one piece that ends at a position can follow the path at its start, name
 piece merges to these two pieces again. Whenever the paths of all kept positions meet in one boundary, the ids before it are
 committed and forgotten, so memory is bounded by the window however long a text is. The ids equal those of the library.
 
-Pieces hold no white space mark after their first other character, so paths always meet before a word: each distinct word is
-encoded once for a slice of rows.
+The distinct words of a slice are laid end to end in some thousand streams, which advance together, one character a step, on
+arrays: pieces are found by hashes of the characters before a position, pairs in a table of those judged before, and the
+boundary that all paths share by intersecting the sets of positions on them, bits of a 64-bit word. Pieces hold no white
+space mark after their first other character, so paths also meet before each word, and a word's ids do not depend on where it lies.
 """
 
 from __future__ import annotations
@@ -22,14 +24,52 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from matchday.llm.scratch import frugal
 from matchday.llm.tables import table
-from matchday.llm.words import IdPool, chunks, encoded
+from matchday.llm.words import Spans, chunks, encoded
 
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"
-#: Distinct words, and pairs of pieces, that a Python worker remembers.
-MEMORY = 1 << 18
+#: Pairs of pieces that a Python worker remembers (9 bytes each, in a table twice as large), and characters walked at once.
+PAIRS, BLOCK = 1 << 18, 1 << 20
+#: Streams that advance together; words longer than the second take the walk over one stream.
+LANES, LONG = 8192, 256
 _UNIT = re.compile(f"{MARK}+[^{MARK}]*")
+_U = np.uint64
+
+
+class HashTable:
+    """Positive integers by 64-bit keys, by open addressing on arrays; the key 0 is none."""
+
+    def __init__(self, bits: int, kind):
+        self._shift, self._mask = _U(64 - bits), (1 << bits) - 1
+        self.keys, self.values, self.n = np.zeros(1 << bits, np.uint64), np.zeros(1 << bits, kind), 0
+
+    def _first(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys * _U(0x9E3779B97F4A7C15)) >> self._shift).astype(np.int64)
+
+    def add(self, key: int, value: int) -> None:
+        at = int(self._first(np.array([key], np.uint64))[0])
+        while self.keys[at] and self.keys[at] != key:
+            at = (at + 1) & self._mask
+        self.n += not self.keys[at]
+        self.keys[at], self.values[at] = key, value
+
+    def get(self, keys: np.ndarray) -> np.ndarray:
+        """The value of each key, 0 where there is none."""
+        at = self._first(keys)
+        found = self.keys[at]
+        out = np.where(found == keys, self.values[at], 0)
+        left = np.flatnonzero((found != keys) & (found != 0))
+        at = at[left]
+        while len(left):
+            at = (at + 1) & self._mask
+            found = self.keys[at]
+            hit = found == keys[left]
+            out[left[hit]] = self.values[at[hit]]
+            go = ~hit & (found != 0)
+            left, at = left[go], at[go]
+        return out
 
 
 class Pieces:
@@ -61,22 +101,18 @@ class Pieces:
             raise ValueError("models that normalise texts, or put no mark in front, are not supported")
         self.raw = pa.array(raw, pa.large_binary())
         self.longest = max(map(len, self.ids))
-        self._inside = {x[i : i + 2] for x in self.ids for i in range(len(x) - 1)}
-        self._pairs: dict[tuple[str, str], bool] = {}
         self._halves: dict[str, tuple[str, str] | None] = {}
-        # pieces by their characters from the last to the first: at each character the piece that begins there, and what follows
-        self._back: dict[str, list] = {}
-        for x in self.ids:
-            if len(x) == 1 or self._split(x) is not None:
-                nodes = self._back
-                for c in reversed(x):
-                    node = nodes.setdefault(c, [None, {}])
-                    nodes = node[1]
-                node[0] = x
-        self._clear()
-
-    def _clear(self) -> None:
-        self._pool = IdPool()
+        # pieces that their characters merge to, by number from 1 on; a character that is no piece has the number after them
+        self.whole = [x for x in self.ids if len(x) == 1 or self._split(x) is not None]
+        self.number = {x: i + 1 for i, x in enumerate(self.whole)}
+        self.other = len(self.whole) + 1
+        self.length = np.array([0, *map(len, self.whole), 1], np.int64)
+        self.id_of = np.array([0, *(self.ids[x] for x in self.whole), 0], np.int32)
+        self._places = HashTable(max(4, (4 * len(self.whole)).bit_length()), np.int32)
+        for x, h in zip(self.whole, _hashes([x for x in self.whole]).tolist()):
+            self._places.add(h, self.number[x])
+        self._pairs = HashTable((2 * PAIRS - 1).bit_length(), np.int8)
+        self.commits = 0
 
     def merged(self, text: str, steps: list | None = None) -> list[str]:
         """Merges of a short text: always the pair whose piece has the best score, of equal ones the first. ``steps`` gets them."""
@@ -122,40 +158,37 @@ class Pieces:
                 limit, b = (late_b, True), self._split(b)[0]
 
     def _follows(self, a: str, b: str) -> bool:
-        known = self._pairs.get((a, b))
-        if known is None:
-            if len(self._pairs) >= MEMORY:
-                self._pairs.clear()
-            # pieces of marks have one score, which says nothing of their order
-            known = self._pairs[a, b] = self.merged(a + b) == [a, b] if MARK in (a[-1], b[-1]) else self._meet(a, b)
-        return known
+        # pieces of marks have one score, which says nothing of their order
+        return self.merged(a + b) == [a, b] if MARK in (a[-1], b[-1]) else self._meet(a, b)
+
+    def follow(self, before: np.ndarray, after: np.ndarray) -> np.ndarray:
+        """Whether pieces, by number, stay apart side by side."""
+        key = (before.astype(np.uint64) << _U(32)) | after.astype(np.uint64)
+        known = self._pairs.get(key)
+        if len(missing := np.unique(key[known == 0])):
+            if self._pairs.n + len(missing) > PAIRS:
+                self._pairs = HashTable((2 * PAIRS - 1).bit_length(), np.int8)
+            for k in missing.tolist()[:PAIRS]:
+                a, b = k >> 32, k & 0xFFFFFFFF
+                apart = self.other in (a, b) or self._follows(self.whole[a - 1], self.whole[b - 1])
+                self._pairs.add(k, 2 if apart else 1)
+            return self.follow(before, after)
+        return known == 2
 
     def _last(self, text: str, i: int, last: list[str], done: str) -> str:
         """The last piece of the path that ends at place ``i``."""
-        pairs, start, ends = self._pairs, i - 1, [text[i - 1]]
-        node = self._back.get(text[start])
-        while node is not None and start:
-            start -= 1
-            node = node[1].get(text[start])
-            if node is not None and node[0] is not None:
-                ends.append(node[0])
-        for piece in reversed(ends):
-            at = i - len(piece)
+        for at in range(max(0, i - self.longest), i):
+            piece = text[at:i]
+            if piece not in self.number and at < i - 1:
+                continue
             before = last[at] if at else done
             if not before:
                 return piece
-            known = pairs.get((before, piece))
-            if known or known is None and self._follows(before, piece):
+            a, b = (self.number.get(x, self.other) for x in (before, piece))
+            if self.follow(np.array([a]), np.array([b]))[0]:
                 return piece
         raise AssertionError("a path ends at every place")
 
-    def _short(self, text: str) -> list[str]:
-        """The pieces of a text no longer than the window; the same walk without commits."""
-        last = [""]
-        for i in range(1, len(text) + 1):
-            last.append(self._last(text, i, last, ""))
-        return self._path(last, len(text))
-
     def stream(self, characters: Iterable[str]) -> Iterator[str]:
         """The pieces of a marked text, as soon as they are certain."""
         size = self.longest
@@ -174,6 +207,7 @@ class Pieces:
                     live.add(latest - len(last[latest]))
                 if boundary := live.pop():
                     path = self._path(last, boundary)
+                    self.commits += 1
                     yield from path
                     done, text, last = path[-1], text[boundary:], ["", *last[boundary + 1 :]]
         yield from self._path(last, len(text))
@@ -206,26 +240,148 @@ class Pieces:
             out = b"".join(raw.take(pa.array(ids, pa.int64())).to_pylist())
         return out.decode("utf-8", "replace").removeprefix(" ")
 
-    def pool(self, units: list[str]) -> tuple[pa.LargeListArray, np.ndarray]:
-        """A pool of id lists, and the place of each marked word in it."""
-        if len(self._pool.at) > MEMORY:
-            self._clear()
-        pool, inside = self._pool, self._inside
-
-        def place(unit: str) -> int:
-            known = pool.at.get(unit)
-            if known is None:
-                # paths meet between two characters that no piece has side by side
-                cuts = [i for i in range(1, len(unit)) if unit[i - 1 : i + 1] not in inside]
-                if cuts:
-                    ids = [x for a, b in zip([0, *cuts], [*cuts, len(unit)], strict=True) for x in pool.get(place(unit[a:b]))]
-                else:
-                    ids = self.ids_of(self._short(unit) if len(unit) <= self.longest else self.stream(unit))
-                known = pool.add(unit, ids)
-            return known
+    def _matches(self, codes: np.ndarray, inside: np.ndarray) -> list[np.ndarray]:
+        """For each length, the number of the piece that ends behind each character, 0 where there is none."""
+        spans, out = Spans(codes.astype(np.uint64)), []
+        for n in range(1, self.longest + 1):
+            ends = np.flatnonzero(inside >= n) + 1
+            found = np.zeros(len(codes), np.int16 if self.other < 1 << 15 else np.int32)
+            found[ends - 1] = self._places.get(spans.of(ends - n, ends) | _U(1))
+            if n == 1:
+                found[found == 0] = self.other
+            out.append(found)
+        return out
 
-        places = np.array([place(u) for u in units], np.int64)
-        return pool.lists(), places
+    def walk(self, codes: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The pieces of all words (``codes``: their characters, one word after the other): where each piece ends, its
+        number, and the words whose paths did not meet within a stream's window."""
+        ends = np.cumsum(lengths)
+        inside = np.arange(1, len(codes) + 1) - np.repeat(ends - lengths, lengths)
+        matches = self._matches(codes, inside)
+        # streams of whole words, the longest first
+        cuts = np.unique(np.concatenate([[0], ends[np.searchsorted(ends, np.arange(1, LANES + 1) * len(codes) // LANES)]]))
+        begin, size = cuts[:-1], np.diff(cuts)
+        order = np.argsort(-size, kind="stable")
+        begin, size = begin[order], size[order]
+        n = len(begin)
+        window = self.longest
+        last = np.zeros((64, n), np.int32)
+        passed = np.zeros((64, n), np.uint64)  # the positions on the path to a position, by their number modulo 64
+        passed[0] = 1
+        base, lost = np.zeros(n, np.int64), np.zeros(n, bool)
+        places, pieces = [], []
+
+        def emit(lanes: np.ndarray, at: np.ndarray) -> None:
+            """The paths from the committed boundaries of these streams up to ``at``."""
+            while len(lanes):
+                piece = last[at & 63, lanes]
+                places.append(begin[lanes] + at)
+                pieces.append(piece)
+                at = at - self.length[piece]
+                go = at > base[lanes]
+                lanes, at = lanes[go], at[go]
+
+        active = n
+        for t in range(1, int(size[0]) + 1 if n else 0):
+            here = begin[:active] + t - 1
+            open_ = np.arange(active)
+            row_last, row_passed = last[t & 63], passed[t & 63]
+            for k in range(min(window, t), 0, -1):
+                if not len(open_):
+                    break
+                piece = matches[k - 1][here[open_]]
+                some = np.flatnonzero(piece)
+                if not len(some):
+                    continue
+                lanes, piece = open_[some], piece[some].astype(np.int64)
+                ok = inside[here[lanes]] == k  # a word's first piece follows anything
+                rest = np.flatnonzero(~ok)
+                if len(rest):
+                    ok[rest] = self.follow(last[(t - k) & 63, lanes[rest]], piece[rest])
+                lanes, piece, some = lanes[ok], piece[ok], some[ok]
+                row_last[lanes] = piece
+                # bits of positions older than the path's last 64 stand for later ones now
+                keep = ~_U((((1 << k) - 1) << ((t - k + 1) & 63) | ((1 << k) - 1) >> (64 - ((t - k + 1) & 63))) & (2**64 - 1))
+                row_passed[lanes] = (passed[(t - k) & 63, lanes] & keep) | _U(1 << (t & 63))
+                open_ = np.delete(open_, some)
+            if t % 16 == 0 and t > window:
+                common = np.bitwise_and.reduce(passed[(np.arange(t - window + 1, t + 1) & 63)[:, None], np.arange(active)[None, :]], axis=0)
+                first = t - window + 1  # the earliest kept position: a boundary lies there or before
+                turn = (63 - first) % 64
+                turned = (common << _U(turn)) | (common >> _U((64 - turn) % 64)) if turn else common
+                # position ``first`` is the top bit; 40 before it count
+                high = np.frexp((turned >> _U(23)).astype(np.float64))[1]
+                boundary = first - (41 - high)
+                lanes = np.flatnonzero((high > 0) & (boundary > base[:active]) & ~lost[:active])
+                if len(lanes):
+                    emit(lanes, boundary[lanes])
+                    base[lanes] = boundary[lanes]
+                    self.commits += len(lanes)
+                lost[:active] |= t + 16 - base[:active] > 63
+            active = int(np.searchsorted(-size[:active], -t, "left"))
+        # a stream that has ended keeps its last positions
+        emit(np.flatnonzero(~lost), size[~lost])
+        at = np.concatenate([*places, np.zeros(0, np.int64)])
+        piece = np.concatenate([*pieces, np.zeros(0, np.int32)])
+        again = np.zeros(len(ends), bool)
+        for lane in np.flatnonzero(lost):
+            again[np.searchsorted(ends, begin[lane], "right") : np.searchsorted(ends, begin[lane] + size[lane], "left") + 1] = True
+        if again.any():
+            keep = ~again[np.searchsorted(ends, at)]
+            at, piece = at[keep], piece[keep]
+        order = np.argsort(at)
+        return at[order], piece[order], again
+
+    def _ids_at(self, codes: np.ndarray, at: np.ndarray, piece: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of pieces that end at places of the text, and each piece's number of ids (bytes, if it is no piece)."""
+        n = np.ones(len(at), np.int64)
+        odd = np.flatnonzero(piece == self.other)
+        chars, which = np.unique(codes[at[odd] - 1], return_inverse=True)
+        raw = [self.ids_of([chr(c)]) for c in chars.tolist()]
+        n[odd] = np.array([len(x) for x in raw], np.int64)[which] if len(odd) else 0
+        out = np.repeat(self.id_of[piece], n)
+        starts = np.cumsum(n) - n
+        for i, w in zip(starts[odd].tolist(), which.tolist()):
+            out[i : i + len(raw[w])] = raw[w]
+        return out, n
+
+    def lists(self, units: pa.Array) -> pa.LargeListArray:
+        """The ids of each marked word."""
+        lengths = pc.utf8_length(units).to_numpy(zero_copy_only=False).astype(np.int64)
+        short = lengths <= LONG
+        counts, found = np.zeros(len(units), np.int64), []
+        by_hand = np.flatnonzero(~short).tolist()
+        some = np.flatnonzero(short)
+        ends = np.cumsum(lengths[some])
+        begin = 0
+        while begin < len(some):
+            stop = max(begin + 1, int(np.searchsorted(ends, (ends[begin - 1] if begin else 0) + BLOCK, "right")))
+            mine = some[begin:stop]
+            text = "".join(units.take(pa.array(mine)).to_pylist())
+            codes = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+            at, piece, again = self.walk(codes, lengths[mine])
+            ids, n = self._ids_at(codes, at, piece)
+            word = mine[np.searchsorted(np.cumsum(lengths[mine]), at)]
+            counts += np.bincount(word, n, len(units)).astype(np.int64)
+            found.append((np.repeat(word, n), ids))
+            by_hand += mine[again].tolist()
+            begin = stop
+        for i in by_hand:
+            ids = np.array(self.ids_of(self.stream(units[i].as_py())), np.int32)
+            counts[i] = len(ids)
+            found.append((np.full(len(ids), i), ids))
+        words = np.concatenate([*[w for w, _ in found], np.zeros(0, np.int64)])
+        flat = np.concatenate([*[x for _, x in found], np.zeros(0, np.int32)]).astype(np.int32)
+        if len(found) > 1:
+            flat = flat[np.argsort(words, kind="stable")]
+        return pa.LargeListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)])), pa.array(flat))
+
+
+def _hashes(words: list[str]) -> np.ndarray:
+    """A hash of each word, as spans of any text that holds it have."""
+    codes = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).astype(np.uint64)
+    ends = np.cumsum([len(w) for w in words])
+    return Spans(codes).of(ends - np.array([len(w) for w in words]), ends) | _U(1)
 
 
 _LOADED: dict[str, Pieces] = {}
@@ -262,8 +418,7 @@ def encode_texts(texts: pa.LargeStringArray, model: Pieces) -> tuple[np.ndarray,
     """The ids of all texts, and each text's number of ids."""
     units, counts = _units(texts)
     codes, distinct = encoded(units)
-    pool, places = model.pool(distinct.to_pylist())
-    taken = pool.take(pa.array(places[codes]))
+    taken = model.lists(distinct).take(pa.array(codes))
     ends = np.asarray(taken.offsets)[np.cumsum(counts)] if len(counts) else np.zeros(0, np.int64)
     return taken.values.to_numpy(), np.diff(np.concatenate([[0], ends]))
 
@@ -290,6 +445,7 @@ def encode(docs: DataFrame, model: str, doc_id: str = "doc_id", text: str = "tex
     A null text counts as empty and has no ids. Repeated rows and null ids stay; an empty table gives an empty result; other
     columns are not looked at. A lone mark character in a text reads as a space, as in the library.
     """
+    frugal(docs.sparkSession)
     kind = docs.schema[doc_id].dataType.simpleString()
     whole = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     return docs.select(F.col(f"`{doc_id}`").alias("doc_id"), whole.alias("text")).mapInArrow(
@@ -306,6 +462,7 @@ def _decoded_rows(batches, path: str) -> Iterator[pa.RecordBatch]:
 
 def decode(rows: DataFrame, model: str) -> DataFrame:
     """doc_id, text of rows with doc_id, ids. No ids (or null) give the empty text."""
+    frugal(rows.sparkSession)
     kind = rows.schema["doc_id"].dataType.simpleString()
     some = rows.select("doc_id", F.coalesce("ids", F.array().cast("array<int>")).alias("ids"))
     return some.mapInArrow(lambda b: _decoded_rows(b, model), f"doc_id {kind}, text string")
@@ -326,6 +483,7 @@ def _digests(batches, path: str) -> Iterator[pa.RecordBatch]:
 def token_digests(docs: DataFrame, model: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_tokens, ids_crc32 (of the ids as little-endian unsigned 32-bit integers), and whether the decoded ids give
     the text again. Encodes and decodes in one pass; edge cases as in ``encode``."""
+    frugal(docs.sparkSession)
     kind = docs.schema[doc_id].dataType.simpleString()
     whole = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     return docs.select(F.col(f"`{doc_id}`").alias("doc_id"), whole.alias("text")).mapInArrow(
