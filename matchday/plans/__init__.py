@@ -3,6 +3,7 @@
 from .cleaning import clean_records
 from .features import FeatureBuilder
 from .ingest import normalize_seasons
+from .refresh import refresh_tables, scan_refreshed
 from .tables import create_performance, create_standings, performance, standings
 
 __all__ = [
@@ -12,5 +13,7 @@ __all__ = [
     "create_standings",
     "normalize_seasons",
     "performance",
+    "refresh_tables",
+    "scan_refreshed",
     "standings",
 ]

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from ..functions.features import DEFAULT_FEATURES
 from ..functions.predicates import EXCLUDED_LEAGUE_IDS
@@ -24,10 +25,11 @@ def clean_records(
     team_mapper: DataFrame | None = None,
     excluded_league_ids: Sequence[int] = EXCLUDED_LEAGUE_IDS,
     separator: str = ".",
-) -> None:
+) -> dict[str, int]:
     """Scan all seasons of one record kind, clean them and write one table.
 
-    Mappers default to the packaged lookup tables.
+    Mappers default to the packaged lookup tables. Returns what the write counted: ``rows``, and of the features
+    ``league_name``, ``team_id_1`` and ``team_id_2`` that were asked for how many rows have none (the mappers do not know them).
     """
     df = scan_records(spark, records_root, records, separator=separator)
     out = clean(
@@ -38,4 +40,7 @@ def clean_records(
         excluded_league_ids=excluded_league_ids,
         separator=separator,
     )
-    write_table(out, out_path)
+    seen = Observation()
+    unmapped = [F.count_if(F.col(c).isNull()).alias(f"no_{c}") for c in ("league_name", "team_id_1", "team_id_2") if c in out.columns]
+    write_table(out.observe(seen, F.count(F.lit(1)).alias("rows"), *unmapped), out_path)
+    return dict(seen.get)

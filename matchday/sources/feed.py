@@ -10,12 +10,32 @@ from pyspark.sql import types as T
 
 from ..operators.normalize import validate_records
 from ..schemas import FEED_SCHEMA, normalized_schema
+from . import manifest
 
 # Files of the feed's native layout are named "{league}_{season}.json".
 SEASON_FILE_PATTERN = r"^(.+)_([0-9]+)\.json$"
 
 
-def read_feed(spark: SparkSession, path: str | Sequence[str], layout: str = "array") -> DataFrame:
+#: Column of the text that could not be parsed, in feeds read with ``errors="keep"``.
+CORRUPT = "_corrupt_record"
+ERROR_MODES = ("fail", "keep")
+
+
+def feed_options(reader, layout: str, errors: str = "fail"):
+    """A (batch or stream) reader with the declared schema and the options of a layout and error mode."""
+    if layout not in ("array", "lines"):
+        raise ValueError("layout must be 'array' or 'lines'")
+    if errors not in ERROR_MODES:
+        raise ValueError(f"errors must be in {list(ERROR_MODES)}")
+    if layout == "array":
+        reader = reader.option("multiLine", True)
+    if errors == "fail":
+        return reader.schema(FEED_SCHEMA).option("mode", "FAILFAST")
+    schema = T.StructType([*FEED_SCHEMA.fields, T.StructField(CORRUPT, T.StringType())])
+    return reader.schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+
+
+def read_feed(spark: SparkSession, path: str | Sequence[str], layout: str = "array", errors: str = "fail") -> DataFrame:
     """Scan match feed files with the declared schema (never inferred).
 
     ``layout="array"``: each file is one JSON array of match objects, the
@@ -23,55 +43,50 @@ def read_feed(spark: SparkSession, path: str | Sequence[str], layout: str = "arr
     splittable, so parallelism equals the file count: convert to Parquet once.
     ``layout="lines"``: JSON Lines, one match per line, splittable.
     Missing keys read as null.
+
+    ``errors="fail"``: text that is no JSON of the schema (a file cut short, say) fails the job that reads it.
+    ``errors="keep"``: the feed has a column ``_corrupt_record`` with such text (a line, or a whole array file) and null
+    elsewhere; :func:`split_rejects` parts the two.
     """
-    reader = spark.read.schema(FEED_SCHEMA)
-    if layout == "array":
-        reader = reader.option("multiLine", True)
-    elif layout != "lines":
-        raise ValueError("layout must be 'array' or 'lines'")
     paths = [path] if isinstance(path, str) else list(path)
-    return reader.json(paths)
-
+    return feed_options(spark.read, layout, errors).json(paths)
 
-def stream_folders(spark: SparkSession, root: str, records: str) -> list[str]:
-    """The output folders of streams into ``root`` (one for each landing folder)."""
-    jvm = spark.sparkContext._jvm
-    base = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{records}_stream")
-    fs = base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return sorted(f.getPath().toString() for f in fs.listStatus(base)) if fs.exists(base) else []
 
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+def split_rejects(feed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(the matches, the rejects: file, record) of a feed read with ``errors="keep"``."""
+    good = feed.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    # the JSON reader refuses plans that need this column alone: the id's test is true of every row
+    any_id = F.coalesce(F.col("matchID"), F.lit(0)) >= F.lit(-(2**63))
+    bad = feed.filter(F.col(CORRUPT).isNotNull() & any_id).select(
+        F.col("_metadata.file_path").alias("file"), F.col(CORRUPT).alias("record"))
+    return good, bad
 
 
 def scan_records(
-    spark: SparkSession, root: str, records: str = "matchResults", separator: str = "."
+    spark: SparkSession, root: str, records: str = "matchResults", separator: str = ".",
+    seasons: Sequence[tuple[str | None, int | None]] | None = None,
 ) -> DataFrame:
-    """All seasons of one record kind written by :func:`write_normalized` or by streams below ``root``.
+    """All seasons of one record kind committed below ``root`` by batch writes and by streams.
 
     The schema is declared, so partition columns keep their feed types and
-    filters on league/season prune whole directories. A season that was
-    written in batch replaces its streamed rows.
+    filters on league/season prune whole directories; ``seasons`` reads those
+    (league shortcut, season) pairs only. A season's rows are those of its last
+    batch write and of what streams added since; of a match that both hold, the
+    later rows count (see :mod:`~matchday.sources.manifest`).
     """
     validate_records(records)
     schema = normalized_schema(records, separator=separator)
+    if manifest.has_log(spark, root, records):
+        return manifest.scan(spark, root, records, schema, key="matchID", only=seasons)
     # partition columns come last from the reader; restore the declared order
-    columns = [F.col(f"`{f.name}`") for f in schema.fields]
-    path = f"{root.rstrip('/')}/{records}"
-    streams = stream_folders(spark, root, records)
-    batch = spark.read.schema(schema).parquet(path).select(*columns) if not streams or _exists(spark, path) else None
-    streamed = None
-    for folder in streams:
-        one = spark.read.schema(schema).parquet(folder).select(*columns)
-        streamed = one if streamed is None else streamed.unionByName(one)
-    if streamed is None:
-        return batch
-    if batch is None:
-        return streamed
-    done = batch.select("leagueShortcut", "leagueSeason").distinct()
-    return batch.unionByName(streamed.join(done, ["leagueShortcut", "leagueSeason"], "left_anti").select(*columns))
+    out = spark.read.schema(schema).parquet(f"{root.rstrip('/')}/{records}").select(*[F.col(f"`{f.name}`") for f in schema.fields])
+    return out if seasons is None else out.filter(manifest._any_season(seasons))
+
+
+def season_report(spark: SparkSession, root: str, records: str = "matchResults") -> DataFrame:
+    """leagueShortcut, leagueSeason, version, has_records of every season committed below ``root``, read from the log alone."""
+    validate_records(records)
+    return manifest.season_versions(spark, root, records).drop("source")
 
 
 def scan_season_files(

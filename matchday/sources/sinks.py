@@ -4,19 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.normalize import validate_records
-
-SEASON_PARTITIONS: tuple[str, ...] = ("leagueShortcut", "leagueSeason")
+from ..schemas import RECORD_FIELDS
+from .manifest import SEASON_PARTITIONS, Commit, write_version
 
 
 def write_table(
     df: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] | None = None
 ) -> None:
     """Write Parquet. A partitioned overwrite replaces only the partitions present in ``df``
-    (dynamic partition overwrite), so other seasons already written stay untouched.
+    (dynamic partition overwrite), so others already written stay untouched.
 
     Rows are first rebalanced on the partition columns: each partition is written by one task, a large one by several
     (AQE splits it at the advisory size), instead of one file from every task.
@@ -29,25 +29,32 @@ def write_table(
     w.parquet(path)
 
 
-def write_normalized(
-    df: DataFrame,
-    root: str,
-    records: str = "matchResults",
-    mode: str = "overwrite",
-    partition_by: Sequence[str] = SEASON_PARTITIONS,
-) -> str:
-    """Write a normalised record table below ``root/records``, one directory per league season.
+def is_record(records: str) -> Column:
+    """Whether a normalised row holds a record (a match without records keeps one row of nulls)."""
+    found = F.lit(False)
+    for name, _ in RECORD_FIELDS[records]:
+        found = found | F.col(f"`{name}`").isNotNull()
+    return found
+
+
+def commit_normalized(df: DataFrame, root: str, records: str = "matchResults", mode: str = "overwrite", writer: str = "batch") -> Commit:
+    """Write a normalised record table below ``root/records`` as one commit of its season manifest.
 
-    Re-running for some seasons replaces just those seasons' directories, like
-    rewriting one file per season; so ``df`` must hold the partition columns.
-    Returns the written path.
+    ``mode="overwrite"``: the commit replaces the seasons that ``df`` holds, like rewriting one file per season; others stay.
+    ``mode="append"``: it adds to them. ``df`` must hold the two season columns.
     """
     validate_records(records)
-    path = f"{root.rstrip('/')}/{records}"
-    if missing := [p for p in partition_by if p not in df.columns]:
+    if missing := [p for p in SEASON_PARTITIONS if p not in df.columns]:
         raise ValueError(f"{missing} are needed to tell seasons apart; a write without them would replace every season")
-    write_table(df, path, mode=mode, partition_by=list(partition_by) or None)
-    return path
+    if mode not in ("overwrite", "append"):
+        raise ValueError("mode must be 'overwrite' or 'append'")
+    return write_version(df, root, records, replaces=mode == "overwrite", writer=writer, has_records=is_record(records))
+
+
+def write_normalized(df: DataFrame, root: str, records: str = "matchResults", mode: str = "overwrite") -> str:
+    """:func:`commit_normalized`; returns the path of the table."""
+    commit_normalized(df, root, records, mode)
+    return f"{root.rstrip('/')}/{records}"
 
 
 def write_feed_lines(feed: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -2,9 +2,10 @@
 
 The batch normaliser (:func:`matchday.operators.normalize.normalize`) is a
 stateless projection plus ``explode_outer``, so the same function runs
-unchanged on a streaming DataFrame. New files in the landing folder are
-processed exactly once: the file source records what it has read in the
-checkpoint, and the Parquet sink commits each micro-batch atomically.
+unchanged on a streaming DataFrame. Each micro-batch is one commit of the
+record table's season manifest, named after the stream and the batch: a batch
+that is run again after a failure finds its commit and writes nothing. New files
+in the landing folder are read exactly once, as the checkpoint records.
 ``trigger="availableNow"`` processes everything new and stops (scheduled
 ingestion); ``trigger="continuous-poll"`` keeps polling at ``interval``.
 """
@@ -18,19 +19,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.normalize import normalize, validate_meta, validate_records
-from ..schemas import FEED_SCHEMA
-from ..sources.sinks import SEASON_PARTITIONS
+from ..sources.feed import feed_options
+from ..sources.manifest import SEASON_PARTITIONS, committed
+from ..sources.sinks import commit_normalized
 
 
 def feed_stream(
     spark: SparkSession, landing_dir: str, layout: str = "array", max_files_per_trigger: int | None = None
 ) -> DataFrame:
-    """Streaming scan of match feed files (declared schema; ``array`` = one JSON array per file)."""
-    reader = spark.readStream.schema(FEED_SCHEMA)
-    if layout == "array":
-        reader = reader.option("multiLine", True)
-    elif layout != "lines":
-        raise ValueError("layout must be 'array' or 'lines'")
+    """Streaming scan of match feed files (declared schema; ``array`` = one JSON array per file). A damaged file fails the query."""
+    reader = feed_options(spark.readStream, layout)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
     return reader.json(landing_dir)
@@ -48,26 +46,35 @@ def normalize_stream(
     trigger: str = "availableNow",
     interval: str = "1 minute",
 ) -> StreamingQuery:
-    """Start a query that appends newly landed matches, normalised, below ``out_root``.
+    """Start a query that adds newly landed matches, normalised, to ``out_root/{records}``.
 
-    Each landing folder has its own output folder (``out_root/{records}_stream/..``) and, unless ``checkpoint`` is
-    given, its own checkpoint (``out_root/_checkpoints/..``). Both follow from the two folders alone, so a query that is
-    started again in another session resumes where the last one stopped. Batch writes go to other folders:
-    :func:`~matchday.sources.feed.scan_records` reads both. The two season columns are always written.
+    Batch writes go to the same table: :func:`~matchday.sources.feed.scan_records` gives a season's rows from its last batch
+    write and what streams added since. A match that lands again replaces its earlier rows (across micro-batches; within one,
+    all its rows stay).
+
+    Unless ``checkpoint`` is given, each landing folder has its own (``out_root/_checkpoints/..``), which follows from the two
+    folders alone: a query that is started again in another session resumes where the last one stopped. The two season
+    columns are always written.
     """
     validate_records(records)
     cols = validate_meta(meta)
     cols = [*cols, *[c for c in SEASON_PARTITIONS if c not in cols]]
     out = normalize(feed_stream(spark, landing_dir, layout), records=records, meta=cols, separator=separator)
-    name = hashlib.md5(landing_dir.rstrip("/").encode()).hexdigest()[:12]
     root = out_root.rstrip("/")
+    name = hashlib.md5(landing_dir.rstrip("/").encode()).hexdigest()[:12]
     ckpt = checkpoint or f"{root}/_checkpoints/{records}-{name}"
-    writer = out.writeStream.format("parquet").option("checkpointLocation", ckpt).outputMode("append")
-    writer = writer.partitionBy(*SEASON_PARTITIONS)
+    stream = hashlib.md5(f"{name} {ckpt}".encode()).hexdigest()[:12]
+
+    def commit(batch: DataFrame, number: int) -> None:
+        writer = f"stream-{stream}-{number}"
+        if not committed(batch.sparkSession, root, records, writer):
+            commit_normalized(batch, root, records, mode="append", writer=writer)
+
+    query = out.writeStream.foreachBatch(commit).option("checkpointLocation", ckpt).outputMode("append")
     if trigger == "availableNow":
-        writer = writer.trigger(availableNow=True)
+        query = query.trigger(availableNow=True)
     elif trigger == "continuous-poll":
-        writer = writer.trigger(processingTime=interval)
+        query = query.trigger(processingTime=interval)
     else:
         raise ValueError("trigger must be 'availableNow' or 'continuous-poll'")
-    return writer.start(f"{root}/{records}_stream/{name}")
+    return query.start()
