@@ -15,27 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.features import DEFAULT_FEATURES, build_features, league_name_raw
 from ..functions.predicates import EXCLUDED_LEAGUE_IDS, not_excluded_league
-from ..sources.tables import row_bound
-
-# Largest dimension that is broadcast on request. Mapper rows are ~100 bytes,
-# so this bounds a broadcast to a few MB per executor.
-MAX_BROADCAST_ROWS = 50_000
-
-
-def checked_broadcast(
-    dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, known_rows: int | None = None
-) -> DataFrame:
-    """``broadcast(dim)`` if it has at most ``max_rows`` rows, else ``dim`` unchanged.
-
-    ``known_rows`` is a proven bound (e.g. a table built from driver-side rows,
-    see :func:`~matchday.sources.tables.local_table`); without one, the check
-    reads at most ``max_rows + 1`` rows, so it stays cheap even when the table
-    turns out to be large.
-    """
-    bound = known_rows if known_rows is not None else row_bound(dim)
-    n = bound if bound is not None else dim.limit(max_rows + 1).count()
-    return F.broadcast(dim) if n <= max_rows else dim
-
+from ..sources.tables import MAX_BROADCAST_ROWS, checked_broadcast, row_bound  # noqa: F401
 
 def conform_leagues(records: DataFrame, league_mapper: DataFrame, broadcast: bool = True) -> DataFrame:
     """Add ``league_name_raw`` (name without the season) and the mapped ``league_name_unique``."""
@@ -94,11 +74,13 @@ def clean(
     excluded_league_ids: Sequence[int] = EXCLUDED_LEAGUE_IDS,
     separator: str = ".",
     broadcast: bool = True,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """Normalised records -> clean match table.
 
     Drops the excluded leagues (a pushed-down Parquet filter), conforms league
-    and team identities with broadcast lookups and projects the named features.
+    and team identities with broadcast lookups and projects the named features,
+    and the columns ``keep`` of the records behind them.
     One map-only stage: scan, filter, two/three broadcast hash joins, project.
     """
     df = records.filter(not_excluded_league(excluded_league_ids))
@@ -106,7 +88,7 @@ def clean(
     df = conform_teams(df, team_mapper, separator=separator, broadcast=broadcast)
     cols = build_features(list(features), sep=separator)
     try:
-        return df.select(*cols)
+        return df.select(*cols, *[F.col(f"`{c}`") for c in keep])
     except AnalysisException as e:
         raise ValueError(
             "The requested features need columns the records do not have "

@@ -23,9 +23,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.buckets import bucketed_by
+
 # Least number of salts for null-key rows; the session's shuffle width is used when larger.
 NULL_KEY_SPREAD = 256
 _LK = "_lk_"
@@ -69,6 +71,9 @@ def previous_day_features(
 
     Output columns: ``base`` columns, then per table (in order) its columns for
     side 1, then for side 2.
+
+    A table whose buckets are known to be by (league, team, day) is joined on these very columns, so it is read bucket by
+    bucket and only the base is shuffled.
     """
     if spread is None:
         # null-key rows never match: spread them as wide as the shuffle itself
@@ -77,7 +82,12 @@ def previous_day_features(
         spread = max(NULL_KEY_SPREAD, shuffle_width(base.sparkSession))
     salt_ok = bool(spread_by) and spread_by in base.columns and spread > 1
     lookups = []
+    dealt = [bucketed_by(table) == (league_col, team_col, day_col) for table, _ in tables]
     for table, cols in tables:
+        if dealt[len(lookups)]:
+            keys = [F.col(c).alias(f"{_LK}{k}") for c, k in ((league_col, "league"), (team_col, "team"), (day_col, "day"))]
+            lookups.append((table.select(*keys, *[F.col(c).alias(f"{_LK}{c}") for c in cols]), list(cols)))
+            continue
         lookups.append(
             (
                 table.select(
@@ -94,6 +104,13 @@ def previous_day_features(
     for side in sides:
         keys = [league_col, f"{team_col}_{side}", day_col]
         salts[f"_salt_{side}"] = null_spread_salt(keys, spread_by, spread) if salt_ok else F.lit(0)
+    if any(dealt):
+        # a null team matches nothing: any id of its own spreads it, and the join's condition rules it out
+        for side in sides:
+            team = F.col(f"{team_col}_{side}")
+            own = F.xxhash64(F.col(spread_by)) if salt_ok else F.lit(0).cast("bigint")
+            salts[f"_team_{side}"] = F.coalesce(team, own)
+        salts["_day"] = F.col(day_col) - F.lit(offset)
     out = base.withColumns(salts)
     picked: dict[tuple[int, int], list[Column]] = {}
     for side in sides:
@@ -102,6 +119,14 @@ def previous_day_features(
             # an alias per join keeps names unambiguous; it vanishes in the physical plan,
             # so both teams' joins still share one lookup shuffle
             a = f"_lk{i}_{side}"
+            if dealt[i]:
+                cond = (
+                    (F.col(league_col) == F.col(f"{a}.{_LK}league")) & (F.col(f"_team_{side}") == F.col(f"{a}.{_LK}team"))
+                    & (F.col("_day") == F.col(f"{a}.{_LK}day")) & F.col(team).isNotNull()
+                )
+                out = out.join(lk.alias(a), cond, "left")
+                picked[(i, side)] = [F.col(f"{a}.{_LK}{c}").alias(f"{c}_{side}") for c in cols]
+                continue
             cond = (
                 (F.col(league_col) == F.col(f"{a}.{_LK}league"))
                 & (F.col(team) == F.col(f"{a}.{_LK}team"))
@@ -115,3 +140,24 @@ def previous_day_features(
         for side in sides:
             ordered += picked[(i, side)]
     return out.select(*ordered)
+
+
+def previous_day_rows(
+    panel: DataFrame,
+    columns: Sequence[str],
+    name: str = "previous",
+    league_col: str = "league_id",
+    day_col: str = "match_day",
+    team_col: str = "team_id",
+    offset: int = 1,
+) -> DataFrame:
+    """Attach to every row of a team panel the array of structs of ``columns`` of the same team's rows ``offset`` days before.
+
+    A RANGE frame over (league, team) in the order of the day: where the panel is partitioned for its statistics already, no
+    further Exchange. The array holds what an equi join on the day would pair the row with: nothing, one row, or all rows of
+    a repeated key. Rows with a null in league, team or day match nothing.
+    """
+    known = F.col(league_col).isNotNull() & F.col(team_col).isNotNull() & F.col(day_col).isNotNull()
+    frame = Window.partitionBy(league_col, team_col).orderBy(day_col).rangeBetween(-offset, -offset)
+    rows = F.collect_list(F.when(known, F.struct(*columns))).over(frame)
+    return panel.withColumn(name, rows)

@@ -15,7 +15,8 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..schemas import PANEL_METRICS, PERFORMANCE_METRICS
-from .skew import DEFAULT_HOT_ROWS, cum_value, lagged, prefix_sums, same_key, split_hot
+from ..session import materialize
+from .skew import CARRIED, DEFAULT_HOT_ROWS, RUN, SEGMENT_ROWS, Hot, find_hot, in_segments, same_key, split_hot
 
 # --- fixed values: performance classes and their panel keys; rank order --------
 PERFORMANCE_CLASSES: dict[str, tuple[str, ...]] = {
@@ -76,6 +77,17 @@ def running_avg(col: str, w: WindowSpec, games: str = "games") -> Column:
     )
 
 
+def _statistics(
+    w: WindowSpec, totals: Sequence[str], forms: Sequence[str], windows: Sequence[int], games: str, run: str = ""
+) -> list[Column]:
+    """All statistics of one window; running sums read the columns behind the prefix ``run``."""
+    cols = [running_sum(f"{run}{m}", w).alias(m) for m in totals]
+    for m in forms:
+        cols += [rolling_sum(m, w, n).alias(f"{m}_last_{n}_games") for n in windows]
+        cols.append(running_avg(f"{run}{m}", w, f"{run}{games}").alias(f"{m}_avg"))
+    return cols
+
+
 def panel_stats(
     view: DataFrame,
     keys: Sequence[str],
@@ -86,34 +98,29 @@ def panel_stats(
     order: Sequence[str] = PANEL_ORDER,
     hot_threshold: int | None = DEFAULT_HOT_ROWS,
     games: str = "games",
+    hot: Hot | None = None,
+    segment_rows: int = SEGMENT_ROWS,
 ) -> DataFrame:
     """``carry``, the running totals (named as the metric) and the form statistics of one panel, from one window.
 
-    Panels with more than ``hot_threshold`` rows are computed by the exact prefix sums of
-    :mod:`~matchday.operators.skew` instead of one window task; ``None`` skips the check.
+    ``view`` has the key, order, ``carry`` and metric columns; the default order needs ``match_day``, ``match_id`` and
+    ``home_team``. Any of them may be null (nulls sort first) and of any sortable type: ids may be sparse hashes or text.
+
+    Panels with more than ``hot_threshold`` rows take the segments of :mod:`~matchday.operators.skew` instead of one window
+    task; ``None`` skips the check, ``hot`` gives the hot keys where the caller has found them.
     """
-    w = panel_window(keys, order)
-    cold, hot = split_hot(view, keys, hot_threshold)
-    cols = [running_sum(m, w).alias(m) for m in totals]
-    for m in forms:
-        cols += [rolling_sum(m, w, n).alias(f"{m}_last_{n}_games") for n in windows]
-        cols.append(running_avg(m, w, games).alias(f"{m}_avg"))
-    out = cold.select(*carry, *cols)
     if hot is None:
+        (hot,) = find_hot(view, [keys], hot_threshold)
+    cold, rows = (view, None) if hot is None else split_hot(view, keys, hot)
+    w = panel_window(keys, order)
+    out = cold.select(*carry, *_statistics(w, totals, forms, windows, games))
+    if rows is None:
         return out
     needed = list(dict.fromkeys([*totals, *forms, *([games] if forms else [])]))
-    ps = prefix_sums(hot, keys, order, needed)
-    for n in windows if forms else ():
-        ps = lagged(ps, keys, n, [f"_{kind}_{m}" for kind in ("cum", "nn") for m in forms])
-    cols = [cum_value(m).cast("bigint").alias(m) for m in totals]
-    for m in forms:
-        for n in windows:
-            enough = (F.col(f"_nn_{m}") - F.col(f"_nn_{m}_lag{n}")) >= F.lit(n)
-            cols.append(
-                F.when(enough, F.col(f"_cum_{m}") - F.col(f"_cum_{m}_lag{n}")).cast("bigint").alias(f"{m}_last_{n}_games")
-            )
-        cols.append(F.try_divide(cum_value(m).cast("double"), cum_value(games).cast("double")).alias(f"{m}_avg"))
-    return out.unionByName(ps.select(*carry, *cols))
+    back = max(windows, default=1) - 1 if forms else 0
+    seg, w = in_segments(rows, keys, [F.col(c).asc_nulls_first() for c in order], needed, back, hot.rows, segment_rows)
+    stats = seg.select(*carry, CARRIED, *_statistics(w, totals, forms, windows, games, RUN))
+    return out.unionByName(stats.filter(~F.col(CARRIED)).drop(CARRIED))
 
 
 def running_totals(
@@ -123,9 +130,13 @@ def running_totals(
     carry: Sequence[str] = STANDINGS_KEYS,
     order: Sequence[str] = PANEL_ORDER,
     hot_threshold: int | None = DEFAULT_HOT_ROWS,
+    hot: Hot | None = None,
+    segment_rows: int = SEGMENT_ROWS,
 ) -> DataFrame:
     """Running totals of each metric per panel (the league table after each game)."""
-    return panel_stats(view, keys, carry, totals=metrics, order=order, hot_threshold=hot_threshold)
+    return panel_stats(
+        view, keys, carry, totals=metrics, order=order, hot_threshold=hot_threshold, hot=hot, segment_rows=segment_rows
+    )
 
 
 def table_rank(
@@ -134,27 +145,30 @@ def table_rank(
     over: Sequence[str] = RANK_OVER,
     name: str = "rank",
     hot_threshold: int | None = DEFAULT_HOT_ROWS,
-    count_on: DataFrame | None = None,
+    hot: Hot | None = None,
+    segment_rows: int = SEGMENT_ROWS,
 ) -> DataFrame:
     """Rank (method "min", i.e. SQL RANK) of the descending tuple ``by`` within ``over``.
 
     For hot groups the rank is 1 + the number of rows with a greater tuple:
     rows are pre-aggregated to one count per distinct tuple (partial
-    aggregate), ranked over those counts, and joined back.
+    aggregate), summed over segments of these counts, and joined back.
     """
+    if hot is None:
+        (hot,) = find_hot(totals, [over], hot_threshold)
     w = Window.partitionBy(*over).orderBy(*[F.col(c).desc() for c in by])
-    cold, hot = split_hot(totals, over, hot_threshold, count_on)
+    cold, rows = (totals, None) if hot is None else split_hot(totals, over, hot)
     out = cold.withColumn(name, F.rank().over(w).cast("bigint"))
-    if hot is None:
+    if rows is None:
         return out
-    # distinct tuples of one group: bounded by the values that points and goals take, not by its rows
-    counts = hot.groupBy(*over, *by).agg(F.count(F.lit(1)).alias("_n"))
-    before = w.rowsBetween(Window.unboundedPreceding, -1)
-    ranks = counts.select(
-        *[F.col(c).alias(f"_k_{c}") for c in (*over, *by)],
-        (F.coalesce(F.sum("_n").over(before), F.lit(0)) + F.lit(1)).cast("bigint").alias(name),
-    )
-    ranked = hot.join(ranks, same_key([*over, *by], "_k_"), "inner").select(*totals.columns, name)
+    counts = rows.groupBy(*over, *by).agg(F.count(F.lit(1)).alias("_n"))
+    counts = materialize(counts, "hot-tuples")
+    seg, sw = in_segments(counts, over, [F.col(c).desc() for c in by], ["_n"], segment_rows=segment_rows)
+    upto = F.sum(f"{RUN}_n").over(running(sw))
+    ranks = seg.select(
+        CARRIED, *[F.col(c).alias(f"_k_{c}") for c in (*over, *by)], (upto - F.col("_n") + F.lit(1)).cast("bigint").alias(name)
+    ).filter(~F.col(CARRIED))
+    ranked = rows.join(ranks, same_key([*over, *by], "_k_"), "inner").select(*totals.columns, name)
     return out.unionByName(ranked)
 
 
@@ -167,7 +181,10 @@ def performance_stats(
     order: Sequence[str] = PANEL_ORDER,
     hot_threshold: int | None = DEFAULT_HOT_ROWS,
     games: str = "games",
+    segment_rows: int = SEGMENT_ROWS,
 ) -> DataFrame:
     """Rolling sums over the last 3 and 5 games and running averages per panel."""
-    keys = panel_classes(performance_class)
-    return panel_stats(view, keys, carry, forms=metrics, windows=windows, order=order, hot_threshold=hot_threshold, games=games)
+    return panel_stats(
+        view, panel_classes(performance_class), carry, forms=metrics, windows=windows, order=order, hot_threshold=hot_threshold,
+        games=games, segment_rows=segment_rows,
+    )

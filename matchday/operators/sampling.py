@@ -5,27 +5,44 @@ The sample is "the first floor(n * fraction) rows when ordered by
 this is a uniform sample without replacement; fixing the seed makes it
 reproducible.
 
-Finding the cut key never orders all rows in one task:
-
-1. rows are counted per first four hex digits of the hash (partial aggregate,
-   65,536 rows at most); running sums over these give the bucket that holds the
-   cut and how many of its rows are taken;
-2. the same within that bucket, on the next four digits;
-3. only keys that share eight digits are ordered, about n / 2**32 distinct ones
-   (233 of 1e12 ids).
-
-Copies of one id share one key, so duplicates never crowd one task: step 3
-aggregates them first. Each step is a one-row scalar subquery of the next, so
-nothing runs while the plan is built, and the sample is the predicate
-``(hash, id) <= cut`` that every task evaluates locally.
+The cut key is found in one pass over the ids, an aggregate whose groups are of
+two kinds:
+
+* hashes around the place where the cut is expected (``fraction`` of the hash
+  range) keep their distinct (hash, id) keys with counts;
+* all others are counted by their first two hex digits, 256 on either side.
+
+Hashes are uniform, so the cut of n ids lies within a few standard deviations
+(1 / sqrt(n) of the range) of the expected place, and the more rows there are,
+the smaller the share that keeps keys. A few thousand groups are read at once.
+More are written, and the cut is approached there on four, then eight digits, so
+that only keys that share eight digits are ever ordered. Should the cut lie
+outside the range with keys (few ids, or many copies of one), one more filtered
+pass reads the ids with its two digits.
+
+The sample itself is the predicate ``(hash, id) <= cut`` that every task
+evaluates locally: two scans of the input in all.
 """
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterable
+from typing import Any
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
+from ..sources.tables import row_bound
+
 BUCKET_HEX_DIGITS = 4
+BUCKETS = 16**BUCKET_HEX_DIGITS
+#: Half of the share of the hash range that keeps its keys: where the number of rows is not known, and else as a multiple of
+#: 1 / sqrt(rows) (a standard deviation of the cut's place is half of that; a bound may be several times the rows).
+HALF_SHARE, HALF_WIDTHS = 1 / 64, 8
+#: Groups that the driver reads at once; more are written.
+DRIVER_KEYS = 50_000
 
 
 def sample_key(id_col: str | Column, seed: str = "") -> Column:
@@ -33,44 +50,86 @@ def sample_key(id_col: str | Column, seed: str = "") -> Column:
     return F.md5(F.concat(F.lit(str(seed)), F.coalesce(c.cast("string"), F.lit(""))))
 
 
-def _bucket_of_cut(keyed: DataFrame, digits: int, need: Column) -> DataFrame:
-    """One row: the bucket (first ``digits`` hex digits) in which the ``need``-th row falls, and its place in there."""
-    counts = keyed.groupBy(F.substring("_h", 1, digits).alias("b")).agg(F.count(F.lit(1)).alias("n"))
-    # at most 16**BUCKET_HEX_DIGITS rows: the buckets of one parent bucket
-    upto = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cum = counts.select("b", "n", F.sum("n").over(upto).alias("cum")).withColumn("need", need)
-    return (
-        cum.filter((F.col("cum") - F.col("n") < F.col("need")) & (F.col("need") <= F.col("cum")))
-        .select(F.struct("b", (F.col("need") - (F.col("cum") - F.col("n"))).alias("k")).alias("hit"))
-    )
+def _bucket(digits: int = BUCKET_HEX_DIGITS) -> Column:
+    return F.substring("_h", 1, digits)
 
 
-def half_sample_cut(df: DataFrame, id_col: str = "match_id", seed: str = "", fraction: float = 0.5) -> DataFrame:
-    """One row with ``cut``: the largest (hash, id) key inside the sample, null for an empty sample."""
-    keyed = df.select(sample_key(id_col, seed).alias("_h"), F.col(id_col).alias("_id"))
-    need = keyed.select(F.floor(F.count(F.lit(1)) * F.lit(float(fraction))).cast("bigint")).scalar()
-    for step in (1, 2):
-        hit = _bucket_of_cut(keyed, step * BUCKET_HEX_DIGITS, need).scalar()
-        keyed = keyed.filter(F.substring("_h", 1, step * BUCKET_HEX_DIGITS) == hit["b"])
-        need = hit["k"]
-    cand = keyed.groupBy("_h", "_id").agg(F.count(F.lit(1)).alias("n"))
-    upto = Window.orderBy("_h", "_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return (
-        cand.withColumn("cum", F.sum("n").over(upto)).filter(F.col("cum") - F.col("n") < need)
-        .agg(F.max(F.struct("_h", "_id")).alias("cut"))
-    )
+def _walk(counts: Iterable[tuple[Any, int]], need: int) -> tuple[Any, int]:
+    """The label in which the ``need``-th row falls, and its place in there; ``counts`` in order."""
+    before = 0
+    for label, n in counts:
+        if before + n >= need:
+            return label, need - before
+        before += n
+    raise ValueError("fewer rows than needed")
+
 
+def _keyed(keys: DataFrame) -> DataFrame:
+    return keys.groupBy("_h", "_id").agg(F.count(F.lit(1)).alias("n"))
 
-def half_sample_flag(df: DataFrame, id_col: str = "match_id", seed: str = "", fraction: float = 0.5) -> Column:
-    """Boolean column: is this row's id in the sample of ``df``."""
-    cut = half_sample_cut(df, id_col, seed, fraction).scalar()
+
+def _cut_among(keys: DataFrame, need: int) -> tuple[str, Any]:
+    """The ``need``-th key of a table of distinct keys with counts. 65,536 counts at a time reach the driver."""
+    for digits in (BUCKET_HEX_DIGITS, 2 * BUCKET_HEX_DIGITS):
+        counts = keys.groupBy(_bucket(digits).alias("b")).agg(F.sum("n").alias("n")).collect()
+        b, need = _walk(sorted((r["b"], r["n"]) for r in counts), need)
+        keys = keys.filter(_bucket(digits) == F.lit(b))
+    # distinct keys with eight digits in common: about n / 2**32
+    upto = Window.orderBy("_h", "_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cut = keys.select("_h", "_id", F.sum("n").over(upto).alias("upto")).filter(F.col("upto") >= F.lit(need))
+    hit = cut.orderBy("_h", "_id").first()
+    return hit["_h"], hit["_id"]
+
+
+def half_sample_cut(
+    df: DataFrame, id_col: str = "match_id", seed: str = "", fraction: float = 0.5, rows: int | None = None
+) -> tuple[str, Any] | None:
+    """The largest (hash, id) key inside the sample; None for an empty sample.
+
+    ``rows``: a bound on the rows of ``df`` (its known bound if left out). It decides how much is kept, not what is found.
+    """
+    rows = rows if rows is not None else row_bound(df)
+    half = HALF_SHARE if rows is None else HALF_WIDTHS / math.sqrt(max(rows, 1))
+    place, width = int(fraction * BUCKETS), math.ceil(half * BUCKETS)
+    low, high = (f"{x:0{BUCKET_HEX_DIGITS}x}" for x in (max(0, place - width), min(BUCKETS - 1, place + width)))
+    keyed = df.select(sample_key(id_col, seed).alias("_h"), F.col(id_col).alias("_id"))
+    side = F.when(_bucket() < F.lit(low), F.lit(-1)).when(_bucket() > F.lit(high), F.lit(1)).otherwise(F.lit(0))
+    inside = side == 0
+    groups = keyed.groupBy(
+        side.alias("side"), F.when(inside, F.col("_h")).otherwise(_bucket(2)).alias("_h"), F.when(inside, F.col("_id")).alias("_id")
+    ).agg(F.count(F.lit(1)).alias("n"))
+
+    found = groups.limit(DRIVER_KEYS + 1).collect() if rows is not None and 2 * half * rows + 512 <= DRIVER_KEYS else None
+    if found is not None and len(found) <= DRIVER_KEYS:
+        kept = [((r["side"], r["_h"], r["_id"] is not None, r["_id"]), r["n"]) for r in found]
+        tables = None
+    else:
+        tables = materialize(groups, "sample-keys")
+        part = F.when(F.col("side") == 0, F.lit("")).otherwise(F.col("_h"))
+        kept = [((r["side"], r["h"], False, None), r["n"]) for r in tables.groupBy("side", part.alias("h")).agg(F.sum("n").alias("n")).collect()]
+    need = math.floor(sum(n for _, n in kept) * float(fraction))
+    if need < 1:
+        return None
+    (at, h, _, i), need = _walk(sorted(kept), need)
+    if at != 0:
+        return _cut_among(materialize(_keyed(keyed.filter((side == F.lit(at)) & (_bucket(2) == F.lit(h)))), "sample-bucket"), need)
+    return (h, i) if tables is None else _cut_among(tables.filter(F.col("side") == 0), need)
+
+
+def half_sample_flag(
+    df: DataFrame, id_col: str = "match_id", seed: str = "", fraction: float = 0.5, rows: int | None = None
+) -> Column:
+    """Boolean column: is this row's id in the sample of ``df``. Finding the cut runs one aggregate over the ids of ``df``."""
+    cut = half_sample_cut(df, id_col, seed, fraction, rows)
+    if cut is None:
+        return F.lit(False)
     key, i = sample_key(id_col, seed), F.col(id_col)
-    return F.coalesce((key < cut["_h"]) | ((key == cut["_h"]) & (i <= cut["_id"])), F.lit(False))
+    up_to = i.isNull() if cut[1] is None else i.isNull() | (i <= F.lit(cut[1]))
+    return F.coalesce((key < F.lit(cut[0])) | ((key == F.lit(cut[0])) & up_to), F.lit(False))
 
 
 def half_sample(
-    df: DataFrame, id_col: str = "match_id", seed: str = "", fraction: float = 0.5
+    df: DataFrame, id_col: str = "match_id", seed: str = "", fraction: float = 0.5, rows: int | None = None
 ) -> DataFrame:
     """Rows of ``df`` whose id is in the exact half sample."""
-    return df.filter(half_sample_flag(df, id_col, seed, fraction))
-
+    return df.filter(half_sample_flag(df, id_col, seed, fraction, rows))

@@ -1,40 +1,60 @@
-"""Hot window partitions: exact running statistics without one task per hot key.
+"""Hot window partitions: exact running and rolling statistics without one task per hot key.
 
 A window partition is processed by one task. A football panel (one team in one
 league season) has a few dozen rows, but a key can still be hot: all unmapped
 teams of a league share the null team id, and a malformed feed can put
 everything under one league id.
 
-The split: rows per key are counted by a partial aggregate; keys above a
-threshold form a table (never collected). Rows of other keys keep the plain
-``Window`` (left anti join), rows of hot keys take the path below (left semi
-join), and the two parts are unioned. Everything is one lazy plan.
-
-Running statistics of hot keys (all exact):
-
-1. a segment is the rows of one key, one value of the first order column and
-   one block of ``SEGMENT_IDS`` consecutive values of the second. It depends on
-   a row's own values only, so every branch of the plan agrees on it;
-2. running sums inside each segment (window over key and segment);
-3. one row of totals per segment, and over those the totals of all earlier
-   segments of the key;
-4. running value = in-segment value + the totals before; row number likewise;
-5. a sum over the last k rows is ``cum(i) - cum(i - k)``: an equi join on
-   (key, row number), whose keys are unique.
+Hot keys are those with more rows than a threshold. Where a bound on all rows
+is known (a table that :func:`~matchday.session.materialize` wrote counts its
+rows while it writes) and lies below the threshold, there are none and nothing
+runs. Otherwise one narrow pass counts rows per key, into a written table of
+the hot ones. Without hot keys the plan is the plain window and nothing else.
+
+Hot rows take a two-level scan:
+
+1. they are written once, sorted by key and order over range partitions, each
+   row with its place; a segment is a run of ``SEGMENT_ROWS`` places at most,
+   whatever the values of the order columns;
+2. a partial aggregate gives each (key, segment) its totals and its last k - 1
+   rows. Places are consecutive, so the last k - 1 rows are the greatest of each
+   residue of the place modulo k - 1;
+3. a window over segments (one row each) gives every segment the totals and the
+   last k - 1 rows of those before it: its carry rows;
+4. carry rows and segment rows share one window per (key, segment), in which
+   all statistics are plain window expressions. Carry rows are then dropped.
+
+No task holds more than some segments, and no row is joined with another.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
+from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-DEFAULT_HOT_ROWS = 100_000
-# Consecutive ids of one segment; with unique match ids a segment holds two rows per id at most.
-SEGMENT_IDS = 1 << 20
-_SEGMENT = ("_seg_first", "_seg_block")
+from ..session import materialize
+from ..sources.tables import checked_broadcast, row_bound
+
+#: A window partition of so many rows is still an ordinary task (about 128 MB of panel rows).
+DEFAULT_HOT_ROWS = 1_000_000
+#: Rows of a segment at most.
+SEGMENT_ROWS = 250_000
+_PLACE_BITS = 33
+#: Columns of hot rows beside their own: summed values, position, segment, and whether a row is only carried along.
+RUN, PLACE, SEGMENT, CARRIED = "_run_", "_place", "_segment", "_carried"
+
+
+class Hot(NamedTuple):
+    """The hot keys as a written table, how many there are, and how many rows they have together."""
+
+    table: DataFrame
+    keys: int
+    rows: int
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], threshold: int = DEFAULT_HOT_ROWS) -> DataFrame:
@@ -43,81 +63,94 @@ def hot_keys(df: DataFrame, keys: Sequence[str], threshold: int = DEFAULT_HOT_RO
     return counts.filter(F.col("_rows") > F.lit(threshold)).select(*keys)
 
 
+def find_hot(df: DataFrame, groups: Sequence[Sequence[str]], threshold: int | None) -> list[Hot | None]:
+    """For each list of key columns its hot keys, or None where there are none.
+
+    ``None`` as threshold, or a known bound on the rows of ``df`` that does not exceed it, answers without running anything.
+    Else all groups are counted in one pass over their columns.
+    """
+    bound = row_bound(df)
+    if threshold is None or (bound is not None and bound <= threshold):
+        return [None] * len(groups)
+    columns = list(dict.fromkeys(k for g in groups for k in g))
+    counts = df.groupingSets([[F.col(k) for k in g] for g in groups], *[F.col(k) for k in columns]).agg(
+        F.grouping_id().alias("_group"), F.count(F.lit(1)).alias("_rows"))
+    hot = materialize(counts.filter(F.col("_rows") > F.lit(threshold)), "hot-keys")
+    # one row for each list of keys
+    sizes = {r["_group"]: (r["n"], r["rows"]) for r in hot.groupBy("_group").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("_rows").alias("rows")).collect()}
+    found: list[Hot | None] = []
+    for g in groups:
+        number = sum((k not in g) << (len(columns) - 1 - i) for i, k in enumerate(columns))
+        n, rows = sizes.get(number, (0, 0))
+        found.append(Hot(hot.filter(F.col("_group") == F.lit(number)).select(*g), n, rows) if n else None)
+    return found
+
+
 def same_key(keys: Sequence[str], prefix: str) -> Column:
     """Null-safe equality of ``keys`` with the columns of that name behind ``prefix``."""
     return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"{prefix}{k}")) for k in keys])
 
 
-def split_hot(
-    df: DataFrame, keys: Sequence[str], threshold: int | None, count_on: DataFrame | None = None
-) -> tuple[DataFrame, DataFrame | None]:
-    """(rows of other keys, rows of hot keys); ``None`` as threshold: all rows, and None.
+def split_hot(df: DataFrame, keys: Sequence[str], hot: Hot) -> tuple[DataFrame, DataFrame]:
+    """(rows of other keys, rows of hot keys written once)."""
+    table = hot.table.select(*[F.col(k).alias(f"_hot_{k}") for k in keys])
+    table = checked_broadcast(table, known_rows=hot.keys)
+    cond = same_key(keys, "_hot_")
+    return df.join(table, cond, "left_anti"), materialize(df.join(table, cond, "left_semi"), "hot-rows")
+
+
+def _segment_of(place: Column, segment_rows: int) -> Column:
+    """The place at which a row's segment begins; segments begin anew in each range partition."""
+    inside = place.bitwiseAND(F.lit((1 << _PLACE_BITS) - 1))
+    return place - F.pmod(inside, F.lit(segment_rows))
+
 
-    ``count_on``: a cheaper table with the same number of rows per key.
+def in_segments(
+    rows: DataFrame, keys: Sequence[str], order: Sequence[Column], metrics: Sequence[str], back: int = 0,
+    n_rows: int | None = None, segment_rows: int = SEGMENT_ROWS,
+) -> tuple[DataFrame, WindowSpec]:
+    """``rows`` with carry rows, and the window (per key and segment) in which running and rolling statistics are taken.
+
+    Running sums of a metric ``m`` are those of ``_run_<m>``; frames of up to ``back`` rows before the current one read ``m``
+    itself. Rows with ``_carried`` are to be dropped afterwards. Carry rows hold keys and metrics only. ``n_rows``: about how many
+    rows there are (a known bound of ``rows`` if left out).
     """
-    if threshold is None:
-        return df, None
-    hot = hot_keys(df if count_on is None else count_on, keys, threshold)
-    hot = hot.select(*[F.col(k).alias(f"_hot_{k}") for k in keys])
-    cond = same_key(keys, "_hot_")
-    return df.join(hot, cond, "left_anti"), df.join(hot, cond, "left_semi")
-
-
-def prefix_sums(hot: DataFrame, keys: Sequence[str], order: Sequence[str], metrics: Sequence[str]) -> DataFrame:
-    """Add ``_row`` (1-based position in the key's order), ``_cum_<m>`` (running sum of
-    the non-null values, 0 before the first) and ``_nn_<m>`` (running count of
-    non-null values) to every row of ``hot``."""
-    block = F.floor(F.col(order[1]) / F.lit(SEGMENT_IDS)).cast("bigint")
-    seg = hot.withColumns({_SEGMENT[0]: F.col(order[0]), _SEGMENT[1]: block})
-    w = (
-        Window.partitionBy(*keys, *_SEGMENT).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    zero = F.lit(0)
-    local = seg.select(
-        "*",
-        F.count(F.lit(1)).over(w).alias("_row"),
-        *[F.coalesce(F.sum(m).over(w), zero).alias(f"_cum_{m}") for m in metrics],
-        *[F.count(m).over(w).alias(f"_nn_{m}") for m in metrics],
-    )
-    totals = seg.groupBy(*keys, *_SEGMENT).agg(
-        F.count(F.lit(1)).alias("_t_row"),
-        *[F.coalesce(F.sum(m), zero).alias(f"_t_cum_{m}") for m in metrics],
-        *[F.count(m).alias(f"_t_nn_{m}") for m in metrics],
-    )
-    before = Window.partitionBy(*keys).orderBy(*_SEGMENT).rowsBetween(Window.unboundedPreceding, -1)
-    names = ["_row", *[f"_cum_{m}" for m in metrics], *[f"_nn_{m}" for m in metrics]]
-    offsets = totals.select(
-        *[F.col(c).alias(f"_o_{c}") for c in (*keys, *_SEGMENT)],
-        *[F.coalesce(F.sum(f"_t{n}").over(before), zero).alias(f"_o{n}") for n in names],
-    )
-    joined = local.join(offsets, same_key([*keys, *_SEGMENT], "_o_"), "inner")
-    return joined.select(*hot.columns, *[(F.col(n) + F.col(f"_o{n}")).alias(n) for n in names])
-
-
-def lagged(df: DataFrame, keys: Sequence[str], k: int, cols: Sequence[str]) -> DataFrame:
-    """Attach ``cols`` of the row k positions earlier in the same key as ``<col>_lag<k>`` (0 before the start)."""
-    right = df.select(
-        *[F.col(c).alias(f"_r_{c}") for c in keys],
-        (F.col("_row") + F.lit(k)).alias("_r__row"),
-        *[F.col(c).alias(f"{c}_lag{k}") for c in cols],
-    )
-    out = df.join(right, same_key([*keys, "_row"], "_r_"), "left")
-    return out.select(
-        *[F.col(c) for c in df.columns],
-        *[F.coalesce(F.col(f"{c}_lag{k}"), F.lit(0)).alias(f"{c}_lag{k}") for c in cols],
-    )
-
-
-def cum_value(m: str) -> Column:
-    """Running sum as a SQL window gives it: null until the first non-null value."""
-    return F.when(F.col(f"_nn_{m}") == 0, F.lit(None)).otherwise(F.col(f"_cum_{m}"))
+    n = n_rows or row_bound(rows) or rows.count()
+    sort = [*[F.col(k).asc_nulls_first() for k in keys], *order]
+    ranges = rows.repartitionByRange(max(1, math.ceil(n / segment_rows)), *sort).sortWithinPartitions(*sort)
+    # the id of a row is its partition's number times 2**33 plus its position there; written, it stays what it is
+    placed = materialize(ranges.withColumn(PLACE, F.monotonically_increasing_id()), "hot-segments")
+    placed = placed.withColumn(SEGMENT, _segment_of(F.col(PLACE), segment_rows))
+    back = max(back, 1)
+    last = F.struct(PLACE, *metrics)
+    parts = placed.groupBy(*keys, SEGMENT, F.pmod(F.col(PLACE), F.lit(back)).alias("_residue")).agg(
+        F.max(last).alias("_last"), *[F.sum(m).alias(f"_sum_{m}") for m in metrics])
+    totals = parts.groupBy(*keys, SEGMENT).agg(
+        F.sort_array(F.collect_list("_last")).alias("_tail"), *[F.sum(f"_sum_{m}").alias(f"_sum_{m}") for m in metrics])
+    # one row for each segment of a key; each segment has a row at least, so `back` segments hold enough rows
+    by_key = Window.partitionBy(*keys).orderBy(SEGMENT)
+    before = totals.select(
+        *keys, SEGMENT,
+        F.flatten(F.collect_list("_tail").over(by_key.rowsBetween(-back, -1))).alias("_tail"),
+        *[F.sum(f"_sum_{m}").over(by_key.rowsBetween(Window.unboundedPreceding, -1)).alias(f"_sum_{m}") for m in metrics],
+    ).withColumn("_tail", F.slice("_tail", F.greatest(F.size("_tail") - F.lit(back - 1), F.lit(1)), back))
+    carried = before.select("*", F.posexplode("_tail").alias("_i", "_row")).select(
+        *keys, SEGMENT, F.col(f"_row.{PLACE}").alias(PLACE), *[F.col(f"_row.{m}").alias(m) for m in metrics],
+        *[F.when(F.col("_i") == 0, F.col(f"_sum_{m}")).alias(f"{RUN}{m}") for m in metrics], F.lit(True).alias(CARRIED))
+    own = placed.withColumns({**{f"{RUN}{m}": F.col(m) for m in metrics}, CARRIED: F.lit(False)})
+    w = Window.partitionBy(*keys, SEGMENT).orderBy(PLACE)
+    return own.unionByName(carried, allowMissingColumns=True), w
 
 
 def shuffle_width(spark) -> int:
     """The session's shuffle partition count (at least the default parallelism when known)."""
-    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), task_slots(spark))
+
+
+def task_slots(spark) -> int:
+    """Tasks that run at a time, 1 where that is not known."""
     try:
-        width = max(width, spark.sparkContext.defaultParallelism)
+        return spark.sparkContext.defaultParallelism
     except Exception:  # noqa: BLE001 - no SparkContext (e.g. Spark Connect)
-        pass
-    return width
+        return 1

@@ -7,10 +7,13 @@ instead of a UNION ALL of two projections (which would scan the input twice).
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.predicates import final_results
+from ..sources.tables import row_bound, with_row_bound
 from .sampling import half_sample_flag
 
 # --- fixed values: team-view classes -------------------------------------------
@@ -81,20 +84,21 @@ def team_side_view(matches: DataFrame, team: int, standings_class: str = "overal
     return matches.selectExpr(*_VIEW_KEYS, f"inline(array({_side(team, _active(team, standings_class))}))")
 
 
-def team_view(matches: DataFrame, standings_class: str = "overall") -> DataFrame:
+def team_view(matches: DataFrame, standings_class: str = "overall", carry: Sequence[str] = ()) -> DataFrame:
     """Two rows per match, one per team, with that team's games/wins/.../points.
 
     ``overall`` counts both sides; ``home`` / ``away`` count only that side and
-    give the other side a row of zeros.
+    give the other side a row of zeros. ``carry``: further columns of ``matches``.
     """
     _check_view_args(None, standings_class)
     s1, s2 = _side(1, _active(1, standings_class)), _side(2, _active(2, standings_class))
-    return matches.selectExpr(*_VIEW_KEYS, f"inline(array({s1}, {s2}))")
+    return matches.selectExpr(*_VIEW_KEYS, *carry, f"inline(array({s1}, {s2}))")
 
 
 def load_match_results(matches: DataFrame, **filter_args) -> DataFrame:
-    """Final scores of regular games (the filter every derived table starts from)."""
-    return matches.filter(final_results(**filter_args))
+    """Final scores of regular games (the filter every derived table starts from); a known bound on the rows stays known."""
+    out, bound = matches.filter(final_results(**filter_args)), row_bound(matches)
+    return out if bound is None else with_row_bound(out, bound)
 
 
 def goals_base_view(matches: DataFrame) -> DataFrame:
@@ -111,6 +115,25 @@ def goals_base_view(matches: DataFrame) -> DataFrame:
     return matches.selectExpr("match_id", "league_id", "match_day", f"inline(array({side(True)}, {side(False)}))")
 
 
+def result_class_columns(mirrored: Column) -> list[Column]:
+    """The columns of the result-class view from those of a match; mirrored where the flag says so."""
+
+    def pick(a: str, b: str) -> Column:
+        return F.when(mirrored, F.col(b)).otherwise(F.col(a)).alias(a)
+
+    def negated(name: str) -> Column:
+        return F.when(mirrored, -F.col(name)).otherwise(F.col(name)).alias(name)
+
+    sides = [("team_id_1", "team_id_2"), ("team_name_1", "team_name_2")]
+    swapped = [x for a, b in sides for x in (pick(a, b), pick(b, a))]
+    # order of the view: both columns of team 1, then both of team 2
+    return [
+        *[F.col(c) for c in ("match_id", "league_id", "match_day")], swapped[0], swapped[2], swapped[1], swapped[3],
+        pick("goals_team_1", "goals_team_2"), pick("goals_team_2", "goals_team_1"), negated("goals_diff"), negated("result_class"),
+        F.when(mirrored, _i(0)).otherwise(_i(1)).alias("home_team"),
+    ]
+
+
 def result_class_base_view(
     matches: DataFrame, seed: str = "", mirrored: Column | None = None
 ) -> DataFrame:
@@ -120,23 +143,4 @@ def result_class_base_view(
     and get ``home_team = 0``. One projection of ``when(mirrored, ...)`` pairs,
     no union and no join: the sample is a predicate on the row's hash key.
     """
-    flag = mirrored if mirrored is not None else half_sample_flag(matches, "match_id", seed=seed)
-    m = flag
-
-    def pick(a: str, b: str, name: str) -> Column:
-        return F.when(m, F.col(b)).otherwise(F.col(a)).alias(name)
-
-    return matches.select(
-        "match_id",
-        "league_id",
-        "match_day",
-        pick("team_id_1", "team_id_2", "team_id_1"),
-        pick("team_name_1", "team_name_2", "team_name_1"),
-        pick("team_id_2", "team_id_1", "team_id_2"),
-        pick("team_name_2", "team_name_1", "team_name_2"),
-        pick("goals_team_1", "goals_team_2", "goals_team_1"),
-        pick("goals_team_2", "goals_team_1", "goals_team_2"),
-        F.when(m, -F.col("goals_diff")).otherwise(F.col("goals_diff")).alias("goals_diff"),
-        F.when(m, -F.col("result_class")).otherwise(F.col("result_class")).alias("result_class"),
-        F.when(m, _i(0)).otherwise(_i(1)).alias("home_team"),
-    )
+    return matches.select(*result_class_columns(mirrored if mirrored is not None else half_sample_flag(matches, "match_id", seed=seed)))

@@ -3,15 +3,21 @@
 from __future__ import annotations
 
 import warnings
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.lookups import previous_day_features
-from ..operators.views import goals_base_view, load_match_results, result_class_base_view
-from ..schemas import performance_columns
+from ..operators.lookups import previous_day_features, previous_day_rows
+from ..operators.panels import panel_classes, panel_stats, table_rank
+from ..operators.skew import DEFAULT_HOT_ROWS, find_hot, task_slots
+from ..operators.sampling import half_sample_flag
+from ..operators.views import goals_base_view, load_match_results, result_class_base_view, result_class_columns, team_view
+from ..schemas import PANEL_METRICS, PERFORMANCE_METRICS, performance_columns
+from ..sources.buckets import scan_table
 from ..sources.sinks import write_table
+from ..sources.tables import distinct_values
+from .tables import team_tables
 
 # --- fixed values: columns taken from standings, and of the goals base view ----
 STANDINGS_FEATURES = ("games", "rank")
@@ -20,6 +26,26 @@ GOALS_BASE_COLUMNS = (
 )
 TARGETS = ("goals", "result_class")
 # -----------------------------------------------------------------------------
+#: Columns of a match that the goals view needs, and those that identify a panel row.
+_GOALS_MATCH_COLUMNS = (
+    "match_id", "league_id", "match_day", "team_id_1", "team_name_1", "team_id_2", "team_name_2", "goals_team_1", "goals_team_2",
+)
+_PANEL_KEYS = ("match_id", "league_id", "match_day", "team_id", "home_team")
+
+
+def _each_table(rows: Column, tables: Sequence[Sequence[str]]) -> Column:
+    """Rows of a team's previous day as a join with each of the tables gives them: all combinations, one from each table."""
+
+    def of(x: Column, cols: Sequence[str]) -> list[Column]:
+        return [x[c].alias(c) for c in cols]
+
+    def with_next(out: Column, seen: Sequence[str], cols: Sequence[str]) -> Column:
+        return F.flatten(F.transform(out, lambda a: F.transform(rows, lambda x: F.struct(*of(a, seen), *of(x, cols)))))
+
+    out, seen = F.transform(rows, lambda x: F.struct(*of(x, tables[0]))), list(tables[0])
+    for cols in tables[1:]:
+        out, seen = with_next(out, seen, cols), [*seen, *cols]
+    return out
 
 
 class FeatureBuilder:
@@ -39,7 +65,7 @@ class FeatureBuilder:
         self.seed = seed
 
     def _table(self, t: DataFrame | str) -> DataFrame:
-        return t if isinstance(t, DataFrame) else self.spark.read.parquet(t)
+        return t if isinstance(t, DataFrame) else scan_table(self.spark, t)
 
     # --- base views ---------------------------------------------------------
     def load_match_results(self, matches: DataFrame | str) -> DataFrame:
@@ -99,13 +125,16 @@ class FeatureBuilder:
         oriented rows. Duplicate lookup keys fan out to the same rows as joining
         each oriented row.
         """
-        m = matches.select(
-            "match_id", "league_id", "match_day", "team_id_1", "team_name_1", "team_id_2", "team_name_2",
-            "goals_team_1", "goals_team_2",
-        )
+        m = matches.select(*_GOALS_MATCH_COLUMNS)
         tables = [(self._table(t), self.PREVIOUS_DAY_STEPS[n]) for n, t in steps]
         joined = previous_day_features(m, tables)
 
+        names = [n for n, _ in steps]
+        return self._finished(self._oriented(joined, names), GOALS_BASE_COLUMNS, names)
+
+    def _oriented(self, joined: DataFrame, steps: Sequence[str]) -> DataFrame:
+        """The two rows of each match, as is and with sides swapped, from match rows with both teams' lookups."""
+
         def orient(home: bool) -> str:
             # one SQL struct expression (parsed once on the JVM) instead of ~100 Column calls
             a, b = (1, 2) if home else (2, 1)
@@ -117,24 +146,82 @@ class FeatureBuilder:
                 f"'home_team', CAST({1 if home else 0} AS INT)",
                 f"'goals', CAST(goals_team_{a} AS BIGINT)",
             ]
-            for name, _ in steps:
+            for name in steps:
                 cols = self.PREVIOUS_DAY_STEPS[name]
                 fields += [f"'{c}_1', `{c}_{a}`" for c in cols]
                 fields += [f"'{c}_2', `{c}_{b}`" for c in cols]
             return f"named_struct({', '.join(fields)})"
 
-        out = joined.selectExpr(
-            "match_id", "league_id", "match_day", f"inline(array({orient(True)}, {orient(False)}))"
-        )
-        for name, _ in steps:
-            out = self._finish_step(name, out)
-        ordered = list(GOALS_BASE_COLUMNS)
-        for name, _ in steps:
+        return joined.selectExpr("match_id", "league_id", "match_day", f"inline(array({orient(True)}, {orient(False)}))")
+
+    # --- features from the matches alone ---------------------------------------
+    def match_features(
+        self, matches: DataFrame | str, steps: Sequence[str] = tuple(PREVIOUS_DAY_STEPS), target: str = "goals",
+        hot_threshold: int | None = DEFAULT_HOT_ROWS,
+    ) -> DataFrame:
+        """The features of :meth:`get_features` with the "overall" tables of the same matches, without joins.
+
+        All windows (panel statistics, table rank, previous day) and the regrouping of a match's two sides run on one
+        partitioning by league: one Exchange of the team view in all, and no table in between. A league season is a few
+        hundred rows, so that takes leagues enough for all tasks. Where there are too few, or a league has more than
+        ``hot_threshold`` rows, the team tables are written and joined as usual.
+        """
+        if target not in TARGETS:
+            raise NotImplementedError(f"target must be one of {list(TARGETS)}")
+        if unknown := [s for s in steps if s not in self.PREVIOUS_DAY_STEPS]:
+            raise ValueError(f"{unknown} are not in {list(self.PREVIOUS_DAY_STEPS)}")
+        table = self._table(matches)
+        if not steps or self._overridden_view(f"{target}_base_view") or not self._leagues_suffice(table, hot_threshold):
+            tables = dict(zip(self.PREVIOUS_DAY_STEPS, team_tables(table, hot_threshold))) if steps else {}
+            return self.get_features(table, {s: tables[s] for s in steps}, target)
+        finals = self.load_match_results(table)
+        if target == "result_class":
+            own = result_class_columns(half_sample_flag(finals, "match_id", seed=self.seed))
+        else:
+            own = [F.col(c) for c in _GOALS_MATCH_COLUMNS]
+        view = team_view(finals.withColumn("_match", F.struct(*own)), "overall", carry=["_match"]).repartition("league_id")
+        columns = [c for s in steps for c in self.PREVIOUS_DAY_STEPS[s]]
+        panel = panel_stats(
+            view, panel_classes("overall"), [*_PANEL_KEYS, "_match"], PANEL_METRICS, PERFORMANCE_METRICS, hot_threshold=None)
+        if "rank" in columns:
+            panel = table_rank(panel, hot_threshold=None)
+        panel = previous_day_rows(panel, columns)
+        # a mirrored match has its away team first
+        first = F.col("home_team") == (F.col("_match.home_team") if target == "result_class" else F.lit(1))
+        both = panel.groupBy("league_id", "_match").agg(
+            F.count_if(first).alias("copies"),
+            *[F.first(F.when(side, F.col("previous")), ignorenulls=True).alias(p) for p, side in (("p1", first), ("p2", ~first))])
+        none = F.array(F.lit(None).cast(panel.schema["previous"].dataType.elementType))
+        some = [_each_table(F.when(F.size(p) > 0, F.col(p)).otherwise(none), [self.PREVIOUS_DAY_STEPS[s] for s in steps]) for p in ("p1", "p2")]
+        pairs = F.flatten(F.transform(some[0], lambda a: F.transform(some[1], lambda b: F.struct(a.alias("a"), b.alias("b")))))
+        # alike match rows are one group: as many rows as there were
+        rows = both.select("_match", F.inline(F.flatten(F.array_repeat(pairs, F.col("copies").cast("int")))))
+        wide = rows.select(
+            "_match.*", *[F.col(f"{p}.{c}").alias(f"{c}_{side}") for side, p in ((1, "a"), (2, "b")) for c in columns])
+        if target == "goals":
+            return self._finished(self._oriented(wide, steps), GOALS_BASE_COLUMNS, steps)
+        return self._finished(wide, wide.columns[: len(own)], steps)
+
+    def _leagues_suffice(self, matches: DataFrame, hot_threshold: int | None) -> bool:
+        """Are there at least two leagues for each task slot, and none of them hot."""
+        finals = load_match_results(matches)
+        leagues = distinct_values(matches, "league_id")
+        if leagues is None:
+            leagues = finals.agg(F.approx_count_distinct("league_id")).first()[0]
+        if leagues < 2 * task_slots(matches.sparkSession):
+            return False
+        return hot_threshold is None or find_hot(finals, [["league_id"]], max(hot_threshold // 2, 1)) == [None]
+
+    def _finished(self, df: DataFrame, own: Sequence[str], steps: Sequence[str]) -> DataFrame:
+        """Derived columns, and the order of the joined form."""
+        ordered = list(own)
+        for name in steps:
+            df = self._finish_step(name, df)
             cols = self.PREVIOUS_DAY_STEPS[name]
             ordered += [f"{c}_1" for c in cols] + [f"{c}_2" for c in cols]
             if name == "overall_standings":
                 ordered.append("rank_diff")
-        return out.select(*ordered)
+        return df.select(*ordered)
 
     # --- entry point --------------------------------------------------------
     def get_features(

@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Observation, SparkSession
+from pyspark.sql import functions as F
 
 # Settings the library's plans are tuned for. AQE re-plans joins and coalesces
 # shuffle partitions at runtime; skew-join splitting is on for the lookup joins.
@@ -68,13 +69,23 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def materialize(df, name: str):
+def materialize(df, name: str, distinct: str | None = None):
     """Write ``df`` as Parquet below the checkpoint root and return a scan of it.
 
     Cuts the lineage: later stages (and task retries after a lost executor)
     read the written table instead of recomputing everything upstream, and
     every branch that uses the table scans only the columns it needs.
+
+    The rows (and about how many values of the column ``distinct``) are counted while they are written; the scan carries the
+    figures as its :func:`~matchday.sources.tables.row_bound` and :func:`~matchday.sources.tables.distinct_values`.
     """
+    from .sources.tables import with_distinct_values, with_row_bound
+
     path = scratch_path(df.sparkSession, name)
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    seen = Observation()
+    counts = [F.count(F.lit(1)).alias("rows")]
+    if distinct:
+        counts.append(F.approx_count_distinct(distinct).alias("values"))
+    df.observe(seen, *counts).write.mode("overwrite").parquet(path)
+    out = with_row_bound(df.sparkSession.read.schema(df.schema).parquet(path), seen.get["rows"])
+    return with_distinct_values(out, distinct, seen.get["values"]) if distinct else out

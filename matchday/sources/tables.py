@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -48,6 +49,39 @@ def row_bound(df: DataFrame) -> int | None:
     return getattr(df, ROW_BOUND_ATTR, None)
 
 
+_DISTINCT_ATTR = "_matchday_distinct_values"
+
+
+def with_distinct_values(df: DataFrame, column: str, n: int) -> DataFrame:
+    """Record about how many values ``column`` has (kept on this DataFrame object only)."""
+    setattr(df, _DISTINCT_ATTR, {**getattr(df, _DISTINCT_ATTR, {}), column: int(n)})
+    return df
+
+
+def distinct_values(df: DataFrame, column: str) -> int | None:
+    return getattr(df, _DISTINCT_ATTR, {}).get(column)
+
+
+# Largest dimension that is broadcast on request. Mapper rows are ~100 bytes,
+# so this bounds a broadcast to a few MB per executor.
+MAX_BROADCAST_ROWS = 50_000
+
+
+def checked_broadcast(
+    dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, known_rows: int | None = None
+) -> DataFrame:
+    """``broadcast(dim)`` if it has at most ``max_rows`` rows, else ``dim`` unchanged.
+
+    ``known_rows`` is a proven bound (e.g. a table built from driver-side rows,
+    see :func:`local_table`); without one, the check
+    reads at most ``max_rows + 1`` rows, so it stays cheap even when the table
+    turns out to be large.
+    """
+    bound = known_rows if known_rows is not None else row_bound(dim)
+    n = bound if bound is not None else dim.limit(max_rows + 1).count()
+    return F.broadcast(dim) if n <= max_rows else dim
+
+
 def ensure_parallelism(df: DataFrame, key: str | None = None, min_partitions: int | None = None) -> DataFrame:
     """Spread an under-partitioned scan over the cluster's task slots.
 

@@ -20,7 +20,7 @@ from ..sources.testdata import (
     matches_sql,
     PREDICTION_COLUMNS,
 )
-from .queries import FEATURE_SUBSET, META_SUBSET, METRIC_DIGITS, REQUEST_LEAGUES, REQUEST_SEASONS
+from .queries import ABSENT_SEASONS, FEATURE_SUBSET, META_SUBSET, METRIC_DIGITS, REQUEST_LEAGUES, REQUEST_SEASONS
 
 META = [meta_name(m, "_") for m in META_COLUMNS]
 
@@ -338,12 +338,27 @@ def oracle_sql() -> dict[str, str]:
     for same in ("stream_match_results", "flatten_feed", "scan_feed_arrays", "scan_season_files"):
         q[same] = q["scan_records_glob"]
     q["normalize_seasons"] = (
-        f"{_with(M, RES)}, {_grid_sql()} SELECT matchID, leagueShortcut, leagueSeason, "
+        f"{_with(M, RES)} SELECT matchID, leagueShortcut, leagueSeason, "
         f"CASE WHEN CAST(substr(leagueShortcut, 2) AS INTEGER) < {len(REQUEST_LEAGUES) // 2} "
         f"AND NOT {'team1.teamId' in META_SUBSET} THEN NULL ELSE team1_teamId END AS team1_teamId, "
-        "resultID, resultName, pointsTeam1, pointsTeam2 FROM res "
-        "WHERE EXISTS (SELECT 1 FROM grid g WHERE g.league = leagueShortcut AND g.season = leagueSeason)"
+        "resultID, resultName, pointsTeam1, pointsTeam2 FROM res"
     )
+    q["normalize_season_files"] = (
+        f"{_with(M, RES)} SELECT matchID, leagueShortcut, leagueSeason, team1_teamId, "
+        "resultID, resultName, pointsTeam1, pointsTeam2 FROM res"
+    )
+    span = f"range((SELECT MIN(leagueSeason) FROM m), (SELECT MAX(leagueSeason) FROM m) + {1 + ABSENT_SEASONS})"
+    q["season_files_report"] = (
+        f"{_with(M)} SELECT league, CAST(season AS BIGINT) AS season, "
+        "EXISTS (SELECT 1 FROM m WHERE leagueShortcut = league AND leagueSeason = season) AS available "
+        f"FROM (SELECT 'l' || i AS league FROM range({len(REQUEST_LEAGUES)}) l(i)), (SELECT unnest({span}) AS season)"
+    )
+    q["season_report"] = (
+        f"{_with(M)} SELECT leagueShortcut, leagueSeason, NOT bool_or(has_result) AS no_records FROM m "
+        "GROUP BY leagueShortcut, leagueSeason"
+    )
+    # seasons rewritten last hold the rewrite alone, the others what the batch and the stream hold together
+    q["merged_seasons"] = f"{_with(M, RES)} SELECT * FROM res WHERE leagueSeason % 4 <> 1 OR matchID % 5 <> 0"
     q["normalize_goals"] = _goal_rows()
     q["normalize_meta_subset"] = f"{_with(M, RES)} SELECT {sub_sel}, {rec_cols} FROM res"
     q["request_grid"] = (
@@ -424,7 +439,7 @@ def oracle_sql() -> dict[str, str]:
         tv = f"tv AS ({_team_view_sql(cls)})"
         q[f"standings_{cls}"] = f"{_with(*BASE_CLEAN, tv)} {_standings_sql('tv')}"
     q["performance_overall"] = f"{_with(*BASE_CLEAN, TVO, PF)} SELECT * FROM pf"
-    for same in ("hot", "sink"):
+    for same in ("hot", "sink", "refreshed"):
         q[f"standings_{same}"], q[f"performance_{same}"] = q["standings_overall"], q["performance_overall"]
     q["performance_home_away"] = (
         f"{_with(*BASE_CLEAN, TVO)} {_performance_sql('league_id, team_id, home_team', 'tvo')}"
@@ -432,6 +447,7 @@ def oracle_sql() -> dict[str, str]:
     q["add_overall_standings"] = _features_query(("overall_standings",), "goals")
     q["add_overall_performance"] = _features_query(("overall_performance",), "goals")
     q["features_goals"] = _features_query(("overall_standings", "overall_performance"), "goals")
+    q["features_bucketed"] = q["features_goals"]
     q["features_result_class"] = _features_query(("overall_standings", "overall_performance"), "result_class")
     q["tip_score"] = (
         f"{_with(*BASE_CLEAN, PRED, SCORED)} SELECT match_id, t1, t2, pred_goals_1 AS p1, pred_goals_2 AS p2, "

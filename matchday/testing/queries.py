@@ -18,6 +18,7 @@ from ..operators.normalize import flatten, normalize
 from ..operators.normalize import seasons_without_records as _seasons_without_records
 from ..operators.panels import STANDINGS_KEYS, running_totals
 from ..operators.sampling import half_sample
+from ..operators.skew import shuffle_width
 from ..operators.views import goals_base_view, load_match_results, result_class_base_view, team_view
 from ..functions.features import suffix_alias
 from ..functions.predicates import not_excluded_league
@@ -25,21 +26,25 @@ from ..functions.scoring import tip_score
 from ..plans.features import FeatureBuilder
 from ..plans.cleaning import clean_records
 from ..plans.ingest import normalize_seasons
-from ..plans.tables import create_performance, create_standings, performance, standings, team_tables
+from ..plans.refresh import refresh_tables, scan_refreshed
+from ..plans.tables import create_performance, create_standings, performance, standings
 from ..schemas import META_COLUMNS, PERFORMANCE_METRICS, meta_name
 from ..session import materialize, scratch_path
 from ..sources import mappers, testdata
 from ..sources.feed import (
     annotate_requests,
     available_seasons as _available,
+    catalogue_from_files,
     feed_catalogue,
     read_feed,
     request_grid,
     scan_records,
     scan_season_files,
+    season_report,
     skipped_seasons as _skipped,
 )
 from ..sources.sinks import write_feed_lines, write_normalized
+from ..sources.tables import row_bound
 
 SEP = "_"
 META = [meta_name(m, SEP) for m in META_COLUMNS]
@@ -47,6 +52,8 @@ META_SUBSET = ["matchID", "leagueId", "group.groupOrderID", "team1.teamId", "tea
 FEATURE_SUBSET = ["match_id", "league_name_raw", "season_name", "team_id_1", "no_such_feature"]
 REQUEST_LEAGUES = [f"l{i}" for i in range(10)]
 REQUEST_SEASONS = list(range(2000, 2010))
+# Seasons that a request over the feed's own span asks for beyond it.
+ABSENT_SEASONS = 2
 METRIC_DIGITS = 9
 
 
@@ -72,7 +79,7 @@ def _final(spark: SparkSession, sf: str) -> DataFrame:
 
 def _clean_table(spark: SparkSession, sf: str) -> DataFrame:
     """The clean match table written once and scanned by every branch that needs it."""
-    return materialize(_clean(spark, sf), "clean-matches")
+    return materialize(_clean(spark, sf), "clean-matches", distinct="league_id")
 
 
 def _with_elements(df: DataFrame, records: str) -> DataFrame:
@@ -88,14 +95,18 @@ def scan_match_feed(spark, sf):
     return _with_elements(flatten(read_feed(spark, path, layout="lines"), separator=SEP), "goals")
 
 
-def scan_feed_arrays(spark, sf):
-    """One JSON array per league season, scanned as the feed serves it."""
-    path = scratch_path(spark, "feed-arrays")
-    feed = _feed(spark, sf)
+def _write_arrays(feed: DataFrame, path: str) -> None:
+    """One JSON array per league season (a few hundred matches each), in a folder of its own."""
     seasons = feed.groupBy("leagueShortcut", "leagueSeason").agg(F.collect_list(F.struct(*feed.columns)).alias("m"))
     seasons.select(
         F.concat_ws("_", "leagueShortcut", "leagueSeason").alias("season"), F.to_json("m").alias("value")
     ).write.partitionBy("season").text(path)
+
+
+def scan_feed_arrays(spark, sf):
+    """One JSON array per league season, scanned as the feed serves it."""
+    path = scratch_path(spark, "feed-arrays")
+    _write_arrays(_feed(spark, sf), path)
     return _with_elements(flatten(read_feed(spark, path, layout="array"), separator=SEP), "matchResults")
 
 
@@ -151,15 +162,94 @@ def flatten_feed(spark, sf):
     return _with_elements(flatten(_feed(spark, sf), separator=SEP), "matchResults")
 
 
+def _span(feed: DataFrame) -> list[int]:
+    """The seasons from the feed's first to its last, and some that it lacks: one row reaches the driver."""
+    first, last = feed.agg(F.min("leagueSeason"), F.max("leagueSeason")).first()
+    return list(range(first, last + 1 + ABSENT_SEASONS))
+
+
+_NORMALIZED = ("matchID", "leagueShortcut", "leagueSeason", "team1_teamId", "resultID", "resultName", "pointsTeam1", "pointsTeam2")
+
+
 def normalize_seasons_q(spark, sf):
-    """The many-season driver on a feed folder, by two calls with another meta list each."""
+    """The many-season driver on a feed folder, by two calls with another meta list each, over the feed's span."""
     feed, out = scratch_path(spark, "feed-json"), scratch_path(spark, "seasons")
-    write_feed_lines(_feed(spark, sf), feed)
-    half = len(REQUEST_LEAGUES) // 2
+    matches = _feed(spark, sf)
+    write_feed_lines(matches, feed)
+    half, seasons = len(REQUEST_LEAGUES) // 2, _span(matches)
     for leagues, meta in ((REQUEST_LEAGUES[:half], META_SUBSET), (REQUEST_LEAGUES[half:], "all")):
-        normalize_seasons(spark, feed, out, leagues, REQUEST_SEASONS, meta=meta, layout="lines", separator=SEP)
-    back = scan_records(spark, out, "matchResults", separator=SEP)
-    return back.select("matchID", "leagueShortcut", "leagueSeason", "team1_teamId", "resultID", "resultName", "pointsTeam1", "pointsTeam2")
+        normalize_seasons(spark, feed, out, leagues, seasons, meta=meta, layout="lines", separator=SEP)
+    return scan_records(spark, out, "matchResults", separator=SEP).select(*_NORMALIZED)
+
+
+def _season_files(spark, sf) -> str:
+    """The feed in its native layout: one file ``{league}_{season}.json`` for each league season, an array of matches."""
+    path, out = scratch_path(spark, "feed-folders"), scratch_path(spark, "feed-files")
+    _write_arrays(_feed(spark, sf), path)
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = hadoop(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(hadoop(out))
+    # as many renames as there are league seasons
+    for f in fs.globStatus(hadoop(f"{path}/season=*/part-*")):
+        season = f.getPath().getParent().getName().split("=", 1)[1]
+        fs.rename(f.getPath(), hadoop(f"{out}/{season}.json"))
+    return out
+
+
+def season_files_report(spark, sf):
+    """S8, file variant: the requested grid against the season files of a folder."""
+    grid = request_grid(spark, REQUEST_LEAGUES, _span(_feed(spark, sf)))
+    return annotate_requests(grid, catalogue_from_files(spark, _season_files(spark, sf)))
+
+
+def normalize_season_files(spark, sf):
+    """The many-season driver on season files, each one JSON array."""
+    out = scratch_path(spark, "seasons")
+    normalize_seasons(spark, _season_files(spark, sf), out, REQUEST_LEAGUES, _span(_feed(spark, sf)), separator=SEP)
+    return scan_records(spark, out, "matchResults", separator=SEP).select(*_NORMALIZED)
+
+
+def season_report_q(spark, sf):
+    """P4 from the log of the write: each season and whether it has records."""
+    out = scratch_path(spark, "records")
+    write_normalized(_records(spark, sf), out, "matchResults")
+    return season_report(spark, out).select("leagueShortcut", "leagueSeason", (~F.col("has_records")).alias("no_records"))
+
+
+def merged_seasons(spark, sf):
+    """A season's batch write, then a stream that adds to it, then a batch rewrite of some seasons."""
+    from ..streaming import normalize_stream
+
+    out, landing = scratch_path(spark, "records"), scratch_path(spark, "landing")
+    records, feed = _records(spark, sf), _feed(spark, sf)
+    write_normalized(records.filter("matchID % 3 <> 0"), out, "matchResults")
+    # matches that the batch lacks, and some that it has
+    write_feed_lines(feed.filter("matchID % 3 = 0 OR matchID % 7 = 0"), landing)
+    q = normalize_stream(spark, landing, out, separator=SEP, layout="lines")
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(f"streaming ingest failed: {q.exception()}")
+    write_normalized(records.filter("leagueSeason % 4 = 1 AND matchID % 5 <> 0"), out, "matchResults")
+    return scan_records(spark, out, "matchResults", separator=SEP)
+
+
+def _refreshed(spark, sf, name: str) -> DataFrame:
+    """X3/X4 season by season: tables of a part of the matches, then brought up to a later commit of some seasons."""
+    records, root, out = _records(spark, sf), scratch_path(spark, "records"), scratch_path(spark, "tables")
+    write_normalized(records.filter("leagueSeason % 3 <> 0 OR matchID % 2 = 0"), root, "matchResults")
+    mapper = testdata.team_mapper(spark)
+    refresh_tables(spark, root, out, [name], team_mapper=mapper, separator=SEP)
+    write_normalized(records.filter("leagueSeason % 3 = 0"), root, "matchResults")
+    refresh_tables(spark, root, out, [name], team_mapper=mapper, separator=SEP)
+    return scan_refreshed(spark, out, name)
+
+
+def standings_refreshed(spark, sf):
+    return _refreshed(spark, sf, "standings")
+
+
+def performance_refreshed(spark, sf):
+    return _refreshed(spark, sf, "performance")
 
 
 def normalize_match_results(spark, sf):
@@ -271,7 +361,8 @@ def result_class_base_view_q(spark, sf):
 
 
 def half_sample_q(spark, sf):
-    return half_sample(load_match_results(_clean_table(spark, sf)).select("match_id"), "match_id")
+    finals = load_match_results(_clean_table(spark, sf))
+    return half_sample(finals.select("match_id"), "match_id", rows=row_bound(finals))
 
 
 # --- windows ------------------------------------------------------------------
@@ -337,41 +428,49 @@ def performance_sink(spark, sf):
 
 
 # A threshold that the null panels and most match days of the test feed exceed: the split path, checked like the plain one.
-LOW_HOT_ROWS = 12
+# Segments are so small that many panels are cut.
+LOW_HOT_ROWS, SHORT_SEGMENT = 12, 5_000
 
 
 def standings_hot(spark, sf):
-    return standings(_clean_table(spark, sf), "overall", hot_threshold=LOW_HOT_ROWS)
+    return standings(_clean_table(spark, sf), "overall", hot_threshold=LOW_HOT_ROWS, segment_rows=SHORT_SEGMENT)
 
 
 def performance_hot(spark, sf):
-    return performance(_clean_table(spark, sf), "overall", hot_threshold=LOW_HOT_ROWS)
+    return performance(_clean_table(spark, sf), "overall", hot_threshold=LOW_HOT_ROWS, segment_rows=SHORT_SEGMENT)
 
 
 # --- features -----------------------------------------------------------------
-def _features(spark, sf, steps: tuple[str, ...], target: str) -> DataFrame:
+def _features(spark, sf, step: str, target: str) -> DataFrame:
+    """One step, from its table, joined on the previous match day."""
     cm = _clean_table(spark, sf)
-    if len(steps) == 1:
-        tables = {"overall_standings": standings, "overall_performance": performance}
-        return FeatureBuilder(spark).get_features(cm, {s: tables[s](cm) for s in steps}, target=target)
-    both = dict(zip(("overall_standings", "overall_performance"), team_tables(cm)))
-    return FeatureBuilder(spark).get_features(cm, {s: both[s] for s in steps}, target=target)
+    tables = {"overall_standings": standings, "overall_performance": performance}
+    return FeatureBuilder(spark).get_features(cm, {step: tables[step](cm)}, target=target)
+
+
+def features_bucketed(spark, sf):
+    """X5 at path level, on team tables that were written in buckets."""
+    paths = [scratch_path(spark, name) for name in ("clean-matches", "standings", "performance")]
+    _clean(spark, sf).write.parquet(paths[0])
+    create_standings(spark, paths[0], paths[1], buckets=shuffle_width(spark))
+    create_performance(spark, paths[0], paths[2], buckets=shuffle_width(spark))
+    return FeatureBuilder(spark).get_features(paths[0], {"overall_standings": paths[1], "overall_performance": paths[2]})
 
 
 def add_overall_standings(spark, sf):
-    return _features(spark, sf, ("overall_standings",), "goals")
+    return _features(spark, sf, "overall_standings", "goals")
 
 
 def add_overall_performance(spark, sf):
-    return _features(spark, sf, ("overall_performance",), "goals")
+    return _features(spark, sf, "overall_performance", "goals")
 
 
 def features_goals(spark, sf):
-    return _features(spark, sf, ("overall_standings", "overall_performance"), "goals")
+    return FeatureBuilder(spark).match_features(_clean_table(spark, sf), target="goals")
 
 
 def features_result_class(spark, sf):
-    return _features(spark, sf, ("overall_standings", "overall_performance"), "result_class")
+    return FeatureBuilder(spark).match_features(_clean_table(spark, sf), target="result_class")
 
 
 # --- evaluation ---------------------------------------------------------------
@@ -416,6 +515,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_feed_arrays": scan_feed_arrays,
     "scan_season_files": scan_season_files_q,
     "normalize_seasons": normalize_seasons_q,
+    "normalize_season_files": normalize_season_files,
+    "season_files_report": season_files_report,
+    "season_report": season_report_q,
+    "merged_seasons": merged_seasons,
+    "standings_refreshed": standings_refreshed,
+    "performance_refreshed": performance_refreshed,
     "conform_teams_csv": conform_teams_csv,
     "clean_sink": clean_sink,
     "suffix_rename": suffix_rename,
@@ -462,6 +567,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "add_overall_standings": add_overall_standings,
     "add_overall_performance": add_overall_performance,
     "features_goals": features_goals,
+    "features_bucketed": features_bucketed,
     "features_result_class": features_result_class,
     "tip_score": tip_score_q,
     "mean_tip_score": mean_tip_score_q,

@@ -45,11 +45,11 @@ panel_rows = st.lists(
 
 def _view(spark, rows):
     data = [
-        (i, lg, tm, day, 1, max(v, 0), max(-v, 0), v, 1) for i, (lg, tm, day, v) in enumerate(rows)
+        (i, lg, tm, day, 1, 1, max(v, 0), max(-v, 0), v, 1) for i, (lg, tm, day, v) in enumerate(rows)
     ]
     return spark.createDataFrame(
         data,
-        "match_id long, league_id long, team_id long, match_day long, games int, "
+        "match_id long, league_id long, team_id long, match_day long, home_team int, games int, "
         "goals_scored long, goals_conceded long, goals_diff long, points int",
     )
 

@@ -78,6 +78,25 @@ def test_half_sample_exact_and_reproducible(spark):
     assert sorted(r[0] for r in s1.collect()) == sorted(i for _, i in ranked[:500])
 
 
+def test_half_sample_on_every_path(spark, monkeypatch):
+    """Few and many groups, a cut outside the kept keys, a wrong bound, null ids and other fractions: always the global ranking."""
+    import hashlib
+
+    from matchday.operators import sampling
+
+    rows = [(i,) for i in range(3000)] + [(None,)] * 5 + [(11,)] * 900
+    df = spark.createDataFrame(rows, "match_id long").repartition(4)
+    keyed = sorted(((hashlib.md5(("" if i is None else str(i)).encode()).hexdigest(), i) for (i,) in rows), key=lambda k: k[0])
+    for most in (50_000, 0):
+        monkeypatch.setattr(sampling, "DRIVER_KEYS", most)
+        for bound in (None, len(rows), 10**9, 10**15, 1):
+            for fraction in (0.5, 0.0, 1.0, 0.03):
+                need = int(len(rows) * fraction)
+                cut = keyed[need - 1][0] if need else ""
+                got = half_sample(df, fraction=fraction, rows=bound).collect()
+                assert len(got) == sum(h <= cut for h, _ in keyed), (most, bound, fraction)
+
+
 def test_half_sample_with_copies(spark):
     # one id holding a third of the rows: all its copies are in or out together
     rows = [(7,)] * 300 + [(i,) for i in range(100, 700)]
