@@ -14,6 +14,8 @@ import html
 import math
 import random
 import re
+from bisect import bisect_left
+from collections import defaultdict
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
@@ -31,8 +33,7 @@ TRAINING_PAGES = 900
 #: A node goes only if the odds against it are so many to one.
 ODDS = 4
 
-_TOKEN = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<![^>]*+>|<\?[^>]*+>|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+'|["'])*+)>""", re.DOTALL)
+_QUOTES_AND_ENDS, _NAME_END = re.compile(r"[>\"']"), re.compile(r"[\s/>]")
 _ATTRIBUTE = re.compile(r"""(?:^|\s)(class|id|role|aria-label)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.IGNORECASE)
 _PART = re.compile(r"[a-z]+")
 _SENTENCE = re.compile(r"[.!?;:,]")
@@ -74,6 +75,74 @@ _TELLS = {w: i for i, words in enumerate(_MEANING) for w in words.split()}
 N_FEATURES = len(_GROUPS) + 2 * len(_MEANING) + 17
 
 
+class _Tokens:
+    """Comments and tags of a page, found in linear time however broken it is.
+
+    A tag ends at the first ``>`` that no closed pair of quotes holds. What follows a quote outside of quotes does not depend on
+    where the tag began, so each quote's answer is found once.
+    """
+
+    def __init__(self, source: str):
+        self._source = source
+        self._marks = [m.start() for m in _QUOTES_AND_ENDS.finditer(source)]
+        self._ends: dict[int, int] = {}
+        self._name = self._angle = (0, -1)  # no end of a name, and no ``>``, lies between these places
+
+    def _name_end(self, at: int) -> int:
+        begin, end = self._name
+        if not begin <= at <= end:
+            m = _NAME_END.search(self._source, at)
+            end = m.start() if m else len(self._source)
+            self._name = (at, end)
+        return end
+
+    def _tag_end(self, at: int) -> int:
+        """The place of the ``>``, -1 if there is none."""
+        passed, source, marks = [], self._source, self._marks
+        while True:
+            i = bisect_left(marks, at)
+            if i == len(marks):
+                end = -1
+                break
+            at = marks[i]
+            if source[at] == ">":
+                end = at
+                break
+            if at in self._ends:
+                end = self._ends[at]
+                break
+            passed.append(at)
+            close = source.find(source[at], at + 1)
+            at = (close if close >= 0 else at) + 1
+        self._ends.update(dict.fromkeys(passed, end))
+        return end
+
+    def after(self, at: int) -> tuple[int, int, bool, str, str] | None:
+        """The next token: its begin and end, whether it is an end tag, its name (empty for a comment), its attributes."""
+        source = self._source
+        while (begin := source.find("<", at)) >= 0:
+            at = begin + 1
+            kind = source[at : at + 1]
+            if source.startswith("<!--", begin):
+                end = source.find("-->", begin + 4)
+                return begin, end + 3 if end >= 0 else len(source), False, "", ""
+            if kind in ("!", "?"):
+                if not self._angle[0] <= at <= self._angle[1]:
+                    found = source.find(">", at + 1)
+                    self._angle = (at, found if found >= 0 else len(source))
+                if self._angle[1] < len(source):
+                    return begin, self._angle[1] + 1, False, "", ""
+                continue
+            name = at + (kind == "/")
+            if not (source[name : name + 1].isascii() and source[name : name + 1].isalpha()):
+                continue
+            stop = self._name_end(name)
+            end = self._tag_end(stop)
+            if end >= 0:
+                return begin, end + 1, kind == "/", source[name:stop], source[stop:end]
+        return None
+
+
 class Page:
     """The block elements of a page, parents before children, and its text blocks in order."""
 
@@ -100,7 +169,12 @@ class Page:
         return len(self.tag) - 1
 
     def _read(self, source: str) -> None:
-        stack: list[tuple[str, int]] = [("html", 0)]  # open elements, and the node that each belongs to
+        # open elements: tag, the node that each belongs to, and the inline elements beside it. An element that was taken out
+        # from below others keeps its place without a tag.
+        stack: list[list] = [["html", 0, {}]]
+        beside: list[dict[str, int]] = [{}]  # for each open block, the inline elements open since
+        places: dict[str, list[int]] = defaultdict(list)  # of the open elements, by tag
+        scopes: list[int] = []
         pieces: list[str] = []
         anchors = silent = 0
 
@@ -120,30 +194,50 @@ class Page:
                 if anchors:
                     self.links[stack[-1][1]] += len("".join(text.split()))
 
+        def open_(tag: str, node: int) -> None:
+            nonlocal anchors, silent
+            if tag in _SCOPE:
+                scopes.append(len(stack))
+            places[tag].append(len(stack))
+            stack.append([tag, node, beside[-1]])
+            if tag in _INLINE:
+                beside[-1][tag] = beside[-1].get(tag, 0) + 1
+            else:
+                beside.append({})
+            anchors += tag == "a"
+            silent += tag in _SILENT
+
         def close(until: int) -> None:
             nonlocal anchors, silent
             while len(stack) > until:
-                tag, _ = stack[-1]
-                if tag not in _INLINE:
-                    flush()
-                anchors -= tag == "a"
-                silent -= tag in _SILENT
+                tag, _, inline = stack[-1]
+                if tag:
+                    if tag not in _INLINE:
+                        flush()
+                        beside.pop()
+                    else:
+                        inline[tag] -= 1
+                    if tag in _SCOPE:
+                        scopes.pop()
+                    places[tag].pop()
+                    anchors -= tag == "a"
+                    silent -= tag in _SILENT
+                stack.pop()
+            while not stack[-1][0]:
                 stack.pop()
 
-        at = 0
-        while m := _TOKEN.search(source, at):
-            say(source[at : m.start()])
-            at = m.end()
-            if not m[2]:
+        tokens, at = _Tokens(source), 0
+        while token := tokens.after(at):
+            begin, end, ends, name, attributes = token
+            say(source[at:begin])
+            at = end
+            if not name:
                 continue
-            tag = m[2].lower()
-            if m[1]:
-                for i in range(len(stack) - 1, 0, -1):
-                    if stack[i][0] == tag:
-                        close(i)
-                        break
-                    if tag in _INLINE and stack[i][0] not in _INLINE:
-                        break  # an inline end tag does not end a block
+            tag = name.lower()
+            if ends:
+                # an inline end tag does not end a block
+                if beside[-1].get(tag) if tag in _INLINE else places[tag]:
+                    close(places[tag][-1])
                 continue
             if stack[-1][0] == "head":
                 if tag in ("html", "head"):
@@ -156,38 +250,36 @@ class Page:
                 if tag == "hr":
                     flush()
                 continue
-            if tag in ("html", "body") and any(x == tag for x, _ in stack[1:]):
+            if tag in ("html", "body") and places[tag]:
                 continue
             if tag not in _INLINE:
                 flush()
-                for i in range(len(stack) - 1, 0, -1):
-                    if stack[i][0] == "p" or stack[i][0] in _ENDS.get(tag, ()):
-                        close(i)
-                        if stack[-1][0] not in _ENDS.get(tag, ()):
-                            break
-                    elif stack[i][0] in _SCOPE:
-                        break
+                ended = _ENDS.get(tag, ())
+                last = max((places[x][-1] for x in ("p", *ended) if places[x]), default=0)
+                if last and last >= (scopes[-1] if scopes else 0):
+                    close(last)
+                    while stack[-1][0] in ended:
+                        close(len(stack) - 1)
             elif tag == "a" and anchors:
-                for i in range(len(stack) - 1, 0, -1):
-                    if stack[i][0] == "a":
-                        del stack[i]
-                        anchors -= 1
-                        break
-            node = stack[-1][1] if tag in _INLINE or tag in _SILENT else self._node(tag, stack[-1][1], m[3])
-            stack.append((tag, node))
-            anchors += tag == "a"
-            silent += tag in _SILENT
-            if m[3].endswith("/") and any(x in ("svg", "math") for x, _ in stack):
+                taken = stack[places["a"].pop()]
+                taken[0] = ""
+                taken[2]["a"] -= 1
+                anchors -= 1
+                close(len(stack))
+            node = stack[-1][1] if tag in _INLINE or tag in _SILENT else self._node(tag, stack[-1][1], attributes)
+            open_(tag, node)
+            if attributes.endswith("/") and (places["svg"] or places["math"]):
                 close(len(stack) - 1)  # self-closed; elsewhere the slash means nothing
                 continue
             if tag in _RAW:
-                end = re.compile(f"</{tag}\\b", re.IGNORECASE).search(source, at)
-                if not end:
+                raw_end = re.compile(f"</{tag}\\b", re.IGNORECASE).search(source, at)
+                if not raw_end:
                     break
-                at = end.start()
+                at = raw_end.start()
         else:
             say(source[at:])
-        close(0)
+        close(1)
+        flush()
 
     def features(self) -> list[list[float]]:
         """A row for each node."""
