@@ -27,24 +27,37 @@ from matchday.llm.words import chunks
 _ROUNDS = 8
 
 
-@lru_cache(1 << 14)
-def permute(x: int, n: int, key: bytes, tweak: bytes) -> int:
-    """The place of ``x`` in a keyed permutation of ``0 .. n - 1``: a Feistel network over an even number of bits, walked until
-    it falls below ``n`` (fewer than four steps on average)."""
-    if n <= 1:
-        return x
+def _walk(x: int, n: int, key: bytes, tweak: bytes, back: bool) -> int:
+    """A Feistel network over an even number of bits (or its inverse), walked until it falls below ``n`` (fewer than four steps
+    on average)."""
     half = max(1, ((n - 1).bit_length() + 1) // 2)
     mask, size = (1 << half) - 1, (half + 7) // 8
     while True:
         a, b = x >> half, x & mask
-        for r in range(_ROUNDS):
+        if back:
+            a, b = b, a
+        for r in reversed(range(_ROUNDS)) if back else range(_ROUNDS):
             h = hashlib.shake_256(b"%b|%b|%d|%d|%x" % (key, tweak, n.bit_length(), r, b)).digest(size)
             a, b = b, a ^ (int.from_bytes(h, "big") & mask)
+        if back:
+            a, b = b, a
         x = a << half | b
         if x < n:
             return x
 
 
+@lru_cache(1 << 14)
+def permute(x: int, n: int, key: bytes, tweak: bytes) -> int:
+    """The place of ``x`` in a keyed permutation of ``0 .. n - 1`` that leaves no place where it is.
+
+    It goes one place on in a keyed order: to the order by a Feistel network, on by one, and back. So it is one cycle over all
+    places, and walking on until a place suits permutes the suitable ones, again without a fixed one (if there are two).
+    """
+    if n <= 1:
+        return x
+    return _walk((_walk(x, n, key, tweak, False) + 1) % n, n, key, tweak, True)
+
+
 def luhn(digits: str) -> int:
     """Luhn sum modulo 10 of a number with its check digit."""
     total = 0
@@ -162,9 +175,12 @@ def _date(value: str, key: bytes) -> str | None:
             except ValueError:
                 continue
             if _FIRST <= day <= _LAST:
-                n = (_LAST - _FIRST).days + 1
-                new = _FIRST + dt.timedelta(permute((day - _FIRST).days, n, key, b"date"))
-                return form.format(y=new.year, m=new.month, d=new.day, s=m[2])
+                n, new = (_LAST - _FIRST).days + 1, day
+                while True:
+                    new = _FIRST + dt.timedelta(permute((new - _FIRST).days, n, key, b"date"))
+                    # a day and month with slashes is read as month and day where it can be: walks on to days that cannot
+                    if pattern is not _DATES[-1][0] or new.day > 12:
+                        return form.format(y=new.year, m=new.month, d=new.day, s=m[2])
     return None
 
 

@@ -1,8 +1,10 @@
 """Main text of pages (held-out accuracy) and pseudonyms (permutations)."""
 
+import datetime as dt
 import html
 import random
 import re
+import time
 
 import pytest
 
@@ -104,10 +106,41 @@ def test_trees_learn():
 
 def test_permutations():
     for n in (1, 2, 3, 10, 97, 1000):
-        assert sorted(pseudonyms.permute(i, n, b"k", b"t") for i in range(n)) == list(range(n))
+        new = [pseudonyms.permute(i, n, b"k", b"t") for i in range(n)]
+        assert sorted(new) == list(range(n))
+        assert n == 1 or all(i != x for i, x in enumerate(new))
     assert pseudonyms.permute(5, 10**15, b"k", b"t") != pseudonyms.permute(5, 10**15, b"other", b"t")
 
 
+def test_dates_of_all_spellings_stay_apart():
+    """No two spellings share a pseudonym, none stays, and each is read as the spelling that it came from."""
+    first, seen = dt.date(1900, 1, 1), {}
+    for i in range((dt.date(2099, 12, 31) - first).days + 1):
+        day = first + dt.timedelta(i)
+        for form in ("%m/%d/%Y", "%d/%m/%Y", *(("%Y-%m-%d", "%d.%m.%Y") if i % 9 == 0 else ())):
+            value = day.strftime(form)
+            if value in seen:
+                continue
+            new = seen[value] = pseudonyms._date(value, b"k")
+            assert new != value
+    assert len(set(seen.values())) == len(seen)
+    assert all(new in seen for value, new in seen.items() if "/" in value)
+
+
+def test_short_names_do_not_stay():
+    for c in "abcdefghijklmnopqrstuvwxyz0123456789":
+        assert pseudonyms._email(f"{c}@x.org", b"k") != f"{c}@x.org"
+
+
+@pytest.mark.parametrize("part, n", [("<x>", 1), ("<a ", 1), ("<a", 1), ("<a '\"", 1), ("<!\"", 1), ("<a><b>", 1), ("<a><li>", 1), ("<div>", 2)])
+def test_pages_are_read_in_linear_time(part, n):
+    """A megabyte of what took time in the square of its length."""
+    page = part * ((1 << 20) // len(part) // n) + ("</y></span>" * 40_000 if n > 1 else ">")
+    begin = time.monotonic()
+    html_text.Page(page)
+    assert time.monotonic() - begin < 30
+
+
 def test_what_is_found_and_how_it_looks():
     key = b"k"
     text = ("Mail a.B-c@Ex.com or +1 (017) 555-7713, card 4111 1111 1111 1111, not 4111111111111112; 4111111111111111 from 10.1.2.3 (not 10.1.2.300, "
