@@ -114,14 +114,15 @@ def judge_quality(docs: DataFrame, keep: Sequence[str], text: str = "text", host
         .groupBy(F.col("host").alias("_host"), F.col("text_id").alias("_text_id"))
         .agg(F.sum("n").alias("_sum"), F.collect_set("line").alias("_bad"))
     )
+    own = [F.col(f"`{c}`").alias(f"_keep_{i}") for i, c in enumerate(kept)]
     rows = docs.select(
-        *[F.col(f"`{c}`") for c in kept], *key, document_counts(whole).alias("_c"), *([t.alias("_t")] if cleaned else []))
+        *own, *key, document_counts(whole).alias("_c"), *([t.alias("_t")] if cleaned else []))
     both = rows.join(removed, ["_host", "_text_id"], "left")
     gone = F.coalesce(F.col("_sum"), F.lit(0)).cast("long")
     failed = (F.col("_c.n_words") < LEAST_WORDS) | (100 * F.col("_c.n_repeat_words") > MOST_REPEATED * F.col("_c.n_words"))
     left = F.col("_c.n_words") - gone
     out = [
-        *[F.col(f"`{c}`") for c in kept], "_c.*", failed.alias("base_failed"), gone.alias("n_removed_words"),
+        *[F.col(f"_keep_{i}").alias(c) for i, c in enumerate(kept)], "_c.*", failed.alias("base_failed"), gone.alias("n_removed_words"),
         (~failed & (left >= least_left * F.col("_c.n_words"))).alias("kept"),
     ]
     if cleaned:

@@ -129,19 +129,24 @@ def scan_versions(versions: DataFrame, ledger: str, rules: Sequence[Rule] = RULE
 def findings(versions: DataFrame, ledger: DataFrame, rules: Sequence[Rule] = RULES, text: str = "text") -> DataFrame:
     """``versions`` with column ``found``: the spans of its blob under ``rules`` by start, then kind as the rules list them.
 
-    A column of that name is replaced; rows stay as they are, repeated ones too.
+    A column of that name is replaced; all other columns stay, whatever their names, and rows stay as they are, repeated ones
+    too. Of two versions of a kind in ``rules``, both give their spans.
     """
-    order = F.create_map(*[x for i, r in enumerate(rules) for x in (F.lit(r.kind), F.lit(i))])
-    current = F.concat_ws(":", "kind", "version").isin([f"{r.kind}:{r.version}" for r in rules])
+    order = F.create_map(*[x for i, r in enumerate(rules) for x in (F.lit(f"{r.kind}:{r.version}"), F.lit(i))])
+    named = F.concat_ws(":", "kind", "version")
+    key = "_blob"
+    while key in versions.columns:
+        key += "_"
     held = (
-        ledger.where(current & (F.size("spans") > 0)).dropDuplicates(["blob", "kind"])
-        .select(F.col("blob").alias("_blob"), "kind", order[F.col("kind")].alias("nth"), F.explode("spans").alias("s"))
-        .groupBy("_blob")
+        ledger.where(named.isin([f"{r.kind}:{r.version}" for r in rules]) & (F.size("spans") > 0))
+        .dropDuplicates(["blob", "kind", "version"])
+        .select(F.col("blob").alias(key), "kind", order[named].alias("nth"), F.explode("spans").alias("s"))
+        .groupBy(key)
         .agg(F.sort_array(F.collect_list(F.struct("s.start", "nth", "s.end", "kind"))).alias("found"))
     )
     none = "array<struct<start: bigint, nth: int, end: bigint, kind: string>>"
     return (
-        versions.drop("found").withColumn("_blob", blob_of(F.col(f"`{text}`"))).join(held, "_blob", "left").drop("_blob")
+        versions.drop("found").withColumn(key, blob_of(F.col(f"`{text}`"))).join(held, key, "left").drop(key)
         .withColumn("found", F.coalesce("found", F.array().cast(none)))
     )
 

@@ -4,6 +4,7 @@ import os
 import sys
 
 import pytest
+from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.abspath(__file__)), "..", "..", "tools"))
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -120,3 +121,15 @@ def test_the_share_decides_on_hosts_of_over_1000_texts(spark):
     got = {r.doc_id: r.n_removed_words for r in quality.judge_quality(
         spark.createDataFrame(rows, "doc_id string, text string, source string"), keep=["doc_id"]).collect()}
     assert [got[f"{h}0"] for h in "abcd"] == [3, 0, 3, 0] and got["a10"] == got["c15"] == 0 and got["copy3"] == 3
+
+
+def test_private_names_do_not_clash(spark, tmp_path):
+    rows = [(1, "token = abcdefgh", "b", "h", "t"), (2, None, "b", "h", "t")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _blob string, _host string, _text_id string").withColumn("source", F.lit("s"))
+    both = [*secret_scan.RULES, *[type(r)(**{**r.__dict__, "version": r.version + 1}) for r in secret_scan.RULES[:1]]]
+    ledger = secret_scan.scan_versions(df, f"{tmp_path}/ledger", rules=both)
+    got = {r.doc_id: r for r in secret_scan.findings(df, ledger, rules=both).collect()}
+    assert got[1]["_blob"] == "b" and got[2].found == [] and len(got[1].found) == 2 * len(
+        {r.doc_id: r for r in secret_scan.findings(df, ledger).collect()}[1].found)
+    kept = quality.judge_quality(df, keep=["doc_id", "_host", "_text_id", "_blob"]).collect()
+    assert {(r.doc_id, r["_host"], r["_text_id"], r["_blob"]) for r in kept} == {(1, "h", "t", "b"), (2, "h", "t", "b")}
