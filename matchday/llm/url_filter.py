@@ -11,8 +11,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from matchday.llm.tables import table
+from matchday.sources.tables import local_table
 
 #: Fixed by the query's contract: host, path, verdict.
 RULES = (
@@ -28,7 +30,8 @@ _PREFIX = 8  # hexadecimal digits
 
 
 def rule_table(spark: SparkSession, rules: Sequence[tuple[str, str, str]] = RULES) -> DataFrame:
-    return spark.createDataFrame(list(rules), "host string, path string, verdict string")
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in ("host", "path", "verdict")])
+    return local_table(spark, list(rules), schema)
 
 
 def _after_scheme(url):
