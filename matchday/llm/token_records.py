@@ -228,6 +228,8 @@ def op5_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = write_records(table(spark, sf_dir, "documents"), out, public_tokenizers.path(TOKENIZER))
     # one row a shard: a few numbers for each 64 MB or so of input
     shards = index.groupBy("shard").agg(F.max(F.col("first") + F.col("n_tokens")).alias("n"))
-    before = shards.select("shard", (F.sum("n").over(Window.orderBy("shard")) - F.col("n")).alias("before"))
+    # by number: beyond 100,000 shards names are longer
+    by_number = Window.orderBy(F.length("shard"), "shard")
+    before = shards.select("shard", (F.sum("n").over(by_number) - F.col("n")).alias("before"))
     return read_records(index, out).join(before, "shard").select(
         "doc_id", (F.col("before") + F.col("first")).alias("start"), "n_tokens", "ids_crc32")
