@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import warnings
 from collections.abc import Mapping, Sequence
 
@@ -16,7 +17,7 @@ from ..operators.views import goals_base_view, load_match_results, result_class_
 from ..schemas import PANEL_METRICS, PERFORMANCE_METRICS, performance_columns
 from ..sources.buckets import scan_table
 from ..sources.sinks import write_table
-from ..sources.tables import distinct_values
+from ..sources.tables import distinct_values, row_bound
 from .tables import team_tables
 
 # --- fixed values: columns taken from standings, and of the goals base view ----
@@ -31,6 +32,8 @@ _GOALS_MATCH_COLUMNS = (
     "match_id", "league_id", "match_day", "team_id_1", "team_name_1", "team_id_2", "team_name_2", "goals_team_1", "goals_team_2",
 )
 _PANEL_KEYS = ("match_id", "league_id", "match_day", "team_id", "home_team")
+#: Panel rows of a task of :meth:`FeatureBuilder.match_features`, about: its sorts hold 4 kB a row in all.
+PANEL_TASK_ROWS = 50_000
 
 
 def _each_table(rows: Column, tables: Sequence[Sequence[str]]) -> Column:
@@ -162,8 +165,8 @@ class FeatureBuilder:
         """The features of :meth:`get_features` with the "overall" tables of the same matches, without joins.
 
         All windows (panel statistics, table rank, previous day) and the regrouping of a match's two sides run on one
-        partitioning by league: one Exchange of the team view in all, and no table in between. A league season is a few
-        hundred rows, so that takes leagues enough for all tasks. Where there are too few, or a league has more than
+        partitioning by league: one Exchange of the team view in all, and no table in between. Its tasks grow in number with
+        the rows, not in size. A league season is a few hundred rows, so that takes leagues enough for all tasks. Where there are too few, or a league has more than
         ``hot_threshold`` rows, the team tables are written and joined as usual.
         """
         if target not in TARGETS:
@@ -179,7 +182,11 @@ class FeatureBuilder:
             own = result_class_columns(half_sample_flag(finals, "match_id", seed=self.seed))
         else:
             own = [F.col(c) for c in _GOALS_MATCH_COLUMNS]
-        view = team_view(finals.withColumn("_match", F.struct(*own)), "overall", carry=["_match"]).repartition("league_id")
+        # one stage sorts the panel rows several times over: as many tasks as the rows need, which AQE does not merge
+        rows = row_bound(table)
+        rows = 2 * (finals.count() if rows is None else rows)
+        width = max(task_slots(table.sparkSession), math.ceil(rows / PANEL_TASK_ROWS))
+        view = team_view(finals.withColumn("_match", F.struct(*own)), "overall", carry=["_match"]).repartition(width, "league_id")
         columns = [c for s in steps for c in self.PREVIOUS_DAY_STEPS[s]]
         panel = panel_stats(
             view, panel_classes("overall"), [*_PANEL_KEYS, "_match"], PANEL_METRICS, PERFORMANCE_METRICS, hot_threshold=None)

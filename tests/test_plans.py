@@ -117,6 +117,21 @@ def test_features_of_matches_take_one_exchange(spark, tmp_dir):
     assert plan.count("Exchange hashpartitioning") == 1 and plan.count("FileScan parquet") == 1
 
 
+def test_features_of_matches_take_more_tasks_for_more_rows(spark, tmp_dir, monkeypatch):
+    from matchday.plans import features
+
+    m, fb = _many_leagues(spark, tmp_dir), features.FeatureBuilder(spark)
+    want = fb.match_features(m)
+    monkeypatch.setattr(features, "PANEL_TASK_ROWS", 20)
+    for target in ("goals", "result_class"):
+        got = fb.match_features(m, target=target)
+        plan = plan_text(got, "simple")
+        assert "Exchange hashpartitioning(league_id" in plan and f", {2 * 30 * 26 // 20}), REPARTITION_BY_NUM" in plan
+        assert plan.count("Exchange hashpartitioning") == 1
+    got = fb.match_features(m)
+    assert got.count() == want.count() and got.exceptAll(want).count() == 0
+
+
 def test_few_or_hot_leagues_take_the_joins(spark, tmp_dir):
     from matchday.plans.features import FeatureBuilder
 
