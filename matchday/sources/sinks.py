@@ -11,6 +11,9 @@ from ..operators.normalize import validate_records
 from ..schemas import RECORD_FIELDS
 from .manifest import SEASON_PARTITIONS, Commit, write_version
 
+#: Matches of a feed file at most, about 80 MB of JSON with goals.
+FEED_FILE_ROWS = 50_000
+
 
 def write_table(
     df: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] | None = None
@@ -57,6 +60,13 @@ def write_normalized(df: DataFrame, root: str, records: str = "matchResults", mo
     return f"{root.rstrip('/')}/{records}"
 
 
-def write_feed_lines(feed: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Write match objects as JSON Lines (splittable), e.g. as a landing zone for the stream."""
-    feed.write.mode(mode).json(path)
+def write_feed_lines(feed: DataFrame, path: str, mode: str = "overwrite", rows_per_file: int = FEED_FILE_ROWS) -> None:
+    """Write match objects as JSON Lines, e.g. as a landing zone for the stream.
+
+    The lines repeat every key and most values, so they are written as gzip. Such a file is read by one task: none has more
+    than ``rows_per_file`` matches.
+    """
+    (
+        feed.write.mode(mode).option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED")
+        .option("maxRecordsPerFile", rows_per_file).json(path)
+    )

@@ -4,6 +4,7 @@ import json
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from matchday.operators.normalize import flatten, normalize, seasons_without_records
 from matchday.schemas import META_COLUMNS
@@ -16,7 +17,7 @@ from matchday.sources.feed import (
     scan_records,
     skipped_seasons,
 )
-from matchday.sources.sinks import write_normalized
+from matchday.sources.sinks import write_feed_lines, write_normalized
 
 
 def _match(mid, results, goals=None, **kw):
@@ -147,3 +148,15 @@ def test_rewriting_a_season_keeps_the_others(spark, tmp_dir):
     back = scan_records(spark, root, "matchResults")
     assert sorted((r.leagueSeason, r.matchID) for r in back.select("leagueSeason", "matchID").collect()) == [
         (2022, 1), (2023, 3)]
+
+
+def test_feed_lines_are_small_files(spark, tmp_dir):
+    feed = read_feed(spark, _write(tmp_dir, "bl1_2023.json", [_match(i, [FINAL, HALF]) for i in range(1, 201)])).coalesce(1)
+    out = os.path.join(tmp_dir, "lines")
+    write_feed_lines(feed, out, rows_per_file=50)
+    files = [os.path.join(out, f) for f in os.listdir(out) if f.startswith("part-")]
+    assert len(files) == 4 and all(f.endswith(".json.gz") for f in files)
+    plain = sum(len(r[0]) + 1 for r in feed.select(F.to_json(F.struct("*"))).collect())
+    assert 4 * sum(map(os.path.getsize, files)) < plain
+    back = read_feed(spark, out, layout="lines")
+    assert back.count() == 200 and back.exceptAll(feed).count() == 0 and feed.exceptAll(back).count() == 0
