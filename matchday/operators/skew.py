@@ -8,8 +8,10 @@ everything under one league id.
 Hot keys are those with more rows than a threshold. Where a bound on all rows
 is known (a table that :func:`~matchday.session.materialize` wrote counts its
 rows while it writes) and lies below the threshold, there are none and nothing
-runs. Otherwise one narrow pass counts rows per key, into a written table of
-the hot ones. Without hot keys the plan is the plain window and nothing else.
+runs. Otherwise one narrow pass counts rows by the first key column: no key has
+more rows than it. Only where a value of it (a league) exceeds the threshold,
+another pass counts rows per key, into a written table of the hot ones. Without
+hot keys the plan is the plain window and nothing else.
 
 Hot rows take a two-level scan:
 
@@ -63,14 +65,42 @@ def hot_keys(df: DataFrame, keys: Sequence[str], threshold: int = DEFAULT_HOT_RO
     return counts.filter(F.col("_rows") > F.lit(threshold)).select(*keys)
 
 
-def find_hot(df: DataFrame, groups: Sequence[Sequence[str]], threshold: int | None) -> list[Hot | None]:
+def surely_cold(df: DataFrame, threshold: int | None) -> bool:
+    """Whether no key can be hot without a look at the rows: no threshold, or a known bound on all rows within it."""
+    bound = row_bound(df)
+    return threshold is None or (bound is not None and bound <= threshold)
+
+
+class Sizes(NamedTuple):
+    """How many values a column has (null is one), the rows of the most frequent one, and all rows."""
+
+    values: int
+    largest: int
+    rows: int
+
+
+def value_sizes(df: DataFrame, column: str) -> Sizes:
+    """One pass over ``column``."""
+    counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("_rows"))
+    sums = [F.coalesce(f("_rows"), F.lit(0)) for f in (F.max, F.sum)]
+    return Sizes(*counts.agg(F.count(F.lit(1)), *sums).first())
+
+
+def find_hot(
+    df: DataFrame, groups: Sequence[Sequence[str]], threshold: int | None, largest: int | None = None
+) -> list[Hot | None]:
     """For each list of key columns its hot keys, or None where there are none.
 
     ``None`` as threshold, or a known bound on the rows of ``df`` that does not exceed it, answers without running anything.
-    Else all groups are counted in one pass over their columns.
+    Else the rows are counted by the first column that all lists share: keys within values of at most ``threshold`` rows are
+    not hot (``largest``: the rows of the most frequent value, if known). Else all groups are counted in one pass over their columns.
     """
-    bound = row_bound(df)
-    if threshold is None or (bound is not None and bound <= threshold):
+    if surely_cold(df, threshold):
+        return [None] * len(groups)
+    first = groups[0][0]
+    if largest is None and all(g[0] == first and len(g) > 1 for g in groups):
+        largest = value_sizes(df, first).largest
+    if largest is not None and largest <= threshold:
         return [None] * len(groups)
     columns = list(dict.fromkeys(k for g in groups for k in g))
     counts = df.groupingSets([[F.col(k) for k in g] for g in groups], *[F.col(k) for k in columns]).agg(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +17,7 @@ from ..operators.panels import (
     running_totals,
     table_rank,
 )
-from ..operators.skew import DEFAULT_HOT_ROWS, SEGMENT_ROWS, find_hot
+from ..operators.skew import DEFAULT_HOT_ROWS, SEGMENT_ROWS, find_hot, surely_cold, task_slots, value_sizes
 from ..operators.views import load_match_results, team_view
 from ..schemas import PANEL_METRICS, PERFORMANCE_METRICS, performance_columns
 from ..session import materialize
@@ -25,6 +26,10 @@ from ..sources.sinks import write_table
 from ..sources.tables import row_bound, with_row_bound
 
 
+#: Team rows of a task that sorts them for both windows of the standings, about: they take 0.5 kB a row in all.
+TASK_ROWS = 250_000
+
+
 def bounded_view(matches: DataFrame, standings_class: str = "overall", carry: Sequence[str] = ()) -> DataFrame:
     """The team view of the final results; a known bound on the match rows bounds its rows too."""
     matches = load_match_results(matches)
@@ -45,11 +50,19 @@ def standings(
     (league, team) -> rank per (league, match day): one shuffle per window
     partitioning. Panels and match days with more than ``hot_threshold`` rows
     are split (see :mod:`~matchday.operators.skew`): both are counted in one
-    narrow pass, or known not to exist from a bound on the rows of ``matches``.
+    narrow pass, or known not to exist from a bound on the rows of ``matches``
+    or of each league. A large table with leagues enough for all tasks, none of
+    them with more rows, takes one shuffle by league for both windows.
     ``None`` plans the plain windows without looking. ``carry``: further columns of ``matches`` to keep.
     """
     view = bounded_view(matches, standings_class, carry)
-    panels, days = find_hot(view, [panel_classes("overall"), RANK_OVER], hot_threshold)
+    panels = days = None
+    if not surely_cold(view, hot_threshold):
+        leagues, slots = value_sizes(view, "league_id"), task_slots(view.sparkSession)
+        panels, days = find_hot(view, [panel_classes("overall"), RANK_OVER], hot_threshold, largest=leagues.largest)
+        if leagues.largest <= hot_threshold and leagues.values >= 2 * slots:
+            # one stage sorts the rows twice: as many tasks as they need, which AQE does not merge
+            view = view.repartition(max(slots, math.ceil(leagues.rows / TASK_ROWS)), "league_id")
     totals = running_totals(view, carry=[*STANDINGS_KEYS, *carry], hot_threshold=None, hot=panels, segment_rows=segment_rows)
     if days is not None:
         totals = materialize(totals, "running-totals")

@@ -132,6 +132,32 @@ def test_features_of_matches_take_more_tasks_for_more_rows(spark, tmp_dir, monke
     assert got.count() == want.count() and got.exceptAll(want).count() == 0
 
 
+def test_large_standings_of_many_leagues_take_one_shuffle(spark, tmp_dir, monkeypatch):
+    from matchday.plans import tables
+    from matchday.sources.tables import with_row_bound
+
+    m = _many_leagues(spark, tmp_dir)
+    want = standings(m, hot_threshold=None)
+    monkeypatch.setattr(tables, "task_slots", lambda spark: 8)
+    # a bound above the threshold, though no league has so many rows
+    got = standings(with_row_bound(m, 30 * 26), hot_threshold=100)
+    plan = plan_text(got, "simple")
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+    assert got.count() == want.count() and got.exceptAll(want).count() == 0
+
+
+def test_hot_keys_are_counted_within_large_leagues_only(spark, tmp_dir, monkeypatch):
+    from matchday.operators import skew
+
+    m, written = _many_leagues(spark, tmp_dir), []
+    monkeypatch.setattr(skew, "materialize", lambda df, *a, f=skew.materialize, **k: written.append(a) or f(df, *a, **k))
+    groups = [("league_id", "match_day"), ("league_id", "team_id_1")]
+    assert skew.find_hot(m, groups, 26) == [None, None] and not written
+    days, teams = skew.find_hot(m, groups, 4)
+    assert written and days is not None and {r.league_id for r in teams.table.collect()} >= {1, 2}
+    assert days.keys == m.groupBy("league_id", "match_day").count().where("count > 4").count()
+
+
 def test_few_or_hot_leagues_take_the_joins(spark, tmp_dir):
     from matchday.plans.features import FeatureBuilder
 
