@@ -1,16 +1,23 @@
 """N-gram Jaccard join with a token-group matrix, exact.
 
 A document is the set of its word shingles; equal sets are one class. A class's prefix is its first ``n - ceil(t n) + 1``
-shingles in an order that all classes share (shingles of few classes by hash, then those of many by hash), so that classes
-which link share a prefix shingle.
+shingles in an order that all classes share (shingles of few classes by hash, then those of many, by powers of four of their
+classes and by hash), so that classes which link share a prefix shingle.
 
 Classes are partitioned into groups of similar ones: at first each by itself, then the components of the links found. The
 matrix holds, for each shingle, the groups in whose union of prefixes it is. A query's overlap with a group is bounded by its
 own size less its prefix shingles outside the group's union: a group that shares none cannot qualify, and a shingle of one
-group only has nothing to open. Opened groups are compared member by member, first with 16 members of each shingle's bucket, then with
-256, 4096 ..., until no shingle of two groups is left: members that a link joined meanwhile are not compared. Pairs
-whose horizons (the first shingles in hash order, at hand for every class) rule a link out need no text; the others are
-compared whole.
+group only has nothing to open. Small buckets are compared member by member, large ones with 16 of their members; members that a
+link joined meanwhile are not compared. Pairs whose horizons (the first shingles in hash order, at hand for every class) rule a link
+out need no text; the others are compared whole.
+
+A large bucket in which several groups are left is dealt anew by differences. Its members are compared with one pivot, the member of
+most links; a member's difference is what is in one of the two sets only. The sets of x and y differ in
+``|Dx| + |Dy| - 2 |Dx & Dy|`` shingles, so a pair that links shares so many shingles of its differences that their prefixes meet (in an
+order by how many differences of the pivot hold a shingle), unless both members link with the pivot and are of one group anyway.
+What a bucket's members have in common is in no difference, so that near copies that do not link hardly ever meet again. Buckets of
+pivots whose members are unlike them by their horizons, and what is in large buckets after two such turns, are compared with 256,
+4096 ... of their members.
 Nothing is cut off. Shingles are compared by 64-bit hashes, sets by 128-bit ones.
 """
 
@@ -23,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import Broadcast
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from matchday.llm.bitmap import bitmap
@@ -35,10 +42,12 @@ from matchday.llm.words import Spans, chunks, encoded, hashed, long_lists, short
 SHINGLE, PERCENT = 4, 85
 #: Per cent of a set beyond its prefix that the first pass hands on in hash order, so that most prefixes can be taken from it.
 _SPARE = 5
-#: A shingle of so many classes comes last in the order.
+#: A shingle of so many classes comes late in the order, one of four times as many later, and so on.
 _FREQUENT = 64
 #: Buckets of so many classes are compared pair by pair at once; others with so many of their members first.
 _SMALL = 16
+#: So many times, large buckets are dealt anew by differences, if this share of two horizons is common to members and pivot.
+_DEALT, _ALIKE = 2, 0.5
 
 
 def shingle_sets(texts: pa.LargeStringArray, k: int) -> list[np.ndarray]:
@@ -76,18 +85,18 @@ def _sets(batches, k: int, percent: int) -> Iterator[pa.RecordBatch]:
             ["doc_id", "n", "class", "near"])
 
 
-def _ordered(x: np.ndarray, frequent) -> tuple[np.ndarray, int]:
-    late = frequent.has(x)
-    return np.concatenate([x[~late], x[late]]), int((~late).sum())
+def _ordered(x: np.ndarray, frequent: list[Broadcast]) -> tuple[np.ndarray, int]:
+    late = np.sum([m.value.has(x) for m in frequent], axis=0)
+    return x[np.argsort(late, kind="stable")], int((late == 0).sum())
 
 
-def _prefixes(batches, frequent: Broadcast, percent: int) -> Iterator[pa.RecordBatch]:
+def _prefixes(batches, frequent: list[Broadcast], percent: int) -> Iterator[pa.RecordBatch]:
     """Prefixes out of the horizons; null where a horizon has too few shingles of few classes."""
     for batch in batches:
         out = []
         for x, n in zip(batch.column("near"), batch.column("n").to_pylist(), strict=True):
             x = x.values.to_numpy().view(np.uint64)
-            order, early = _ordered(x, frequent.value)
+            order, early = _ordered(x, frequent)
             need = _prefix(n, percent)
             out.append(order[:need].view(np.int64) if early >= need or len(x) == n else None)
         yield pa.RecordBatch.from_arrays(
@@ -102,12 +111,12 @@ def _some(batches, wanted: Broadcast):
             yield batch.filter(pa.array(hit))
 
 
-def _whole_prefixes(batches, wanted: Broadcast, frequent: Broadcast, k: int, percent: int) -> Iterator[pa.RecordBatch]:
+def _whole_prefixes(batches, wanted: Broadcast, frequent: list[Broadcast], k: int, percent: int) -> Iterator[pa.RecordBatch]:
     for _, texts in chunks(_some(batches, wanted), "text"):
         sets = [x for x in shingle_sets(texts, k) if len(x)]
         yield pa.RecordBatch.from_arrays(
             [pa.array([_name(x) for x in sets], pa.binary()), pa.array([len(x) for x in sets], pa.int64()),
-             pa.array([_ordered(x, frequent.value)[0][: _prefix(len(x), percent)].view(np.int64) for x in sets], pa.list_(pa.int64()))],
+             pa.array([_ordered(x, frequent)[0][: _prefix(len(x), percent)].view(np.int64) for x in sets], pa.list_(pa.int64()))],
             ["class", "n", "prefix"])
 
 
@@ -133,19 +142,28 @@ def _texts(batches, wanted: Broadcast, k: int) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), batch.column("text")], ["class", "text"])
 
 
+def _known(batch: pa.RecordBatch) -> Iterator[tuple[int, int, int, int, int]]:
+    """Of each pair: the sets' sizes, how much of each is known up to the end of the shorter horizon, and what is common there."""
+    for x, n, y, m in zip(*(batch.column(c) for c in ("near_a", "n_a", "near_b", "n_b")), strict=True):
+        x, y, n, m = x.values.to_numpy().view(np.uint64), y.values.to_numpy().view(np.uint64), n.as_py(), m.as_py()
+        ends = [z[-1] for z, size in ((x, n), (y, m)) if len(z) < size]
+        known_x, known_y = (len(z) if not ends else int(np.searchsorted(z, min(ends), side="right")) for z in (x, y))
+        yield n, m, known_x, known_y, len(np.intersect1d(x[:known_x], y[:known_y], assume_unique=True))
+
+
 def _possible(batches, percent: int) -> Iterator[pa.RecordBatch]:
-    """The pairs that their horizons do not rule out: up to the end of the shorter one, both sets are known."""
+    """The pairs that their horizons do not rule out."""
     for batch in batches:
-        keep = []
-        for x, n, y, m in zip(*(batch.column(c) for c in ("near_a", "n_a", "near_b", "n_b")), strict=True):
-            x, y, n, m = x.values.to_numpy().view(np.uint64), y.values.to_numpy().view(np.uint64), n.as_py(), m.as_py()
-            ends = [z[-1] for z, size in ((x, n), (y, m)) if len(z) < size]
-            known_x, known_y = (len(z) if not ends else int(np.searchsorted(z, min(ends), side="right")) for z in (x, y))
-            both = len(np.intersect1d(x[:known_x], y[:known_y], assume_unique=True))
-            keep.append((100 + percent) * (both + min(n - known_x, m - known_y)) >= percent * (n + m))
+        keep = [(100 + percent) * (both + min(n - x, m - y)) >= percent * (n + m) for n, m, x, y, both in _known(batch)]
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
+def _alike(batches) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        shares = [both / max(1, x + y - both) for _, _, x, y, both in _known(batch)]
+        yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(shares, pa.float64())], ["a", "b", "alike"])
+
+
 def _links(batches, k: int, percent: int) -> Iterator[pa.RecordBatch]:
     for rows, texts in chunks(batches, "text_a", most=2 << 20):
         a, b = shingle_sets(texts, k), shingle_sets(texts_of(rows.column("text_b")), k)
@@ -154,18 +172,73 @@ def _links(batches, k: int, percent: int) -> Iterator[pa.RecordBatch]:
         yield rows.select(["a", "b"]).filter(pa.array(100 * both >= percent * either))
 
 
+def _deltas(batches, k: int, percent: int) -> Iterator[pa.RecordBatch]:
+    """What is in one of the sets of a class and its pivot only, and whether the two link."""
+    for rows, texts in chunks(batches, "text", most=2 << 20):
+        sets = shingle_sets(texts, k)
+        of_pivot = texts_of(rows.column("pivot_text")).dictionary_encode()
+        distinct = shingle_sets(of_pivot.dictionary, k)
+        pivots = [distinct[i] for i in of_pivot.indices.to_pylist()]
+        deltas = [np.setxor1d(x, y, assume_unique=True) for x, y in zip(sets, pivots, strict=True)]
+        n, m, d = (np.array([len(x) for x in z], np.int64) for z in (sets, pivots, deltas))
+        yield pa.RecordBatch.from_arrays(
+            [rows.column("pivot"), rows.column("class"), pa.array(n), pa.array((100 + percent) * d <= (100 - percent) * (n + m)),
+             long_lists(np.concatenate([*deltas, np.zeros(0, np.uint64)]), d)], ["pivot", "class", "n", "linked", "delta"])
+
+
+def _dealt(deltas: DataFrame, percent: int) -> DataFrame:
+    """The rows of a matrix of differences: each shingle of a difference's prefix that another one of the same pivot has.
+
+    Two sets that link differ in ``(100 - percent) / percent`` of the smaller one at most, and a prefix need not be longer.
+    """
+    shingles = deltas.select(
+        "pivot", "class", "n", F.size("delta").cast("long").alias("len"), F.explode("delta").alias("shingle"))
+    often = shingles.groupBy("pivot", "shingle").agg(F.count("*").alias("times")).where("times > 1")
+    own = Window.partitionBy("pivot", "class")
+    # those that no other difference has come first
+    at = F.col("len") - F.count("*").over(own) + F.row_number().over(own.orderBy("times", "shingle")) - 1
+    return (
+        shingles.join(often, ["pivot", "shingle"]).withColumn("at", at)
+        .where(percent * F.col("at") <= (100 - percent) * F.col("n"))
+        .select(F.xxhash64("pivot", "shingle").alias("token"), "class", "n", "len", "at", F.lit(_SMALL).alias("parts"))
+    )
+
+
+def _opened(matrix: DataFrame, groups: DataFrame | None) -> DataFrame:
+    """The rows of buckets that hold several groups, with group and the bucket's size."""
+    named = matrix.withColumn("group", F.col("class")) if groups is None else (
+        matrix.join(groups.select(F.col("node").alias("class"), F.col("root").alias("group")), "class", "left")
+        .withColumn("group", F.coalesce("group", "class")))
+    several = (
+        named.groupBy("token").agg(F.min("group").alias("lo"), F.max("group").alias("hi"), F.count("*").alias("size"))
+        .where("lo <> hi").select("token", "size"))
+    return named.join(several, "token")
+
+
+def _merged(groups: DataFrame | None, links: DataFrame | None) -> DataFrame | None:
+    """Groups (node, root) after further links."""
+    if links is None:
+        return groups
+    if groups is not None:
+        links = links.unionByName(groups.select(F.col("node").alias("a"), F.col("root").alias("b")))
+    return components(links)
+
+
 def _pairs(rows: DataFrame, pivots: DataFrame, percent: int) -> DataFrame:
     """Classes of different groups that meet in a bucket, less those whose sizes or places rule a link out.
 
-    The bound on places holds for the first shingle that two prefixes share, and each pair that links meets there too.
+    The bound on places holds for the first shingle that two prefixes share, and each pair that links meets there too. ``len`` is
+    the length of what the prefix was taken from: the set, or its difference from a pivot.
     """
-    p = pivots.select("token", *[F.col(c).alias(f"p_{c}") for c in ("class", "n", "at", "group")])
-    rest = F.least(F.col("n") - F.col("at"), F.col("p_n") - F.col("p_at"))
+    p = pivots.select("token", *[F.col(c).alias(f"p_{c}") for c in ("class", "n", "len", "at", "group")])
+    rest = F.least(F.col("len") - F.col("at"), F.col("p_len") - F.col("p_at"))
+    differ = (100 - percent) * (F.col("n") + F.col("p_n"))
     return (
         rows.join(p, "token")
         .where((F.col("class") != F.col("p_class")) & (F.col("group") != F.col("p_group")))
         .where(100 * F.least("n", "p_n") >= percent * F.greatest("n", "p_n"))
-        .where((100 + percent) * rest >= percent * (F.col("n") + F.col("p_n")))
+        .where((100 + percent) * F.abs(F.col("len") - F.col("p_len")) <= differ)
+        .where((100 + percent) * (F.col("len") + F.col("p_len") - 2 * rest) <= differ)
         .select(F.least("class", "p_class").alias("a"), F.greatest("class", "p_class").alias("b"))
     )
 
@@ -178,23 +251,64 @@ def _with_both(pairs: DataFrame, of_class: DataFrame) -> DataFrame:
     return pairs
 
 
+def _texts_of(wanted: DataFrame, classes: DataFrame, n_classes: int, source: DataFrame, k: int) -> DataFrame:
+    """class, text of the classes wanted. Only rows with their ids are shuffled."""
+    ids = wanted.distinct().join(classes.select("class", "doc_id"), "class")
+    some = bitmap(ids.select(F.xxhash64("doc_id").alias("id_hash")), "id_hash", n_classes)
+    return written(
+        source.mapInArrow(lambda b: _texts(b, some, k), "class binary, text string")
+        .groupBy("class").agg(F.first("text").alias("text")), "texts")
+
+
+def _horizons(wanted: DataFrame, classes: DataFrame, n_classes: int) -> DataFrame:
+    """class, n, near of the classes wanted, and of few others."""
+    some = bitmap(wanted.select(F.xxhash64("class").alias("id_hash")), "id_hash", n_classes)
+    return classes.select("class", "n", "near", F.xxhash64("class").alias("id_hash")).mapInArrow(
+        lambda b: _some(b, some), "class binary, n bigint, near array<bigint>, id_hash bigint").drop("id_hash")
+
+
+def _with_pivots(left: DataFrame, many: DataFrame, links: DataFrame | None, classes: DataFrame, n_classes: int) -> DataFrame:
+    """The rows of large buckets with a pivot, the bucket's member of most links; null if its members are unlike it."""
+    named = many.select("token", "class")
+    if links is None:
+        named = named.withColumn("links", F.lit(0))
+    else:
+        degrees = links.select(F.explode(F.array("a", "b")).alias("class")).groupBy("class").agg(F.count("*").alias("links"))
+        named = named.join(degrees, "class", "left")
+    best = named.groupBy("token").agg(F.max(F.struct(F.coalesce("links", F.lit(0)).alias("links"), "class")).alias("m"))
+    rows = left.join(best.select("token", F.col("m.class").alias("pivot")), "token")
+    pairs = written(rows.where("class <> pivot").select(F.col("class").alias("a"), F.col("pivot").alias("b")).distinct(), "pivots")
+    near = _horizons(pairs.select(F.explode(F.array("a", "b")).alias("class")), classes, n_classes)
+    alike = (
+        _with_both(pairs, near).mapInArrow(_alike, "a binary, b binary, alike double")
+        .groupBy("b").agg(F.avg("alike").alias("alike")).where(F.col("alike") >= _ALIKE))
+    return written(
+        rows.join(alike.select(F.col("b").alias("pivot"), F.lit(True).alias("like")), "pivot", "left").withColumn("pivot", F.when(F.col("like"), F.col("pivot"))).drop("like", "group", "size"),
+        "with-pivots")
+
+
+def _differences(pairs: DataFrame, classes: DataFrame, n_classes: int, source: DataFrame, k: int, percent: int) -> DataFrame:
+    """pivot, class, n, linked, delta of pairs of a class and a pivot."""
+    texts = _texts_of(pairs.select(F.explode(F.array("class", "pivot")).alias("class")), classes, n_classes, source, k)
+    both = (
+        pairs.join(texts, "class")
+        .join(texts.select(F.col("class").alias("pivot"), F.col("text").alias("pivot_text")), "pivot"))
+    return written(
+        both.mapInArrow(
+            lambda b: _deltas(b, k, percent), "pivot binary, class binary, n bigint, linked boolean, delta array<bigint>"), "deltas")
+
+
 def _verified(pairs: DataFrame, classes: DataFrame, n_classes: int, source: DataFrame, k: int, percent: int) -> DataFrame | None:
     """The pairs that link (None: none does). Only rows of classes in question are shuffled."""
     def wanted(of: DataFrame) -> DataFrame:
         return of.select(F.explode(F.array("a", "b")).alias("class"))
 
-    some = bitmap(wanted(pairs).select(F.xxhash64("class").alias("id_hash")), "id_hash", n_classes)
-    near = classes.select("class", "n", "near", F.xxhash64("class").alias("id_hash")).mapInArrow(
-        lambda b: _some(b, some), "class binary, n bigint, near array<bigint>, id_hash bigint").drop("id_hash")
+    near = _horizons(wanted(pairs), classes, n_classes)
     possible = written(
         _with_both(pairs, near).mapInArrow(lambda b: _possible(b, percent), "a binary, b binary"), "possible")
     if possible.isEmpty():
         return None
-    ids = wanted(possible).distinct().join(classes.select("class", "doc_id"), "class")
-    some = bitmap(ids.select(F.xxhash64("doc_id").alias("id_hash")), "id_hash", n_classes)
-    texts = written(
-        source.mapInArrow(lambda b: _texts(b, some, k), "class binary, text string")
-        .groupBy("class").agg(F.first("text").alias("text")), "texts")
+    texts = _texts_of(wanted(possible), classes, n_classes, source, k)
     links = written(_with_both(possible, texts).mapInArrow(lambda b: _links(b, k, percent), "a binary, b binary"), "links")
     return None if links.isEmpty() else links
 
@@ -220,8 +334,11 @@ def link_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     n_classes = classes.count()
     common = written(
         classes.select(F.explode("near").alias("token")).groupBy("token").agg(F.count("*").alias("n")).where("n > 1"), "common")
-    often = common.where(F.col("n") >= _FREQUENT)
-    frequent = bitmap(often, "token", often.count())
+    levels, most = [_FREQUENT], common.agg(F.max("n")).first()[0] or 0
+    while 4 * levels[-1] <= most:
+        levels.append(4 * levels[-1])
+    sizes = common.agg(*[F.count_if(F.col("n") >= x) for x in levels]).first()
+    frequent = [bitmap(common.where(F.col("n") >= x), "token", size) for x, size in zip(levels, sizes, strict=True)]
     maps = [bitmap(common, "token", common.count())]
     prefixes = classes.mapInArrow(lambda b: _prefixes(b, frequent, percent), "class binary, n bigint, prefix array<bigint>")
     late = written(prefixes.where("prefix IS NULL").select("class").join(classes.select("class", "doc_id"), "class"), "late")
@@ -238,31 +355,37 @@ def link_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         regular = regular.unionByName(whole)
     rows = written(regular.mapInArrow(lambda b: _shared(b, maps), "token bigint, class binary, n bigint, at bigint"), "prefix-rows")
     matrix = written(
-        rows.join(rows.groupBy("token").agg(F.count("*").alias("classes")).where("classes > 1").select("token"), "token"), "matrix")
-    groups = None  # node, root
+        rows.join(rows.groupBy("token").agg(F.count("*").alias("classes")).where("classes > 1").select("token"), "token")
+        .select("token", "class", "n", F.col("n").alias("len"), "at", F.lit(_SMALL).alias("parts")), "matrix")
+    groups = links = None  # node, root; a, b
     turn = 0
     while True:
-        named = matrix.withColumn("group", F.col("class")) if groups is None else (
-            matrix.drop("group", "size").join(groups.select(F.col("node").alias("class"), F.col("root").alias("group")), "class", "left")
-            .withColumn("group", F.coalesce("group", "class")))
-        several = (
-            named.groupBy("token").agg(F.min("group").alias("lo"), F.max("group").alias("hi"), F.count("*").alias("size"))
-            .where("lo <> hi").select("token", "size"))
-        opened = written(named.drop("size").join(several, "token"), "opened")
+        opened = written(_opened(matrix, groups), "opened")
         if opened.isEmpty():
             break
-        member = F.struct("class", "n", "at", "group").alias("m")
+        member = F.struct("class", "n", "len", "at", "group").alias("m")
         few, many = opened.where(F.col("size") <= _SMALL), opened.where(F.col("size") > _SMALL)
         pivots = (
-            many.groupBy("token", F.pmod(F.xxhash64("class"), F.lit(_SMALL ** (turn + 1))).alias("part")).agg(F.min(member).alias("m"))
+            many.groupBy("token", F.pmod(F.xxhash64("class"), F.col("parts")).alias("part")).agg(F.min(member).alias("m"))
             .select("token", "m.*"))
         met = written(_pairs(many, pivots, percent).unionByName(_pairs(few, few, percent)).distinct(), "pairs")
-        matrix = many.join(pivots.select("token", "class"), ["token", "class"], "left_anti")
-        links = _verified(met, classes, n_classes, source, k, percent)
-        if links is not None:
-            if groups is not None:
-                links = links.unionByName(groups.select(F.col("node").alias("a"), F.col("root").alias("b")))
-            groups = components(links)
+        found = _verified(met, classes, n_classes, source, k, percent)
+        groups = _merged(groups, found)
+        links = found if links is None else links if found is None else links.unionByName(found)
+        matrix = (
+            many.join(pivots.select("token", "class"), ["token", "class"], "left_anti")
+            .select("token", "class", "n", "len", "at", (_SMALL * F.col("parts")).alias("parts")))
+        if turn < _DEALT:
+            left = written(_opened(matrix, groups), "left")
+            if left.isEmpty():
+                break
+            left = _with_pivots(left, many, links, classes, n_classes)
+            matrix = left.where("pivot IS NULL").drop("pivot")
+            pairs = left.where("class <> pivot").select("class", "pivot").distinct()
+            if not pairs.isEmpty():
+                deltas = _differences(pairs, classes, n_classes, source, k, percent)
+                groups = _merged(groups, deltas.where("linked").select(F.col("class").alias("a"), F.col("pivot").alias("b")))
+                matrix = matrix.unionByName(written(_dealt(deltas, percent), "matrix"))
         turn += 1
 
     ids = sets.where("class IS NOT NULL").groupBy("class").agg(F.min("doc_id").alias("first"))

@@ -9,6 +9,7 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import brute  # noqa: E402
+from matchday.llm import jaccard_join  # noqa: E402
 from matchday.llm.components import components  # noqa: E402
 from matchday.llm.decontaminate import find_leaks, tiles  # noqa: E402
 from matchday.llm.jaccard_join import link_components  # noqa: E402
@@ -84,6 +85,45 @@ def test_components_equal_brute_force(spark, seed):
     assert _rows(link_components(df), "doc_id", "n_shingles", "component_id") == sorted(brute.components(rows), key=repr)
 
 
+def _near_copies(seed, sizes, edits, pool):
+    """Groups of near copies that share a line; few of a group's texts link, most miss the threshold by little."""
+    rng = random.Random(seed)
+    line, rows = [f"common{i}" for i in range(20)], []
+    for group, size in enumerate(sizes):
+        base = [f"g{group}w{i}" for i in range(110)] + line
+        for _ in range(size):
+            w = list(base)
+            for _ in range(rng.choice(edits)):
+                w[rng.randrange(110)] = f"new{rng.randint(0, pool)}"
+            rows.append((len(rows), " ".join(w)))
+    rng.shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize(("seed", "sizes", "edits", "pool", "k", "percent"), [
+    (5, [150, 90, 30], [1, 2, 2, 3], 10**9, 4, 85), (6, [120, 120], [2, 3], 3, 4, 85), (7, [200], [3, 4, 5], 2, 5, 80)])
+def test_large_groups_of_near_copies_equal_brute_force(spark, seed, sizes, edits, pool, k, percent):
+    rows = _near_copies(seed, sizes, edits, pool)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = _rows(link_components(df, k=k, percent=percent), "doc_id", "n_shingles", "component_id")
+    assert got == sorted(brute.components(rows, k, percent), key=repr)
+    assert len({c for _, _, c in got}) > 2
+
+
+def test_near_copies_that_do_not_link_are_not_compared_pair_by_pair(spark, monkeypatch):
+    rows, made = _near_copies(8, [320], [2], 10**9), []
+
+    def counted(df, name, write=jaccard_join.written):
+        out = write(df, name)
+        made.append(out.count() if name in ("pairs", "pivots") else 0)
+        return out
+
+    monkeypatch.setattr(jaccard_join, "written", counted)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    assert _rows(link_components(df), "doc_id", "n_shingles", "component_id") == sorted(brute.components(rows), key=repr)
+    assert sum(made) < 40 * len(rows)  # all pairs: 51,040
+
+
 def test_components_of_no_links_and_empty_tables(spark):
     df = spark.createDataFrame([(1, "a b c d e"), (2, None), (3, "v w x y z")], "doc_id long, text string")
     assert _rows(link_components(df), "doc_id", "n_shingles", "component_id") == [(1, 2, 1), (2, 0, 2), (3, 2, 3)]
