@@ -7,17 +7,19 @@ classes and by hash), so that classes which link share a prefix shingle.
 Classes are partitioned into groups of similar ones: at first each by itself, then the components of the links found. The
 matrix holds, for each shingle, the groups in whose union of prefixes it is. A query's overlap with a group is bounded by its
 own size less its prefix shingles outside the group's union: a group that shares none cannot qualify, and a shingle of one
-group only has nothing to open. Small buckets are compared member by member, large ones with 16 of their members; members that a
-link joined meanwhile are not compared. Pairs whose horizons (the first shingles in hash order, at hand for every class) rule a link
-out need no text; the others are compared whole.
-
-A large bucket in which several groups are left is dealt anew by differences. Its members are compared with one pivot, the member of
-most links; a member's difference is what is in one of the two sets only. The sets of x and y differ in
+group only has nothing to open. Of the two places where a pair that links first meets, one at least is early, in the first half of
+those where a link may begin: a bucket's members are compared with its early ones only, and a bucket without any has nothing to open.
+Few early members are taken at once, of more of them 4 at first; members that a link joined meanwhile are not compared. Pairs whose
+horizons (the first shingles in hash order, at hand for every class) rule a link out need no text; the others are compared whole.
+
+A large bucket in which several groups are left is dealt anew by differences. Its members are compared with one pivot, the class of
+most links in any of their groups, so that the buckets of many near copies have few pivots; a member's difference is what is in one of
+the two sets only. The sets of x and y differ in
 ``|Dx| + |Dy| - 2 |Dx & Dy|`` shingles, so a pair that links shares so many shingles of its differences that their prefixes meet (in an
 order by how many differences of the pivot hold a shingle), unless both members link with the pivot and are of one group anyway.
 What a bucket's members have in common is in no difference, so that near copies that do not link hardly ever meet again. Buckets of
-pivots whose members are unlike them by their horizons, and what is in large buckets after two such turns, are compared with 256,
-4096 ... of their members.
+pivots whose members are unlike them by their horizons, and large ones of differences, are compared with 16 times as many early members
+in each further turn.
 Nothing is cut off. Shingles are compared by 64-bit hashes, sets by 128-bit ones.
 """
 
@@ -30,7 +32,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import Broadcast
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from matchday.llm.bitmap import bitmap
@@ -44,10 +46,10 @@ SHINGLE, PERCENT = 4, 85
 _SPARE = 5
 #: A shingle of so many classes comes late in the order, one of four times as many later, and so on.
 _FREQUENT = 64
-#: Buckets of so many classes are compared pair by pair at once; others with so many of their members first.
-_SMALL = 16
-#: So many times, large buckets are dealt anew by differences, if this share of two horizons is common to members and pivot.
-_DEALT, _ALIKE = 2, 0.5
+#: So many early classes of a bucket are taken at once; of more of them, so many at first.
+_SMALL, _FIRST = 16, 4
+#: Large buckets are dealt anew by differences if this share of two horizons is common to members and pivot.
+_ALIKE = 0.5
 
 
 def shingle_sets(texts: pa.LargeStringArray, k: int) -> list[np.ndarray]:
@@ -204,14 +206,24 @@ def _dealt(deltas: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def _opened(matrix: DataFrame, groups: DataFrame | None) -> DataFrame:
-    """The rows of buckets that hold several groups, with group and the bucket's size."""
+def _early(percent: int) -> Column:
+    """Whether a row's place is in the first half of those where it may first meet one that links.
+
+    What two sets do not share is ``(100 - percent) / percent`` of either at most. What stands before the first shingle that both
+    prefixes have is in one of them only, so that at one of the two places half of that stands at most.
+    """
+    return 2 * percent * F.col("at") <= (100 - percent) * F.col("n")
+
+
+def _opened(matrix: DataFrame, groups: DataFrame | None, percent: int) -> DataFrame:
+    """The rows of buckets that hold several groups and an early row, with group, whether they are early, and how many are."""
     named = matrix.withColumn("group", F.col("class")) if groups is None else (
         matrix.join(groups.select(F.col("node").alias("class"), F.col("root").alias("group")), "class", "left")
         .withColumn("group", F.coalesce("group", "class")))
+    named = named.withColumn("early", _early(percent))
     several = (
-        named.groupBy("token").agg(F.min("group").alias("lo"), F.max("group").alias("hi"), F.count("*").alias("size"))
-        .where("lo <> hi").select("token", "size"))
+        named.groupBy("token").agg(F.min("group").alias("lo"), F.max("group").alias("hi"), F.count_if("early").alias("size"))
+        .where("lo <> hi AND size > 0").select("token", "size"))
     return named.join(several, "token")
 
 
@@ -267,24 +279,27 @@ def _horizons(wanted: DataFrame, classes: DataFrame, n_classes: int) -> DataFram
         lambda b: _some(b, some), "class binary, n bigint, near array<bigint>, id_hash bigint").drop("id_hash")
 
 
-def _with_pivots(left: DataFrame, many: DataFrame, links: DataFrame | None, classes: DataFrame, n_classes: int) -> DataFrame:
-    """The rows of large buckets with a pivot, the bucket's member of most links; null if its members are unlike it."""
-    named = many.select("token", "class")
-    if links is None:
-        named = named.withColumn("links", F.lit(0))
-    else:
+def _with_pivots(left: DataFrame, links: DataFrame | None, groups: DataFrame | None, classes: DataFrame, n_classes: int) -> DataFrame:
+    """The rows of large buckets with a pivot, the class of most links in any of the bucket's groups; null if its members are unlike it."""
+    named = left.select("token", "group", F.lit(0).cast("long").alias("links"), F.col("class").alias("hub"))
+    if links is not None:
         degrees = links.select(F.explode(F.array("a", "b")).alias("class")).groupBy("class").agg(F.count("*").alias("links"))
-        named = named.join(degrees, "class", "left")
-    best = named.groupBy("token").agg(F.max(F.struct(F.coalesce("links", F.lit(0)).alias("links"), "class")).alias("m"))
-    rows = left.join(best.select("token", F.col("m.class").alias("pivot")), "token")
+        hubs = (
+            degrees.join(groups.select(F.col("node").alias("class"), "root"), "class", "left")
+            .groupBy(F.coalesce("root", "class").alias("group")).agg(F.max(F.struct("links", "class")).alias("h")))
+        named = named.join(hubs, "group", "left").select(
+            "token", F.coalesce("h.links", "links").alias("links"), F.coalesce("h.class", "hub").alias("hub"))
+    best = named.groupBy("token").agg(F.max(F.struct("links", "hub")).alias("m"))
+    rows = left.join(best.select("token", F.col("m.hub").alias("pivot")), "token")
     pairs = written(rows.where("class <> pivot").select(F.col("class").alias("a"), F.col("pivot").alias("b")).distinct(), "pivots")
     near = _horizons(pairs.select(F.explode(F.array("a", "b")).alias("class")), classes, n_classes)
     alike = (
         _with_both(pairs, near).mapInArrow(_alike, "a binary, b binary, alike double")
         .groupBy("b").agg(F.avg("alike").alias("alike")).where(F.col("alike") >= _ALIKE))
+    like = alike.select(F.col("b").alias("pivot"), F.lit(True).alias("like"))
     return written(
-        rows.join(alike.select(F.col("b").alias("pivot"), F.lit(True).alias("like")), "pivot", "left").withColumn("pivot", F.when(F.col("like"), F.col("pivot"))).drop("like", "group", "size"),
-        "with-pivots")
+        rows.join(like, "pivot", "left").withColumn("pivot", F.when(F.col("like"), F.col("pivot")))
+        .drop("like", "group", "early", "size"), "with-pivots")
 
 
 def _differences(pairs: DataFrame, classes: DataFrame, n_classes: int, source: DataFrame, k: int, percent: int) -> DataFrame:
@@ -356,37 +371,37 @@ def link_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     rows = written(regular.mapInArrow(lambda b: _shared(b, maps), "token bigint, class binary, n bigint, at bigint"), "prefix-rows")
     matrix = written(
         rows.join(rows.groupBy("token").agg(F.count("*").alias("classes")).where("classes > 1").select("token"), "token")
-        .select("token", "class", "n", F.col("n").alias("len"), "at", F.lit(_SMALL).alias("parts")), "matrix")
+        .select("token", "class", "n", F.col("n").alias("len"), "at", F.lit(_FIRST).alias("parts")), "matrix")
     groups = links = None  # node, root; a, b
-    turn = 0
+    first = True
     while True:
-        opened = written(_opened(matrix, groups), "opened")
+        opened = written(_opened(matrix, groups, percent), "opened")
         if opened.isEmpty():
             break
         member = F.struct("class", "n", "len", "at", "group").alias("m")
         few, many = opened.where(F.col("size") <= _SMALL), opened.where(F.col("size") > _SMALL)
         pivots = (
-            many.groupBy("token", F.pmod(F.xxhash64("class"), F.col("parts")).alias("part")).agg(F.min(member).alias("m"))
+            many.where("early").groupBy("token", F.pmod(F.xxhash64("class"), F.col("parts")).alias("part")).agg(F.min(member).alias("m"))
             .select("token", "m.*"))
-        met = written(_pairs(many, pivots, percent).unionByName(_pairs(few, few, percent)).distinct(), "pairs")
+        met = written(_pairs(many, pivots, percent).unionByName(_pairs(few, few.where("early"), percent)).distinct(), "pairs")
         found = _verified(met, classes, n_classes, source, k, percent)
         groups = _merged(groups, found)
         links = found if links is None else links if found is None else links.unionByName(found)
         matrix = (
             many.join(pivots.select("token", "class"), ["token", "class"], "left_anti")
             .select("token", "class", "n", "len", "at", (_SMALL * F.col("parts")).alias("parts")))
-        if turn < _DEALT:
-            left = written(_opened(matrix, groups), "left")
+        if first:
+            left = written(_opened(matrix, groups, percent), "left")
             if left.isEmpty():
                 break
-            left = _with_pivots(left, many, links, classes, n_classes)
+            left = _with_pivots(left, links, groups, classes, n_classes)
             matrix = left.where("pivot IS NULL").drop("pivot")
             pairs = left.where("class <> pivot").select("class", "pivot").distinct()
             if not pairs.isEmpty():
                 deltas = _differences(pairs, classes, n_classes, source, k, percent)
                 groups = _merged(groups, deltas.where("linked").select(F.col("class").alias("a"), F.col("pivot").alias("b")))
                 matrix = matrix.unionByName(written(_dealt(deltas, percent), "matrix"))
-        turn += 1
+        first = False
 
     ids = sets.where("class IS NOT NULL").groupBy("class").agg(F.min("doc_id").alias("first"))
     rooted = (

@@ -124,6 +124,34 @@ def test_near_copies_that_do_not_link_are_not_compared_pair_by_pair(spark, monke
     assert sum(made) < 40 * len(rows)  # all pairs: 51,040
 
 
+def _edited_copies(seed, size, most):
+    """Copies of one text with up to ``most`` words changed, some of them cut short."""
+    rng, base, rows = random.Random(seed), [f"w{i}" for i in range(150)], []
+    for i in range(size):
+        w = list(base)
+        for _ in range(rng.randint(0, most)):
+            w[rng.randrange(150)] = f"new{rng.randint(0, 10**9)}"
+        rows.append((i, " ".join(w[: rng.choice([150, 150, 150, rng.randint(60, 150)])])))
+    return rows
+
+
+def test_large_group_of_edited_copies_takes_few_pairs_and_differences(spark, monkeypatch):
+    rows, made = _edited_copies(9, 600, 16), {"pairs": 0, "deltas": 0}
+
+    def counted(df, name, write=jaccard_join.written):
+        out = write(df, name)
+        if name in made:
+            made[name] += out.count()
+        return out
+
+    monkeypatch.setattr(jaccard_join, "written", counted)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = _rows(link_components(df, k=5, percent=80), "doc_id", "n_shingles", "component_id")
+    assert got == sorted(brute.components(rows, 5, 80), key=repr)
+    assert len({c for _, _, c in got}) > 100
+    assert made["pairs"] < 8 * len(rows) and made["deltas"] < 2 * len(rows)
+
+
 def test_components_of_no_links_and_empty_tables(spark):
     df = spark.createDataFrame([(1, "a b c d e"), (2, None), (3, "v w x y z")], "doc_id long, text string")
     assert _rows(link_components(df), "doc_id", "n_shingles", "component_id") == [(1, 2, 1), (2, 0, 2), (3, 2, 3)]
